@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rowsmith.queries import profiles
+from rowsmith.queries import issues, profiles
 
-MODULES = (profiles,)
+MODULES = (profiles, issues)
 
 
 def all_queries():
