@@ -85,16 +85,24 @@ def contains_any(text: Column, words: Sequence[str]) -> Column:
     return found
 
 
+def quoted(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def aggregated(df: DataFrame, expressions: Sequence[str]) -> DataFrame:
+    """Whole-table aggregate of SQL expressions; one text per figure keeps wide aggregates quick to build."""
+    return df.agg(*[F.expr(e) for e in expressions])
+
+
 def long_rows(wide: DataFrame, names: Sequence[str], fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Turn one row of per-column aggregates named ``field_ordinal`` into one row per column."""
-    rows = [
-        F.struct(
-            F.lit(name).alias("column"),
-            F.lit(i).alias("ordinal"),
-            *[F.col(f"{field}_{i}").alias(field) for field in fields],
-        )
+    rows = ", ".join(
+        f"named_struct('column', {quoted(name)}, 'ordinal', {i}, "
+        + ", ".join(f"'{field}', {field}_{i}" for field in fields)
+        + ")"
         for i, name in enumerate(names)
-    ]
+    )
     if not rows:
         types = {f.name: f.dataType for f in wide.schema.fields}
         empty = T.StructType(
@@ -103,7 +111,7 @@ def long_rows(wide: DataFrame, names: Sequence[str], fields: Sequence[str], keep
             + [T.StructField(field, T.DoubleType()) for field in fields]
         )
         return wide.sparkSession.createDataFrame([], empty)
-    return wide.select(*keep, F.inline(F.array(*rows)))
+    return wide.selectExpr(*keep, f"inline(array({rows}))")
 
 
 def one_row(long: DataFrame, names: Sequence[str], fields: Sequence[str]) -> Column:
@@ -112,11 +120,11 @@ def one_row(long: DataFrame, names: Sequence[str], fields: Sequence[str]) -> Col
     The row count is the number of columns of a schema, so the subquery result is tiny.
     """
     picks = [
-        F.max(F.when(F.col("column") == name, F.col(field))).alias(f"{field}_{i}")
+        f"max(IF(column = {quoted(name)}, {field}, NULL)) AS {field}_{i}"
         for i, name in enumerate(names)
         for field in fields
     ]
-    return long.agg(*picks).select(F.struct("*").alias("all")).scalar()
+    return aggregated(long, picks).select(F.struct("*").alias("all")).scalar()
 
 
 def control_table(spark: SparkSession, rows: Sequence[Sequence], **columns: pa.DataType) -> DataFrame:

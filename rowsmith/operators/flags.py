@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.functions.columns import (
-    col,
+    aggregated,
     columns_of,
     count_where,
     known,
@@ -66,16 +66,14 @@ def outlier_counts(df: DataFrame, name: str, columns: Sequence[str] | None = Non
         "fence", fences
     )
 
-    def outside(i):
-        v = F.col(f"v_{i}")
-        return (v < F.col(f"fence.lower_{i}")) | (v > F.col(f"fence.upper_{i}"))
-
     ordinals = range(len(columns))
-    wide = values.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        *[count_where(outside(i)).alias(f"outliers_{i}") for i in ordinals],
-        *[F.min(F.when(outside(i), F.col(f"v_{i}"))).alias(f"smallest_{i}") for i in ordinals],
-        *[F.max(F.when(outside(i), F.col(f"v_{i}"))).alias(f"largest_{i}") for i in ordinals],
+    outside = [f"v_{i} < fence.lower_{i} OR v_{i} > fence.upper_{i}" for i in ordinals]
+    wide = aggregated(
+        values,
+        ["count(*) AS total_records"]
+        + [f"count_if({outside[i]}) AS outliers_{i}" for i in ordinals]
+        + [f"min(IF({outside[i]}, v_{i}, NULL)) AS smallest_{i}" for i in ordinals]
+        + [f"max(IF({outside[i]}, v_{i}, NULL)) AS largest_{i}" for i in ordinals],
     )
     rows = long_rows(wide, columns, ["outliers", "smallest", "largest"], keep=["total_records"])
     return rows.select(

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowsmith.functions.columns import known
+from rowsmith.functions.columns import aggregated, known
 
 SMALL = 10
 
@@ -22,72 +22,45 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], acc
     spots = [(i, j) for i in range(len(columns)) for j in range(len(probs))]
     if not spots:
         return df.sparkSession.createDataFrame([], "column string, prob double, non_null bigint, value double")
+    names = range(len(columns))
     values = df.select(*[known(df, c).cast("double").alias(f"v_{i}") for i, c in enumerate(columns)])
 
     slack = 2.0 / accuracy
-    edges = [e for p in probs for e in (max(0.0, p - slack), min(1.0, p + slack))]
-    sketch = values.agg(
-        *[F.count(f"v_{i}").alias(f"n_{i}") for i in range(len(columns))],
-        *[F.min(f"v_{i}").alias(f"min_{i}") for i in range(len(columns))],
-        *[F.max(f"v_{i}").alias(f"max_{i}") for i in range(len(columns))],
-        *[
-            F.percentile_approx(f"v_{i}", F.array(*map(F.lit, edges)), F.lit(accuracy)).alias(f"edge_{i}")
-            for i in range(len(columns))
-        ],
+    edges = ", ".join(f"{e!r}D" for p in probs for e in (max(0.0, p - slack), min(1.0, p + slack)))
+    sketch = aggregated(
+        values,
+        [f"count(v_{i}) AS n_{i}" for i in names]
+        + [f"min(v_{i}) AS min_{i}" for i in names]
+        + [f"max(v_{i}) AS max_{i}" for i in names]
+        + [f"percentile_approx(v_{i}, array({edges}), {accuracy}) AS edge_{i}" for i in names],
     )
     # Below SMALL * accuracy values the rank error of the sketch is about one place: take the whole range,
     # which is then small by itself.
-    brackets = sketch.select(
-        *[f"n_{i}" for i in range(len(columns))],
-        *[
-            F.when(F.col(f"n_{i}") <= SMALL * accuracy, F.col(f"min_{i}"))
-            .otherwise(F.col(f"edge_{i}")[2 * j])
-            .alias(f"low_{i}_{j}")
-            for i, j in spots
-        ],
-        *[
-            F.when(F.col(f"n_{i}") <= SMALL * accuracy, F.col(f"max_{i}"))
-            .otherwise(F.col(f"edge_{i}")[2 * j + 1])
-            .alias(f"high_{i}_{j}")
-            for i, j in spots
-        ],
+    small = SMALL * accuracy
+    brackets = sketch.selectExpr(
+        *[f"IF(n_{i} <= {small}, min_{i}, edge_{i}[{2 * j}]) AS low_{i}_{j}" for i, j in spots],
+        *[f"IF(n_{i} <= {small}, max_{i}, edge_{i}[{2 * j + 1}]) AS high_{i}_{j}" for i, j in spots],
     )
-    bracket = brackets.select(F.struct("*").alias("all")).scalar()
-    placed = values.withColumn("b", bracket)
+    placed = values.withColumn("b", brackets.select(F.struct("*").alias("all")).scalar())
 
-    below = placed.agg(
-        *[
-            F.count(F.when(F.col(f"v_{i}") < F.col(f"b.low_{i}_{j}"), 1)).alias(f"below_{i}_{j}")
-            for i, j in spots
-        ],
-        *[F.count(f"v_{i}").alias(f"n_{i}") for i in range(len(columns))],
+    below = aggregated(
+        placed,
+        [f"count_if(v_{i} < b.low_{i}_{j}) AS below_{i}_{j}" for i, j in spots]
+        + [f"count(v_{i}) AS n_{i}" for i in names],
     )
-    ranks = below.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("i"),
-                        F.lit(j).alias("j"),
-                        F.col(f"n_{i}").alias("non_null"),
-                        F.col(f"below_{i}_{j}").alias("below"),
-                        ((F.col(f"n_{i}") - 1) * F.lit(float(probs[j]))).alias("position"),
-                    )
-                    for i, j in spots
-                ]
-            )
-        )
+    counted = ", ".join(
+        f"named_struct('i', {i}, 'j', {j}, 'non_null', n_{i}, 'below', below_{i}_{j},"
+        f" 'position', (n_{i} - 1) * {float(probs[j])!r}D)"
+        for i, j in spots
     )
+    ranks = below.selectExpr(f"inline(array({counted}))")
 
-    inside = [
-        F.when(
-            F.col(f"v_{i}").between(F.col(f"b.low_{i}_{j}"), F.col(f"b.high_{i}_{j}")),
-            F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"v_{i}").alias("v")),
-        )
+    inside = ", ".join(
+        f"IF(v_{i} BETWEEN b.low_{i}_{j} AND b.high_{i}_{j}, named_struct('i', {i}, 'j', {j}, 'v', v_{i}), NULL)"
         for i, j in spots
-    ]
+    )
     band = (
-        placed.select(F.inline(F.array_compact(F.array(*inside))))
+        placed.selectExpr(f"inline(array_compact(array({inside})))")
         .groupBy("i", "j", "v")
         .agg(F.count(F.lit(1)).alias("copies"))
         .withColumn("upto", F.sum("copies").over(Window.partitionBy("i", "j").orderBy("v")))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.operators import flags, issues, profile
+from rowsmith.sources.shared import settled
 
 
 def union(parts: list[DataFrame]) -> DataFrame:
@@ -25,9 +26,13 @@ def collection_flags(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def detect(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """(issues, basic figures) of all tables."""
-    stats = collection_stats(tables)
-    return issues.issues_from_flags(collection_flags(tables), stats), stats
+    """(issues, basic figures) of all tables.
+
+    Both are settled: a few rows per table that scores, summaries and lists all start from, so the tables
+    are profiled once however many of those are made.
+    """
+    stats = settled(collection_stats(tables))
+    return issues.issues_from_flags(settled(collection_flags(tables)), stats), stats
 
 
 def quality_report(tables: dict[str, DataFrame], external: DataFrame | None = None) -> DataFrame:

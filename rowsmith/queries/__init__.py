@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rowsmith.queries import issues, profiles
+from rowsmith.queries import collections, issues, profiles, repairs, responses
 
-MODULES = (profiles, issues)
+MODULES = (profiles, issues, collections, repairs, responses)
 
 
 def all_queries():

@@ -8,8 +8,6 @@ from rowsmith.functions.columns import fixed
 from rowsmith.operators import issues
 from rowsmith.plans import quality
 from rowsmith.queries.profiles import (
-
-
     high_missing_sql,
     outliers_sql,
     r4,
@@ -19,6 +17,7 @@ from rowsmith.queries.profiles import (
 )
 from rowsmith.queries.views import issue_responses, orders_dirty, table, with_views
 
+
 def checked_tables(spark, sf_dir):
     """The tables judged together: dirty orders, events and line items."""
     return {

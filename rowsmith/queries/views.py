@@ -90,21 +90,22 @@ def issue_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def issue_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reports in every known form, one without issues and one that is not JSON."""
+    """Reports in every known form, one without issues, a list, and broken JSON."""
     item = F.col("item_id")
     return table(spark, sf_dir, "benchmark").select(
         item.alias("report_id"),
         F.when(
-            item % 6 == 0,
+            item % 7 == 0,
             '{"quality_issues":[{"issue_type":"completeness","severity":"high","column":"o_orderpriority"}]}',
         )
         .when(
-            item % 6 == 1,
+            item % 7 == 1,
             '{"analysis_results":{"ranges":{"issues":[{"description":"negative","column":"o_totalprice"}]}}}',
         )
-        .when(item % 6 == 2, '{"analysis_results":{"format":{"problems":["case"]}}}')
-        .when(item % 6 == 3, '{"critical_issues":[{"description":"dup"}]}')
-        .when(item % 6 == 4, '{"score":80}')
+        .when(item % 7 == 2, '{"analysis_results":{"format":{"problems":["case"]}}}')
+        .when(item % 7 == 3, '{"critical_issues":[{"description":"dup"}]}')
+        .when(item % 7 == 4, '{"score":80}')
+        .when(item % 7 == 5, '["x"]')
         .otherwise('{"score":')
         .alias("body"),
     )
@@ -157,12 +158,12 @@ SQL = {
     WHEN 1 THEN '[{"column":null}]' WHEN 2 THEN 'no json here' ELSE '[{"severity":"low",}]' END AS response
   FROM benchmark)""",
     "issue_reports": """issue_reports AS (
-  SELECT item_id AS report_id, CASE item_id % 6
+  SELECT item_id AS report_id, CASE item_id % 7
     WHEN 0 THEN '{"quality_issues":[{"issue_type":"completeness","severity":"high","column":"o_orderpriority"}]}'
     WHEN 1 THEN '{"analysis_results":{"ranges":{"issues":[{"description":"negative","column":"o_totalprice"}]}}}'
     WHEN 2 THEN '{"analysis_results":{"format":{"problems":["case"]}}}'
     WHEN 3 THEN '{"critical_issues":[{"description":"dup"}]}'
-    WHEN 4 THEN '{"score":80}' ELSE '{"score":' END AS body
+    WHEN 4 THEN '{"score":80}' WHEN 5 THEN '["x"]' ELSE '{"score":' END AS body
   FROM benchmark)""",
     "page_responses": """page_responses AS (
   SELECT page_id, CASE page_id % 4
