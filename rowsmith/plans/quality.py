@@ -44,3 +44,39 @@ def quality_report(tables: dict[str, DataFrame], external: DataFrame | None = No
     return rows.withColumn(
         "risk_level", issues.risk_of(F.col("critical_issues"), F.col("high_issues"), F.col("medium_issues"))
     )
+
+
+def analysis_documents(tables: dict[str, DataFrame], found: DataFrame, stats: DataFrame) -> DataFrame:
+    """One JSON document per table: figures, score, issues and error summary. Its size follows the schema."""
+    scores = issues.quality_scores(found, stats).select("dataset_name", "quality_score")
+    listed = found.groupBy("dataset_name").agg(
+        F.array_sort(F.collect_list(F.struct(*sorted(c for c in found.columns if c != "dataset_name")))).alias(
+            "quality_issues"
+        )
+    )
+    summary = issues.error_summary(found)
+    body = summary.select(
+        "dataset_name", F.struct(*[c for c in summary.columns if c != "dataset_name"]).alias("error_summary")
+    )
+    figures = stats.select("dataset_name", F.struct(*[c for c in stats.columns if c != "dataset_name"]).alias("basic_stats"))
+    rows = (
+        figures.join(scores.withColumnRenamed("quality_score", "overall_quality_score"), "dataset_name")
+        .join(listed, "dataset_name", "left")
+        .join(body, "dataset_name", "left")
+    )
+    return rows.select("dataset_name", F.to_json(F.struct("*")).alias("document"))
+
+
+def repair_export(found: DataFrame, scores: DataFrame, limit: float = 60.0) -> DataFrame:
+    """What the repair stage needs, as one document: critical issues, tables below the limit, totals."""
+    critical = issues.critical_issues(found).agg(
+        F.array_sort(F.collect_list(F.struct("dataset_name", "column", "description", "fix_priority"))).alias("list")
+    )
+    return scores.agg(
+        F.array_sort(F.collect_list(F.when(F.col("quality_score") < limit, F.col("dataset_name")))).alias(
+            "priority_datasets"
+        ),
+        F.count(F.lit(1)).alias("total_datasets_analyzed"),
+    ).select(
+        critical.select("list").scalar().alias("critical_issues"), "priority_datasets", "total_datasets_analyzed"
+    )

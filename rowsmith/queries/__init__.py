@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rowsmith.queries import collections, issues, profiles, repairs, responses
+from rowsmith.queries import collections, generation, issues, pages, profiles, repairs, responses, storage
 
-MODULES = (profiles, issues, collections, repairs, responses)
+MODULES = (profiles, issues, collections, repairs, generation, pages, responses, storage)
 
 
 def all_queries():
