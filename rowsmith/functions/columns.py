@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -78,11 +79,17 @@ def title_case(text: Column) -> Column:
 
 
 def contains_any(text: Column, words: Sequence[str]) -> Column:
-    """True when the text contains at least one of the words as a substring."""
-    found = F.lit(False)
-    for word in words:
-        found = found | F.contains(text, F.lit(word))
-    return found
+    """True when the text contains at least one of the words as a substring; the text is evaluated once."""
+    return F.rlike(text, F.lit("|".join(re.escape(w) for w in words)))
+
+
+def computed_once(df: DataFrame, keep: Sequence[str], **values: Column) -> DataFrame:
+    """Columns whose costly expressions must not be repeated by filters and projections above.
+
+    The optimizer writes the expression of a column into every filter on it. A one-element inline is not
+    looked through, so a text is extracted, or an answer parsed, once per row.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(*[v.alias(n) for n, v in values.items()]))))
 
 
 def quoted(text: str) -> str:

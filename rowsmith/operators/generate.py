@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowsmith.functions import json_text
-from rowsmith.functions.columns import col
+from rowsmith.functions.columns import col, computed_once, contains_any
 from rowsmith.functions.hashing import digest, hash_int, pick, slot
 
 # Name parts that select a rule, value ranges, categories and id formats.
@@ -184,13 +184,6 @@ def read_specs(
     )
 
 
-def contains_one(text: Column, words: Sequence[str]) -> Column:
-    found = F.contains(text, F.lit(words[0]))
-    for w in words[1:]:
-        found = found | F.contains(text, F.lit(w))
-    return found
-
-
 def sample_value(name: Column, key: Column, seed: int, anchor: Column) -> Column:
     """Sample value, as text, for a column whose name is data: the first name part that fits decides."""
     lower = F.lower(name)
@@ -209,8 +202,8 @@ def sample_value(name: Column, key: Column, seed: int, anchor: Column) -> Column
         .when(F.contains(lower, F.lit("age")), between(n0, *AGE_RANGE).cast("string"))
         .when(F.contains(lower, F.lit("date")), day)
         .when(F.contains(lower, F.lit("email")), F.concat(F.lower(first), F.lit("."), F.lower(last), F.lit("@example.com")))
-        .when(contains_one(lower, ["description", "text"]), F.concat(text_of(d, 6), F.lit(".")))
-        .when(contains_one(lower, ["value", "amount"]), amount)
+        .when(contains_any(lower, ["description", "text"]), F.concat(text_of(d, 6), F.lit(".")))
+        .when(contains_any(lower, ["value", "amount"]), amount)
         .otherwise(pick(n0, WORDS))
     )
 
@@ -241,7 +234,7 @@ def constant_sample(name: Column, domain: Column) -> Column:
     for d, rules in CONSTANT_SAMPLES.items():
         chosen = F.lit(OTHER_SAMPLE)
         for words, sample in reversed(rules):
-            chosen = F.when(contains_one(lower, words), F.lit(sample)).otherwise(chosen)
+            chosen = F.when(contains_any(lower, words), F.lit(sample)).otherwise(chosen)
         value = F.when(domain == d, chosen).otherwise(value)
     return value
 
@@ -283,7 +276,7 @@ def parse_generated_rows(
 
     ruled = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), by_rule)
     rows = (
-        responses.select(col(batch).cast("bigint").alias("_batch"), parsed.alias("_parsed"))
+        computed_once(responses, [col(batch).cast("bigint").alias("_batch")], _parsed=parsed)
         .withColumn("_good", F.col("_parsed").isNotNull())
         .select("_batch", "_good", F.posexplode(F.when(F.col("_good"), F.col("_parsed")).otherwise(ruled)).alias("_pos", "_row"))
         .filter(F.col("_row").isNotNull())

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowsmith.functions import json_text
-from rowsmith.functions.columns import control_table, count_where
+from rowsmith.functions.columns import computed_once, control_table, count_where
 
 # Deductions per severity, the deduction for any other severity, threshold defaults.
 SEVERITY_WEIGHTS = [("critical", 20.0), ("high", 10.0), ("medium", 5.0), ("low", 2.0)]
@@ -115,7 +115,7 @@ def parse_issues(responses: DataFrame, response: str = "response", total_records
     keep = [c for c in responses.columns if c != response]
     total = F.lit(total_records) if isinstance(total_records, int) else total_records
     json = json_text.valid_json(json_text.array_span(F.col(response)))
-    listed = responses.select(*keep, total.alias("_total"), json_text.parse_as(json, ANSWER_SCHEMA).alias("_list"))
+    listed = computed_once(responses, [*keep, total.alias("_total")], _list=json_text.parse_as(json, ANSWER_SCHEMA))
     rows = listed.select(*keep, "_total", F.posexplode("_list").alias("position", "_issue"))
     share = F.coalesce("_issue.estimated_affected_percentage", F.lit(0.0))
     return rows.filter(F.col("_issue").isNotNull()).select(

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowsmith.functions import json_text
-from rowsmith.functions.columns import contains_any, count_where, strip_space
+from rowsmith.functions.columns import computed_once, contains_any, count_where, strip_space
 
 # Words that mark a dataset page, trusted hosts, score parts, limits, default texts.
 INDICATORS = [
@@ -131,9 +131,8 @@ def extract_page_text(pages: DataFrame) -> DataFrame:
         ],
         "visible",
     )
-    return visible.select("page_id", "url", "title", content.alias("content")).withColumn(
-        "raw_text", plain_text(F.col("content"))
-    )
+    main = visible.select("page_id", "url", "title", content.alias("html"))
+    return computed_once(main, ["page_id", "url", "title"], content=F.col("html"), raw_text=plain_text(F.col("html")))
 
 
 def filter_dataset_pages(texts: DataFrame, indicators: Sequence[str] = INDICATORS) -> DataFrame:
@@ -179,7 +178,7 @@ def describe_candidates(
         F.substring("raw_text", 1, EXCERPT).alias("extracted_content"),
     )
     json = json_text.valid_json(json_text.object_span(F.col("response")))
-    answers = responses.select("page_id", json_text.parse_as(json, PAGE_ANSWER).alias("a")).filter("a.is_dataset")
+    answers = computed_once(responses, ["page_id"], a=json_text.parse_as(json, PAGE_ANSWER)).filter("a.is_dataset")
     columns = F.coalesce("a.estimated_columns", F.array().cast("array<string>"))
     return slim.join(answers, "page_id").select(
         F.col("page_id").alias("crawl_pos"),

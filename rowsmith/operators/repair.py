@@ -20,6 +20,7 @@ from rowsmith.functions.columns import (
     WHOLE,
     col,
     columns_of,
+    computed_once,
     control_table,
     count_where,
     is_missing,
@@ -396,7 +397,7 @@ def parse_fix_plan(responses: DataFrame, response: str = "response") -> DataFram
     keep = [c for c in responses.columns if c != response]
     json = json_text.valid_json(json_text.object_span(F.col(response)))
     return (
-        responses.select(*keep, json_text.parse_as(json, FIX_SCHEMA).alias("fix"))
+        computed_once(responses, keep, fix=json_text.parse_as(json, FIX_SCHEMA))
         .filter(F.col("fix.fix_type").isNotNull())
         .select(*keep, "fix.*")
         .withColumn("confidence", F.coalesce("confidence", F.lit(DEFAULT_CONFIDENCE)))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.functions import json_text
-from rowsmith.functions.columns import col, count_where, is_missing
+from rowsmith.functions.columns import col, computed_once, count_where, is_missing
 from rowsmith.operators.flags import flag_inputs, problem_list
 from rowsmith.operators.profile import column_summary, describe, missing_by_column, numeric_summary, top_values
 
@@ -61,8 +61,8 @@ def flatten_report_issues(reports: DataFrame, report_id: str = "report_id", body
     medium = F.lit("medium")
     ident = F.col("_id").cast("string")
     texts = "map<string,string>"
-    parsed = reports.select(
-        col(report_id).alias("_id"), json_text.valid_json(col(body)).alias("_json")
+    parsed = computed_once(
+        reports, [col(report_id).alias("_id")], _json=json_text.valid_json(col(body))
     ).filter(F.col("_json").isNotNull())
     top = parsed.withColumn("_top", json_text.parse_as(F.col("_json"), texts))
 
@@ -81,17 +81,17 @@ def flatten_report_issues(reports: DataFrame, report_id: str = "report_id", body
         """Issues, or else problems, of one part of analysis_results."""
         name = entry["key"]
         part = json_text.parse_as(entry["value"], "struct<issues:array<string>, problems:array<string>>")
+        opened = F.transform(
+            part["issues"], lambda t: F.struct(t.alias("text"), json_text.parse_as(t, ISSUE_FIELDS).alias("i"))
+        )
         issues = F.transform(
-            part["issues"],
-            lambda t: flat_issue(
+            opened,
+            lambda x: flat_issue(
                 F.concat(name, F.lit("_issue")),
-                F.coalesce(json_text.parse_as(t, ISSUE_FIELDS)["description"], t),
-                or_text(json_text.parse_as(t, ISSUE_FIELDS)["severity"], "medium"),
-                json_text.parse_as(t, ISSUE_FIELDS)["column"],
-                F.coalesce(
-                    json_text.parse_as(t, ISSUE_FIELDS)["recommendation"],
-                    F.concat(F.lit("Fix "), name, F.lit(" issue")),
-                ),
+                F.coalesce(x["i"]["description"], x["text"]),
+                or_text(x["i"]["severity"], "medium"),
+                x["i"]["column"],
+                F.coalesce(x["i"]["recommendation"], F.concat(F.lit("Fix "), name, F.lit(" issue"))),
             ),
         )
         problems = F.transform(
@@ -194,10 +194,13 @@ def parse_responses(responses: DataFrame, schema: str, response: str = "response
     text = col(response)
     is_object = schema.lower().lstrip().startswith(("struct", "map"))
     span = json_text.object_span(text) if is_object else json_text.array_span(text)
-    json = json_text.valid_json(span)
     keep = [c for c in responses.columns if c != response]
-    return responses.select(
-        *keep, json_text.answer_status(span, json).alias("status"), json_text.parse_as(json, schema).alias("answer")
+    spans = computed_once(responses, keep, _span=span)
+    read = computed_once(spans, [*keep, "_span"], _json=json_text.valid_json(F.col("_span")))
+    return read.select(
+        *keep,
+        json_text.answer_status(F.col("_span"), F.col("_json")).alias("status"),
+        json_text.parse_as(F.col("_json"), schema).alias("answer"),
     )
 
 

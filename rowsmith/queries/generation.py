@@ -171,7 +171,7 @@ def date_sql(number: str) -> str:
 
 
 def id_sql(form: str, key: str) -> str:
-    return f"concat('{form}', lpad(CAST({key} + 1 AS VARCHAR), greatest(6, length(CAST({key} + 1 AS VARCHAR))), '0'))"
+    return f"concat('{form}', lpad(CAST({key} + 1 AS VARCHAR), CAST(greatest(6, length(CAST({key} + 1 AS VARCHAR))) AS INTEGER), '0'))"
 
 
 def int_sql(name: str, key: str, low: int, high: int) -> str:

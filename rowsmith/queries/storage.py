@@ -48,7 +48,7 @@ def io_reports(spark, sf_dir):
     reports.write.partitionBy("number").text(folder)
     read = documents.read_reports(spark, folder, glob="*.txt")
     number = F.regexp_extract("report_id", "number=([0-9]+)/", 1).cast("bigint")
-    return read.select(number.alias("report_id"), F.rtrim("body").alias("body"))
+    return read.select(number.alias("report_id"), F.regexp_replace("body", "\n$", "").alias("body"))
 
 
 def io_context(spark, sf_dir):
