@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -102,25 +103,57 @@ def aggregated(df: DataFrame, expressions: Sequence[str]) -> DataFrame:
     return df.agg(*[F.expr(e) for e in expressions])
 
 
-def long_rows(wide: DataFrame, names: Sequence[str], fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+def long_rows(wide: DataFrame, names: dict[int, str], fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Turn one row of per-column aggregates named ``field_ordinal`` into one row per column."""
     rows = ", ".join(
         f"named_struct('column', {quoted(name)}, 'ordinal', {i}, "
         + ", ".join(f"'{field}', {field}_{i}" for field in fields)
         + ")"
-        for i, name in enumerate(names)
+        for i, name in names.items()
     )
-    if not rows:
-        types = {f.name: f.dataType for f in wide.schema.fields}
-        empty = T.StructType(
-            [T.StructField(k, types[k]) for k in keep]
-            + [T.StructField("column", T.StringType()), T.StructField("ordinal", T.IntegerType())]
-            + [T.StructField(field, T.DoubleType()) for field in fields]
-        )
-        return wide.sparkSession.createDataFrame([], empty)
     return wide.selectExpr(*keep, f"inline(array({rows}))")
 
 
+# Aggregates of one scan stay below this sum of costs: generated code beyond it is too long to be compiled to
+# machine code, and runs several times slower.
+ROOM = 32
+
+
+def column_figures(
+    df: DataFrame,
+    names: Sequence[str],
+    fields: dict[str, str],
+    cast: str | None = None,
+    cost: int = 1,
+    extra: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Aggregates per column in long form: column, ordinal, total_records and the fields.
+
+    A field is an SQL aggregate over {v}, the value of the column without NaN; {i} is its ordinal. Columns
+    are spread over several scans when one scan would aggregate too much; each scan reads only its columns.
+    """
+    per_scan = max(1, ROOM // (cost * len(fields)))
+    parts = []
+    numbered = list(enumerate(names))
+    for start in range(0, len(numbered), per_scan):
+        chunk = dict(numbered[start : start + per_scan])
+        values = [known(df, c).cast(cast) if cast else known(df, c) for c in chunk.values()]
+        others = [value.alias(name) for name, value in (extra or {}).items()]
+        rows = df.select(*[v.alias(f"v_{i}") for i, v in zip(chunk, values)], *others)
+        wide = aggregated(
+            rows,
+            ["count(*) AS total_records"]
+            + [f"{sql.format(v=f'v_{i}', i=i)} AS {field}_{i}" for i in chunk for field, sql in fields.items()],
+        )
+        parts.append(long_rows(wide, chunk, list(fields), keep=["total_records"]))
+    if not parts:
+        typed = [f"CAST(NULL AS DOUBLE) AS {field}" for field in fields]
+        return df.sparkSession.range(0).selectExpr(
+            "id AS total_records", "CAST(NULL AS STRING) AS column", "CAST(NULL AS INT) AS ordinal", *typed
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def one_row(long: DataFrame, names: Sequence[str], fields: Sequence[str]) -> Column:
     """The per-column rows as one scalar struct with fields ``field_ordinal``.
 

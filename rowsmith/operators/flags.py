@@ -9,11 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.functions.columns import (
-    aggregated,
+    column_figures,
     columns_of,
     count_where,
     known,
-    long_rows,
     one_row,
     percentage,
 )
@@ -62,20 +61,13 @@ def outlier_counts(df: DataFrame, name: str, columns: Sequence[str] | None = Non
     columns = columns_of(df, "numeric") if columns is None else list(columns)
     bounds = outlier_bounds(df, columns)
     fences = one_row(bounds, columns, ["lower", "upper"])
-    values = df.select(*[known(df, c).cast("double").alias(f"v_{i}") for i, c in enumerate(columns)]).withColumn(
-        "fence", fences
-    )
-
-    ordinals = range(len(columns))
-    outside = [f"v_{i} < fence.lower_{i} OR v_{i} > fence.upper_{i}" for i in ordinals]
-    wide = aggregated(
-        values,
-        ["count(*) AS total_records"]
-        + [f"count_if({outside[i]}) AS outliers_{i}" for i in ordinals]
-        + [f"min(IF({outside[i]}, v_{i}, NULL)) AS smallest_{i}" for i in ordinals]
-        + [f"max(IF({outside[i]}, v_{i}, NULL)) AS largest_{i}" for i in ordinals],
-    )
-    rows = long_rows(wide, columns, ["outliers", "smallest", "largest"], keep=["total_records"])
+    outside = "{v} < fence.lower_{i} OR {v} > fence.upper_{i}"
+    fields = {
+        "outliers": f"count_if({outside})",
+        "smallest": f"min(IF({outside}, {{v}}, NULL))",
+        "largest": f"max(IF({outside}, {{v}}, NULL))",
+    }
+    rows = column_figures(df, columns, fields, cast="double", extra={"fence": fences})
     return rows.select(
         F.lit(name).alias("dataset_name"),
         "column",

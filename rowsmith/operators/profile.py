@@ -21,18 +21,20 @@ from rowsmith.functions.columns import (
     WHOLE,
     col,
     columns_of,
+    column_figures,
     control_table,
-    count_where,
     is_missing,
     known,
-    long_rows,
     percentage,
+    quoted,
     type_class,
 )
 from rowsmith.operators.quantiles import quantile_columns
 
 # Texts that count as a number or as an ISO date or timestamp.
 NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+NUMBER_FIGURES = {"min_value": "min({v})", "max_value": "max({v})", "mean_value": "avg({v})"}
+PAIRS_PER_SCAN = 4
 DATE_PATTERN = r"^\s*[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])([ T][0-9:.]+)?\s*$"
 
 
@@ -86,12 +88,7 @@ def column_types(df: DataFrame, name: str) -> DataFrame:
 
 def missing_counts(df: DataFrame, name: str) -> DataFrame:
     """Missing cells per column, zero included, with the row count."""
-    wide = df.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        *[count_where(is_missing(df, c)).alias(f"missing_count_{i}") for i, c in enumerate(df.columns)],
-    )
-    rows = long_rows(wide, df.columns, ["missing_count"], keep=["total_records"])
-    return rows.select(
+    return column_figures(df, df.columns, {"missing_count": "count_if({v} IS NULL)"}).select(
         F.lit(name).alias("dataset_name"),
         "column",
         "total_records",
@@ -174,29 +171,21 @@ def first_values(df: DataFrame, columns: list[str], order_by: str, n: int = 5) -
 
 def column_summary(df: DataFrame, name: str, order_by: str, samples: int = 5) -> DataFrame:
     """Type, null count, distinct count, first values, and min, max, mean of numeric columns."""
-    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType,))]
-    numeric = set(columns_of(df, "numeric"))
-    nothing = F.lit(None).cast("double")
-
-    def figure(fn, c):
-        return fn(known(df, c)).cast("double") if c in numeric else F.max(nothing)
-
-    wide = df.agg(
-        *[count_where(is_missing(df, c)).alias(f"null_count_{i}") for i, c in enumerate(plain)],
-        *[figure(F.min, c).alias(f"min_value_{i}") for i, c in enumerate(plain)],
-        *[figure(F.max, c).alias(f"max_value_{i}") for i, c in enumerate(plain)],
-        *[figure(F.avg, c).alias(f"mean_value_{i}") for i, c in enumerate(plain)],
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    figures = missing_counts(df, name).join(
+        column_figures(df, columns_of(df, "numeric"), NUMBER_FIGURES, cast="double").drop("total_records"),
+        "column",
+        "left",
     )
-    figures = long_rows(wide, plain, ["null_count", "min_value", "max_value", "mean_value"])
     return (
-        figures.join(column_types(df, name).drop("ordinal"), "column")
+        figures.join(column_types(df, name).select("column", "data_type"), "column")
         .join(distinct_counts(df, plain).select("column", "unique_count"), "column", "left")
         .join(first_values(df, plain, order_by, samples), "column", "left")
         .select(
             "dataset_name",
             "column",
             "data_type",
-            "null_count",
+            F.col("missing_count").alias("null_count"),
             F.coalesce("unique_count", F.lit(0)).cast("bigint").alias("unique_count"),
             F.coalesce("sample_values", F.array().cast("array<string>")).alias("sample_values"),
             "min_value",
@@ -211,24 +200,19 @@ def numeric_summary(df: DataFrame, name: str) -> DataFrame:
 
     A constant column has skewness 0; fewer than three values give null.
     """
-    numeric = columns_of(df, "numeric")
-    values = [known(df, c).cast("double") for c in numeric]
-    wide = df.agg(
-        *[F.count(v).alias(f"non_null_{i}") for i, v in enumerate(values)],
-        *[F.min(v).alias(f"min_value_{i}") for i, v in enumerate(values)],
-        *[F.max(v).alias(f"max_value_{i}") for i, v in enumerate(values)],
-        *[F.avg(v).alias(f"mean_value_{i}") for i, v in enumerate(values)],
-        *[F.stddev_samp(v).alias(f"std_value_{i}") for i, v in enumerate(values)],
-        *[F.skewness(v).alias(f"skew_{i}") for i, v in enumerate(values)],
-    )
-    fields = ["non_null", "min_value", "max_value", "mean_value", "std_value", "skew"]
+    fields = {
+        "non_null": "count({v})",
+        **NUMBER_FIGURES,
+        "std_value": "stddev_samp({v})",
+        "skew": "skewness({v})",
+    }
     n = F.col("non_null").cast("double")
     corrected = F.col("skew") * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0))
     skewness = F.when(n < 3, F.lit(None).cast("double")).when(
         F.col("min_value") == F.col("max_value"), F.lit(0.0)
     ).otherwise(corrected)
     return (
-        long_rows(wide, numeric, fields)
+        column_figures(df, columns_of(df, "numeric"), fields, cast="double", cost=2)
         .filter("non_null > 0")
         .select(
             F.lit(name).alias("dataset_name"),
@@ -285,15 +269,9 @@ def describe(df: DataFrame, name: str, accuracy: int = 10_000) -> DataFrame:
     parts = []
     if numeric:
         quartiles = quantile_columns(df, numeric, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, accuracy)
-        moments = df.agg(
-            *[F.count(known(df, c)).alias(f"value_count_{i}") for i, c in enumerate(numeric)],
-            *[F.avg(known(df, c)).cast("double").alias(f"mean_value_{i}") for i, c in enumerate(numeric)],
-            *[F.stddev_samp(known(df, c)).alias(f"std_value_{i}") for i, c in enumerate(numeric)],
-            *[F.min(known(df, c)).cast("double").alias(f"min_value_{i}") for i, c in enumerate(numeric)],
-            *[F.max(known(df, c)).cast("double").alias(f"max_value_{i}") for i, c in enumerate(numeric)],
-        )
-        fields = ["value_count", "mean_value", "std_value", "min_value", "max_value"]
-        parts.append(long_rows(moments, numeric, fields).drop("ordinal").join(quartiles.drop("non_null"), "column"))
+        fields = {"value_count": "count({v})", **NUMBER_FIGURES, "std_value": "stddev_samp({v})"}
+        moments = column_figures(df, numeric, fields, cast="double", cost=2)
+        parts.append(moments.drop("ordinal", "total_records").join(quartiles.drop("non_null"), "column"))
     if others:
         parts.append(
             distinct_counts(df, others)
@@ -325,19 +303,26 @@ def describe(df: DataFrame, name: str, accuracy: int = 10_000) -> DataFrame:
 
 
 def correlations(df: DataFrame, name: str) -> DataFrame:
-    """Pearson correlation of every pair of numeric columns, all pairs in one aggregate."""
+    """Pearson correlation of every pair of numeric columns over the rows that have both.
+
+    A few pairs share a scan: more would make generated code too long to be compiled to machine code.
+    """
     numeric = columns_of(df, "numeric")
     pairs = list(combinations(numeric, 2))
     if not pairs:
         return df.sparkSession.createDataFrame(
             [], "dataset_name string, column_a string, column_b string, correlation double"
         )
-    wide = df.agg(*[F.corr(known(df, a), known(df, b)).alias(f"r_{i}") for i, (a, b) in enumerate(pairs)])
-    rows = [
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r_{i}").alias("correlation"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return wide.select(F.lit(name).alias("dataset_name"), F.inline(F.array(*rows)))
+    parts = []
+    for start in range(0, len(pairs), PAIRS_PER_SCAN):
+        chunk = pairs[start : start + PAIRS_PER_SCAN]
+        wide = df.agg(*[F.corr(known(df, a), known(df, b)).alias(f"r_{i}") for i, (a, b) in enumerate(chunk)])
+        rows = [
+            F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r_{i}").alias("correlation"))
+            for i, (a, b) in enumerate(chunk)
+        ]
+        parts.append(wide.select(F.lit(name).alias("dataset_name"), F.inline(F.array(*rows))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def temporal_profile(df: DataFrame, name: str, column: str, unit: str = "day") -> DataFrame:
@@ -408,12 +393,12 @@ def rare_pairs(df: DataFrame, name: str, column_a: str, column_b: str, limit: fl
 def format_fit(df: DataFrame, name: str) -> DataFrame:
     """Share of the known values of each text column that read as a number or as an ISO date."""
     texts = columns_of(df, "text")
-    wide = df.agg(
-        *[F.count(col(c)).alias(f"non_null_{i}") for i, c in enumerate(texts)],
-        *[count_where(F.rlike(col(c), F.lit(NUMBER_PATTERN))).alias(f"numbers_{i}") for i, c in enumerate(texts)],
-        *[count_where(F.rlike(col(c), F.lit(DATE_PATTERN))).alias(f"dates_{i}") for i, c in enumerate(texts)],
-    )
-    rows = long_rows(wide, texts, ["non_null", "numbers", "dates"])
+    fields = {
+        "non_null": "count({v})",
+        "numbers": f"count_if(rlike({{v}}, {quoted(NUMBER_PATTERN.replace('{', '{{').replace('}', '}}'))}))",
+        "dates": f"count_if(rlike({{v}}, {quoted(DATE_PATTERN.replace('{', '{{').replace('}', '}}'))}))",
+    }
+    rows = column_figures(df, texts, fields)
     whole = F.nullif(F.col("non_null").cast("double"), F.lit(0.0))
     return rows.select(
         F.lit(name).alias("dataset_name"),

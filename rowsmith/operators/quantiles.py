@@ -8,6 +8,7 @@ narrow band in between (about 4/accuracy of the rows, duplicates merged) is put
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 from rowsmith.functions.columns import aggregated, known
 
 SMALL = 10
+# Columns that share a scan of the sketch step, and of the whole computation.
+PER_SKETCH = 4
+PER_PASS = 8
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int = 10_000) -> DataFrame:
@@ -22,30 +26,39 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], acc
     spots = [(i, j) for i in range(len(columns)) for j in range(len(probs))]
     if not spots:
         return df.sparkSession.createDataFrame([], "column string, prob double, non_null bigint, value double")
+    if len(columns) > PER_PASS:
+        passes = [columns[k : k + PER_PASS] for k in range(0, len(columns), PER_PASS)]
+        return reduce(DataFrame.unionByName, [quantiles(df, c, probs, accuracy) for c in passes])
     names = range(len(columns))
+    places = range(len(probs))
     values = df.select(*[known(df, c).cast("double").alias(f"v_{i}") for i, c in enumerate(columns)])
 
     slack = 2.0 / accuracy
     edges = ", ".join(f"{e!r}D" for p in probs for e in (max(0.0, p - slack), min(1.0, p + slack)))
-    sketch = aggregated(
-        values,
-        [f"count(v_{i}) AS n_{i}" for i in names]
-        + [f"min(v_{i}) AS min_{i}" for i in names]
-        + [f"max(v_{i}) AS max_{i}" for i in names]
-        + [f"percentile_approx(v_{i}, array({edges}), {accuracy}) AS edge_{i}" for i in names],
-    )
     # Below SMALL * accuracy values the rank error of the sketch is about one place: take the whole range,
     # which is then small by itself.
     small = SMALL * accuracy
-    brackets = sketch.selectExpr(
-        *[f"IF(n_{i} <= {small}, min_{i}, edge_{i}[{2 * j}]) AS low_{i}_{j}" for i, j in spots],
-        *[f"IF(n_{i} <= {small}, max_{i}, edge_{i}[{2 * j + 1}]) AS high_{i}_{j}" for i, j in spots],
-    )
-    placed = values.withColumn("b", brackets.select(F.struct("*").alias("all")).scalar())
+    groups = [list(names)[g : g + PER_SKETCH] for g in range(0, len(columns), PER_SKETCH)]
+    placed = values
+    for g, members in enumerate(groups):
+        sketch = aggregated(
+            values,
+            [f"count(v_{i}) AS n_{i}" for i in members]
+            + [f"min(v_{i}) AS min_{i}" for i in members]
+            + [f"max(v_{i}) AS max_{i}" for i in members]
+            + [f"percentile_approx(v_{i}, array({edges}), {accuracy}) AS edge_{i}" for i in members],
+        )
+        bracket = sketch.selectExpr(
+            *[f"IF(n_{i} <= {small}, min_{i}, edge_{i}[{2 * j}]) AS low_{i}_{j}" for i in members for j in places],
+            *[f"IF(n_{i} <= {small}, max_{i}, edge_{i}[{2 * j + 1}]) AS high_{i}_{j}" for i in members for j in places],
+        )
+        placed = placed.withColumn(f"b_{g}", bracket.select(F.struct("*").alias("all")).scalar())
+    low = {(i, j): f"b_{i // PER_SKETCH}.low_{i}_{j}" for i, j in spots}
+    high = {(i, j): f"b_{i // PER_SKETCH}.high_{i}_{j}" for i, j in spots}
 
     below = aggregated(
         placed,
-        [f"count_if(v_{i} < b.low_{i}_{j}) AS below_{i}_{j}" for i, j in spots]
+        [f"count_if(v_{i} < {low[i, j]}) AS below_{i}_{j}" for i, j in spots]
         + [f"count(v_{i}) AS n_{i}" for i in names],
     )
     counted = ", ".join(
@@ -56,7 +69,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], acc
     ranks = below.selectExpr(f"inline(array({counted}))")
 
     inside = ", ".join(
-        f"IF(v_{i} BETWEEN b.low_{i}_{j} AND b.high_{i}_{j}, named_struct('i', {i}, 'j', {j}, 'v', v_{i}), NULL)"
+        f"IF(v_{i} BETWEEN {low[i, j]} AND {high[i, j]}, named_struct('i', {i}, 'j', {j}, 'v', v_{i}), NULL)"
         for i, j in spots
     )
     band = (
