@@ -125,12 +125,12 @@ def column_figures(
     fields: dict[str, str],
     cast: str | None = None,
     cost: int = 1,
-    extra: dict[str, Column] | None = None,
+    constants: dict[str, dict[str, str]] | None = None,
 ) -> DataFrame:
     """Aggregates per column in long form: column, ordinal, total_records and the fields.
 
-    A field is an SQL aggregate over {v}, the value of the column without NaN; {i} is its ordinal. Columns
-    are spread over several scans when one scan would aggregate too much; each scan reads only its columns.
+    A field is an SQL aggregate over {v}, the value of the column without NaN, and the constants of its
+    column. Columns are spread over several scans when one scan would aggregate too much; each scan reads only its columns.
     """
     per_scan = max(1, ROOM // (cost * len(fields)))
     parts = []
@@ -138,13 +138,13 @@ def column_figures(
     for start in range(0, len(numbered), per_scan):
         chunk = dict(numbered[start : start + per_scan])
         values = [known(df, c).cast(cast) if cast else known(df, c) for c in chunk.values()]
-        others = [value.alias(name) for name, value in (extra or {}).items()]
-        rows = df.select(*[v.alias(f"v_{i}") for i, v in zip(chunk, values)], *others)
-        wide = aggregated(
-            rows,
-            ["count(*) AS total_records"]
-            + [f"{sql.format(v=f'v_{i}', i=i)} AS {field}_{i}" for i in chunk for field, sql in fields.items()],
-        )
+        rows = df.select(*[v.alias(f"v_{i}") for i, v in zip(chunk, values)])
+        figures = [
+            f"{sql.format(v=f'v_{i}', **(constants or {}).get(c, {}))} AS {field}_{i}"
+            for i, c in chunk.items()
+            for field, sql in fields.items()
+        ]
+        wide = aggregated(rows, ["count(*) AS total_records", *figures])
         parts.append(long_rows(wide, chunk, list(fields), keep=["total_records"]))
     if not parts:
         typed = [f"CAST(NULL AS DOUBLE) AS {field}" for field in fields]
@@ -154,19 +154,6 @@ def column_figures(
     return reduce(DataFrame.unionByName, parts)
 
 
-def one_row(long: DataFrame, names: Sequence[str], fields: Sequence[str]) -> Column:
-    """The per-column rows as one scalar struct with fields ``field_ordinal``.
-
-    The row count is the number of columns of a schema, so the subquery result is tiny.
-    """
-    picks = [
-        f"max(IF(column = {quoted(name)}, {field}, NULL)) AS {field}_{i}"
-        for i, name in enumerate(names)
-        for field in fields
-    ]
-    return aggregated(long, picks).select(F.struct("*").alias("all")).scalar()
-
-
 def control_table(spark: SparkSession, rows: Sequence[Sequence], **columns: pa.DataType) -> DataFrame:
     """A small literal table. Its size is known to the optimizer, which then may broadcast it."""
     names = list(columns)

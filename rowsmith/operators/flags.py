@@ -5,19 +5,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.functions.columns import (
     column_figures,
     columns_of,
+    control_table,
     count_where,
     known,
-    one_row,
     percentage,
 )
 from rowsmith.operators.profile import basic_stats, distinct_counts, missing_counts
-from rowsmith.operators.quantiles import quantile_columns
+from rowsmith.operators.quantiles import number, quantile_values
 
 # Flag limits in percent and the width of the outlier fence in interquartile ranges.
 MISSING_LIMIT = 20.0
@@ -47,27 +48,44 @@ def low_uniqueness(df: DataFrame, name: str, limit: float = UNIQUENESS_LIMIT) ->
     )
 
 
-def outlier_bounds(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int = 10_000) -> DataFrame:
+def fences(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float, float, float]]:
+    """First and third quartile, lower and upper fence of each column that has values."""
+    found = {}
+    for c, (n, (q1, q3)) in quantile_values(df, columns, [0.25, 0.75]).items():
+        if n:
+            found[c] = (q1, q3, q1 - FENCE * (q3 - q1), q3 + FENCE * (q3 - q1))
+    return found
+
+
+def outlier_bounds(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Quartiles and outlier fences per numeric column."""
     columns = columns_of(df, "numeric") if columns is None else list(columns)
-    spread = (F.col("q3") - F.col("q1")) * FENCE
-    return quantile_columns(df, columns, {"q1": 0.25, "q3": 0.75}, accuracy).select(
-        "column", "q1", "q3", (F.col("q1") - spread).alias("lower"), (F.col("q3") + spread).alias("upper")
+    rows = [(c, *f) for c, f in fences(df, columns).items()]
+    return control_table(
+        df.sparkSession,
+        rows,
+        column=pa.string(),
+        q1=pa.float64(),
+        q3=pa.float64(),
+        lower=pa.float64(),
+        upper=pa.float64(),
     )
 
 
 def outlier_counts(df: DataFrame, name: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Values strictly outside the fences per numeric column, with the extremes among them."""
-    columns = columns_of(df, "numeric") if columns is None else list(columns)
-    bounds = outlier_bounds(df, columns)
-    fences = one_row(bounds, columns, ["lower", "upper"])
-    outside = "{v} < fence.lower_{i} OR {v} > fence.upper_{i}"
+    """Values strictly outside the fences per numeric column, with the extremes among them.
+
+    Columns without any value have no fences and are left out.
+    """
+    bounds = fences(df, columns_of(df, "numeric") if columns is None else list(columns))
+    outside = "{v} < {lower} OR {v} > {upper}"
     fields = {
         "outliers": f"count_if({outside})",
         "smallest": f"min(IF({outside}, {{v}}, NULL))",
         "largest": f"max(IF({outside}, {{v}}, NULL))",
     }
-    rows = column_figures(df, columns, fields, cast="double", extra={"fence": fences})
+    literals = {c: {"lower": number(f[2]), "upper": number(f[3])} for c, f in bounds.items()}
+    rows = column_figures(df, list(bounds), fields, cast="double", constants=literals)
     return rows.select(
         F.lit(name).alias("dataset_name"),
         "column",
@@ -86,9 +104,10 @@ def high_outliers(df: DataFrame, name: str, limit: float = OUTLIER_LIMIT) -> Dat
 
 def outlier_rows(df: DataFrame, column: str) -> DataFrame:
     """The rows whose value lies outside the fences of its column; the fences reach the scan as filters."""
-    bounds = outlier_bounds(df, [column])
-    lower = bounds.select("lower").scalar()
-    upper = bounds.select("upper").scalar()
+    found = fences(df, [column])
+    if not found:
+        return df.limit(0)
+    _, _, lower, upper = found[column]
     return df.filter((known(df, column) < lower) | (known(df, column) > upper))
 
 

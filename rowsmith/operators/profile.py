@@ -262,13 +262,13 @@ def modes(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, name: str, accuracy: int = 10_000) -> DataFrame:
+def describe(df: DataFrame, name: str) -> DataFrame:
     """Summary of all columns: numbers get moments and quartiles, everything else count, unique, top, freq."""
     numeric = columns_of(df, "numeric")
     others = [c for c in df.columns if c not in numeric]
     parts = []
     if numeric:
-        quartiles = quantile_columns(df, numeric, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, accuracy)
+        quartiles = quantile_columns(df, numeric, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
         fields = {"value_count": "count({v})", **NUMBER_FIGURES, "std_value": "stddev_samp({v})"}
         moments = column_figures(df, numeric, fields, cast="double", cost=2)
         parts.append(moments.drop("ordinal", "total_records").join(quartiles.drop("non_null"), "column"))

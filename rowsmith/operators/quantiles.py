@@ -1,113 +1,139 @@
-"""Exact quantiles of many columns without holding a column in one task.
+"""Exact quantiles of many columns without gathering a column anywhere.
 
-``percentile`` keeps every distinct value of a column in one aggregation buffer. Here a bounded sketch
-gives two values that enclose each wanted rank, one more scan counts what lies below them, and only the
-narrow band in between (about 4/accuracy of the rows, duplicates merged) is put in order.
+``percentile`` keeps every distinct value of a column in one buffer. Here each wanted rank is narrowed down by
+rounds of small histograms: a round counts, per bin, the values between the known ends of a rank, with their
+smallest and largest, as a partial aggregate. The bin that holds the rank gives the next, closer ends, until
+its smallest and largest value are the same. Counts are exact, so the result is. A round brings at most BINS
+rows per open rank to the driver, and a trillion rows take about five rounds.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.functions.columns import aggregated, known
+from rowsmith.functions.columns import column_figures, control_table, known
 
-SMALL = 10
-# Columns that share a scan of the sketch step, and of the whole computation.
-PER_SKETCH = 4
+BINS = 512
+# Columns handled in one pass over the table.
 PER_PASS = 8
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int = 10_000) -> DataFrame:
-    """Rows (column, prob, non_null, value) with linear interpolation; value is null for an empty column."""
-    spots = [(i, j) for i in range(len(columns)) for j in range(len(probs))]
-    if not spots:
-        return df.sparkSession.createDataFrame([], "column string, prob double, non_null bigint, value double")
-    if len(columns) > PER_PASS:
-        passes = [columns[k : k + PER_PASS] for k in range(0, len(columns), PER_PASS)]
-        return reduce(DataFrame.unionByName, [quantiles(df, c, probs, accuracy) for c in passes])
-    names = range(len(columns))
-    places = range(len(probs))
-    values = df.select(*[known(df, c).cast("double").alias(f"v_{i}") for i, c in enumerate(columns)])
-
-    slack = 2.0 / accuracy
-    edges = ", ".join(f"{e!r}D" for p in probs for e in (max(0.0, p - slack), min(1.0, p + slack)))
-    # Below SMALL * accuracy values the rank error of the sketch is about one place: take the whole range,
-    # which is then small by itself.
-    small = SMALL * accuracy
-    groups = [list(names)[g : g + PER_SKETCH] for g in range(0, len(columns), PER_SKETCH)]
-    placed = values
-    for g, members in enumerate(groups):
-        sketch = aggregated(
-            values,
-            [f"count(v_{i}) AS n_{i}" for i in members]
-            + [f"min(v_{i}) AS min_{i}" for i in members]
-            + [f"max(v_{i}) AS max_{i}" for i in members]
-            + [f"percentile_approx(v_{i}, array({edges}), {accuracy}) AS edge_{i}" for i in members],
+def number(x: float) -> str:
+    """SQL literal of a double."""
+    return f"double('{x}')" if math.isinf(x) else f"{x!r}D"
+
+
+def bin_of() -> str:
+    """Bin 0 .. BINS-1 of v between low and high; larger values never get a smaller bin.
+
+    The widening scale of the first round keeps far outliers from squeezing all other values into one bin.
+    """
+
+    def share(scale: str) -> str:
+        v, low, high = (scale.format(x=x) for x in ("v", "low", "high"))
+        return f"({v} - {low}) / nullif({high} - {low}, 0D)"
+
+    wide, plain = share("sign({x}) * log1p(abs({x}))"), share("{x}")
+    return f"coalesce(CAST(floor(least({BINS - 1}D, IF(widening, {wide}, {plain}) * {BINS}D)) AS INT), 0)"
+
+
+def next_ends(bins: list, rank: int, below: int) -> tuple[float, float, int]:
+    """Ends of the bin that holds a rank, and how many values lie below it."""
+    for row in sorted(bins, key=lambda r: r["bin"]):
+        if rank < below + row["copies"]:
+            return row["low"], row["high"], below
+        below += row["copies"]
+    raise ValueError("the table changed between two rounds")
+
+
+def rank_values(df: DataFrame, wanted: dict[str, tuple[float, float, set[int]]]) -> dict[tuple[str, int], float]:
+    """The values at zero-based ranks: wanted maps a column to its smallest and largest value and the ranks."""
+    columns = list(wanted)
+    values = df.select(*[known(df, c).cast("double").alias(str(i)) for i, c in enumerate(columns)])
+    cells = values.unpivot([], [F.col(str(i)) for i in range(len(columns))], "c", "v").filter("v IS NOT NULL")
+    # (column, rank) to (low, high, values below low)
+    open_ranks = {(i, r): (*wanted[c][:2], 0) for i, c in enumerate(columns) for r in wanted[c][2]}
+    found = {}
+    widening = True
+    while open_ranks:
+        for key, (low, high, _) in list(open_ranks.items()):
+            if low == high:
+                found[columns[key[0]], key[1]] = low
+                del open_ranks[key]
+        spans = sorted({(i, low, high) for (i, _), (low, high, _) in open_ranks.items()})
+        if not spans:
+            break
+        # A few rows per column: the join is a lookup of the ends that a value may lie between.
+        ends = control_table(
+            df.sparkSession,
+            [(str(i), s, low, high, widening) for s, (i, low, high) in enumerate(spans)],
+            c=pa.string(),
+            span=pa.int32(),
+            low=pa.float64(),
+            high=pa.float64(),
+            widening=pa.bool_(),
         )
-        bracket = sketch.selectExpr(
-            *[f"IF(n_{i} <= {small}, min_{i}, edge_{i}[{2 * j}]) AS low_{i}_{j}" for i in members for j in places],
-            *[f"IF(n_{i} <= {small}, max_{i}, edge_{i}[{2 * j + 1}]) AS high_{i}_{j}" for i in members for j in places],
+        bins = (
+            cells.join(F.broadcast(ends), "c")
+            .filter("v BETWEEN low AND high")
+            .selectExpr("span", f"{bin_of()} AS bin", "v")
+            .groupBy("span", "bin")
+            .agg(F.expr("count(*) AS copies"), F.expr("min(v) AS low"), F.expr("max(v) AS high"))
+            .collect()
         )
-        placed = placed.withColumn(f"b_{g}", bracket.select(F.struct("*").alias("all")).scalar())
-    low = {(i, j): f"b_{i // PER_SKETCH}.low_{i}_{j}" for i, j in spots}
-    high = {(i, j): f"b_{i // PER_SKETCH}.high_{i}_{j}" for i, j in spots}
-
-    below = aggregated(
-        placed,
-        [f"count_if(v_{i} < {low[i, j]}) AS below_{i}_{j}" for i, j in spots]
-        + [f"count(v_{i}) AS n_{i}" for i in names],
-    )
-    counted = ", ".join(
-        f"named_struct('i', {i}, 'j', {j}, 'non_null', n_{i}, 'below', below_{i}_{j},"
-        f" 'position', (n_{i} - 1) * {float(probs[j])!r}D)"
-        for i, j in spots
-    )
-    ranks = below.selectExpr(f"inline(array({counted}))")
+        by_span = {}
+        for row in bins:
+            by_span.setdefault(spans[row["span"]], []).append(row)
+        open_ranks = {
+            (i, r): next_ends(by_span[i, low, high], r, below) for (i, r), (low, high, below) in open_ranks.items()
+        }
+        widening = False
+    return found
 
-    inside = ", ".join(
-        f"IF(v_{i} BETWEEN {low[i, j]} AND {high[i, j]}, named_struct('i', {i}, 'j', {j}, 'v', v_{i}), NULL)"
-        for i, j in spots
-    )
-    band = (
-        placed.selectExpr(f"inline(array_compact(array({inside})))")
-        .groupBy("i", "j", "v")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("upto", F.sum("copies").over(Window.partitionBy("i", "j").orderBy("v")))
-    )
-    first = F.floor("position").cast("bigint")
-    second = F.least(first + 1, F.col("non_null") - 1)
-    place = F.col("below") + F.col("upto")
-    ends = (
-        ranks.join(band, ["i", "j"], "left")
-        .groupBy("i", "j", "non_null", "below", "position")
-        .agg(
-            F.min(F.when(place > first, F.col("v"))).alias("x0"),
-            F.min(F.when(place > second, F.col("v"))).alias("x1"),
-        )
-    )
-    share = F.col("position") - F.floor("position")
-    enclosed = (F.col("below") <= first) & F.col("x1").isNotNull()
-    value = (
-        F.when(F.col("non_null") == 0, F.lit(None).cast("double"))
-        .when(enclosed, F.col("x0") + (F.col("x1") - F.col("x0")) * share)
-        .otherwise(F.raise_error(F.lit("quantile outside its bracket: raise the accuracy")).cast("double"))
-    )
-    return ends.select(
-        F.element_at(F.array(*map(F.lit, columns)), F.col("i") + 1).alias("column"),
-        F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("j") + 1).alias("prob"),
-        "non_null",
-        value.alias("value"),
-    )
+
+def quantile_values(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, tuple[int, list]]:
+    """Known values and quantiles per column, by linear interpolation; None for a column without values."""
+    figures = {
+        r["column"]: r
+        for r in column_figures(
+            df, columns, {"n": "count({v})", "low": "min({v})", "high": "max({v})"}, cast="double"
+        ).collect()
+    }
+    result = {}
+    for start in range(0, len(columns), PER_PASS):
+        group = [c for c in columns[start : start + PER_PASS] if figures[c]["n"]]
+        positions = {c: [(figures[c]["n"] - 1) * float(p) for p in probs] for c in group}
+        wanted = {
+            c: (
+                figures[c]["low"],
+                figures[c]["high"],
+                {r for x in positions[c] for r in (math.floor(x), min(math.floor(x) + 1, figures[c]["n"] - 1))},
+            )
+            for c in group
+        }
+        at = rank_values(df, wanted)
+        for c in group:
+            found = []
+            for x in positions[c]:
+                low = at[c, math.floor(x)]
+                high = at[c, min(math.floor(x) + 1, figures[c]["n"] - 1)]
+                found.append(low if low == high else low + (high - low) * (x - math.floor(x)))
+            result[c] = (figures[c]["n"], found)
+    return {c: result.get(c, (0, [None] * len(probs))) for c in columns}
 
 
-def quantile_columns(df: DataFrame, columns: Sequence[str], probs: dict[str, float], accuracy: int = 10_000) -> DataFrame:
-    """One row per column, one named field per wanted quantile."""
-    found = quantiles(df, columns, list(probs.values()), accuracy)
-    return found.groupBy("column").agg(
-        F.max("non_null").alias("non_null"),
-        *[F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(name) for name, p in probs.items()],
+def quantile_columns(df: DataFrame, columns: Sequence[str], probs: dict[str, float]) -> DataFrame:
+    """One row per column with the number of known values and one named field per quantile."""
+    found = quantile_values(df, columns, list(probs.values()))
+    return control_table(
+        df.sparkSession,
+        [(c, n, *q) for c, (n, q) in found.items()],
+        column=pa.string(),
+        non_null=pa.int64(),
+        **{name: pa.float64() for name in probs},
     )

@@ -30,7 +30,7 @@ from rowsmith.functions.columns import (
     type_class,
 )
 from rowsmith.operators.profile import modes
-from rowsmith.operators.quantiles import quantiles
+from rowsmith.operators.quantiles import quantile_values
 
 # The kinds of fix that an instruction may ask for.
 FIX_TYPES = [
@@ -112,11 +112,11 @@ def recalculate(df: DataFrame, column: str, formula: str) -> DataFrame:
 
 
 def center(df: DataFrame, column: str, method: str) -> Column:
-    """mean, median or mode of a column as a scalar subquery."""
+    """mean, median or mode of a column, as one value for all rows."""
     if method == "mean":
         return df.agg(F.avg(known(df, column)).alias("v")).scalar()
     if method == "median":
-        return quantiles(df, [column], [0.5]).select("value").scalar()
+        return F.lit(quantile_values(df, [column], [0.5])[column][1][0]).cast("double")
     if method == "mode":
         return modes(df, [column]).select("top").scalar()
     raise ValueError(f"unknown method {method}")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,24 +17,23 @@ def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def collection_stats(tables: dict[str, DataFrame]) -> DataFrame:
-    """Basic figures, one row per table."""
-    return union([profile.basic_stats(df, name) for name, df in tables.items()])
-
-
-def collection_flags(tables: dict[str, DataFrame]) -> DataFrame:
-    """Flags of all tables."""
-    return union([flags.column_flags(df, name) for name, df in tables.items()])
+def together(jobs: list[Callable[[], DataFrame]], at_once: int = 8) -> list[DataFrame]:
+    """Independent Spark jobs submitted side by side, so that one fills the gaps of another."""
+    with ThreadPoolExecutor(max(1, min(at_once, len(jobs)))) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
 
 
 def detect(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
     """(issues, basic figures) of all tables.
 
-    Both are settled: a few rows per table that scores, summaries and lists all start from, so the tables
-    are profiled once however many of those are made.
+    Figures and flags are settled: a few rows per table that scores, summaries and lists all start from, so
+    the tables are profiled once however many of those are made.
     """
-    stats = settled(collection_stats(tables))
-    return issues.issues_from_flags(settled(collection_flags(tables)), stats), stats
+    stats = [partial(lambda df, name: settled(profile.basic_stats(df, name)), df, name) for name, df in tables.items()]
+    flagged = [partial(lambda df, name: settled(flags.column_flags(df, name)), df, name) for name, df in tables.items()]
+    done = together(flagged + stats)
+    found, figures = union(done[: len(tables)]), union(done[len(tables) :])
+    return issues.issues_from_flags(found, figures), figures
 
 
 def quality_report(tables: dict[str, DataFrame], external: DataFrame | None = None) -> DataFrame:

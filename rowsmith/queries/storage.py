@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rowsmith.operators import issues
+from rowsmith.operators import issues, profile
 from rowsmith.plans import quality
 from rowsmith.queries.issues import BASE, SCORES_SQL, checked_tables
 from rowsmith.queries.pages import CANDIDATE_BASE, ranked_of
@@ -38,7 +38,7 @@ def io_tables(spark, sf_dir):
         tables.write_table(table(spark, sf_dir, name), f"{folder}/{name}.csv")
     tables.write_table(table(spark, sf_dir, "region").filter("r_regionkey < 0"), f"{folder}/region.csv")
     loaded = tables.load_tables(spark, folder)
-    return quality.collection_stats(loaded).select("dataset_name", "total_records", "total_columns", "numeric_columns")
+    return quality.union([profile.basic_stats(df, name) for name, df in loaded.items()]).select("dataset_name", "total_records", "total_columns", "numeric_columns")
 
 
 def io_reports(spark, sf_dir):
