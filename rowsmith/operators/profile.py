@@ -133,12 +133,18 @@ def native_counts(df: DataFrame, columns: list[str]) -> list[DataFrame]:
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value as text, count) for every distinct value, null included."""
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, value string, value_count bigint")
     parts = [p.withColumn("value", F.col("value").cast("string")) for p in native_counts(df, columns)]
     return reduce(DataFrame.unionByName, parts)
 
 
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Distinct values per column without null, and with null counted as one value."""
+    if not columns:
+        return df.sparkSession.createDataFrame(
+            [], "column string, unique_count bigint, unique_with_null bigint, non_null bigint"
+        )
     known_count = F.sum(F.when(F.col("value").isNotNull(), F.col("value_count")))
     parts = [
         p.groupBy("column").agg(

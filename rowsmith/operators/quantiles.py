@@ -10,6 +10,7 @@ rows per open rank to the driver, and a trillion rows take about five rounds.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -19,6 +20,9 @@ from pyspark.sql import functions as F
 from rowsmith.functions.columns import column_figures, control_table, known
 
 BINS = 512
+LARGEST = f"{sys.float_info.max!r}D"
+# No table needs this many rounds: each splits every open range by BINS.
+MOST_ROUNDS = 200
 # Columns handled in one pass over the table.
 PER_PASS = 8
 
@@ -29,17 +33,19 @@ def number(x: float) -> str:
 
 
 def bin_of() -> str:
-    """Bin 0 .. BINS-1 of v between low and high; larger values never get a smaller bin.
+    """Bin of v between low and high: 0 .. BINS-1, infinities beside them; larger values never get a smaller bin.
 
-    The widening scale of the first round keeps far outliers from squeezing all other values into one bin.
+    The widening scale of the first round keeps far outliers from squeezing all other values into one bin. On
+    the plain scale the two ends always fall into different bins, so every further round brings them closer.
     """
 
     def share(scale: str) -> str:
-        v, low, high = (scale.format(x=x) for x in ("v", "low", "high"))
+        v, low, high = (scale.format(x=x) for x in ("v", f"greatest(low, -{LARGEST})", f"least(high, {LARGEST})"))
         return f"({v} - {low}) / nullif({high} - {low}, 0D)"
 
     wide, plain = share("sign({x}) * log1p(abs({x}))"), share("{x}")
-    return f"coalesce(CAST(floor(least({BINS - 1}D, IF(widening, {wide}, {plain}) * {BINS}D)) AS INT), 0)"
+    finite = f"coalesce(CAST(floor(least({BINS - 1}D, IF(widening, {wide}, {plain}) * {BINS}D)) AS INT), 0)"
+    return f"CASE WHEN v > {LARGEST} THEN {BINS} WHEN v < -{LARGEST} THEN -1 ELSE {finite} END"
 
 
 def next_ends(bins: list, rank: int, below: int) -> tuple[float, float, int]:
@@ -54,20 +60,22 @@ def next_ends(bins: list, rank: int, below: int) -> tuple[float, float, int]:
 def rank_values(df: DataFrame, wanted: dict[str, tuple[float, float, set[int]]]) -> dict[tuple[str, int], float]:
     """The values at zero-based ranks: wanted maps a column to its smallest and largest value and the ranks."""
     columns = list(wanted)
+    if not columns:
+        return {}
     values = df.select(*[known(df, c).cast("double").alias(str(i)) for i, c in enumerate(columns)])
     cells = values.unpivot([], [F.col(str(i)) for i in range(len(columns))], "c", "v").filter("v IS NOT NULL")
     # (column, rank) to (low, high, values below low)
     open_ranks = {(i, r): (*wanted[c][:2], 0) for i, c in enumerate(columns) for r in wanted[c][2]}
     found = {}
     widening = True
-    while open_ranks:
+    for _ in range(MOST_ROUNDS):
         for key, (low, high, _) in list(open_ranks.items()):
             if low == high:
                 found[columns[key[0]], key[1]] = low
                 del open_ranks[key]
         spans = sorted({(i, low, high) for (i, _), (low, high, _) in open_ranks.items()})
         if not spans:
-            break
+            return found
         # A few rows per column: the join is a lookup of the ends that a value may lie between.
         ends = control_table(
             df.sparkSession,
@@ -93,7 +101,7 @@ def rank_values(df: DataFrame, wanted: dict[str, tuple[float, float, set[int]]])
             (i, r): next_ends(by_span[i, low, high], r, below) for (i, r), (low, high, below) in open_ranks.items()
         }
         widening = False
-    return found
+    raise ArithmeticError("quantiles did not settle")
 
 
 def quantile_values(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, tuple[int, list]]:
