@@ -232,10 +232,9 @@ def fill_shortfall(candidates: DataFrame, texts: DataFrame, k: int) -> DataFrame
         .withColumn("pages", F.count(F.lit(1)).over(Window.partitionBy(F.lit(1))))
         .withColumn("missing", F.lit(k) - have)
     )
-    numbers = F.filter(
-        F.sequence(F.lit(0), F.lit(max(k - 1, 0))),
-        lambda i: (F.pmod(i, F.col("pages")) == F.col("pos")) & (i < F.col("missing")),
-    )
+    # Numbers of the synthetic descriptors that fall on this page: pos, pos + pages, pos + 2 x pages, ...
+    pos, step, last = (F.col(c).cast("bigint") for c in ("pos", "pages", "missing"))
+    numbers = F.when(pos < last, F.sequence(pos, last - 1, step))
     made = first.select(F.col("page_id").alias("crawl_pos"), F.explode(numbers).alias("i")).select(
         "crawl_pos",
         F.concat(F.lit(SYNTHETIC["name"]), (F.col("i") + 1).cast("string")).alias("name"),

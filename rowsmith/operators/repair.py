@@ -88,8 +88,8 @@ def replace_values(df: DataFrame, column: str, value, predicate: str | None = No
 
 
 def remove_duplicates(df: DataFrame) -> DataFrame:
-    """One row of each set of equal rows; null equals null."""
-    return df.dropDuplicates()
+    """One row of each set of equal rows; null equals null, and NaN counts as null."""
+    return df.select(*[known(df, c).alias(c) for c in df.columns]).dropDuplicates()
 
 
 def standardize_format(df: DataFrame, column: str) -> DataFrame:

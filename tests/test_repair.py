@@ -49,6 +49,11 @@ def test_fixes_are_idempotent(spark):
         assert sorted(map(str, fix(once).collect())) == sorted(map(str, once.collect()))
 
 
+def test_duplicates_with_nan_and_null(spark):
+    df = spark.createDataFrame([(1, None), (1, float("nan")), (1, 2.0)], "k int, d double")
+    assert repair.remove_duplicates(df).count() == 2
+
+
 def test_impute_methods(spark):
     df = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "b", None), (4, "b", 10), (5, None, None)], "k int, g string, n int")
     assert column(repair.impute(df, "n", "median"), "n") == [1.0, 2.0, 2.0, 10.0, 2.0]
