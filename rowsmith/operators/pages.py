@@ -137,7 +137,8 @@ def extract_page_text(pages: DataFrame) -> DataFrame:
 
 def filter_dataset_pages(texts: DataFrame, indicators: Sequence[str] = INDICATORS) -> DataFrame:
     """Pages whose text holds one of the indicator words."""
-    return texts.filter(contains_any(F.lower("raw_text"), indicators))
+    lowered = computed_once(texts, texts.columns, low=F.lower("raw_text"))
+    return lowered.filter(contains_any(F.col("low"), indicators)).drop("low")
 
 
 def quality_score(length: Column, url: Column, has_columns: Column, has_download: Column) -> Column:
