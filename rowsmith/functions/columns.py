@@ -67,6 +67,24 @@ def fixed(value: Column, digits: int = 4) -> Column:
     return (F.floor(value * scale + 0.5) / scale).cast("double")
 
 
+def one_decimal(value: Column) -> Column:
+    """Text of a non-negative number with one digit after the point, rounded on the exact value of the double.
+
+    Ten times the value is the sum of two exact multiples; what the sum rounds off decides seeming ties, as in
+    C and Python (0.15 is a little less than its decimal form and gives 0.1).
+    """
+    ten = value * 8 + value * 2
+    lost = value * 2 - (ten - value * 8)
+    tie = (ten - F.floor(ten)) == 0.5
+    tenths = (
+        F.when(tie & (lost < 0), F.floor(ten))
+        .when(tie & (lost > 0), F.floor(ten) + 1)
+        .otherwise(F.rint(ten).cast("bigint"))
+    )
+    whole = F.floor(tenths / 10).cast("bigint")
+    return F.concat(whole.cast("string"), F.lit("."), (tenths - whole * 10).cast("string"))
+
+
 def strip_space(text: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
     return F.regexp_replace(text, r"^\s+|\s+$", "")

@@ -15,6 +15,7 @@ from rowsmith.functions.columns import (
     control_table,
     count_where,
     known,
+    one_decimal,
     percentage,
 )
 from rowsmith.operators.profile import basic_stats, distinct_counts, missing_counts
@@ -120,7 +121,7 @@ def column_flags(df: DataFrame, name: str) -> DataFrame:
         F.lit(1).alias("flag_order"),
         F.col("missing_count").alias("affected"),
         F.col("missing_percentage").alias("percentage"),
-        F.format_string("High missing data: %.1f%%", F.col("missing_percentage")).alias("message"),
+        F.concat(F.lit("High missing data: "), one_decimal(F.col("missing_percentage")), F.lit("%")).alias("message"),
         F.array().cast("array<string>").alias("examples"),
     )
     repeated = low_uniqueness(df, name).select(
@@ -130,7 +131,7 @@ def column_flags(df: DataFrame, name: str) -> DataFrame:
         F.lit(2).alias("flag_order"),
         (F.col("non_null") - F.col("unique_count")).alias("affected"),
         F.col("unique_percentage").alias("percentage"),
-        F.format_string("Low uniqueness: %.1f%%", F.col("unique_percentage")).alias("message"),
+        F.concat(F.lit("Low uniqueness: "), one_decimal(F.col("unique_percentage")), F.lit("%")).alias("message"),
         F.array().cast("array<string>").alias("examples"),
     )
     extreme = high_outliers(df, name).select(

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowsmith.functions import json_text
-from rowsmith.functions.columns import computed_once, control_table, count_where
+from rowsmith.functions.columns import computed_once, control_table, count_where, one_decimal
 
 # Deductions per severity, the deduction for any other severity, threshold defaults.
 SEVERITY_WEIGHTS = [("critical", 20.0), ("high", 10.0), ("medium", 5.0), ("low", 2.0)]
@@ -81,7 +81,7 @@ def issues_from_flags(flags: DataFrame, stats: DataFrame, rules: DataFrame | Non
         F.lit(4).alias("flag_order"),
         F.col("duplicate_rows").alias("affected"),
         F.col("duplicate_percentage").alias("percentage"),
-        F.format_string("Duplicate rows: %.1f%%", F.col("duplicate_percentage")).alias("message"),
+        F.concat(F.lit("Duplicate rows: "), one_decimal(F.col("duplicate_percentage")), F.lit("%")).alias("message"),
         F.array().cast("array<string>").alias("examples"),
     )
     found = flags.unionByName(duplicates).join(stats.select("dataset_name", "total_records"), "dataset_name")

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rowsmith.functions.columns import title_case
+from rowsmith.functions.columns import one_decimal, title_case
 from rowsmith.operators import repair
 
 
@@ -24,6 +24,12 @@ def test_title_case_equals_python(spark):
     assert [r[0] for r in df.select(title_case(F.col("t"))).collect()] == [w.title() for w in words]
 
 
+def test_one_decimal_equals_python(spark):
+    numbers = [i / 6000 * 100 for i in range(0, 6000, 3)] + [0.25, 0.75, 12.25, 99.95, 100.0, 0.05, 0.15, 0.35]
+    df = spark.createDataFrame([(x,) for x in numbers], "x double")
+    assert [r[0] for r in df.select(one_decimal(F.col("x"))).collect()] == [f"{x:.1f}" for x in numbers]
+
+
 def test_fill_missing_takes_nan_and_types(spark):
     assert column(repair.fill_missing(toy(spark), "d", "0"), "d") == [0.0, 2.5, 2.5, 0.0]
     assert column(repair.fill_missing(toy(spark), "t", 7), "t")[1] == "7"
