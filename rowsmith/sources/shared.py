@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,19 +10,35 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by the session. Only a local session without one gets a folder of its own."""
+    """The folder named by the session. Only a local session without one gets a folder, beside its warehouse."""
     folder = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {SETTING} to a folder that all executors can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rowsmith-"))
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    spark.sparkContext.setCheckpointDir(f"{warehouse}-shared")
     return spark.sparkContext.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses. It is removed when the session's process ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Rows of any number, written once as Parquet in the shared folder and read back from there.
+
+    This cuts the lineage: what is built on the result is not computed again from the start, and a lost
+    executor costs nothing, as every executor can read the files.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def settled(df: DataFrame) -> DataFrame:
