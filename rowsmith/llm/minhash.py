@@ -7,6 +7,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -97,7 +98,7 @@ def set_table(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     return rows_in.join(ids, "doc_id", "left_semi").mapInArrow(task, "doc_id bigint, members binary")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 * intersection >= percent * union.
 
     A set that many others are compared with is copied to as many tasks as its comparisons need.
@@ -107,14 +108,12 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("left"), batch.column("right"), strict=True):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = np.sort(np.concatenate([x, y]), kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = stored(set_table(docs, needed, n), "sets")
     copies = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("copies"))
     dealt = pairs.join(copies, "a").withColumn("copy", F.pmod(F.xxhash64("b"), "copies").cast("int"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("members").alias("right"))
@@ -122,7 +121,26 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
         "a", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.col("members").alias("left")
     )
     both = dealt.select("a", "b", "copy").join(right, "b").join(left, ["a", "copy"])
-    return both.select("a", "b", "left", "right").mapInArrow(task, "a bigint, b bigint")
+    return stored(both.select("a", "b", "left", "right").mapInArrow(task, "a bigint, b bigint"), "links")
+
+
+def shared_sizes(sets: DataFrame) -> DataFrame:
+    """(rep, shared): how many shingles of each set some other of these sets has too."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in words.slices(whole, "members"):
+                many = pc.divide(pc.binary_length(batch.column("members")), 8)
+                _, offsets, data = batch.column("members").buffers()
+                at = np.frombuffer(offsets, np.int32)[batch.column("members").offset :][: batch.num_rows + 1]
+                values = np.frombuffer(data, np.int64, (at[-1] - at[0]) // 8, int(at[0]))
+                rep = np.repeat(batch.column("doc_id").to_numpy(), many.to_numpy())
+                yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(values)], ["rep", "shingle"])
+
+    rows = sets.mapInArrow(task, "rep bigint, shingle bigint")
+    alone = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("docs"), F.min("rep").alias("rep")).filter("docs = 1")
+    sizes = sets.select(F.col("doc_id").alias("rep"), (F.length("members") / 8).cast("bigint").alias("size"))
+    return sizes.join(alone.groupBy("rep").count(), "rep", "left").select("rep", (F.col("size") - F.coalesce("count", F.lit(0))).alias("shared"))
 
 
 def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 80, bands: int = 26, rows: int = 4, seed: int = 1) -> DataFrame:
@@ -133,13 +151,20 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 80, bands: int =
 
     Signatures only propose pairs (a pair at the limit is missed by all bands with a chance of about 1e-6);
     every link is confirmed on the full sets. Equal sets form a class, of which only the smallest doc_id goes on.
-    In each bucket the members are first compared with one hub. Where a bucket is not one component after
-    that, its members outside the largest component are compared with all members of other components, so no
-    proposed link between components is left out and a bucket that is one component costs no pairs.
+    No bucket is expanded into its pairs; what can change the components is compared in three rounds:
+
+    1. every member of a bucket with the smallest doc_id in it;
+    2. where a bucket is not one component then, its members with the one that has the fewest shingles of its own,
+       such as the text that the others were edited from;
+    3. where it still is not, its members outside the largest component with the members of other components.
+
+    From round 2 on, a set's shingles that no other set of an open bucket has are known to be in no intersection.
+    That bounds the similarity of each pair, and leaves out, exactly, members that can have no link at all.
 
     Null and empty texts, and texts without words, have no shingles, are linked with nothing and are kept. Rows
     without doc_id are kept too and linked with nothing; their component_id is null. Rows that share a doc_id
-    are one document with several texts. Other columns of docs do not matter. Empty tables give no rows.
+    are one document with several texts, and kept or not together. Other columns of docs do not matter. Empty
+    tables give no rows.
     """
     found = stored(sketches(docs, n, bands, rows, seed), "sketches")
     filled = found.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
@@ -147,32 +172,49 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 80, bands: int =
     classes = stored(filled.groupBy(key).agg(F.min("doc_id").alias("rep")), "classes")
     heads = filled.join(classes.withColumnRenamed("rep", "doc_id"), [*key, "doc_id"], "left_semi").dropDuplicates([*key, "doc_id"])
     members = heads.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("size"), F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("many"), F.min("rep").alias("hub"))
-    members = stored(members.join(shared.filter("many > 1").select("bucket", "hub"), "bucket"), "members")
-
-    small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    fits = 100 * small >= percent * large
-    sizes = members.select(F.col("rep").alias("hub"), F.col("size").alias("size_a")).distinct()
-    stars = members.filter("rep != hub").select("hub", F.col("rep").alias("b"), F.col("size").alias("size_b")).distinct()
-    stars = stored(stars.join(sizes, "hub").filter(fits).select(F.col("hub").alias("a"), "b"), "pairs")
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("many"), F.min("rep").alias("hub")).filter("many > 1")
+    members = stored(members.join(shared.select("bucket", "hub"), "bucket"), "members")
+    sets = stored(set_table(docs, members.select(F.col("rep").alias("doc_id")).distinct(), n), "sets")
+
+    def may_link(common, x, y):
+        return (100 + percent) * common >= percent * (x + y)
+
+    sizes = members.select(F.col("rep").alias("hub"), F.col("size").alias("hub_size")).distinct()
+    stars = members.filter("rep != hub").select("hub", "rep", "size").distinct().join(sizes, "hub")
+    stars = stars.filter(may_link(F.least("size", "hub_size"), F.col("size"), F.col("hub_size")))
     again = filled.groupBy("doc_id").count().filter("count > 1").select("doc_id")
     same = filled.join(again, "doc_id", "left_semi").join(classes, key).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    links = stored(verified(stars, docs, n, percent).unionByName(same), "links")
-
+    links = verified(stored(stars.select(F.col("hub").alias("a"), F.col("rep").alias("b")), "pairs"), sets, percent).unionByName(same)
     groups = components(links, "a", "b")
-    placed = members.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    parts = placed.groupBy("bucket", "component").count()
-    main = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("many"), F.max_by("component", F.struct("count", "component")).alias("main")).filter("many > 1")
-    open_ = stored(placed.join(main.select("bucket", "main"), "bucket").select("bucket", "rep", "size", "component", "main"), "open")
-    left = open_.filter("component != main").select("bucket", F.col("rep").alias("ra"), F.col("size").alias("size_a"), F.col("component").alias("ca"))
-    right = open_.select("bucket", F.col("rep").alias("rb"), F.col("size").alias("size_b"), F.col("component").alias("cb"))
-    rest = left.join(right, "bucket").filter((F.col("ca") != F.col("cb")) & fits)
-    rest = rest.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
-    rest = stored(rest.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
-    if not rest.isEmpty():
-        more = stored(verified(rest, docs, n, percent), "links")
-        if not more.isEmpty():
-            groups = components(links.unionByName(more), "a", "b")
+
+    open_ = stored(_open(members.select("bucket", "rep", "size"), groups), "open")
+    open_sets = sets.join(open_.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    live = stored(open_.drop("component", "main").join(shared_sizes(open_sets), "rep"), "live")
+    least = live.groupBy("bucket").agg(F.min("size").alias("least"))
+    partner = F.greatest("least", F.ceil(F.col("size") * percent / 100))
+    live = live.join(least, "bucket").filter(may_link(F.col("shared"), F.col("size"), partner)).drop("least")
+    live = stored(live, "live")
+
+    def pairs_of(left, right):
+        pairs = left.alias("x").join(right.alias("y"), "bucket")
+        common = F.least("x.shared", "y.shared", "x.size", "y.size")
+        pairs = pairs.filter((F.col("x.component") != F.col("y.component")) & may_link(common, F.col("x.size"), F.col("y.size")))
+        return stored(pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct(), "pairs")
+
+    for step in (2, 3):
+        placed = stored(_open(live, groups), "open")
+        if step == 2:
+            own = F.struct((F.col("size") - F.col("shared")).alias("own"), "rep")
+            first = placed.groupBy("bucket").agg(F.min(own)["rep"].alias("rep"))
+            some = placed.join(first, ["bucket", "rep"], "left_semi")
+        else:
+            some = placed.filter("component != main")
+        pairs = pairs_of(some, placed)
+        if not pairs.isEmpty():
+            more = verified(pairs, sets, percent)
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                groups = components(links, "a", "b")
 
     reps = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
     reps = reps.select(*[F.col(k).alias(f"_{k}") for k in key], F.coalesce("component", "rep").alias("component_id"))
@@ -183,3 +225,18 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 80, bands: int =
     return found.join(reps, same_set, "left").select(
         "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
     )
+
+
+def _open(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members of the buckets that are more than one component, with component and the bucket's largest one."""
+    placed = members.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    parts = placed.groupBy("bucket", "component").count()
+    largest = F.max(F.struct("count", "component"))["component"]
+    main = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("many"), largest.alias("main")).filter("many > 1")
+    return placed.join(main.select("bucket", "main"), "bucket")
+
+
+def without_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, with all their columns, whose document near_duplicates() keeps."""
+    gone = near_duplicates(docs, n, percent).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("bigint") == gone["_gone"], "left_anti")

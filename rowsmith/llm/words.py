@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of text hashed at a time. Longer texts are hashed in windows, so memory does not follow the longest text.
+#: Bytes of text hashed at a time. Longer texts are hashed in windows, so memory does not follow the longest text,
+#: only the longest word.
 WINDOW = 1 << 20
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+BASE = 0x9E3779B97F4A7C15
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -23,17 +25,14 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def _powers(base: int) -> np.ndarray:
-    out = np.full(WINDOW + 1, np.uint64(base))
+@cache
+def powers(base: int, length: int) -> np.ndarray:
+    """base to the power of 0, 1, 2, ... modulo 2^64."""
+    out = np.full(length, base, np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
-with np.errstate(over="ignore"):
-    POWERS = _powers(int(_BASE))
-    INVERSES = _powers(pow(int(_BASE), -1, 1 << 64))
-
-
 @dataclass(frozen=True)
 class Alphabet:
     """Which bytes belong to words, and what each byte is read as."""
@@ -66,8 +65,7 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def word_hashes(data: np.ndarray, offsets: np.ndarray, kind: Alphabet = SPACED) -> tuple[np.ndarray, np.ndarray]:
     """A hash for each word of the rows and, for each row, the number of words before it (one more at the end).
 
-    A word that crosses the end of a window is carried to the next one; a single word longer than a window is
-    hashed in pieces that are then combined, so every text has a defined result.
+    Windows end between words; a word longer than a window makes a window of its own.
     """
     hashes, starts = [], []
     at, end = int(offsets[0]), int(offsets[-1])
@@ -75,20 +73,20 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, kind: Alphabet = SPACED)
     while at < end:
         stop = min(at + WINDOW, end)
         if stop < end:
-            stop = _cut(data, at, stop, breaks, kind)
+            stop = _cut(data, at, stop, offsets, kind)
         part = data[at:stop]
+        length = WINDOW + 1 if len(part) <= WINDOW else len(part) + 1
         inside = kind.inside[part]
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
-        lo, hi = np.searchsorted(breaks, [at, stop])
-        local = breaks[lo:hi] - at
-        begins[local[local < len(part)]] = inside[local[local < len(part)]]
+        local = breaks[np.searchsorted(breaks, at) : np.searchsorted(breaks, stop)] - at
+        begins[local] = inside[local]
         first = np.flatnonzero(begins)
         if len(first):
             last = np.append(first[1:], len(part))
             summed = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(np.where(inside, kind.folded[part], np.uint64(0)) * POWERS[: len(part)], out=summed[1:])
-            hashes.append(mix((summed[last] - summed[first]) * INVERSES[first]))
+            np.cumsum(np.where(inside, kind.folded[part], np.uint64(0)) * powers(BASE, length)[: len(part)], out=summed[1:])
+            hashes.append(mix((summed[last] - summed[first]) * powers(pow(BASE, -1, 1 << 64), length)[first]))
             starts.append(first + at)
         at = stop
     if not hashes:
@@ -96,12 +94,20 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, kind: Alphabet = SPACED)
     return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), offsets)
 
 
-def _cut(data: np.ndarray, at: int, stop: int, breaks: np.ndarray, kind: Alphabet) -> int:
-    """The last place up to stop where no word is cut, or stop where the window is one long word."""
+def _cut(data: np.ndarray, at: int, stop: int, offsets: np.ndarray, kind: Alphabet) -> int:
+    """The last place up to stop where no word is cut, or else the end of the word that begins at `at`."""
     outside = np.flatnonzero(~kind.inside[data[at:stop]])
-    row = np.searchsorted(breaks, stop, side="right") - 1
-    found = max(at + int(outside[-1]) + 1 if len(outside) else at, int(breaks[row]) if row >= 0 else at)
-    return found if found > at else stop
+    row = np.searchsorted(offsets, stop, side="right")
+    found = max(at + int(outside[-1]) + 1 if len(outside) else at, int(offsets[row - 1]))
+    if found > at:
+        return found
+    limit = int(offsets[row])
+    while stop < limit:
+        after = np.flatnonzero(~kind.inside[data[stop : min(stop + WINDOW, limit)]])
+        if len(after):
+            return stop + int(after[0])
+        stop = min(stop + WINDOW, limit)
+    return limit
 
 
 def shingle_hashes(words: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
