@@ -18,25 +18,30 @@ percentile of the block's differences; larger differences are exceptions, whose
 from __future__ import annotations
 
 import json
+import os
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
-from tokenizers.normalizers import Sequence
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+from rowsmith.llm.words import slices
+from rowsmith.sources.shared import settled
 
 BLOCK = 128
 SEGMENT = 1 << 16
 PERCENTILE = 90
 HEADER = 6
 #: Words a task remembers the ids of before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 700_000
 #: Python's str.split() parts at these, the tokenizer does not.
 _SEPARATORS = regex.compile("[\x1c-\x1f]")
 
@@ -49,45 +54,69 @@ class WordEncoder:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.whole = Tokenizer.from_file(path)
-        self.bare = Tokenizer.from_file(path)
-        self.bare.normalizer = Sequence([])
         self.added = [token["content"] for token in spec["added_tokens"]]
         steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [spec["pre_tokenizer"] or {}])
         drops = steps[0].get("type") == "Split" and steps[0]["behavior"] == "Removed" and steps[0]["invert"]
-        self.pieces = regex.compile(steps[0]["pattern"]["Regex"]) if drops else None
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.pieces = regex.compile(steps[0]["pattern"]["Regex"]) if drops and suffix else None
+        if self.pieces is not None:
+            self.bare = Tokenizer.from_file(path)
+            self.bare.normalizer = normalizers.Sequence([])
+            rest = [_step(step) for step in steps[1:]]
+            self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), *rest])
+            self.ends = np.zeros(self.whole.get_vocab_size(), bool)
+            self.ends[[i for token, i in self.whole.get_vocab().items() if token.endswith(suffix)]] = True
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
-    def ids(self, text: str) -> bytes:
-        """The text's ids, each as four little-endian bytes."""
-        if self.pieces is None or _SEPARATORS.search(text) or any(token in text for token in self.added):
-            return _packed(self.whole.encode(text, add_special_tokens=False).ids)
-        words = text.split()
-        try:
-            return b"".join(map(self.words.__getitem__, words))
-        except KeyError:
-            self._learn(list(dict.fromkeys(word for word in words if word not in self.words)))
-            return b"".join(map(self.words.__getitem__, words))
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, each as four little-endian bytes."""
+        if self.pieces is None:
+            return [self._whole(text) for text in texts]
+        if max(len(self.words), len(self.parts)) > REMEMBERED:
+            self.words, self.parts = {}, {}
+        apart = [None if _SEPARATORS.search(text) or any(token in text for token in self.added) else text.split() for text in texts]
+        self._learn(list(set().union(*filter(None, apart)).difference(self.words)))
+        get = self.words.__getitem__
+        return [self._whole(text) if words is None else b"".join(map(get, words)) for text, words in zip(texts, apart, strict=True)]
+
+    def _whole(self, text: str) -> bytes:
+        return _packed(self.whole.encode(text, add_special_tokens=False).ids)
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.words) > REMEMBERED:
-            kept = {word: self.words[word] for word in words if word in self.words}
-            self.words, self.parts = kept, {}
-        plain = self.whole.normalizer.normalize_str(" ".join(words)).split(" ") if self.whole.normalizer else words
+        plain = self.whole.normalizer.normalize_str(" ".join(words)).split(" ") if self.whole.normalizer and words else words
         found = [self.pieces.findall(word) for word in plain]
-        new = list(dict.fromkeys(part for parts in found for part in parts if part not in self.parts))
-        for part, code in zip(new, self.bare.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.parts[part] = _packed(code.ids)
+        new = list(set().union(*found).difference(self.parts))
+        for at in range(0, len(new), 2000):
+            some = new[at : at + 2000]
+            ids = np.array(self.bare.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            stops = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            if len(stops) == len(some) and " " not in "".join(some):
+                stream, begin = ids.tobytes(), 0
+                for part, stop in zip(some, stops.tolist(), strict=True):
+                    self.parts[part] = stream[begin:stop]
+                    begin = stop
+            else:
+                self.parts |= {part: _packed(self.bare.encode(part, add_special_tokens=False).ids) for part in some}
+        known = self.parts
         for word, parts in zip(words, found, strict=True):
-            self.words[word] = b"".join(map(self.parts.__getitem__, parts))
+            self.words[word] = known[parts[0]] if len(parts) == 1 else b"".join([known[part] for part in parts])
+
+
+def _step(spec: dict) -> pre_tokenizers.PreTokenizer:
+    """A later step of a pre-tokenizer, which sees pieces already parted."""
+    if spec["type"] != "ByteLevel":
+        raise ValueError(f"no step {spec['type']} is known after a split")
+    return pre_tokenizers.ByteLevel(add_prefix_space=spec["add_prefix_space"], use_regex=spec["use_regex"])
 
 
 def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @cache
 def encoder(path: str) -> WordEncoder:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's own core is all there is
     return WordEncoder(path)
 
 
@@ -170,17 +199,17 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, pe
             row |= {"lengths": [list(lengths)], "block_starts": [starts], "payload": [payload]}
             return pa.RecordBatch.from_pydict(row, schema)
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                code = encode(text.as_py() or "") + end
-                ids.append(doc_id.as_py())
-                codes.append(code)
-                lengths.append(len(code) // 4)
-                held += lengths[-1]
-                if held >= SEGMENT:
-                    yield flushed()
-                    segment, first, held = segment + 1, first + held, 0
-                    ids.clear(), codes.clear(), lengths.clear()
+        parts = (part for batch in batches for part in slices(batch))
+        rows = (row for part in parts for row in zip(part.column("doc_id").to_pylist(), encode(pc.fill_null(part.column("text"), "").to_pylist()), strict=True))
+        for doc_id, code in rows:
+            ids.append(doc_id)
+            codes.append(code + end)
+            lengths.append(len(code) // 4 + 1)
+            held += lengths[-1]
+            if held >= SEGMENT:
+                yield flushed()
+                segment, first, held = segment + 1, first + held, 0
+                ids.clear(), codes.clear(), lengths.clear()
         if ids:
             yield flushed()
 
@@ -199,7 +228,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32, ids): the documents of written segments, decoded from their blocks.
 
     start counts the ids of all documents before. Segments are decoded where they are read, without a shuffle;
-    only one total per shard is added up over the whole.
+    only one total per shard is added up over the whole. Those totals are broadcast: a shard is what one task has
+    written, so there are never more of them than tasks that Spark's driver has kept track of.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,10 +249,10 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     segments = spark.read.schema(SEGMENTS).parquet(path)
-    totals = segments.groupBy("shard").agg(F.sum("n_tokens").alias("total"))
+    totals = settled(segments.groupBy("shard").agg(F.sum("n_tokens").alias("total")))
     base = F.sum("total").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     bases = totals.select("shard", F.coalesce(base, F.lit(0)).alias("base"))
     columns = ["base", "first", "n_tokens", "doc_ids", "lengths", "block_starts", "payload"]
-    return segments.join(bases, "shard").select(columns).mapInArrow(
+    return segments.join(F.broadcast(bases), "shard").select(columns).mapInArrow(
         task, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids array<bigint>"
     )
