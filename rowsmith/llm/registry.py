@@ -4,20 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowsmith.llm import minhash, tokens
+from rowsmith.llm import decontaminate, minhash, mixing, tokens, toxicity
 from rowsmith.sources.shared import new_path
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def op1_minhash(spark, sf_dir):
     return minhash.near_duplicates(documents(spark, sf_dir), n=4)
 
 
+def op2_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def op9_toxicity(spark, sf_dir):
+    return toxicity.scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op10_mixing(spark, sf_dir):
+    mixed = mixing.assignments(documents(spark, sf_dir))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 def op7_tokens(spark, sf_dir):
     import public_tokenizers
 
@@ -28,7 +45,10 @@ def op7_tokens(spark, sf_dir):
 
 QUERIES = {
     "op1_minhash": op1_minhash,
+    "op2_decontaminate": op2_decontaminate,
     "op7_tokens": op7_tokens,
+    "op9_toxicity": op9_toxicity,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLES = {
@@ -51,4 +71,23 @@ ORACLES = {
         SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.component_id, d.doc_id = r.component_id AS kept
         FROM documents d LEFT JOIN n USING (doc_id)
         JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) r USING (doc_id)""",
+    "op10_mixing": """
+        WITH d AS (
+          SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
+            md5('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+        s AS (
+          SELECT source, sum(size)::BIGINT AS source_size,
+            CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0 ELSE 1.0 END AS weight
+          FROM d GROUP BY source),
+        k AS (
+          SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER need, 0))
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER need, 0)) AS share
+          FROM s WINDOW need AS (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        t AS (SELECT source, source_size, least((3 * source_size)::DOUBLE, max(share) OVER () * weight) AS target FROM k),
+        c AS (
+          SELECT doc_id, size, source_size, target, greatest(coalesce(ceil((target - size / 2
+            - coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / nullif(source_size, 0)), 1), 0)::BIGINT AS copies
+          FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+        SELECT *, copies * size AS taken FROM c""",
 }
