@@ -21,12 +21,13 @@ from rowsmith.llm.decontaminate import LETTERED
 
 BUCKETS = 1 << 17
 WIDTH = 4
-GRAMS = (3, 4, 5)
-PASSAGE = 16
+GRAMS = (3, 4, 5, 6)
+PASSAGE = 8
 #: Most labelled documents of each class that the model is fitted on.
-SAMPLE = 1000
-ROUNDS, STEPS, RATE = 3, 40, 0.05
-SCALE = 1.0
+SAMPLE = 1200
+ROUNDS, STEPS, RATE, FLOOR = 6, 12, 1.5, 0.03
+#: Fitted texts that must have a bucket for it to get a vector.
+FEWEST = 3
 
 
 def remainder(doc_id: Column, of: int) -> Column:
@@ -78,12 +79,20 @@ def means(values: np.ndarray, before: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, before[:-1], axis=0) / np.diff(before).reshape(-1, *[1] * (values.ndim - 1))
 
 
-def passages(before: np.ndarray, size: int = PASSAGE) -> tuple[np.ndarray, np.ndarray]:
-    """Where each passage of that many words begins (and the end of the last), and the text of each."""
-    many = -(-np.diff(before) // size)
+def passages(before: np.ndarray, size: int = PASSAGE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of all passages, where each passage begins among them (and the end of the last), and its text.
+
+    Passages have that many words; the last one of a text takes them from its end, so that it may share words with
+    the one before. A shorter text is one passage, an empty one has none.
+    """
+    words_of = np.diff(before)
+    many = -(-words_of // size)
     text = np.repeat(np.arange(len(many)), many)
     inner = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
-    return np.append(np.repeat(before[:-1], many) + inner * size, before[-1]), text
+    first = np.minimum(inner * size, np.maximum(words_of - size, 0)[text]) + before[:-1][text]
+    length = np.minimum(words_of, size)[text]
+    starts = np.concatenate([[0], np.cumsum(length)])
+    return np.arange(starts[-1]) + np.repeat(first - starts[:-1], length), starts, text
 
 
 def summed(values: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -92,63 +101,98 @@ def summed(values: np.ndarray, before: np.ndarray) -> np.ndarray:
 
 
 def fit(texts: pa.Array, labels: np.ndarray, seed: int = 1) -> bytes:
-    """Vectors and classifier, fitted together by full-batch steps of Adam.
+    """Vectors and classifier, fitted together by full-batch steps of Adam whose steps are smaller for n-grams that
+    few texts share.
 
-    At first every passage has its text's label. In later rounds a toxic text has one toxic passage, the one that
-    scores highest, and its other passages count as clean. A decay keeps vectors small that few texts share. A part of the texts
-    is not fitted but sets the bias: it goes where the part's texts are parted best by their highest passages.
+    In each round a toxic text is represented by its highest passage, a clean text by all its passages and, with
+    more weight, its highest. The first vectors say how much more texts of one class have the n-gram than expected.
+    A fifth of the texts of each class is not fitted but sets the bias: it goes where their highest passages are
+    parted best.
     """
     place, before, bucket, grams_before = subwords(*words.texts_of(texts))
-    starts, text = passages(before)
-    used, column = np.unique(bucket, return_inverse=True)
+    slots, starts, text = passages(before)
     rng = np.random.default_rng(seed)
     set_aside = np.zeros(len(labels), bool)
     for kind in (0, 1):
         mine = rng.permutation(np.flatnonzero(labels == kind))
         set_aside[mine[: len(mine) // 5]] = True
-    table = rng.normal(0, 0.1, (WIDTH, len(used))).astype(np.float32)
-    linear, bias = rng.normal(0, 0.1, (2, WIDTH)).astype(np.float32), np.zeros((2, 1), np.float32)
+    used, column, toxic_texts, clean_texts = shared_buckets(place, before, bucket, grams_before, labels, set_aside)
+    table = rng.normal(0, 0.1, (WIDTH, len(used) + 1)).astype(np.float32)
+    table[:, 0] = 0
+    table[0, 1:] = surprise(toxic_texts, clean_texts, (labels[~set_aside] == 1).sum(), (labels[~set_aside] == 0).sum())
+    linear, bias = rng.normal(0, 0.01, (2, WIDTH)).astype(np.float32), np.zeros((2, 1), np.float32)
+    linear[:, 0] = -1, 1
     fitted = ~set_aside[text]
-    toxic = (labels[text] == 1) & fitted
+    place = place[slots]
     passage_of = np.repeat(np.arange(len(text)), np.diff(starts))
     by_word, by_column = np.argsort(place, kind="stable"), np.argsort(column, kind="stable")
     word_edges = np.searchsorted(place[by_word], np.arange(len(grams_before) - 1))
-    column_edges = np.searchsorted(column[by_column], np.arange(len(used)))
+    by_column = by_column[np.searchsorted(column[by_column], 1) :]
+    column_edges = np.searchsorted(column[by_column], np.arange(1, len(used) + 1))
     per_gram = (1 / np.diff(grams_before)).astype(np.float32)
     share = (1 / np.diff(starts)).astype(np.float32)
     passage_by_word = passage_of[by_word]
     word_by_column = np.repeat(np.arange(len(grams_before) - 1), np.diff(grams_before))[by_column]
-    speed = [np.zeros_like(x) for x in (table, linear, bias)]
+    state = [(np.zeros_like(x), np.zeros_like(x)) for x in (table, linear, bias)]
+    step = 0
 
     def forward():
         vectors = summed(table[:, column], grams_before[:-1]) * per_gram
         bags = summed(vectors[:, place], starts[:-1]) * share
         logits = linear @ bags + bias
-        return bags, 1 / (1 + np.exp(logits[0] - logits[1])), logits[1] - logits[0]
+        return bags, 1 / (1 + np.exp(np.clip(logits[0] - logits[1], -50, 50))), logits[1] - logits[0]
 
     for _ in range(ROUNDS if len(text) else 0):
-        weight = fitted * np.where(toxic, 1 / max(1, toxic.sum()), 1 / max(1, (fitted & ~toxic).sum()))
+        margin = forward()[2]
+        top = fitted & (margin == highest(margin, text, len(labels))[text])
+        toxic, clean, hard = top & (labels[text] == 1), fitted & (labels[text] == 0), top & (labels[text] == 0)
+        weight = toxic / max(1, toxic.sum()) + clean / max(1, clean.sum()) / 4 + hard / max(1, hard.sum()) * 3 / 4
         for _ in range(STEPS):
             bags, score, _ = forward()
             error = ((score - toxic) * weight).astype(np.float32)
             error = np.stack([-error, error])
             bag_error = (linear.T @ error) * share
             word_error = summed(bag_error[:, passage_by_word], word_edges) * per_gram
-            slopes = (summed(word_error[:, word_by_column], column_edges), error @ bags.T, error.sum(axis=1, keepdims=True))
-            for x, slope, moving in zip((table, linear, bias), slopes, speed, strict=True):
-                moving *= 0.9
-                moving -= slope / (np.linalg.norm(slope) + 1e-12)
-                x += RATE * np.sqrt(x.size) * SCALE * moving
-        margin = highest(forward()[2], text, len(labels))
-        toxic = (labels[text] == 1) & fitted & (forward()[2] == margin[text])
+            gram_error = np.pad(summed(word_error[:, word_by_column], column_edges), ((0, 0), (1, 0)))
+            step += 1
+            for x, slope, (m, v) in zip((table, linear, bias), (gram_error, error @ bags.T, error.sum(axis=1, keepdims=True)), state, strict=True):
+                m += 0.1 * (slope - m)
+                v += 0.02 * (slope * slope - v)
+                size = np.sqrt(v / (1 - 0.98**step))
+                x -= RATE * (m / (1 - 0.9**step)) / (size + FLOOR * size.max() + 1e-12)
+    margin = highest(forward()[2], text, len(labels)) if len(text) else None
     shift = parting(margin[set_aside], labels[set_aside] == 1) if len(text) else 0.0
     whole = np.zeros(BUCKETS, np.float32)
-    whole[used] = (linear[1] - linear[0]) @ table
+    whole[used] = (linear[1] - linear[0]) @ table[:, 1:]
     out = io.BytesIO()
     np.savez(out, grams=whole, bias=(bias[1] - bias[0])[0] - shift)
     return out.getvalue()
 
 
+def shared_buckets(place, before, bucket, grams_before, labels, set_aside):
+    """Buckets that at least FEWEST of the fitted texts have, the place of each n-gram's bucket among them, from 1
+    (0 stands for all others, whose vector stays zero), and how many fitted texts of each class have the bucket."""
+    text = np.repeat(np.arange(len(labels)), np.diff(before))
+    pairs = np.unique(text * (len(grams_before) - 1) + place)
+    word = pairs % (len(grams_before) - 1)
+    many = np.diff(grams_before)[word]
+    inner = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    grams = np.unique(np.repeat(pairs // (len(grams_before) - 1), many) * BUCKETS + bucket[np.repeat(grams_before[:-1][word], many) + inner])
+    kinds = [np.bincount(grams[((labels == k) & ~set_aside)[grams // BUCKETS]] % BUCKETS, minlength=BUCKETS) for k in (1, 0)]
+    used = np.flatnonzero(kinds[0] + kinds[1] >= FEWEST)
+    at = np.zeros(BUCKETS, np.int64)
+    at[used] = np.arange(1, len(used) + 1)
+    return used, at[bucket], kinds[0][used], kinds[1][used]
+
+
+def surprise(a, c, many_a, many_c) -> np.ndarray:
+    """Signed log-likelihood ratio of each bucket's share of the toxic and of the clean texts."""
+    expected = (a + c) * many_a / max(1, many_a + many_c)
+    other = a + c - expected
+    ratio = a * np.log(np.maximum(a, 1e-9) / np.maximum(expected, 1e-9)) + c * np.log(np.maximum(c, 1e-9) / np.maximum(other, 1e-9))
+    return np.sign(a - expected) * 2 * ratio
+
+
 def highest(values: np.ndarray, text: np.ndarray, texts: int) -> np.ndarray:
     """The largest value of each text's passages."""
     out = np.full(texts, -np.inf)
@@ -177,10 +221,10 @@ def scored(texts: pa.Array, model: dict) -> np.ndarray:
     logit = np.full(len(texts), float(model["bias"]))
     if len(place):
         share = means(model["grams"][bucket].astype(np.float64), grams_before)
-        starts, text = passages(before)
+        slots, starts, text = passages(before)
         head = np.flatnonzero(np.diff(text, prepend=-1))
-        logit[text[head]] += np.maximum.reduceat(means(share[place], starts), head)
-    return 1 / (1 + np.exp(-logit))
+        logit[text[head]] += np.maximum.reduceat(means(share[place[slots]], starts), head)
+    return 1 / (1 + np.exp(-np.clip(logit, -50, 50)))
 
 
 def model_of(docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int = SAMPLE, seed: int = 1) -> dict:
