@@ -8,7 +8,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowsmith.llm import words
@@ -124,8 +124,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(both.select("a", "b", "left", "right").mapInArrow(task, "a bigint, b bigint"), "links")
 
 
-def shared_sizes(sets: DataFrame) -> DataFrame:
-    """(rep, shared): how many shingles of each set some other of these sets has too."""
+def shingles(sets: DataFrame) -> DataFrame:
+    """(rep, shingle): one row for each member of each set."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -137,12 +137,39 @@ def shared_sizes(sets: DataFrame) -> DataFrame:
                 rep = np.repeat(batch.column("doc_id").to_numpy(), many.to_numpy())
                 yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(values)], ["rep", "shingle"])
 
-    rows = sets.mapInArrow(task, "rep bigint, shingle bigint")
-    alone = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("docs"), F.min("rep").alias("rep")).filter("docs = 1")
+    return sets.mapInArrow(task, "rep bigint, shingle bigint")
+
+
+def shared_sizes(sets: DataFrame) -> DataFrame:
+    """(rep, shared): how many shingles of each set some other of these sets has too."""
+    alone = shingles(sets).groupBy("shingle").agg(F.count(F.lit(1)).alias("docs"), F.min("rep").alias("rep")).filter("docs = 1")
     sizes = sets.select(F.col("doc_id").alias("rep"), (F.length("members") / 8).cast("bigint").alias("size"))
     return sizes.join(alone.groupBy("rep").count(), "rep", "left").select("rep", (F.col("size") - F.coalesce("count", F.lit(0))).alias("shared"))
 
 
+def prefix_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that may be linked, one of them outside its bucket's largest component.
+
+    Shingles are ordered from rare to frequent among these sets. Two sets with the overlap that a link needs have a
+    shingle in common that is so early in both that enough others follow; only such pairs are given. Shingles that
+    one set alone has count in the order but are not looked up.
+    """
+    docs = placed.groupBy("rep", "size", "component").agg(F.min("partner").alias("partner"), F.max(F.col("component") != F.col("main")).alias("other"))
+    rows = shingles(sets.join(docs.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"))
+    common = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1")
+    own = Window.partitionBy("rep")
+    rows = rows.join(common, "shingle").join(docs, "rep")
+    rank = F.row_number().over(own.orderBy("docs", "shingle")) - 1 + F.col("size") - F.count(F.lit(1)).over(own)
+    needed = F.ceil(percent * (F.col("size") + F.col("partner")) / (100 + percent))
+    rows = rows.withColumn("place", rank).filter(F.col("place") <= F.col("size") - needed)
+    rows = stored(rows.select("shingle", "rep", "size", "component", "other", "place"), "prefixes")
+    pairs = rows.filter("other").alias("x").join(rows.alias("y"), "shingle")
+    after = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
+    enough = (100 + percent) * after >= percent * (F.col("x.size") + F.col("y.size"))
+    pairs = pairs.filter((F.col("x.component") != F.col("y.component")) & enough)
+    return pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 80, bands: int = 26, rows: int = 4, seed: int = 1) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
@@ -156,10 +183,11 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 80, bands: int =
     1. every member of a bucket with the smallest doc_id in it;
     2. where a bucket is not one component then, its members with the one that has the fewest shingles of its own,
        such as the text that the others were edited from;
-    3. where it still is not, its members outside the largest component with the members of other components.
+    3. where it still is not, its members outside the largest component with those members of other components with
+       which they share a shingle early enough in the order from rare to frequent, as any link needs.
 
     From round 2 on, a set's shingles that no other set of an open bucket has are known to be in no intersection.
-    That bounds the similarity of each pair, and leaves out, exactly, members that can have no link at all.
+    That leaves out, exactly, members that can have no link at all.
 
     Null and empty texts, and texts without words, have no shingles, are linked with nothing and are kept. Rows
     without doc_id are kept too and linked with nothing; their component_id is null. Rows that share a doc_id
@@ -192,24 +220,22 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 80, bands: int =
     live = stored(open_.drop("component", "main").join(shared_sizes(open_sets), "rep"), "live")
     least = live.groupBy("bucket").agg(F.min("size").alias("least"))
     partner = F.greatest("least", F.ceil(F.col("size") * percent / 100))
-    live = live.join(least, "bucket").filter(may_link(F.col("shared"), F.col("size"), partner)).drop("least")
+    live = live.join(least, "bucket").withColumn("partner", partner)
+    live = live.filter(may_link(F.col("shared"), F.col("size"), F.col("partner"))).drop("least")
     live = stored(live, "live")
 
-    def pairs_of(left, right):
-        pairs = left.alias("x").join(right.alias("y"), "bucket")
-        common = F.least("x.shared", "y.shared", "x.size", "y.size")
-        pairs = pairs.filter((F.col("x.component") != F.col("y.component")) & may_link(common, F.col("x.size"), F.col("y.size")))
-        return stored(pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct(), "pairs")
-
     for step in (2, 3):
         placed = stored(_open(live, groups), "open")
         if step == 2:
             own = F.struct((F.col("size") - F.col("shared")).alias("own"), "rep")
             first = placed.groupBy("bucket").agg(F.min(own)["rep"].alias("rep"))
-            some = placed.join(first, ["bucket", "rep"], "left_semi")
+            pairs = placed.join(first, ["bucket", "rep"], "left_semi").alias("x").join(placed.alias("y"), "bucket")
+            fits = may_link(F.least("x.shared", "y.shared"), F.col("x.size"), F.col("y.size"))
+            pairs = pairs.filter((F.col("x.component") != F.col("y.component")) & fits)
+            pairs = pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
         else:
-            some = placed.filter("component != main")
-        pairs = pairs_of(some, placed)
+            pairs = prefix_pairs(placed, sets, percent)
+        pairs = stored(pairs, "pairs")
         if not pairs.isEmpty():
             more = verified(pairs, sets, percent)
             if not more.isEmpty():
