@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowsmith.llm import decontaminate, minhash, mixing, tokens, toxicity
+from rowsmith.llm import decontaminate, licenses, minhash, mixing, quality, substrings, tokens, toxicity
 from rowsmith.sources.shared import new_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -26,6 +27,19 @@ def op2_decontaminate(spark, sf_dir):
     return decontaminate.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op4_substrings(spark, sf_dir):
+    return substrings.without_repeats(documents(spark, sf_dir))
+
+
+def op6_quality(spark, sf_dir):
+    return quality.scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op8_licenses(spark, sf_dir):
+    found = licenses.scans(documents(spark, sf_dir)).drop("spans")
+    return found.withColumns({name: F.array_join(name, ",") for name in ("base_labels", "labels")})
+
+
 def op9_toxicity(spark, sf_dir):
     return toxicity.scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
@@ -46,7 +60,10 @@ def op7_tokens(spark, sf_dir):
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_decontaminate": op2_decontaminate,
+    "op4_substrings": op4_substrings,
+    "op6_quality": op6_quality,
     "op7_tokens": op7_tokens,
+    "op8_licenses": op8_licenses,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
 }

@@ -38,20 +38,10 @@ def remainder(doc_id: Column, of: int) -> Column:
 def subwords(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of texts as (place of each word in the distinct words, words before each text) and the distinct words'
     n-grams as (buckets, n-grams before each distinct word)."""
-    hashes, before = words.word_hashes(data, offsets, LETTERED)
-    distinct, first, place = np.unique(hashes, return_index=True, return_inverse=True)
-    inside = LETTERED.inside[data[offsets[0] : offsets[-1]]]
-    begins = inside.copy()
-    begins[1:] &= ~inside[:-1]
-    edge = offsets[1:-1] - offsets[0]
-    edge = edge[edge < len(inside)]
-    begins[edge] = inside[edge]
-    start = np.flatnonzero(begins)
-    stops = inside.copy()
-    stops[:-1] &= ~inside[1:]
-    stops[edge - 1] = inside[edge - 1]
-    stop = np.flatnonzero(stops) + 1
-    start, size = start[first] + offsets[0], (stop - start)[first]
+    table = words.word_table(data, offsets, LETTERED)
+    before = table.before
+    distinct, first, place = np.unique(table.hashes, return_index=True, return_inverse=True)
+    start, size = table.starts[first], (table.stops - table.starts)[first]
     codes = LETTERED.folded[data]
     marked = np.concatenate([[0], np.cumsum(size + 2)])
     letters = np.zeros(marked[-1], np.uint64)

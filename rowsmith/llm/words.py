@@ -62,12 +62,19 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8), at
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, kind: Alphabet = SPACED) -> tuple[np.ndarray, np.ndarray]:
-    """A hash for each word of the rows and, for each row, the number of words before it (one more at the end).
+@dataclass(frozen=True)
+class Words:
+    """Words of the rows of a text column: hash, first byte, byte after the last, and the number before each row."""
 
-    Windows end between words; a word longer than a window makes a window of its own.
-    """
-    hashes, starts = [], []
+    hashes: np.ndarray
+    starts: np.ndarray
+    stops: np.ndarray
+    before: np.ndarray
+
+
+def word_table(data: np.ndarray, offsets: np.ndarray, kind: Alphabet = SPACED) -> Words:
+    """The words of the rows. Windows end between words; a word longer than a window makes one of its own."""
+    found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
     at, end = int(offsets[0]), int(offsets[-1])
     breaks = offsets[1:-1]
     while at < end:
@@ -77,21 +84,27 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, kind: Alphabet = SPACED)
         part = data[at:stop]
         length = WINDOW + 1 if len(part) <= WINDOW else len(part) + 1
         inside = kind.inside[part]
-        begins = inside.copy()
-        begins[1:] &= ~inside[:-1]
         local = breaks[np.searchsorted(breaks, at) : np.searchsorted(breaks, stop)] - at
+        begins, ends = inside.copy(), inside.copy()
+        begins[1:] &= ~inside[:-1]
         begins[local] = inside[local]
-        first = np.flatnonzero(begins)
+        ends[:-1] &= ~inside[1:]
+        ends[local[local > 0] - 1] = inside[local[local > 0] - 1]
+        first, last = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         if len(first):
-            last = np.append(first[1:], len(part))
             summed = np.zeros(len(part) + 1, np.uint64)
             np.cumsum(np.where(inside, kind.folded[part], np.uint64(0)) * powers(BASE, length)[: len(part)], out=summed[1:])
-            hashes.append(mix((summed[last] - summed[first]) * powers(pow(BASE, -1, 1 << 64), length)[first]))
-            starts.append(first + at)
+            hashes = mix((summed[last] - summed[first]) * powers(pow(BASE, -1, 1 << 64), length)[first])
+            found.append((hashes, first + at, last + at))
         at = stop
-    if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), offsets)
+    hashes, starts, stops = map(np.concatenate, zip(*found, strict=True))
+    return Words(hashes, starts, stops, np.searchsorted(starts, offsets))
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, kind: Alphabet = SPACED) -> tuple[np.ndarray, np.ndarray]:
+    """A hash for each word of the rows and, for each row, the number of words before it (one more at the end)."""
+    table = word_table(data, offsets, kind)
+    return table.hashes, table.before
 
 
 def _cut(data: np.ndarray, at: int, stop: int, offsets: np.ndarray, kind: Alphabet) -> int:
