@@ -224,8 +224,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, pe
     ordered.mapInArrow(task, SEGMENTS).write.parquet(path)
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32, ids): the documents of written segments, decoded from their blocks.
+    Without with_ids they are decoded all the same, but only the checksum leaves the task.
 
     start counts the ids of all documents before. Segments are decoded where they are read, without a shuffle;
     only one total per shard is added up over the whole. Those totals are broadcast: a shard is what one task has
@@ -242,17 +243,17 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 starts = ends - lengths
                 raw = ids.astype("<u4")
                 check = [zlib.crc32(raw[a:b].tobytes()) for a, b in zip(starts, ends, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [value["doc_ids"].values, pa.array(starts + value["base"].as_py() + value["first"].as_py()), pa.array(lengths)]
-                    + [pa.array(check, pa.int64()), pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids.astype(np.int64)))],
-                    ["doc_id", "start", "n_tokens", "ids_crc32", "ids"],
-                )
+                at = pa.array(starts + value["base"].as_py() + value["first"].as_py())
+                columns = [value["doc_ids"].values, at, pa.array(lengths), pa.array(check, pa.int64())]
+                if with_ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids.astype(np.int64))))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
+    names = ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: 4 + with_ids]
     segments = spark.read.schema(SEGMENTS).parquet(path)
     totals = settled(segments.groupBy("shard").agg(F.sum("n_tokens").alias("total")))
     base = F.sum("total").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     bases = totals.select("shard", F.coalesce(base, F.lit(0)).alias("base"))
     columns = ["base", "first", "n_tokens", "doc_ids", "lengths", "block_starts", "payload"]
-    return segments.join(F.broadcast(bases), "shard").select(columns).mapInArrow(
-        task, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids array<bigint>"
-    )
+    schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<bigint>" * with_ids
+    return segments.join(F.broadcast(bases), "shard").select(columns).mapInArrow(task, schema)
