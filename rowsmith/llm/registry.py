@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import decontaminate, licenses, minhash, mixing, quality, substrings, tokens, toxicity
+from rowsmith.llm import decontaminate, licenses, minhash, mixing, neighbours, quality, substrings, tokens, toxicity
 from rowsmith.sources.shared import new_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -31,6 +32,10 @@ def op4_substrings(spark, sf_dir):
     return substrings.without_repeats(documents(spark, sf_dir))
 
 
+def op5_neighbours(spark, sf_dir):
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
 def op6_quality(spark, sf_dir):
     return quality.scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
@@ -54,18 +59,20 @@ def op7_tokens(spark, sf_dir):
 
     path = new_path(spark, "tokens")
     tokens.write_tokens(documents(spark, sf_dir), path, public_tokenizers.path(TOKENIZER))
-    return tokens.read_tokens(spark, path).drop("ids")
+    return tokens.read_tokens(spark, path, with_ids=False)
 
 
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_decontaminate": op2_decontaminate,
     "op4_substrings": op4_substrings,
+    "op5_neighbours": op5_neighbours,
     "op6_quality": op6_quality,
     "op7_tokens": op7_tokens,
     "op8_licenses": op8_licenses,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
