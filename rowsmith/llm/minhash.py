@@ -147,15 +147,15 @@ def shared_sizes(sets: DataFrame) -> DataFrame:
     return sizes.join(alone.groupBy("rep").count(), "rep", "left").select("rep", (F.col("size") - F.coalesce("count", F.lit(0))).alias("shared"))
 
 
-def prefix_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components that may be linked, one of them outside its bucket's largest component.
+def prefix_pairs(placed: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """From members (rep, shingle) of at least the placed sets: pairs (a, b) of different components that may be linked, one of them outside its bucket's largest component.
 
     Shingles are ordered from rare to frequent among these sets. Two sets with the overlap that a link needs have a
     shingle in common that is so early in both that enough others follow; only such pairs are given. Shingles that
     one set alone has count in the order but are not looked up.
     """
     docs = placed.groupBy("rep", "size", "component").agg(F.min("partner").alias("partner"), F.max(F.col("component") != F.col("main")).alias("other"))
-    rows = shingles(sets.join(docs.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"))
+    rows = members.join(docs.select("rep"), "rep", "left_semi")
     common = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1")
     own = Window.partitionBy("rep")
     rows = rows.join(common, "shingle").join(docs, "rep")
@@ -215,7 +215,7 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 80, bands: int =
     links = verified(stored(stars.select(F.col("hub").alias("a"), F.col("rep").alias("b")), "pairs"), sets, percent).unionByName(same)
     groups = components(links, "a", "b")
 
-    open_ = stored(_open(members.select("bucket", "rep", "size"), groups), "open")
+    open_ = stored(open_members(members.select("bucket", "rep", "size"), groups), "open")
     open_sets = sets.join(open_.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     live = stored(open_.drop("component", "main").join(shared_sizes(open_sets), "rep"), "live")
     least = live.groupBy("bucket").agg(F.min("size").alias("least"))
@@ -225,7 +225,7 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 80, bands: int =
     live = stored(live, "live")
 
     for step in (2, 3):
-        placed = stored(_open(live, groups), "open")
+        placed = stored(open_members(live, groups), "open")
         if step == 2:
             own = F.struct((F.col("size") - F.col("shared")).alias("own"), "rep")
             first = placed.groupBy("bucket").agg(F.min(own)["rep"].alias("rep"))
@@ -234,7 +234,8 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 80, bands: int =
             pairs = pairs.filter((F.col("x.component") != F.col("y.component")) & fits)
             pairs = pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
         else:
-            pairs = prefix_pairs(placed, sets, percent)
+            own = sets.join(placed.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+            pairs = prefix_pairs(placed, shingles(own), percent)
         pairs = stored(pairs, "pairs")
         if not pairs.isEmpty():
             more = verified(pairs, sets, percent)
@@ -253,7 +254,7 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 80, bands: int =
     )
 
 
-def _open(members: DataFrame, groups: DataFrame) -> DataFrame:
+def open_members(members: DataFrame, groups: DataFrame) -> DataFrame:
     """Members of the buckets that are more than one component, with component and the bucket's largest one."""
     placed = members.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     parts = placed.groupBy("bucket", "component").count()

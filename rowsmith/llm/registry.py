@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import decontaminate, licenses, minhash, mixing, neighbours, quality, substrings, tokens, toxicity
+from rowsmith.llm import decontaminate, licenses, lines, minhash, mixing, neighbours, quality, substrings, tokens, toxicity
 from rowsmith.sources.shared import new_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -28,6 +28,11 @@ def op2_decontaminate(spark, sf_dir):
     return decontaminate.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op3_lines(spark, sf_dir):
+    found = lines.repeated_lines(documents(spark, sf_dir))
+    return found.withColumn("removed", F.array_join(F.transform("removed", lambda i: i.cast("string")), ","))
+
+
 def op4_substrings(spark, sf_dir):
     return substrings.without_repeats(documents(spark, sf_dir))
 
@@ -65,6 +70,7 @@ def op7_tokens(spark, sf_dir):
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_decontaminate": op2_decontaminate,
+    "op3_lines": op3_lines,
     "op4_substrings": op4_substrings,
     "op5_neighbours": op5_neighbours,
     "op6_quality": op6_quality,
