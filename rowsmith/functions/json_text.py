@@ -21,10 +21,10 @@ def array_span(text: Column) -> Column:
 def valid_json(span: Column) -> Column:
     """The span when it is one complete JSON value, else null.
 
-    A JSON reader stops after the first value; wrapping the span makes trailing text an error.
+    A JSON reader stops after the first value; as the only element of an array the span can hold no other one.
     """
-    wrapped = F.concat(F.lit('{"whole":'), span, F.lit("}"))
-    return F.from_json(wrapped, "whole string", STRICT)["whole"]
+    values = F.from_json(F.concat(F.lit("["), span, F.lit("]")), "array<string>", STRICT)
+    return F.when(F.size(values) == 1, F.get(values, F.lit(0)))
 
 
 def parse_as(json: Column, schema: str) -> Column:

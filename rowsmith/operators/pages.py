@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,8 +58,12 @@ FALLBACKS = {
 }
 FALLBACK_RELEVANCE, FALLBACK_QUALITY = 0.7, 0.75
 
-# Named character references that are decoded; the ampersand comes last.
-REFERENCES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+#: The rest of a tag up to its end, stepping over quoted attribute values that hold ``>``; a tag whose quotes do not
+#: close ends at the first one.
+TAG_REST = r"""(?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*>)"""
+#: Character references by number and by name; a no-break space becomes a space.
+REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
+NAMED = {f"&{name};": chr(code) for name, code in name2codepoint.items() if name != "amp"} | {"&nbsp;": " ", "&#160;": " ", "&apos;": "'"}
 
 PAGE_ANSWER = (
     "struct<is_dataset:boolean, dataset_name:string, description:string, file_format:string,"
@@ -66,11 +71,24 @@ PAGE_ANSWER = (
 )
 
 
+def character(reference: Column) -> Column:
+    """The character that a reference stands for; an unknown one stays as it is."""
+    digits = F.substring_index(F.substring(reference, 3, 9), ";", 1)
+    hexadecimal = F.lower(F.substring(digits, 1, 1)) == "x"
+    code = F.when(hexadecimal, F.conv(F.substring(digits, 2, 8), 16, 10)).otherwise(digits).try_cast("bigint")
+    real = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    known = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    names = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+    numbered = F.startswith(reference, F.lit("&#"))
+    return F.coalesce(F.try_element_at(names, reference), F.when(numbered & real, known), reference)
+
+
 def decoded(text: Column) -> Column:
-    """Common character references turned into characters."""
-    for reference, character in REFERENCES:
-        text = F.replace(text, F.lit(reference), F.lit(character))
-    return text
+    """Character references turned into characters, each kind once; the ampersand comes last, so that no text is
+    decoded twice."""
+    found = F.filter(F.array_distinct(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))), lambda r: r != "&amp;")
+    plain = F.aggregate(found, text, lambda done, r: F.replace(done, r, character(r)))
+    return F.replace(F.coalesce(plain, text), F.lit("&amp;"), F.lit("&"))
 
 
 def without_hidden(html: Column) -> Column:
@@ -86,7 +104,7 @@ def without_hidden(html: Column) -> Column:
 
 def plain_text(html: Column) -> Column:
     """Text of HTML whose hidden parts are gone."""
-    return decoded(F.regexp_replace(html, r"(?s)<[^>]*>", ""))
+    return decoded(F.regexp_replace(html, "(?s)<" + TAG_REST, ""))
 
 
 def href(tag: Column) -> Column:
@@ -102,7 +120,7 @@ def extract_links(pages: DataFrame, max_links: int = MAX_LINKS) -> DataFrame:
     ones that do not start with http are dropped. If nothing remains, all anchors are taken under the same
     cap. (Other result classes can not add a link: their targets would already hold http.)
     """
-    anchors = F.regexp_extract_all(without_hidden(F.col("html")), F.lit(r"(?is)<a\s[^>]*>"), F.lit(0))
+    anchors = F.regexp_extract_all(without_hidden(F.col("html")), F.lit(r"(?is)<a\s" + TAG_REST), F.lit(0))
     classed = F.filter("tags", lambda t: F.rlike(t, F.lit(r"""(?is)\sclass\s*=\s*["'](?:[^"']*\s)?result-link["'\s]""")))
     targets = F.filter(F.transform("tags", href), lambda h: h != "")
 

@@ -204,7 +204,7 @@ def column_summary(df: DataFrame, name: str, order_by: str, samples: int = 5) ->
 def numeric_summary(df: DataFrame, name: str) -> DataFrame:
     """Min, max, mean, sample deviation and bias-corrected skewness; columns without a value are left out.
 
-    A constant column has skewness 0; fewer than three values give null.
+    A single value and a constant column have skewness 0; two different values give null.
     """
     fields = {
         "non_null": "count({v})",
@@ -214,9 +214,8 @@ def numeric_summary(df: DataFrame, name: str) -> DataFrame:
     }
     n = F.col("non_null").cast("double")
     corrected = F.col("skew") * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0))
-    skewness = F.when(n < 3, F.lit(None).cast("double")).when(
-        F.col("min_value") == F.col("max_value"), F.lit(0.0)
-    ).otherwise(corrected)
+    constant = (F.col("min_value") == F.col("max_value")) & (n != 2)
+    skewness = F.when(constant, F.lit(0.0)).when(n >= 3, corrected)
     return (
         column_figures(df, columns_of(df, "numeric"), fields, cast="double", cost=2)
         .filter("non_null > 0")

@@ -8,9 +8,11 @@ the removal of duplicates shuffles.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal, InvalidOperation
 from functools import reduce
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,7 +47,7 @@ DEFAULT_CONFIDENCE = 0.8
 FIX_SCHEMA = (
     "struct<fix_type:string, target_column:string, fix_logic:string, implementation_method:string,"
     " new_values:array<string>, conditions:string, expected_outcome:string, medical_reasoning:string,"
-    " confidence:double>"
+    " confidence:double, predicate:string, formula:string>"
 )
 PLAN_LIMIT = 10_000
 
@@ -55,21 +57,49 @@ def with_column(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select(*[value.alias(c) if c == name else col(c) for c in df.columns])
 
 
+#: Bits of the whole types.
+BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
+
+
+def number_of(value) -> Decimal | None:
+    """A finite number, or None."""
+    try:
+        number = Decimal(str(value).strip())
+    except InvalidOperation:
+        return None
+    return number if number.is_finite() else None
+
+
+def holding(data_type: T.DataType, number: Decimal) -> T.DataType:
+    """The column's type where it can hold the number, else the next wider one: bigint, then double."""
+    whole = number == number.to_integral_value()
+    if isinstance(data_type, WHOLE):
+        for wider in (data_type, T.LongType()):
+            limit = 2 ** (BITS[wider.simpleString()] - 1)
+            if whole and -limit <= number < limit:
+                return wider
+        return T.DoubleType()
+    if isinstance(data_type, T.DecimalType):
+        room = Decimal(10) ** (data_type.precision - data_type.scale)
+        exact = number == round(number, data_type.scale) if abs(number) < room else False
+        return data_type if exact else T.DoubleType()
+    return data_type
+
+
 def filled(df: DataFrame, column: str, value, where: Column | None = None) -> Column | None:
     """The column with a value put in where it is missing (or where asked); None if the value does not fit.
 
-    A fraction put into a whole column widens it to double.
+    A number that the column's type can not hold widens the column. A number that is not finite does not fit, as it
+    would still be missing.
     """
     data_type = df.schema[column].dataType
     hit = is_missing(df, column) if where is None else where
     if type_class(data_type) == "numeric":
-        try:
-            number = float(value)
-        except (TypeError, ValueError):
+        number = number_of(value)
+        if number is None:
             return None
-        if isinstance(data_type, WHOLE) and not number.is_integer():
-            return F.when(hit, F.lit(number)).otherwise(col(column).cast("double"))
-        return F.when(hit, F.lit(str(value)).try_cast("double").cast(data_type)).otherwise(col(column))
+        target = holding(data_type, number)
+        return F.when(hit, F.lit(str(number)).cast(target)).otherwise(col(column).cast(target))
     if isinstance(data_type, T.StringType):
         return F.when(hit, F.lit(str(value))).otherwise(col(column))
     return F.when(hit, F.coalesce(F.lit(str(value)).try_cast(data_type), col(column))).otherwise(col(column))
@@ -100,10 +130,18 @@ def standardize_format(df: DataFrame, column: str) -> DataFrame:
 
 
 def add_validation(df: DataFrame, column: str) -> DataFrame:
-    """Absolute value of a numeric column."""
+    """Absolute value of a numeric column; the smallest whole number, which has none in its type, stays."""
     if type_class(df.schema[column].dataType) != "numeric":
         return df
-    return with_column(df, column, F.abs(col(column)))
+    return with_column(df, column, absolute(df, column))
+
+
+def absolute(df: DataFrame, column: str) -> Column:
+    data_type = df.schema[column].dataType
+    if isinstance(data_type, WHOLE):
+        smallest = F.lit(-(2 ** (BITS[data_type.simpleString()] - 1))).cast(data_type)
+        return F.when(col(column) == smallest, col(column)).otherwise(F.abs(col(column)))
+    return F.abs(col(column))
 
 
 def recalculate(df: DataFrame, column: str, formula: str) -> DataFrame:
@@ -150,39 +188,77 @@ def impute(df: DataFrame, column: str, method: str, by: Sequence[str] = ()) -> D
         )
         rows = df.join(keyed, match, "left")
         value = F.coalesce(F.col("_center"), whole)
+    new = put_in(df, column, method, value)
+    return rows.select(*[new.alias(c) if c == column else col(c) for c in df.columns])
+
+
+def put_in(df: DataFrame, column: str, method: str, value: Column) -> Column:
+    """The column with a figure in place of missing values; a mean or median makes a whole column double."""
     data_type = df.schema[column].dataType
     target = "double" if method != "mode" and isinstance(data_type, WHOLE) else data_type
-    new = F.when(is_missing(df, column), value.cast(target)).otherwise(col(column).cast(target))
-    return rows.select(*[new.alias(c) if c == column else col(c) for c in df.columns])
+    return F.when(is_missing(df, column), value.cast(target)).otherwise(col(column).cast(target))
 
 
-def step(df: DataFrame, fix: dict) -> tuple[DataFrame, str | None]:
-    """Apply one fix. The second value is failed, no_change, or None when the data decides."""
-    kind = fix.get("fix_type")
-    column = fix.get("target_column")
+def imputed(df: DataFrame, column: str, method: str) -> Column:
+    """The column with the mean, median or mode of all its rows in place of missing values."""
+    return put_in(df, column, method, center(df, column, method))
+
+
+def condition_of(df: DataFrame, fix: dict) -> str | None:
+    """The predicate of a fix, or its conditions where they read as a predicate over the table; None without any.
+    Conditions that do not, such as prose, raise AnalysisException."""
+    text = fix.get("predicate") or fix.get("conditions")
+    if text and df.limit(0).select(F.expr(text).alias("holds")).schema["holds"].dataType != T.BooleanType():
+        raise AnalysisException(f"no condition: {text}")
+    return text or None
+
+
+def new_value(df: DataFrame, fix: dict) -> tuple[Column | None, str | None]:
+    """What a fix of one column puts into it, or a status (failed, no_change, error) that leaves the table as it is.
+
+    An expression that can not be resolved over the table is an error of that fix alone.
+    """
+    kind, column = fix.get("fix_type"), fix.get("target_column")
     values = fix.get("new_values") or []
-    if not kind:
-        return df, "failed"
-    if kind == "remove_duplicates":
-        return remove_duplicates(df), None
+    if kind not in FIX_TYPES:
+        return None, "failed"
     if column not in df.columns:
-        return df, "no_change"
+        return None, "no_change"
+    data_type = df.schema[column].dataType
     if kind in ("fill_missing", "replace_values"):
         if not values and fix.get("implementation_method") == "statistical_imputation":
-            numeric = column in columns_of(df, "numeric")
-            return impute(df, column, "median" if numeric else "mode"), None
+            return imputed(df, column, "median" if column in columns_of(df, "numeric") else "mode"), None
         if not values:
-            return df, "no_change"
-        predicate = fix.get("predicate") if kind == "replace_values" else None
-        new = filled(df, column, values[0], F.expr(predicate) if predicate else None)
-        return (df, "failed") if new is None else (with_column(df, column, new), None)
-    if kind == "standardize_format":
-        return standardize_format(df, column), None
-    if kind == "add_validation":
-        return add_validation(df, column), None
+            return None, "no_change"
+        where = None
+        if kind == "replace_values":
+            try:
+                where = condition_of(df, fix)
+            except AnalysisException:
+                return None, "error" if fix.get("predicate") else "no_change"
+        new = filled(df, column, values[0], F.expr(where) if where else None)
+        return new, None if new is not None else "failed"
+    if kind == "standardize_format" and type_class(data_type) == "text":
+        return title_case(strip_space(col(column))), None
+    if kind == "add_validation" and type_class(data_type) == "numeric":
+        return absolute(df, column), None
     if kind == "recalculate_values" and fix.get("formula"):
-        return recalculate(df, column, fix["formula"]), None
-    return df, "no_change"
+        try:
+            new = F.expr(fix["formula"]).cast(data_type)
+            df.limit(0).select(new)
+        except AnalysisException:
+            return None, "error"
+        return new, None
+    return None, "no_change"
+
+
+def step(df: DataFrame, fix: dict) -> tuple[DataFrame, str | None]:
+    """Apply one fix. The second value is failed, no_change or error with the table unchanged, or None when the data
+    decides."""
+    if fix.get("fix_type") == "remove_duplicates":
+        return remove_duplicates(df), None
+    new, status = new_value(df, fix)
+    return (df, status) if new is None else (with_column(df, fix["target_column"], new), None)
 
 
 def apply_fix_plan(df: DataFrame, plan: Sequence[dict]) -> DataFrame:
@@ -232,17 +308,16 @@ def resolution_log(df: DataFrame, name: str, plan: Sequence[dict]) -> DataFrame:
             close(current, i)
             current, marks, opened_by = remove_duplicates(plain), [], i
             continue
-        changed, status = step(plain, fix)
-        if status is not None:
+        new, status = new_value(plain, fix)
+        if new is None:
             fixed_status[i] = status
             continue
         target = fix["target_column"]
         before = f"_before_{i}"
         kept = [f"_mark_{m}" for m in marks]
         # The old value rides along for one projection to be compared with the new one.
-        wide = current.select(*[col(c) for c in data], col(target).alias(before), *kept)
-        wide, _ = step(wide, fix)
-        differs = ~col(target).eqNullSafe(F.col(before).cast(changed.schema[target].dataType))
+        wide = current.select(*[(new if c == target else col(c)).alias(c) for c in data], col(target).alias(before), *kept)
+        differs = ~col(target).eqNullSafe(F.col(before).cast(wide.schema[target].dataType))
         current = wide.select(*[col(c) for c in data], *kept, differs.alias(f"_mark_{i}"))
         marks = [*marks, i]
     close(current, None)
@@ -298,7 +373,7 @@ def enhancement_report(df: DataFrame, name: str, plan: Sequence[dict]) -> DataFr
         F.count(F.lit(1)).alias("issues_addressed"),
         count_where(F.col("status") == "resolved").alias("fixes_applied"),
         count_where(F.col("status") == "no_change").alias("fixes_without_effect"),
-        count_where(F.col("status") == "failed").alias("fixes_failed"),
+        count_where(F.col("status").isin("failed", "error")).alias("fixes_failed"),
         F.coalesce(F.sum("rows_removed"), F.lit(0)).alias("rows_removed"),
         F.avg(F.when(ran, F.nullif("confidence", F.lit(0.0)))).alias("average_confidence"),
     )
@@ -323,7 +398,7 @@ def cell_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Da
 
     Equal rows of the old version are merged and the new version is reduced to one row per key, so repeated
     keys add nothing to the join. Rows whose key is gone, or stands for different rows in the new version,
-    are counted apart.
+    are counted apart. A null key is a key like others.
     """
     others = [c for c in before.columns if c in after.columns and c not in keys]
     old = (
@@ -336,7 +411,9 @@ def cell_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Da
     )
     cells = F.struct(*[known(after, c).alias(f"n_{i}") for i, c in enumerate(others)])
     new = after.groupBy(*[col(k) for k in keys]).agg(F.min(cells).alias("low"), F.max(cells).alias("high"))
-    joined = old.join(new, list(keys), "left")
+    renamed = new.select(*[col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], "low", "high")
+    match = reduce(lambda a, b: a & b, [col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)])
+    joined = old.join(renamed, match, "left")
     clear = F.col("low").isNotNull() & F.col("low").eqNullSafe(F.col("high"))
     copies = F.col("copies")
 

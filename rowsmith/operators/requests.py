@@ -58,9 +58,9 @@ def entities_of(text: Column, n: int = ENTITIES) -> Column:
     return F.slice(wanted, 1, n)
 
 
-def cleaned(text: Column) -> Column:
-    """ASCII letters, digits and white space only, trimmed, at most 100 characters."""
-    return F.substring(strip_space(F.regexp_replace(text, r"[^a-zA-Z0-9\s]", "")), 1, QUERY_LENGTH)
+def cleaned(text: Column, most: int = QUERY_LENGTH) -> Column:
+    """ASCII letters, digits and white space only, trimmed, cut to a number of characters."""
+    return F.substring(strip_space(F.regexp_replace(text, r"[^a-zA-Z0-9\s]", "")), 1, most)
 
 
 def without_stop_words(text: Column) -> Column:

@@ -98,7 +98,7 @@ def candidate_export(spark, sf_dir):
 
 def research_summary(spark, sf_dir):
     texts = texts_of(spark, sf_dir)
-    found = pages.fill_shortfall(candidates_of(spark, sf_dir), texts, 2000)
+    found = pages.fill_shortfall(candidates_of(spark, sf_dir), texts, texts.count())
     return pages.research_summary(found).withColumn("best_relevance", fixed(F.col("best_relevance")))
 
 
@@ -149,15 +149,23 @@ HIDDEN_SQL = r"""regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?
   '(?is)<script\b[^>]*>.*?</script\s*>', '', 'g'), '(?is)<style\b[^>]*>.*?</style\s*>', '', 'g')"""
 
 
+# The references that the given pages hold, and the commonest others; the ampersand comes last.
+REFERENCES = [
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©"),
+    ("&amp;", "&"),
+]
+TAG_REST = """(?:(?:[^>"'']|"[^"]*"|''[^'']*'')*>|[^>]*>)"""
+
+
 def decoded_sql(text: str) -> str:
-    for reference, character in pages.REFERENCES:
+    for reference, character in REFERENCES:
         text = f"replace({text}, '{reference}', '{character.replace(chr(39), chr(39) * 2)}')"
     return text
 
 
 TEXTS_SQL = rf"""texts AS (
   SELECT page_id, url, coalesce(regexp_replace({decoded_sql("title")}, '^\s+|\s+$', '', 'g'), 'No title') AS title,
-    content, {decoded_sql("regexp_replace(content, '(?s)<[^>]*>', '', 'g')")} AS raw_text FROM (
+    content, {decoded_sql(f"regexp_replace(content, '(?s)<{TAG_REST}', '', 'g')")} AS raw_text FROM (
     SELECT page_id, url, nullif(regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1), '') AS title,
       coalesce(nullif(regexp_extract(visible, '(?is)<article\b[^>]*>.*</article\s*>'), ''),
         nullif(regexp_extract(visible, '(?is)<main\b[^>]*>.*</main\s*>'), ''), visible) AS content
@@ -190,7 +198,7 @@ SCORES = f"{r4('relevance_score')} AS relevance_score, {r4('data_quality_score')
 
 HREF = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))"""
 LINKS_SQL = rf"""tags AS (
-  SELECT page_id, regexp_extract_all({HIDDEN_SQL}, '(?is)<a\s[^>]*>') AS tags FROM pages_abs),
+  SELECT page_id, regexp_extract_all({HIDDEN_SQL}, '(?is)<a\s{TAG_REST}') AS tags FROM pages_abs),
 targets AS (
   SELECT page_id, [h for h in [{decoded_sql(f"concat(regexp_extract(t, '{HREF}', 1), regexp_extract(t, '{HREF}', 2), regexp_extract(t, '{HREF}', 3))")}
     for t in tags] if h <> ''] AS targets FROM tags),
@@ -261,8 +269,8 @@ ORACLES = {
     ELSE extracted_content END AS extracted_content_preview,
   (SELECT name FROM ranked ORDER BY candidate_rank LIMIT 1) AS best_dataset,
   (SELECT count(*) FROM ranked) AS total_available FROM ranked""",
-    "research_summary": with_views(*CANDIDATE_BASE, "found AS (SELECT * FROM scored ORDER BY crawl_pos LIMIT 2000)")
-    + f"""SELECT count(*) AS real_datasets, 2000 - count(*) AS synthetic_datasets,
+    "research_summary": with_views(*CANDIDATE_BASE, "found AS (SELECT * FROM scored)")
+    + f"""SELECT count(*) AS real_datasets, (SELECT count(*) FROM texts) - count(*) AS synthetic_datasets,
   (SELECT name FROM found ORDER BY merit DESC, crawl_pos LIMIT 1) AS top_real_dataset,
   {r4("max(relevance_score)")} AS best_relevance FROM found""",
     "domain_class": f"SELECT doc_id, {domain_sql('text')} AS domain FROM documents",

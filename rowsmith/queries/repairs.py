@@ -144,13 +144,13 @@ def fix_plan_parse(spark, sf_dir):
     named = F.concat(
         F.lit('I suggest {"fix_type": "fill_missing", "target_column": "c'),
         item.cast("string"),
-        F.lit('", "new_values": ["1", "2"], "confidence": 0.5} ok'),
+        F.lit('", "new_values": ["1", "2"], "predicate": "c > 1", "confidence": 0.5} ok'),
     )
     answers = issue_responses(spark, sf_dir).withColumn(
         "response",
         F.when(item % 4 == 0, named)
         .when(item % 4 == 1, '{"target_column": "a"}')
-        .when(item % 4 == 2, '{"fix_type": "remove_duplicates"}')
+        .when(item % 4 == 2, '{"fix_type": "recalculate_values", "formula": "c + 1"}')
         .otherwise(F.col("response")),
     )
     return repair.parse_fix_plan(answers).withColumn("new_values", F.array_join("new_values", ","))
@@ -279,7 +279,8 @@ ORACLES = {
   count(*) AS affected_rows, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
   FROM v GROUP BY rule_id, validation_type, columns_involved, severity, fix_suggestion, confidence""",
     "fix_plan_parse": """SELECT item_id AS response_id,
-  CASE item_id % 4 WHEN 0 THEN 'fill_missing' ELSE 'remove_duplicates' END AS fix_type,
+  CASE item_id % 4 WHEN 0 THEN 'fill_missing' ELSE 'recalculate_values' END AS fix_type,
+  CASE item_id % 4 WHEN 0 THEN 'c > 1' END AS predicate, CASE item_id % 4 WHEN 2 THEN 'c + 1' END AS formula,
   CASE item_id % 4 WHEN 0 THEN concat('c', CAST(item_id AS VARCHAR)) END AS target_column,
   CAST(NULL AS VARCHAR) AS fix_logic, CAST(NULL AS VARCHAR) AS implementation_method,
   CASE item_id % 4 WHEN 0 THEN '1,2' END AS new_values, CAST(NULL AS VARCHAR) AS conditions,

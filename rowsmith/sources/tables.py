@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.functions.columns import col, columns_of, count_where
+from rowsmith.functions.columns import col, column_figures, columns_of
 
 logger = logging.getLogger(__name__)
 
@@ -18,20 +18,24 @@ NULL_TEXTS = [
     "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# Types are tried in this order; a column takes the first that all its values fit.
-TYPE_PATTERNS = [
-    ("boolean", r"^(?i:true|false)$"),
-    ("bigint", r"^\s*[+-]?[0-9]{1,18}\s*$"),
-    ("double", r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"),
-    ("date", r"^[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])$"),
-    ("timestamp_ntz", r"^[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?$"),
-]
+# Types are tried in this order; a column takes the first that all its values fit. Whole numbers beyond bigint keep
+# all their digits as decimal(38,0). {v} is a text, and each test holds for the texts that do not fit.
+WHOLE_NUMBER = r"^\\s*[+-]?[0-9]+\\s*$"
+TYPE_TESTS = {
+    "boolean": "NOT rlike({v}, '^(?i:true|false)$')",
+    "bigint": f"NOT rlike({{v}}, '{WHOLE_NUMBER}') OR try_cast({{v}} AS bigint) IS NULL",
+    "decimal(38,0)": f"NOT rlike({{v}}, '{WHOLE_NUMBER}') OR try_cast({{v}} AS decimal(38,0)) IS NULL",
+    "double": r"NOT rlike({v}, '^\\s*[+-]?(([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))\\s*$')",
+    "date": "NOT rlike({v}, '^[0-9]{{4}}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])$')",
+    "timestamp_ntz": r"NOT rlike({v}, '^[0-9]{{4}}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])[ T][0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}}(\\.[0-9]+)?)?$')",
+}
 
 
-def read_texts(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_texts(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """CSV with a header, all columns as text, null texts as null.
 
-    With multi_line off, large files are split among tasks; fields then must not hold line breaks.
+    Large files are split among tasks, so fields must not hold line breaks. With multi_line they may, and each file is
+    read by one task.
     """
     raw = spark.read.csv(
         path, header=True, inferSchema=False, quote='"', escape='"', multiLine=multi_line, encoding="UTF-8"
@@ -40,22 +44,20 @@ def read_texts(spark: SparkSession, path: str, multi_line: bool = True) -> DataF
 
 
 def infer_types(texts: DataFrame) -> dict[str, str]:
-    """Narrowest type per text column, from one aggregate; only its single row reaches the driver.
+    """Narrowest type per text column, from one scan for every few columns; one row per column reaches the driver.
 
     A column without any value is double.
     """
-    tests = [count_where(~F.rlike(col(c), F.lit(p))).alias(f"{t}_{i}") for i, c in enumerate(texts.columns) for t, p in TYPE_PATTERNS]
-    filled = [F.count(col(c)).alias(f"n_{i}") for i, c in enumerate(texts.columns)]
-    counts = texts.agg(*tests, *filled).first()
+    misfits = {f"t{i}": f"count_if({{v}} IS NOT NULL AND ({test}))" for i, test in enumerate(TYPE_TESTS.values())}
     types = {}
-    for i, c in enumerate(texts.columns):
-        fits = [t for t, _ in TYPE_PATTERNS if counts[f"{t}_{i}"] == 0]
-        types[c] = "double" if counts[f"n_{i}"] == 0 else (fits[0] if fits else "string")
+    for row in column_figures(texts, texts.columns, {"filled": "count({v})"} | misfits, cost=2).collect():
+        fits = [t for i, t in enumerate(TYPE_TESTS) if row[f"t{i}"] == 0]
+        types[row["column"]] = "double" if row["filled"] == 0 else (fits[0] if fits else "string")
     return types
 
 
 def read_table(
-    spark: SparkSession, path: str, types: dict[str, str] | None = None, multi_line: bool = True
+    spark: SparkSession, path: str, types: dict[str, str] | None = None, multi_line: bool = False
 ) -> DataFrame | None:
     """Typed table of a CSV file or folder; None, with a warning, when it does not exist.
 
@@ -94,7 +96,7 @@ def table_names(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[
     return sorted(r["top"].removesuffix(suffix) for r in top.collect())
 
 
-def load_tables(spark: SparkSession, folder: str, multi_line: bool = True) -> dict[str, DataFrame]:
+def load_tables(spark: SparkSession, folder: str, multi_line: bool = False) -> dict[str, DataFrame]:
     """All CSV tables of a folder by name; empty and unreadable ones are skipped."""
     tables = {}
     for name in table_names(spark, folder):

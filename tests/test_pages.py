@@ -109,3 +109,13 @@ def test_answers(spark):
     assert rows[1].answer.a == 1.5 and rows[5].answer.a is None
     texts = reports.recommendations(df.withColumn("response", F.lit('["a", "b"]'))).filter("id = 1").collect()
     assert [r.recommendation for r in texts] == ["a", "b"]
+
+
+def test_quoted_angle_brackets_and_references(spark):
+    html = """<title>Caf&eacute; &#8217;s &#x27;x&#X27;</title><body><p title="a>b" class='c>d'>one &amp;lt; two &hellip; &unknown;
+</p><a title="x>y" href="http://a/b?c=1&amp;d=2">go</a><b title="open>end</b></body>"""
+    df = spark.createDataFrame([(1, "u", html)], "page_id bigint, url string, html string")
+    row = pages.extract_page_text(df).first()
+    assert row.title == "Caf\u00e9 \u2019s 'x'"
+    assert "one &lt; two \u2026 &unknown;" in row.raw_text and 'b"' not in row.raw_text and "y\"" not in row.raw_text
+    assert [r.link for r in pages.extract_links(df).collect()] == ["http://a/b?c=1&d=2"]

@@ -3,7 +3,8 @@
 import pytest
 from compare import connect, differences
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from rowsmith.queries import all_oracles, all_queries
 
 
 @pytest.fixture(scope="module")
@@ -12,12 +13,12 @@ def con(small):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(all_queries()))
 def test_query(spark, small, con, name):
-    assert differences(queries()[name](spark, small), con, oracle_sql()[name]) == []
+    assert differences(all_queries()[name](spark, small), con, all_oracles()[name]) == []
 
 
 def test_entry_has_a_stable_schema(spark):

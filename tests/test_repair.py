@@ -118,3 +118,33 @@ def test_rules_ignore_unknown(spark):
     rules = [{"rule_id": "r", "validation_type": "range", "columns": ["n"], "predicate": "n > 0"}]
     rows = repair.rule_violations(toy(spark), "k", rules).collect()
     assert [(r.k, r.rule_id, r.confidence) for r in rows] == [(1, "r", 0.8)]
+
+
+def test_fixes_that_can_not_be_done_leave_the_table(spark):
+    df = spark.createDataFrame([(1, None, -(2**31)), (2, 5, 7), (3, 1, 2**31 - 1)], "k int, v int, n int")
+    wide = repair.fill_missing(df, "v", "3000000000")
+    assert wide.schema["v"].dataType.simpleString() == "bigint" and column(wide, "v") == [3000000000, 5, 1]
+    assert column(repair.fill_missing(df, "v", "nan"), "v") == [None, 5, 1]
+    assert column(repair.add_validation(df, "n"), "n") == [-(2**31), 7, 2**31 - 1]
+    plan = [
+        {"fix_type": "fill_missing", "target_column": "v", "new_values": ["nan"]},
+        {"fix_type": "fill_missing", "target_column": "v", "new_values": ["3000000000"]},
+        {"fix_type": "replace_values", "target_column": "v", "new_values": ["0"], "conditions": "v > 4 and v < 100"},
+        {"fix_type": "replace_values", "target_column": "v", "new_values": ["9"], "conditions": "all the odd ones"},
+        {"fix_type": "replace_values", "target_column": "v", "new_values": ["9"], "predicate": "nowhere > 1"},
+        {"fix_type": "recalculate_values", "target_column": "v", "formula": "absent + 1"},
+        {"fix_type": "recalculate_values", "target_column": "v", "formula": "v + k"},
+        {"fix_type": "polish", "target_column": "v"},
+        {"fix_type": "add_validation", "target_column": "n"},
+    ]
+    log = {r.step: (r.status, r.cells_changed) for r in repair.resolution_log(df, "t", plan).collect()}
+    assert [log[i][0] for i in range(9)] == [
+        "failed", "resolved", "resolved", "no_change", "error", "error", "resolved", "failed", "no_change",
+    ]
+    assert log[2][1] == 1 and column(repair.apply_fix_plan(df, plan), "v") == [3000000001, 2, 4]
+
+
+def test_audit_compares_null_keys(spark):
+    df = spark.createDataFrame([(None, 1), (2, 2)], "k int, v int")
+    row = repair.cell_changes(df, repair.with_column(df, "v", F.col("v") + 1), ["k"]).first()
+    assert (row.rows_compared, row.rows_gone, row.changed) == (2, 0, 2)

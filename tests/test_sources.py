@@ -17,17 +17,26 @@ def test_csv_types(spark, tmp_path):
         tmp_path / "t.csv",
         'i,b,d,x,n,t,s\n1,True,2024-01-02,,NA,"a ""q"", b",2024-01-02 03:04:05\n,,2024-02-03,,1.5,"two\nlines",\n3,false,,,2,null,\n',
     )
-    df = tables.read_table(spark, path)
+    df = tables.read_table(spark, path, multi_line=True)
     assert dict(df.dtypes) == {
         "i": "bigint", "b": "boolean", "d": "date", "x": "double", "n": "double", "t": "string", "s": "timestamp_ntz",
     }
     rows = df.collect()
     assert [r.i for r in rows] == [1, None, 3] and [r.n for r in rows] == [None, 1.5, 2.0]
     assert [r.t for r in rows] == ['a "q", b', "two\nlines", None]
-    forced = tables.read_table(spark, path, types={"i": "string", "n": "int"})
+    forced = tables.read_table(spark, path, types={"i": "string", "n": "int"}, multi_line=True)
     assert [r.i for r in forced.collect()] == ["1", None, "3"]
 
 
+def test_whole_numbers_keep_all_digits(spark, tmp_path):
+    ends = [-(2**63), 2**63 - 1, 1234567890123456789, 1234567890123456788]
+    lines = "".join(f"{n},{n}{i},{'9' * 38}\n" for i, n in enumerate(ends))
+    df = tables.read_table(spark, write(tmp_path / "n.csv", "i,j,k\n" + lines))
+    assert df.dtypes == [("i", "bigint"), ("j", "decimal(38,0)"), ("k", "decimal(38,0)")]
+    assert sorted(r.i for r in df.collect()) == sorted(ends)
+    assert sorted(int(r.j) for r in df.collect()) == sorted(int(f"{n}{i}") for i, n in enumerate(ends))
+
+
 def test_missing_file_and_folder(spark, tmp_path):
     assert tables.read_table(spark, str(tmp_path / "no.csv")) is None
     assert tables.load_tables(spark, str(tmp_path / "no")) == {}
