@@ -168,7 +168,7 @@ def quality_scores(
     """One score from 0 to 100 per table.
 
     stats may carry a domain column that selects a row of thresholds; external holds
-    (dataset_name, external_score) and counts 40 % where it has a number.
+    (dataset_name, external_score) and counts 40 % where it has a number. A table without rows has no score.
     """
     spark = issues.sparkSession
     weights = severity_weights(spark) if weights is None else weights
@@ -208,7 +208,7 @@ def quality_scores(
         "total_records",
         "missing_percentage",
         "duplicate_percentage",
-        F.greatest(F.lit(0.0), F.least(F.lit(100.0), blended)).alias("quality_score"),
+        F.when(F.col("total_records") > 0, F.greatest(F.lit(0.0), F.least(F.lit(100.0), blended))).alias("quality_score"),
     )
 
 
@@ -292,9 +292,9 @@ def first_critical(issues: DataFrame, n: int = 5) -> DataFrame:
 
 
 def fitness_labels(scores: DataFrame, bands=None) -> DataFrame:
-    """high, medium or low by score band."""
+    """high, medium or low by score band; null without a score."""
     label = None
     for name, lowest in FITNESS_BANDS if bands is None else bands:
         test = F.col("quality_score") >= lowest
         label = F.when(test, name) if label is None else label.when(test, name)
-    return scores.withColumn("fitness", label.otherwise("low"))
+    return scores.withColumn("fitness", label.when(F.col("quality_score").isNotNull(), "low"))

@@ -6,9 +6,12 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
 
+import pyarrow as pa
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowsmith.functions.columns import control_table
 from rowsmith.operators import flags, issues, profile
 from rowsmith.sources.shared import settled
 
@@ -17,14 +20,31 @@ def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def together(jobs: list[Callable[[], DataFrame]], at_once: int = 8) -> list[DataFrame]:
-    """Independent Spark jobs submitted side by side, so that one fills the gaps of another."""
+def together(jobs: list[Callable[[], DataFrame]], at_once: int = 8) -> list[DataFrame | PySparkException]:
+    """Independent Spark jobs submitted side by side, so that one fills the gaps of another; what a job that failed in
+    Spark has raised stands in its place."""
+
+    def outcome(job):
+        try:
+            return job()
+        except PySparkException as error:
+            return error
+
     with ThreadPoolExecutor(max(1, min(at_once, len(jobs)))) as pool:
-        return [f.result() for f in [pool.submit(job) for job in jobs]]
+        return [f.result() for f in [pool.submit(outcome, job) for job in jobs]]
 
 
 def detect(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """(issues, basic figures) of all tables.
+    """(issues, basic figures) of all tables; the first failure is raised."""
+    found, figures, failed = detect_each(tables)
+    if failed:
+        raise next(iter(failed.values()))
+    return found, figures
+
+
+def detect_each(tables: dict[str, DataFrame]) -> tuple[DataFrame | None, DataFrame | None, dict[str, PySparkException]]:
+    """(issues, basic figures, failures by table). A table that fails does not end the others; without any good table
+    there are no issues and figures.
 
     Figures and flags are settled: a few rows per table that scores, summaries and lists all start from, so
     the tables are profiled once however many of those are made.
@@ -32,19 +52,34 @@ def detect(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
     stats = [partial(lambda df, name: settled(profile.basic_stats(df, name)), df, name) for name, df in tables.items()]
     flagged = [partial(lambda df, name: settled(flags.column_flags(df, name)), df, name) for name, df in tables.items()]
     done = together(flagged + stats)
-    found, figures = union(done[: len(tables)]), union(done[len(tables) :])
-    return issues.issues_from_flags(found, figures), figures
+    pairs = dict(zip(tables, zip(done[: len(tables)], done[len(tables) :])))
+    failed = {name: next(x for x in pair if isinstance(x, PySparkException)) for name, pair in pairs.items() if any(isinstance(x, PySparkException) for x in pair)}
+    good = [pair for name, pair in pairs.items() if name not in failed]
+    if not good:
+        return None, None, failed
+    found, figures = (union(list(parts)) for parts in zip(*good))
+    return issues.issues_from_flags(found, figures), figures, failed
 
 
 def quality_report(tables: dict[str, DataFrame], external: DataFrame | None = None) -> DataFrame:
-    """One row per table: figures, score, fitness, issue counts and risk level."""
-    found, stats = detect(tables)
+    """One row per table: figures, score, fitness, issue counts and risk level, and why there is no score.
+
+    A table without rows has neither score nor risk; one that fails has its name and the error alone.
+    """
+    found, stats, failed = detect_each(tables)
+    if found is None:
+        raise next(iter(failed.values()))
     scores = issues.fitness_labels(issues.quality_scores(found, stats, external=external))
     counts = issues.severity_counts(found)
     rows = scores.join(counts, "dataset_name", "left").na.fill(0, [c for c in counts.columns if c != "dataset_name"])
-    return rows.withColumn(
-        "risk_level", issues.risk_of(F.col("critical_issues"), F.col("high_issues"), F.col("medium_issues"))
-    )
+    scored = F.col("quality_score").isNotNull()
+    risk = issues.risk_of(F.col("critical_issues"), F.col("high_issues"), F.col("medium_issues"))
+    rows = rows.withColumns({"risk_level": F.when(scored, risk), "score_reason": F.when(~scored, "no rows")})
+    if not failed:
+        return rows
+    errors = [(name, f"error: {str(error).splitlines()[0]}") for name, error in failed.items()]
+    table = control_table(rows.sparkSession, errors, dataset_name=pa.string(), score_reason=pa.string())
+    return rows.unionByName(table, allowMissingColumns=True)
 
 
 def analysis_documents(tables: dict[str, DataFrame], found: DataFrame, stats: DataFrame) -> DataFrame:

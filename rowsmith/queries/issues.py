@@ -314,6 +314,6 @@ ORACLES = {
   coalesce(total_issues, 0) AS total_issues, coalesce(critical_issues, 0) AS critical_issues,
   coalesce(high_issues, 0) AS high_issues, coalesce(medium_issues, 0) AS medium_issues,
   coalesce(low_issues, 0) AS low_issues, coalesce(other_issues, 0) AS other_issues,
-  coalesce(columns_with_issues, 0) AS columns_with_issues, {RISK} AS risk_level
+  coalesce(columns_with_issues, 0) AS columns_with_issues, {RISK} AS risk_level, CAST(NULL AS VARCHAR) AS score_reason
   FROM scores LEFT JOIN counts USING (dataset_name)""",
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rowsmith.operators import flags, profile
 from rowsmith.operators.quantiles import BINS, quantile_values
+from rowsmith.plans import quality
 from rowsmith.queries.views import orders_dirty
 
 
@@ -160,3 +161,17 @@ def test_profile_does_not_depend_on_row_order(spark, small):
 def test_top_values_pass_on_few_rows_per_task(spark, small):
     plan = profile.top_values(orders_dirty(spark, small), "o")._jdf.queryExecution().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_a_failing_and_an_empty_table_do_not_end_the_report(spark):
+    good = spark.createDataFrame([(1, None), (1, None), (2, "x")], "k int, t string")
+    bad = spark.range(3).select(F.raise_error(F.lit("broken")).cast("int").alias("v"))
+    rows = {r.dataset_name: r for r in quality.quality_report({"good": good, "none": good.limit(0), "bad": bad}).collect()}
+    assert rows["good"].quality_score is not None and rows["good"].duplicate_percentage > 33 and rows["good"].score_reason is None
+    assert rows["none"].quality_score is None and rows["none"].risk_level is None and rows["none"].score_reason == "no rows"
+    assert rows["bad"].quality_score is None and rows["bad"].score_reason.startswith("error: ")
+
+
+def test_digest_tells_null_from_value_and_place(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), (None, "a"), ("a", "a")], "x string, y string")
+    assert profile.basic_stats(df, "t").first().duplicate_rows == 1
