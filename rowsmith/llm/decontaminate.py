@@ -19,6 +19,8 @@ LETTERED = words.alphabet(bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B,
 HELD = 1 << 20
 MATCH, MISMATCH, GAP = 2, -1, 1
 FILTER_BITS = 22
+#: How many times as frequent as the item's median n-gram a seed may be.
+RARE = 4
 #: Cells of an alignment row over all pairs that are aligned together.
 CELLS = 1 << 16
 _PLACES = 1 << 24
@@ -156,8 +158,9 @@ def hashes_at(hashes: np.ndarray, begin: np.ndarray, width: int) -> np.ndarray:
 
 
 def seeded(docs: DataFrame, items: Items, n: int) -> Items:
-    """The block with each item's rarer n-grams only: those of which at most as many documents have them as have
-    the item's median n-gram. Documents are counted over the whole table, in partial sums for each slice."""
+    """The block with each item's rarer n-grams only: those that at most RARE times as many documents have as have the
+    item's median n-gram, of its n-grams that occur at all. Documents are counted over the whole table, in partial
+    sums for each task."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(unique), np.int64)
@@ -179,12 +182,13 @@ def seeded(docs: DataFrame, items: Items, n: int) -> Items:
     have = np.zeros(len(unique), np.int64)
     have[table.column("gram").to_numpy()] = table.column("docs").to_numpy()
     count = have[number]
-    order = np.lexsort((count, items.item))
-    sizes = np.bincount(items.item, minlength=len(items.item_id))
+    seen = np.flatnonzero(count)
+    order = seen[np.lexsort((count[seen], items.item[seen]))]
+    sizes = np.bincount(items.item[seen], minlength=len(items.item_id))
     middle = (np.cumsum(sizes) - sizes + (sizes - 1) // 2)[sizes > 0]
     limit = np.zeros(len(items.item_id), np.int64)
-    limit[sizes > 0] = count[order][middle]
-    keep = count <= limit[items.item]
+    limit[sizes > 0] = RARE * count[order][middle]
+    keep = (count > 0) & (count <= limit[items.item])
     return Items(items.item_id, items.words, items.before, items.grams[keep], items.item[keep], items.place[keep])
 
 

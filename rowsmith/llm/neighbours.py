@@ -65,7 +65,8 @@ def scan(queries: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, n
     """(query, point) pairs that may be among the k nearest: for each query, the points whose distance was completed
     and is no larger than the k-th such distance. Both sides are rotated.
 
-    The k points that are nearest by the first block are measured in full and give the first limit.
+    After each block the k points that are nearest so far are measured in full; their farthest is the limit of the
+    tests, as there are k points within it.
     """
     width, (many, size) = points.shape[1], (len(queries), len(points))
     k = min(k, size)
@@ -81,14 +82,14 @@ def scan(queries: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, n
         else:
             i, j = np.nonzero(alive)
             partial[i, j] += ((q[i] - p[j]) ** 2).sum(axis=1)
-        if at == 0:
-            seed = np.argpartition(partial, k - 1, axis=1)[:, :k]
-            limit = ((queries[:, None] - points[seed]) ** 2).sum(axis=2).max(axis=1)
+        here = np.where(alive, partial, np.inf)
         if stop < width:
+            first = np.argpartition(here, k - 1, axis=1)[:, :k]
+            limit = np.minimum(limit, ((queries[:, None] - points[first]) ** 2).sum(axis=2).max(axis=1))
             bound = limit * stop / width * (1 + EPSILON / np.sqrt(stop)) ** 2
-            alive &= partial <= bound[:, None] + 1e-9
         else:
-            alive &= partial <= limit[:, None] * (1 + 1e-9) + 1e-9
+            bound = np.partition(here, k - 1, axis=1)[:, k - 1]
+        alive &= partial <= bound[:, None] * (1 + 1e-9) + 1e-9
     return np.nonzero(alive)
 
 
