@@ -140,7 +140,8 @@ def repeated_lines(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
 def without_repeated_lines(docs: DataFrame, **settings) -> DataFrame:
     """The rows of docs, with all their columns, and text without the lines that repeated_lines() removes."""
     gone = repeated_lines(docs, **settings).filter("size(removed) > 0").select(F.col("doc_id").alias("_id"), F.col("removed").alias("_removed")).distinct()
-    rows = docs.join(gone, docs["doc_id"].cast("bigint") == gone["_id"], "left")
-    kept = F.filter(F.split("text", BREAK), lambda line, i: ~F.array_contains("_removed", i))
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return rows.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("_row")
+    rows = docs.select(row, F.col("doc_id").cast("bigint").alias("_doc")).join(gone, F.col("_doc") == F.col("_id"), "left")
+    kept = F.filter(F.split("_row.text", BREAK), lambda line, i: ~F.array_contains("_removed", i))
+    text = F.when(F.col("_removed").isNull(), F.col("_row.text")).otherwise(F.array_join(kept, "\n"))
+    return rows.select(*[(text if c == "text" else F.col("_row")[c]).alias(c) for c in docs.columns])

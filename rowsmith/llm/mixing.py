@@ -122,8 +122,10 @@ def curriculum(docs: DataFrame, seed: int = 1, schedules: tuple = SCHEDULES) ->
     places = placed.withColumn("_key", F.xxhash64(key, "tie"))
     places = places.groupBy("_key", "h", "tie").agg(F.collect_list("position").alias("_places"), (F.count_if(F.col("copy") == 0) > 1).alias("_several"))
     places = places.select("_key", F.col("h").alias("_h"), F.col("tie").alias("_tie"), "_places", "_several")
-    keyed = docs.withColumns({"_k": F.xxhash64(key, F.xxhash64("text")), "_i": F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), "_t": F.xxhash64("text")})
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("_row")
+    label = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    keyed = docs.select(row, F.xxhash64(key, F.xxhash64("text")).alias("_k"), label.alias("_i"), F.xxhash64("text").alias("_t"))
     joined = keyed.join(places, (F.col("_k") == F.col("_key")) & (F.col("_i") == F.col("_h")) & (F.col("_t") == F.col("_tie")))
     rows = joined.filter("not _several").unionByName(joined.filter("_several").dropDuplicates(["_key", "_h", "_tie"]))
     rows = rows.withColumn("_place", F.explode("_places"))
-    return rows.orderBy("_place", "_h", "_tie").select(*docs.columns)
+    return rows.orderBy("_place", "_h", "_tie").select("_row.*")
