@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from rowsmith.functions.columns import fixed
 from rowsmith.operators import repair
+from rowsmith.plans import quality
+from rowsmith.plans import repair as plans
 from rowsmith.queries.profiles import r4, rounded, union_all
 from rowsmith.queries.views import issue_responses, orders_dirty, part_dirty, table, with_views
 
@@ -156,6 +158,43 @@ def fix_plan_parse(spark, sf_dir):
     return repair.parse_fix_plan(answers).withColumn("new_values", F.array_join("new_values", ","))
 
 
+def repaired(spark, sf_dir):
+    """Dirty orders and parts, their issues by profile and by a report, and what the run makes of them."""
+    tables = {"orders_dirty": orders_dirty(spark, sf_dir), "part_dirty": part_dirty(spark, sf_dir)}
+    found = quality.detect(tables)[0].select("dataset_name", "category", "column", "description", "fix_priority")
+    reported = [
+        ("part_dirty", "consistency", "p_name", "padded names", 2),
+        ("part_dirty", "validity", "p_size", "Negative sizes", 3),
+        ("part_dirty", "validity", "p_brand", "odd brands", 3),
+        ("absent", "consistency", "x", "no such table", 1),
+    ]
+    return plans.repair_run(tables, found.unionByName(spark.createDataFrame(reported, found.schema)))
+
+
+def repair_run(spark, sf_dir):
+    log = repaired(spark, sf_dir)[1]
+    return log.select(
+        "dataset_name", F.col("step").cast("bigint").alias("step"), "fix_type", "target_column", "status", "cells_changed", "rows_removed"
+    )
+
+
+def repair_run_report(spark, sf_dir):
+    _, log, reports = repaired(spark, sf_dir)
+    return rounded(plans.collection_report(log, reports), "average_confidence")
+
+
+def repair_run_tables(spark, sf_dir):
+    """The repaired tables in figures."""
+    fixed_tables = repaired(spark, sf_dir)[0]
+    orders, parts = fixed_tables["orders_dirty"], fixed_tables["part_dirty"]
+    counts = orders.agg(F.count(F.lit(1)).alias("orders"), F.count_if(F.col("o_orderpriority").isNull()).alias("without_priority"))
+    return counts.select(
+        "*",
+        parts.agg(F.sum("p_size")).scalar().alias("sizes"),
+        parts.agg(F.count_if(F.startswith("p_name", F.lit(" ")))).scalar().alias("padded"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -174,6 +213,9 @@ QUERIES = {
         rule_violations,
         rule_findings,
         fix_plan_parse,
+        repair_run,
+        repair_run_report,
+        repair_run_tables,
     )
 }
 
@@ -287,4 +329,20 @@ ORACLES = {
   CAST(NULL AS VARCHAR) AS expected_outcome, CAST(NULL AS VARCHAR) AS medical_reasoning,
   CAST(CASE item_id % 4 WHEN 0 THEN 0.5 ELSE 0.8 END AS DOUBLE) AS confidence
   FROM benchmark WHERE item_id % 4 IN (0, 2)""",
+    "repair_run": with_views("orders_dirty", "part_dirty", "d AS (SELECT DISTINCT * FROM orders_dirty)")
+    + f"""SELECT 'orders_dirty' AS dataset_name, CAST(0 AS BIGINT) AS step, 'remove_duplicates' AS fix_type,
+  CAST(NULL AS VARCHAR) AS target_column, 'resolved' AS status, CAST(0 AS BIGINT) AS cells_changed,
+  (SELECT count(*) FROM orders_dirty) - (SELECT count(*) FROM d) AS rows_removed
+UNION ALL SELECT 'orders_dirty', 1, 'fill_missing', 'o_orderpriority', 'resolved', count(*), 0 FROM d WHERE o_orderpriority IS NULL
+UNION ALL SELECT 'part_dirty', 0, 'standardize_format', 'p_name', 'resolved', count(*), 0 FROM part_dirty
+  WHERE p_name <> {title_sql("p_name")}
+UNION ALL SELECT 'part_dirty', 1, 'add_validation', 'p_size', 'resolved', count(*), 0 FROM part_dirty WHERE p_size < 0""",
+    "repair_run_report": with_views("orders_dirty", "d AS (SELECT DISTINCT * FROM orders_dirty)")
+    + f"""SELECT CAST(2 AS BIGINT) AS tables, CAST(2 AS BIGINT) AS tables_enhanced, CAST(4 AS BIGINT) AS issues_addressed,
+  CAST(4 AS BIGINT) AS fixes_applied, CAST(0 AS BIGINT) AS fixes_without_effect, CAST(0 AS BIGINT) AS fixes_failed,
+  (SELECT count(*) FROM orders_dirty) - (SELECT count(*) FROM d) AS rows_removed,
+  {r4("(0.95 + 0.7 + 0.8 + 0.6) / 4")} AS average_confidence""",
+    "repair_run_tables": with_views("orders_dirty", "part_dirty")
+    + """SELECT (SELECT count(*) FROM (SELECT DISTINCT * FROM orders_dirty)) AS orders, CAST(0 AS BIGINT) AS without_priority,
+  (SELECT CAST(sum(abs(p_size)) AS BIGINT) FROM part_dirty) AS sizes, CAST(0 AS BIGINT) AS padded""",
 }
