@@ -16,6 +16,9 @@ from rowsmith.sources.shared import stored
 SHINGLE = 12
 PERCENT = 80
 BANDS, ROWS = 8, 2
+#: Coordinates that a pair must have in common to be compared in full: at the limit of similarity fewer have a chance of
+#: 2 in 100,000.
+AGREEING = 6
 #: Lines compared with one copy of a hub; a hub with more of them gets more copies.
 GROUP = 1024
 BREAK = "\r?\n"
@@ -40,7 +43,8 @@ def shingle_set(line: Column, size: int) -> Column:
 
 
 def line_keys(docs: DataFrame, size: int, bands: int, rows: int, seed: int) -> DataFrame:
-    """(id, d1, d2, times, keys): one row for each different line, with a key for each band.
+    """(id, d1, d2, times, keys, low): one row for each different line, with a key for each band and the lowest
+    byte of each coordinate.
 
     A coordinate is the least value over the line's shingles of their hash under one bijection of the 64-bit
     integers. The minima of equal lines are equal, so lines are grouped by digest in the same step, and a line that a
@@ -51,7 +55,25 @@ def line_keys(docs: DataFrame, size: int, bands: int, rows: int, seed: int) -> D
     least = [F.min(F.col("h").bitwiseXOR(F.xxhash64(F.lit(seed + i)))).alias(f"m{i}") for i in range(bands * rows)]
     signed = hashed.groupBy("d1", "d2").agg(F.sum("head").alias("times"), *least)
     keys = [F.xxhash64(F.lit(b), *[f"m{b * rows + r}" for r in range(rows)]) for b in range(bands)]
-    return stored(signed.select(F.monotonically_increasing_id().alias("id"), "d1", "d2", "times", F.array(*keys).alias("keys")), "line-keys")
+    low = [packed([f"m{i}" for i in range(part, min(part + 8, bands * rows))]).alias(f"low{part}") for part in range(0, bands * rows, 8)]
+    return stored(signed.select(F.monotonically_increasing_id().alias("id"), "d1", "d2", "times", F.array(*keys).alias("keys"), F.array(*low).alias("low")), "line-keys")
+
+
+def packed(columns: list[str]) -> Column:
+    """The lowest bytes of up to eight numbers in one."""
+    out = F.lit(0).cast("bigint")
+    for i, c in enumerate(columns):
+        out = out.bitwiseOR(F.shiftleft(F.col(c).bitwiseAND(F.lit(255)), 8 * i))
+    return out
+
+
+def agreeing(x: Column, y: Column, many: int) -> Column:
+    """How many of the packed bytes are equal."""
+    total = F.lit(0)
+    for i in range(many):
+        differ = F.shiftrightunsigned(x[i // 8].bitwiseXOR(y[i // 8]), 8 * (i % 8)).bitwiseAND(F.lit(255))
+        total = total + (differ == 0).cast("int")
+    return total
 
 
 def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -75,27 +97,34 @@ def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
 def alike_lines(docs: DataFrame, size: int, percent: int, bands: int, rows: int, seed: int) -> DataFrame:
     """(d1, d2, component) of the different lines that are linked with another one.
 
-    Each member of a bucket is compared with the line of the bucket that occurs most often. Where a bucket is not
-    one component then, lines outside its largest component are compared with those of other components with which
+    Each member of a bucket is compared with the line of the bucket that occurs most often; that is all there is to a
+    bucket of two. Where a larger bucket is not one component then, lines outside its largest component are compared with those of other components with which
     they share a shingle early enough in the order from rare to frequent, as any link needs."""
     keyed = line_keys(docs, size, bands, rows, seed)
     members = keyed.select("id", "times", F.explode("keys").alias("bucket")).repartition("bucket")
     often = F.max(F.struct("times", (-F.col("id")).alias("id")))["id"]
     hubs = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("many"), (-often).alias("hub")).filter("many > 1")
-    members = stored(members.join(hubs.select("bucket", "hub"), "bucket").select("bucket", "id", "hub"), "line-members")
+    members = stored(members.join(hubs, "bucket").select("bucket", "id", "hub", "many"), "line-members")
     needed = keyed.join(members.select("id").distinct(), "id", "left_semi").select("id", "d1", "d2")
     texts = lines_of(docs).select("d1", "d2", F.col("line").cast("binary").alias("line")).join(needed, ["d1", "d2"])
     texts = stored(texts.select("id", "line").dropDuplicates(["id"]), "line-texts")
 
-    pairs = stored(members.filter("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "line-pairs")
+    pairs = members.filter("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    low = keyed.select(F.col("id").alias("_id"), "low")
+    pairs = pairs.join(low.select(F.col("_id").alias("a"), F.col("low").alias("x")), "a")
+    pairs = pairs.join(low.select(F.col("_id").alias("b"), F.col("low").alias("y")), "b")
+    near = agreeing(F.col("x"), F.col("y"), bands * rows) >= AGREEING * bands * rows // 16
+    pairs = stored(pairs.filter(near).select("a", "b"), "line-pairs")
     links = linked(pairs, texts, size, percent)
     groups = components(links, "a", "b")
 
-    sized = texts.select(F.col("id").alias("rep"), F.size(shingle_set(F.col("line"), size)).cast("bigint").alias("size"))
+    opened = stored(open_members(members.filter("many > 2").select("bucket", F.col("id").alias("rep")), groups), "line-open")
+    wanted = opened.select(F.col("rep").alias("id")).distinct()
+    shingles = texts.join(wanted, "id", "left_semi").select(F.col("id").alias("rep"), F.explode(shingle_set(F.col("line"), size)).alias("shingle"))
+    shingles = stored(shingles, "line-shingles")
+    sized = shingles.groupBy("rep").agg(F.count(F.lit(1)).alias("size"))
     partner = F.ceil(F.col("size") * percent / 100).alias("partner")
-    opened = open_members(members.select("bucket", F.col("id").alias("rep")), groups)
     placed = stored(opened.join(sized, "rep").select("*", partner), "line-open")
-    shingles = texts.select(F.col("id").alias("rep"), F.explode(shingle_set(F.col("line"), size)).alias("shingle"))
     rest = stored(prefix_pairs(placed, shingles, percent), "line-pairs")
     if not rest.isEmpty():
         more = linked(rest, texts, size, percent)
