@@ -155,7 +155,9 @@ def fit(texts: pa.Array, labels: np.ndarray, seed: int = 1) -> bytes:
     whole = np.zeros(BUCKETS, np.float32)
     whole[used] = (linear[1] - linear[0]) @ table[:, 1:]
     out = io.BytesIO()
-    np.savez(out, grams=whole, bias=(bias[1] - bias[0])[0] - shift)
+    level = float((bias[1] - bias[0])[0] - shift)
+    clean = margin[(labels == 0) & np.isfinite(margin)] - shift if len(text) else np.zeros(0)
+    np.savez(out, grams=whole, bias=level, empty=min(level, float(np.median(clean))) if len(clean) else level)
     return out.getvalue()
 
 
@@ -208,7 +210,7 @@ def parting(margin: np.ndarray, toxic: np.ndarray) -> float:
 def scored(texts: pa.Array, model: dict) -> np.ndarray:
     """Score of each text. As the model is linear, a word's share in the logit is the mean of its n-grams' shares."""
     place, before, bucket, grams_before = subwords(*words.texts_of(texts))
-    logit = np.full(len(texts), float(model["bias"]))
+    logit = np.where(np.diff(before) > 0, float(model["bias"]), float(model["empty"]))
     if len(place):
         share = means(model["grams"][bucket].astype(np.float64), grams_before)
         slots, starts, text = passages(before)
@@ -239,7 +241,7 @@ def model_of(docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int = S
 
     row = rows.select("text", "label").mapInArrow(task, "model binary").first()
     if row is None:
-        return {"grams": np.zeros(BUCKETS, np.float32), "bias": 0.0}
+        return {"grams": np.zeros(BUCKETS, np.float32), "bias": 0.0, "empty": 0.0}
     with np.load(io.BytesIO(bytes(row[0]))) as file:
         return dict(file)
 
@@ -247,7 +249,7 @@ def model_of(docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int = S
 def scores(docs: DataFrame, labels: DataFrame, folds: int = 5, threshold: float = 0.5, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, held_out, score, predicted), one row per input row.
 
-    Only the texts are read for a score. Null and empty texts have the score of a passage without words. Null and
+    Only the texts are read for a score. Null and empty texts, and others without words, score like the median clean text. Null and
     repeated doc_ids are scored like others, a null one is held out. Other columns do not matter.
     """
     model = model_of(docs, labels, folds, sample)
