@@ -24,6 +24,8 @@ LIST = 256
 CHUNK = 2048
 #: Columns in the first block and each later one, and the width of the test in standard deviations.
 COLUMNS = 16
+#: Part of the neighbours that probing must reach on a sample, and the sampled queries it is measured with.
+SHARE, QUERIES = 0.97, 200
 EPSILON = 2.1
 ROUNDS = 8
 
@@ -56,6 +58,17 @@ def nearest_lists(vectors: np.ndarray, middle: np.ndarray, probes: int) -> np.nd
     return np.concatenate(out) if out else np.zeros((0, probes), np.int64)
 
 
+def probes_for(asked: np.ndarray, points: np.ndarray, middle: np.ndarray, k: int) -> int:
+    """How many lists a query must look into to find SHARE of its k nearest, by brute force over sampled points."""
+    own = nearest_lists(points, middle, 1)[:, 0]
+    order = nearest_lists(asked, middle, len(middle))
+    place = np.empty_like(order)
+    np.put_along_axis(place, order, np.broadcast_to(np.arange(len(middle)), order.shape), axis=1)
+    far = (points**2).sum(axis=1) - 2 * asked @ points.T
+    near = np.argsort(far, axis=1)[:, : k + 1]
+    return int(np.quantile(np.take_along_axis(place, own[near], axis=1), SHARE, method="higher")) + 1
+
+
 def rotation(size: int, seed: int) -> np.ndarray:
     q, r = np.linalg.qr(np.random.default_rng(seed).normal(size=(size, size)))
     return q * np.sign(np.diag(r))
@@ -94,12 +107,13 @@ def scan(queries: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, n
 
 
 def search(
-    vectors: DataFrame, k: int = 20, every: int = 20, probes: int = 24, seed: int = 1, id_column: str = "vec_id", column: str = "embedding"
+    vectors: DataFrame, k: int = 20, every: int = 20, probes: int | None = None, seed: int = 1, id_column: str = "vec_id", column: str = "embedding"
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id is divisible by `every`, its k nearest others.
 
     Nearest is the largest inner product of the original vectors in double precision, ties to the smaller id. A query
-    looks into its `probes` nearest lists. The lists' centres are fitted on at most SAMPLE distinct vectors; every
+    looks into its `probes` nearest lists; by default, as many as hold SHARE of the true neighbours of sampled queries
+    among sampled vectors, which lie farther off than those among all. The lists' centres are fitted on at most SAMPLE distinct vectors; every
     vector is in a list. Equal vectors are kept once, with their k + 1 smallest ids: no query can return more of
     them, so a vector that a third of all rows have is one point and, as a query, is searched once. Lists and their
     queries are compared in parts of bounded size, so a large list is shared by several tasks.
@@ -139,6 +153,7 @@ def _search(rows: DataFrame, width: int, k: int, every: int, probes: int, seed:
         return np.concatenate([v * scale[:, None], np.zeros((len(v), 1))], axis=1) @ turn
 
     middle = centres(lengthened(sample), max(1, round(many / LIST)), seed)
+    probes = probes or probes_for(asked(sample[:QUERIES]), lengthened(sample), middle, k)
 
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
