@@ -198,6 +198,9 @@ def _search(rows: DataFrame, width: int, k: int, every: int, probes: int, seed:
     listed = listed.select(*[F.col(c).alias(f"{c}_of_point") for c in keys], F.col("h").alias("h"), F.col("v").alias("v"))
     asking = asking.select(*[F.col(c).alias(c) for c in [*keys, "h", "v"]])
     found = asking.groupBy(*keys).cogroup(listed.groupBy(*[f"{c}_of_point" for c in keys])).applyInPandas(compared, "q string, p string, score double")
+    # Each point has an id, so only points that fewer than k + 1 points surpass can matter.
+    surpassed = F.rank().over(Window.partitionBy("q").orderBy(F.desc("score")))
+    found = found.withColumn("surpassed", surpassed).filter(F.col("surpassed") <= k + 1).drop("surpassed")
     best = found.join(point.select(F.col("h").alias("p"), F.explode("ids").alias("vec_id")), "p")
     nearest = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     best = best.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= k + 1)
