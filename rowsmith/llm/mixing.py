@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowsmith.sources.shared import stored
+from rowsmith.sources.shared import settled, stored
 
 WORDS = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -13,6 +13,8 @@ WEIGHTS = (5, 2, 1)
 #: Sources take these in turn, as they take the weights: early, even, late.
 SCHEDULES = ((1.5, 1.0, 0.5), (1.0, 1.0), (0.5, 1.0, 1.5))
 MOST = 3
+#: Bits of monotonically_increasing_id() that count the rows of a task.
+_ROWS = 33
 
 
 def targets(sizes: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -39,8 +41,8 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> Dat
 
 
 def ordered_sizes(docs: DataFrame, seed: int = 1) -> DataFrame:
-    """(doc_id, source, size, h, tie, before, source_size, turn, target): each row with the words of its source
-    that come before it in a repeatable random order.
+    """(doc_id, source, size, h, tie, part, nth, before, source_size, turn, target): each row with the words of its
+    source that come before it in a repeatable random order. Source, part and nth name a row.
 
     The running sums are in two steps: within ranges of (source, h), each a part of one task's rows, and over one
     row per source and range. A source that holds most rows is spread over as many ranges as the shuffle has.
@@ -54,8 +56,9 @@ def ordered_sizes(docs: DataFrame, seed: int = 1) -> DataFrame:
     )
     rows = stored(rows, "sizes")
     dealt = rows.repartitionByRange(F.col("source").asc_nulls_last(), "h", "tie").withColumn("part", F.spark_partition_id())
-    within = Window.partitionBy("part", "source").orderBy("h", "tie").rowsBetween(Window.unboundedPreceding, -1)
-    dealt = stored(dealt.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0))), "ranges")
+    within = Window.partitionBy("part", "source").orderBy("h", "tie")
+    inner = F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, -1))
+    dealt = stored(dealt.withColumns({"inner": F.coalesce(inner, F.lit(0)), "nth": F.row_number().over(within)}), "ranges")
     parts = dealt.groupBy("source", "part").agg(F.sum("size").alias("part_size"))
     ahead = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("outer", F.coalesce(F.sum("part_size").over(ahead), F.lit(0)))
@@ -64,7 +67,7 @@ def ordered_sizes(docs: DataFrame, seed: int = 1) -> DataFrame:
     figures = figures.select(F.col("p.source").alias("_source"), F.col("part").alias("_part"), "outer", "source_size", "turn", "target")
     joined = dealt.join(figures, (F.col("part") == F.col("_part")) & F.col("source").eqNullSafe(F.col("_source")))
     before = (F.col("inner") + F.col("outer")).alias("before")
-    return joined.select("doc_id", "source", "size", "h", "tie", before, "source_size", "turn", "target")
+    return joined.select("doc_id", "source", "size", "h", "tie", "part", "nth", before, "source_size", "turn", "target")
 
 
 def assignments(docs: DataFrame, seed: int = 1) -> DataFrame:
@@ -110,6 +113,37 @@ def positions(rows: DataFrame, schedules: tuple = SCHEDULES) -> DataFrame:
     return taken.withColumn("position", F.coalesce(position, F.lit(0.0)))
 
 
+def placed(rows: DataFrame, schedules: tuple = SCHEDULES) -> DataFrame:
+    """The copies of positions(), with place: how many copies come before it in training order.
+
+    Copies are sorted by ranges of position, ties as in curriculum(), and numbered within the task that writes them;
+    one count per task is added up over the whole. Those counts are broadcast: there is one for each written task.
+    """
+    order = ["position", "h", "tie", "copy"]
+    dealt = positions(rows, schedules).repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = stored(dealt.withColumn("_at", F.monotonically_increasing_id()), "places")
+    task = F.shiftright("_at", _ROWS)
+    counts = settled(dealt.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("many")))
+    ahead = F.sum("many").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select(F.col("_task").alias("_of"), F.coalesce(ahead, F.lit(0)).alias("_ahead"))
+    joined = dealt.join(F.broadcast(counts), task == F.col("_of"))
+    place = F.col("_ahead") + F.col("_at").bitwiseAND(F.lit((1 << _ROWS) - 1))
+    return joined.withColumn("place", place).drop("_at", "_of", "_ahead")
+
+
+def order_of(docs: DataFrame, seed: int = 1, schedules: tuple = SCHEDULES) -> DataFrame:
+    """(doc_id, source, size, copy, position, place): one row per copy taken. See placed() and assignments()."""
+    return placed(assignments(docs, seed), schedules).select("doc_id", "source", "size", "copy", "position", "place")
+
+
+def totals(docs: DataFrame, seed: int = 1, schedules: tuple = SCHEDULES) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, copies), one row per input row, counted in the training order."""
+    rows = assignments(docs, seed)
+    columns = ["doc_id", "size", "source_size", "target"]
+    counted = placed(rows, schedules).groupBy("source", "part", "nth", *columns).agg(F.sum("size").alias("taken"), F.count(F.lit(1)).alias("copies"))
+    return counted.select(*columns, "taken", "copies").unionByName(rows.filter("copies = 0").select(*columns, "taken", "copies"))
+
+
 def curriculum(docs: DataFrame, seed: int = 1, schedules: tuple = SCHEDULES) -> DataFrame:
     """The documents in training order, each as often as the mix takes it, with the columns of docs.
 

@@ -54,9 +54,12 @@ def op9_toxicity(spark, sf_dir):
     return toxicity.scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op10_curriculum(spark, sf_dir):
+    return mixing.order_of(documents(spark, sf_dir))
+
+
 def op10_mixing(spark, sf_dir):
-    mixed = mixing.assignments(documents(spark, sf_dir))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+    return mixing.totals(documents(spark, sf_dir))
 
 
 def op7_tokens(spark, sf_dir):
@@ -78,6 +81,7 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op10_curriculum": op10_curriculum,
     "pipeline": corpus_pipeline.run,
 }
 
