@@ -7,7 +7,8 @@ Each stage reads what its predecessor kept; all but the last return the columns
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowsmith.llm import decontaminate, minhash, mixing, tokens, toxicity
@@ -36,10 +37,23 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.curriculum(docs)
 
 
+def in_written_order(docs: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """The rows of docs as they lie in files, and columns that put them in the order they were written in: part
+    number, file and row. A frame that is not read from files is written first, which keeps the order of its rows."""
+    try:
+        docs.select("_metadata.file_name", "_metadata.row_index")
+    except AnalysisException:
+        docs = stored(docs, "ordered")
+    file = F.col("_metadata.file_name")
+    return docs, [F.regexp_extract(file, r"^part-(\d+)", 1).try_cast("bigint"), file, F.col("_metadata.row_index")]
+
+
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32): the documents as read back from the written token files."""
+    """(doc_id, start, n_tokens, ids_crc32): the documents as read back from the written token files, which hold them
+    in the order of the rows of docs."""
     path = new_path(spark, "tokens")
-    tokens.write_tokens(docs, path, TOKENIZER)
+    rows, order = in_written_order(docs)
+    tokens.write_tokens(rows, path, TOKENIZER, order=order)
     return tokens.read_tokens(spark, path, with_ids=False)
 
 

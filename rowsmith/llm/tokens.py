@@ -3,7 +3,7 @@
 The files are Parquet, so that Spark writes, commits and reads them on any store; a row is one segment, which
 holds whole documents in order (about SEGMENT ids; a longer document has a segment of its own):
 
-    shard, segment       place in the order: shards by doc_id, segments within their shard
+    shard, segment       place in the order (by doc_id if no other is asked for): shards, segments within their shard
     first                ids of the shard before this segment
     doc_ids, lengths     the documents of the segment and the number of ids of each
     block_starts         byte at which each block begins in the payload
@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
@@ -177,11 +177,11 @@ SEGMENTS = (
 )
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, percentile: int = PERCENTILE) -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, percentile: int = PERCENTILE, order: list[Column] | None = None) -> None:
     """Encode every text with the tokenizer file, end_id after each, and write the segments at path.
 
-    One shuffle deals the rows by ranges of doc_id; rows with equal doc_id are ordered, and if need be parted, by
-    their texts. A null or empty text is end_id alone; rows without doc_id come first. The tokenizer file must be
+    One shuffle deals the rows by ranges of `order`, columns of docs that say which document comes first, or else of
+    doc_id; rows with equal values are ordered, and if need be parted, by doc_id and text. A null or empty text is end_id alone; without `order`, rows without doc_id come first. The tokenizer file must be
     readable on the executors. Other columns of docs do not matter. Special tokens that occur in a text are
     read as the tokenizer reads them. An empty table writes no segment.
     """
@@ -218,9 +218,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, pe
         [("shard", pa.int32()), ("segment", pa.int32()), ("first", pa.int64()), ("n_tokens", pa.int64())]
         + [("doc_ids", lists), ("lengths", lists), ("block_starts", lists), ("payload", pa.binary())]
     )
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    ranks = {f"order{i}": column for i, column in enumerate(order or [])}
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *[c.alias(name) for name, c in ranks.items()])
     rows = rows.withColumn("tie", F.xxhash64("text"))
-    ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
+    by = [*ranks, "doc_id", "tie"]
+    ordered = rows.repartitionByRange(*by).sortWithinPartitions(*by).select("doc_id", "text")
     ordered.mapInArrow(task, SEGMENTS).write.parquet(path)
 
 

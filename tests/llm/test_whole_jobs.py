@@ -1,8 +1,12 @@
 """Whole jobs that a smaller one could pass for: training order, leaks beside many copies, recall on overfitted lists."""
 
+import bisect
+
 import numpy as np
 
+import corpus_pipeline
 from rowsmith.llm import mixing, registry
+from rowsmith.sources.shared import stored
 
 
 def words_given(schedule, time):
@@ -31,3 +35,14 @@ def test_op10_gives_every_copy_its_position_and_place(spark, small):
 def test_op10_counts_rows_that_are_equal(spark):
     docs = spark.createDataFrame([(1, "", "a"), (1, "", "a"), (1, "a b", "a"), (1, "a b", "a"), (None, None, None)], "doc_id bigint, text string, source string")
     assert sorted(map(str, mixing.totals(docs).collect())) == sorted(map(str, mixing.assignments(docs).select("doc_id", "size", "source_size", "target", "taken", "copies").collect()))
+
+
+def test_token_files_follow_the_curriculum(spark, small):
+    docs = registry.documents(spark, small)
+    order = [r.doc_id for r in mixing.curriculum(docs).select("doc_id").collect()]
+    assert order != sorted(order)
+    mixed = corpus_pipeline.mixed(spark, docs, small)
+    for rows in (stored(mixed, "mixed"), mixed):
+        found = sorted(corpus_pipeline.encoded(spark, rows, small).collect(), key=lambda r: r.start)
+        assert [r.doc_id for r in found] == order
+        assert bisect.bisect([r.start for r in found], 0) == 1
