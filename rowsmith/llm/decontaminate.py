@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words."""
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words."""
 
 from __future__ import annotations
 
@@ -19,8 +19,6 @@ LETTERED = words.alphabet(bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B,
 HELD = 1 << 20
 MATCH, MISMATCH, GAP = 2, -1, 1
 FILTER_BITS = 22
-#: How many times as frequent as the item's median n-gram a seed may be.
-RARE = 4
 #: Cells of an alignment row over all pairs that are aligned together.
 CELLS = 1 << 16
 _PLACES = 1 << 24
@@ -103,6 +101,14 @@ def align(items: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return best // _PLACES, _PLACES - 1 - best % _PLACES, last
 
 
+def shared_words(items: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """How many words of each item its text has anywhere: an alignment matches no more. Padded as for align()."""
+    total = np.zeros(len(items), np.int64)
+    for i in range(items.shape[1]):
+        total += (items[:, i : i + 1] == texts).any(axis=1)
+    return total
+
+
 def windows(item: np.ndarray, doc: np.ndarray, shift: np.ndarray, length: np.ndarray, low: np.ndarray, high: np.ndarray):
     """Stretches of text to align, from seeds: overlapping stretches of the same document and item are merged.
 
@@ -145,7 +151,9 @@ def matches(batch: pa.RecordBatch, items: Items, n: int, least: float):
         wide, long = int(width[some].max()), int(length[some].max())
         a = np.where(np.arange(long) < length[some][:, None], hashes_at(items.words, items.before[item[some]], long), 0)
         b = np.where(np.arange(wide) < width[some][:, None], hashes_at(hashes, begin[some], wide), 1)
-        out[some] = np.stack(align(a, b), axis=1)
+        able = shared_words(a, b) >= least * length[some]
+        if able.any():
+            out[some[able]] = np.stack(align(a[able], b[able]), axis=1)
         at += len(some)
     score = out[:, 0] / (MATCH * length)
     good = score >= least
@@ -157,47 +165,13 @@ def hashes_at(hashes: np.ndarray, begin: np.ndarray, width: int) -> np.ndarray:
     return hashes[np.minimum(begin[:, None] + np.arange(width), len(hashes) - 1)]
 
 
-def seeded(docs: DataFrame, items: Items, n: int) -> Items:
-    """The block with each item's rarer n-grams only: those that at most RARE times as many documents have as have the
-    item's median n-gram, of its n-grams that occur at all. Documents are counted over the whole table, in partial
-    sums for each task."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(unique), np.int64)
-        for whole in batches:
-            for batch in words.slices(whole):
-                hashes, before = words.word_hashes(*words.texts_of(batch.column("text")), LETTERED)
-                grams, _, rows = runs(hashes, before, n)
-                at, entry = items.hits(grams)
-                pair = np.unique(rows[at] * len(unique) + number[entry])
-                total += np.bincount(pair % len(unique), minlength=len(unique))
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["gram", "docs"])
-
-    unique, number = np.unique(items.grams, return_inverse=True)
-    if not len(unique):
-        return items
-    counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(task, "gram bigint, docs bigint")
-    table = counted.groupBy("gram").agg(F.sum("docs").alias("docs")).toArrow()
-    have = np.zeros(len(unique), np.int64)
-    have[table.column("gram").to_numpy()] = table.column("docs").to_numpy()
-    count = have[number]
-    seen = np.flatnonzero(count)
-    order = seen[np.lexsort((count[seen], items.item[seen]))]
-    sizes = np.bincount(items.item[seen], minlength=len(items.item_id))
-    middle = (np.cumsum(sizes) - sizes + (sizes - 1) // 2)[sizes > 0]
-    limit = np.zeros(len(items.item_id), np.int64)
-    limit[sizes > 0] = RARE * count[order][middle]
-    keep = (count > 0) & (count <= limit[items.item])
-    return Items(items.item_id, items.words, items.before, items.grams[keep], items.item[keep], items.place[keep])
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, least: float = 0.5) -> DataFrame:
     """(doc_id, item_id, score, seeds, first_word, last_word): the best aligned passage for each text and item whose
     score, as a part of the score of a whole and exact copy, is at least `least`. Words are numbered from 0.
 
-    A match adds 2, a word changed, added or left out costs 1. Only texts that share a rare n-gram with an item are
-    aligned, over the stretches of text that the n-grams point to. Items are held by the tasks in blocks of bounded
+    A match adds 2, a word changed, added or left out costs 1. Every n-gram of an item is a seed, however
+    often it occurs: texts that share one with an item are aligned, over the stretches that the n-grams point to.
+    Stretches that have too few of the item's words for the score, in any order, are not. Items are held by the tasks in blocks of bounded
     size, and all documents are read for each block, so neither side is shuffled and frequent passages stay where
     they are.
 
@@ -210,7 +184,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, least: float
     found = []
     for block in blocks(benchmark, n):
 
-        def task(batches: Iterator[pa.RecordBatch], items=seeded(docs, block, n)) -> Iterator[pa.RecordBatch]:
+        def task(batches: Iterator[pa.RecordBatch], items=block) -> Iterator[pa.RecordBatch]:
             for whole in batches:
                 for batch in words.slices(whole):
                     row, item, *figures = matches(batch, items, n, least)
@@ -230,7 +204,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, least: flo
     """The rows of docs, with all their columns, that contaminated() would not report."""
     for block in blocks(benchmark, n):
 
-        def task(batches: Iterator[pa.RecordBatch], items=seeded(docs, block, n)) -> Iterator[pa.RecordBatch]:
+        def task(batches: Iterator[pa.RecordBatch], items=block) -> Iterator[pa.RecordBatch]:
             for whole in batches:
                 for batch in words.slices(whole):
                     keep = np.ones(batch.num_rows, bool)

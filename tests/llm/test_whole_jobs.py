@@ -46,3 +46,19 @@ def test_token_files_follow_the_curriculum(spark, small):
         found = sorted(corpus_pipeline.encoded(spark, rows, small).collect(), key=lambda r: r.start)
         assert [r.doc_id for r in found] == order
         assert bisect.bisect([r.start for r in found], 0) == 1
+
+
+def test_equal_edited_copies_do_not_hide_each_other(spark):
+    from rowsmith.llm import decontaminate
+
+    rng = np.random.default_rng(2)
+    vocabulary = [f"w{n}" for n in range(400)]
+    exact = rng.choice(vocabulary, 40, replace=False)
+    edited = [("changed" if n % 4 == 3 else w) for n, w in enumerate(exact)]
+    for many in (5, 300):
+        docs = [(i, " ".join([*rng.choice(vocabulary, 40), *edited, *rng.choice(vocabulary, 40)])) for i in range(many)] + [(9000, " ".join(exact))]
+        frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+        items = spark.createDataFrame([(1, " ".join(exact))], "item_id bigint, text string")
+        found = {r.doc_id: r.score for r in decontaminate.contaminated(frame, items).collect()}
+        assert set(found) == {i for i, _ in docs} and found[0] >= 0.625 and found[9000] == 1.0
+        assert decontaminate.decontaminated(frame, items).count() == 0
