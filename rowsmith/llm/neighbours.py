@@ -58,15 +58,41 @@ def nearest_lists(vectors: np.ndarray, middle: np.ndarray, probes: int) -> np.nd
     return np.concatenate(out) if out else np.zeros((0, probes), np.int64)
 
 
-def probes_for(asked: np.ndarray, points: np.ndarray, middle: np.ndarray, k: int) -> int:
-    """How many lists a query must look into to find SHARE of its k nearest, by brute force over sampled points."""
-    own = nearest_lists(points, middle, 1)[:, 0]
+def probes_for(asked: np.ndarray, near: np.ndarray, middle: np.ndarray) -> int:
+    """How many lists the queries must look into to find SHARE of their nearest, given the list of each of these."""
     order = nearest_lists(asked, middle, len(middle))
     place = np.empty_like(order)
     np.put_along_axis(place, order, np.broadcast_to(np.arange(len(middle)), order.shape), axis=1)
-    far = (points**2).sum(axis=1) - 2 * asked @ points.T
-    near = np.argsort(far, axis=1)[:, : k + 1]
-    return int(np.quantile(np.take_along_axis(place, own[near], axis=1), SHARE, method="higher")) + 1
+    found = np.concatenate([place[q, lists] for q, lists in enumerate(near)])
+    return int(np.quantile(found, SHARE, method="higher")) + 1 if len(found) else 1
+
+
+def true_neighbours(listed: DataFrame, asked: np.ndarray, own: np.ndarray, k: int) -> list[np.ndarray]:
+    """The list of each of the k points, other than itself, with the largest inner product with each query, over all points.
+
+    Each task keeps k points a query, so that what is ranked afterwards follows the number of tasks."""
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        score, lists = np.full((len(asked), 0), -np.inf), np.zeros((len(asked), 0), np.int64)
+        for pdf in batches:
+            if len(pdf):
+                fresh = asked @ np.stack(pdf["v"]).T
+                self = names.get_indexer(pdf["h"])
+                fresh[self[self >= 0], np.flatnonzero(self >= 0)] = -np.inf
+                score = np.concatenate([score, fresh], axis=1)
+                lists = np.concatenate([lists, np.broadcast_to(pdf["list"].to_numpy(), fresh.shape)], axis=1)
+                best = np.argpartition(-score, min(k, score.shape[1]) - 1, axis=1)[:, :k]
+                score, lists = np.take_along_axis(score, best, axis=1), np.take_along_axis(lists, best, axis=1)
+        q = np.repeat(np.arange(len(asked)), score.shape[1])
+        out = pd.DataFrame({"q": q, "list": lists.reshape(-1), "score": score.reshape(-1)})
+        yield out[out["score"] > -np.inf]
+
+    names = pd.Index(own)
+    found = listed.mapInPandas(task, "q int, list bigint, score double")
+    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "list"))
+    best = found.withColumn("rank", rank).filter(F.col("rank") <= k).groupBy("q").agg(F.collect_list("list").alias("lists")).collect()
+    near = {r["q"]: np.array(r["lists"], np.int64) for r in best}
+    return [near.get(q, np.zeros(0, np.int64)) for q in range(len(asked))]
 
 
 def rotation(size: int, seed: int) -> np.ndarray:
@@ -112,9 +138,9 @@ def search(
     """(query_id, rank, vec_id, score): for each row whose id is divisible by `every`, its k nearest others.
 
     Nearest is the largest inner product of the original vectors in double precision, ties to the smaller id. A query
-    looks into its `probes` nearest lists; by default, as many as hold SHARE of the true neighbours of sampled queries
-    among sampled vectors, which lie farther off than those among all. The lists' centres are fitted on at most SAMPLE distinct vectors; every
-    vector is in a list. Equal vectors are kept once, with their k + 1 smallest ids: no query can return more of
+    looks into its `probes` nearest lists; by default, as many as hold SHARE of the true neighbours, among all vectors, of
+    QUERIES vectors. The lists' centres are fitted on at most SAMPLE distinct vectors, and those queries are not among
+    these where there are enough others; every vector is in a list. Equal vectors are kept once, with their k + 1 smallest ids: no query can return more of
     them, so a vector that a third of all rows have is one point and, as a query, is searched once. Lists and their
     queries are compared in parts of bounded size, so a large list is shared by several tasks.
 
@@ -153,7 +179,6 @@ def _search(rows: DataFrame, width: int, k: int, every: int, probes: int, seed:
         return np.concatenate([v * scale[:, None], np.zeros((len(v), 1))], axis=1) @ turn
 
     middle = centres(lengthened(sample), max(1, round(many / LIST)), seed)
-    probes = probes or probes_for(asked(sample[:QUERIES]), lengthened(sample), middle, k)
 
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -169,6 +194,12 @@ def _search(rows: DataFrame, width: int, k: int, every: int, probes: int, seed:
 
     fields = "list bigint, h string, v array<double>"
     listed = stored(point.select("h", "v").mapInPandas(placed, fields), "lists")
+    if not probes:
+        tried = listed.orderBy(F.desc("h")).select("h", "v").limit(QUERIES).toPandas()
+        trial = np.stack(tried["v"])
+        near = true_neighbours(listed, trial, tried["h"].to_numpy(), k)
+        probes = probes_for(asked(trial), near, middle)
+
     wanted = rows.filter(F.col("vec_id") % every == 0)
     asking = wanted.select("h").distinct().join(point.select("h", "v"), "h").mapInPandas(routed, fields)
     asking = stored(asking, "queries")

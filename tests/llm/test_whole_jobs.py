@@ -62,3 +62,21 @@ def test_equal_edited_copies_do_not_hide_each_other(spark):
         found = {r.doc_id: r.score for r in decontaminate.contaminated(frame, items).collect()}
         assert set(found) == {i for i, _ in docs} and found[0] >= 0.625 and found[9000] == 1.0
         assert decontaminate.decontaminated(frame, items).count() == 0
+
+
+def test_neighbours_reach_the_recall_with_as_many_lists_as_sampled_points(spark, monkeypatch):
+    from rowsmith.llm import neighbours
+
+    monkeypatch.setattr(neighbours, "SAMPLE", 200)
+    monkeypatch.setattr(neighbours, "LIST", 30)
+    matrix = np.random.default_rng(3).normal(size=(6000, 24))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(matrix)], "vec_id bigint, embedding array<double>")
+    hits, asked = 0, range(0, 6000, 20)
+    found = {q: set() for q in asked}
+    for r in neighbours.search(table).collect():
+        found[r.query_id].add(r.vec_id)
+    for q in asked:
+        score = matrix @ matrix[q]
+        score[q] = -np.inf
+        hits += len(set(np.argsort(-score)[:20].tolist()) & found[q])
+    assert hits >= 0.9 * 20 * len(asked)
