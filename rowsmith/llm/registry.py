@@ -33,10 +33,14 @@ def op3_lines(spark, sf_dir):
     return found.withColumn("removed", F.array_join(F.transform("removed", lambda i: i.cast("string")), ","))
 
 
-def op4_substrings(spark, sf_dir):
+def op4_passages(spark, sf_dir):
     return substrings.without_repeats(documents(spark, sf_dir))
 
 
+def op4_substrings(spark, sf_dir):
+    return substrings.without_repeats(documents(spark, sf_dir), extend=False)
+
+
 def op5_neighbours(spark, sf_dir):
     return neighbours.search(table(spark, sf_dir, "embeddings"))
 
@@ -74,14 +78,15 @@ QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_decontaminate": op2_decontaminate,
     "op3_lines": op3_lines,
+    "op4_passages": op4_passages,
     "op4_substrings": op4_substrings,
     "op5_neighbours": op5_neighbours,
     "op6_quality": op6_quality,
     "op7_tokens": op7_tokens,
     "op8_licenses": op8_licenses,
     "op9_toxicity": op9_toxicity,
-    "op10_mixing": op10_mixing,
     "op10_curriculum": op10_curriculum,
+    "op10_mixing": op10_mixing,
     "pipeline": corpus_pipeline.run,
 }
 

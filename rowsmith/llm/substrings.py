@@ -33,20 +33,26 @@ def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[words.Words, np.nd
     return table, first, np.searchsorted(first, table.before)
 
 
-def run_hashes(table: words.Words, first: np.ndarray, before: np.ndarray, run: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, row, sentence) of each run of `run` consecutive sentences of a row that has at least `least` words."""
+def run_hashes(table: words.Words, first: np.ndarray, before: np.ndarray, run: int, least: int, extend: bool) -> tuple[np.ndarray, ...]:
+    """(hash, row, sentence, sentences) of the runs of a row: from each sentence on, and up to each sentence, as many
+    consecutive sentences as it takes to have `least` words, `run` at least. Unless extend, only those of just `run`."""
     row = np.repeat(np.arange(len(before) - 1), np.diff(before))
-    start = np.arange(max(len(row) - run + 1, 0))
-    start = start[(row[start] == row[start + run - 1]) & (first[start + run] - first[start] >= least)] if len(start) else start
+    at = np.arange(len(row))
+    stop = np.maximum(np.searchsorted(first, first[at] + least), at + run)
+    begin = np.minimum(np.searchsorted(first, first[at + 1] - least, side="right") - 1, at + 1 - run)
+    onward, back = stop <= before[row + 1], begin >= before[row]
+    pairs = np.concatenate([np.stack([at, stop], axis=1)[onward], np.stack([begin, at + 1], axis=1)[back]])
+    start, stop = np.unique(pairs if extend else pairs[pairs[:, 1] - pairs[:, 0] == run], axis=0).T
     length = len(table.hashes) + 1
     base = words.BASE
     summed = np.concatenate([[np.uint64(0)], np.cumsum(table.hashes * words.powers(base, max(length, words.WINDOW + 1))[: len(table.hashes)])])
     inverse = words.powers(pow(base, -1, 1 << 64), max(length, words.WINDOW + 1))
-    begin, end = first[start], first[start + run]
-    return words.mix((summed[end] - summed[begin]) * inverse[begin] + (end - begin).astype(np.uint64)), row[start], start - before[row[start]]
+    begin, end = first[start], first[stop]
+    hashes = words.mix((summed[end] - summed[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
+    return hashes, row[start], start - before[row[start]], stop - start
 
 
-def repeated(docs: DataFrame, run: int = RUN, least: int = LEAST) -> DataFrame:
+def repeated(docs: DataFrame, run: int = RUN, least: int = LEAST, extend: bool = True) -> DataFrame:
     """(doc_id, removed): the sentences, numbered from 0, that a repeated run other than the run's first covers.
 
     The first run is that of the smallest doc_id, and in it the earliest. Runs meet by a 64-bit hash of their
@@ -59,26 +65,29 @@ def repeated(docs: DataFrame, run: int = RUN, least: int = LEAST) -> DataFrame:
         for whole in batches:
             for batch in words.slices(whole):
                 table, first, before = sentences(*words.texts_of(batch.column("text")))
-                hashes, row, place = run_hashes(table, first, before, run, least)
+                hashes, row, place, many = run_hashes(table, first, before, run, least, extend)
                 ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[row]
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(ids), pa.array(place)], ["run", "doc_id", "place"])
+                columns = [pa.array(hashes.view(np.int64)), pa.array(ids), pa.array(place), pa.array(many)]
+                yield pa.RecordBatch.from_arrays(columns, ["run", "doc_id", "place", "sentences"])
 
     rows = docs.filter(F.col("doc_id").isNotNull())
     rows = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    runs = rows.mapInArrow(task, "run bigint, doc_id bigint, place bigint")
+    runs = rows.mapInArrow(task, "run bigint, doc_id bigint, place bigint, sentences bigint")
     many = runs.groupBy("run").agg(F.count(F.lit(1)).alias("times"), F.min("doc_id").alias("first_doc")).filter("times > 1")
     found = stored(runs.join(many.select("run", "first_doc"), "run"), "runs")
     own = found.filter("doc_id = first_doc").groupBy("run").agg(F.min("place").alias("first_place"))
     later = found.join(own, "run").filter("doc_id != first_doc or place != first_place")
-    covered = later.select("doc_id", F.explode(F.sequence("place", F.col("place") + run - 1)).alias("sentence")).distinct()
+    covered = later.select("doc_id", F.explode(F.sequence("place", F.col("place") + F.col("sentences") - 1)).alias("sentence")).distinct()
     return covered.groupBy("doc_id").agg(F.sort_array(F.collect_list("sentence")).alias("removed"))
 
 
-def without_repeats(docs: DataFrame, run: int = RUN, least: int = LEAST) -> DataFrame:
+def without_repeats(docs: DataFrame, run: int = RUN, least: int = LEAST, extend: bool = True) -> DataFrame:
     """(doc_id, n_sentences, n_removed, text), one row per input row; text is what is left of it.
 
-    Sentences end after . ! ?, at line breaks and with the text. Every run of `run` consecutive sentences with at
-    least `least` words is looked up in the whole table, so a repeated stretch of any greater length is covered too.
+    Sentences end after . ! ?, at line breaks and with the text. From each sentence on and
+    up to each sentence, the run of as many sentences as have `least` words, `run` at least, is looked up in the whole
+    table, so every sentence of a repeated stretch of that length or any greater one is covered. Unless `extend`, only
+    runs of just `run` sentences are, and repeated passages of shorter sentences stay.
     Kept sentences keep the white space after them.
 
     Null texts stay null and empty ones empty, without sentences. Rows without doc_id are returned as they are and
@@ -109,5 +118,5 @@ def without_repeats(docs: DataFrame, run: int = RUN, least: int = LEAST) -> Data
                 )
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    joined = rows.join(repeated(docs, run, least), "doc_id", "left").select("doc_id", "text", "removed")
+    joined = rows.join(repeated(docs, run, least, extend), "doc_id", "left").select("doc_id", "text", "removed")
     return joined.mapInArrow(task, "doc_id bigint, n_sentences bigint, n_removed bigint, text string")

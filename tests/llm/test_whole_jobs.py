@@ -80,3 +80,18 @@ def test_neighbours_reach_the_recall_with_as_many_lists_as_sampled_points(spark,
         score[q] = -np.inf
         hits += len(set(np.argsort(-score)[:20].tolist()) & found[q])
     assert hits >= 0.9 * 20 * len(asked)
+
+
+def test_passages_of_short_lines_are_found_whole(spark):
+    from rowsmith.llm import substrings
+
+    rng = np.random.default_rng(4)
+    own = lambda: " ".join(f"u{n}" for n in rng.integers(0, 10**9, 30)) + "."
+    verse = "\n".join(" ".join(f"v{4 * n + i}" for i in range(4)) for n in range(12))
+    mixed = "\n".join(" ".join(f"m{20 * n + i}" for i in range(size)) for n, size in enumerate((12, 2, 3, 11, 8, 4, 3)))
+    docs = [(i, f"{own()}\n{passage}\n{own()}") for i, passage in enumerate([verse, mixed] * 10)]
+    found = substrings.without_repeats(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.n_removed for r in found} == {i: 0 if i < 2 else (12, 7)[i % 2] for i in range(20)}
+    for r in found:
+        kept = docs[r.doc_id][1].split("\n")
+        assert r.text.split("\n") == (kept if r.doc_id < 2 else [kept[0], kept[-1]])
