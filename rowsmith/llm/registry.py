@@ -6,7 +6,8 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import decontaminate, licenses, lines, minhash, mixing, neighbours, quality, substrings, tokens, toxicity
+from rowsmith.llm import decontaminate, licenses, lines, manifest, minhash, mixing, neighbours, quality, substrings, tokens, toxicity
+from rowsmith.llm.oracles import MANIFEST
 from rowsmith.sources.shared import new_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -74,6 +75,10 @@ def op7_tokens(spark, sf_dir):
     return tokens.read_tokens(spark, path, with_ids=False)
 
 
+def op11_manifest(spark, sf_dir):
+    return manifest.audited(documents(spark, sf_dir)).drop("proof", "tampered")
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_decontaminate": op2_decontaminate,
@@ -87,6 +92,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_curriculum": op10_curriculum,
     "op10_mixing": op10_mixing,
+    "op11_manifest": op11_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -129,4 +135,5 @@ ORACLES = {
             / nullif(source_size, 0)), 1), 0)::BIGINT AS copies
           FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
         SELECT *, copies * size AS taken FROM c""",
+    "op11_manifest": MANIFEST,
 }
