@@ -110,22 +110,26 @@ def descended(tiers_: list[DataFrame], crown: DataFrame, extra: list[str]) -> Da
     """The rows of the lowest tier with `proof`, the way from each to the top. crown: (tree, proof, extra columns), the way
     from each tree's top upwards."""
     known = None
-    place = F.col("row.slot").bitwiseAND(SLOTS - 1).cast("int")
 
-    def step(level: Column) -> Column:
-        at = F.call_function("shiftright", place, level)
-        right = at.bitwiseAND(1) == 1
-        return F.struct(right.alias("right"), F.get(F.get("levels", level), F.when(right, at - 1).otherwise(at + 1)).alias("sibling"))
+    def way(row: Column) -> Column:
+        place = row["slot"].bitwiseAND(SLOTS - 1).cast("int")
+
+        def step(level: Column) -> Column:
+            at = F.call_function("shiftright", place, level)
+            right = at.bitwiseAND(1) == 1
+            return F.struct(right.alias("right"), F.get(F.get("levels", level), F.when(right, at - 1).otherwise(at + 1)).alias("sibling"))
+
+        below_top = F.filter(F.sequence(F.lit(0), F.size("levels") - 1), lambda i: i < F.size("levels") - 1)
+        return F.struct(row.alias("row"), F.transform(below_top, step).alias("own"))
 
-    steps = F.filter(F.sequence(F.lit(0), F.size("levels") - 1), lambda i: i < F.size("levels") - 1)
-    own = F.transform(steps, step)
     for t in reversed(tiers_):
         tops = t.filter(F.col("total") <= SLOTS).join(crown, "tree")
         if known is not None:
             lower = t.filter(F.col("total") > SLOTS).join(known, ["tree", "block"])
             tops = tops.unionByName(lower)
-        rows = tops.select("tree", "proof", *extra, "levels", F.explode("rows").alias("row"))
-        rows = rows.select("tree", F.col("row.slot").alias("block"), F.concat(own, "proof").alias("proof"), *extra, "row")
+        # The levels stay behind: only a row's own way leaves its array.
+        rows = tops.select("tree", "proof", *extra, F.inline(F.transform("rows", way)))
+        rows = rows.select("tree", F.col("row.slot").alias("block"), F.concat("own", "proof").alias("proof"), *extra, "row")
         known = rows.drop("row")
     return rows.select("tree", "proof", *extra, "row.*")
 

@@ -6,8 +6,22 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import decontaminate, licenses, lines, manifest, minhash, mixing, neighbours, quality, substrings, tokens, toxicity
-from rowsmith.llm.oracles import MANIFEST
+from rowsmith.llm import (
+    decontaminate,
+    fingerprints,
+    licenses,
+    lines,
+    manifest,
+    minhash,
+    mixing,
+    neighbours,
+    oracles,
+    quality,
+    spelling,
+    substrings,
+    tokens,
+    toxicity,
+)
 from rowsmith.sources.shared import new_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -79,6 +93,14 @@ def op11_manifest(spark, sf_dir):
     return manifest.audited(documents(spark, sf_dir)).drop("proof", "tampered")
 
 
+def op12_spelling(spark, sf_dir):
+    return spelling.variants(spelling.shortened(spelling.runs(documents(spark, sf_dir))))
+
+
+def op13_fingerprints(spark, sf_dir):
+    return fingerprints.edited(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_decontaminate": op2_decontaminate,
@@ -93,6 +115,8 @@ QUERIES = {
     "op10_curriculum": op10_curriculum,
     "op10_mixing": op10_mixing,
     "op11_manifest": op11_manifest,
+    "op12_spelling": op12_spelling,
+    "op13_fingerprints": op13_fingerprints,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -135,5 +159,7 @@ ORACLES = {
             / nullif(source_size, 0)), 1), 0)::BIGINT AS copies
           FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
         SELECT *, copies * size AS taken FROM c""",
-    "op11_manifest": MANIFEST,
+    "op11_manifest": oracles.MANIFEST,
+    "op12_spelling": oracles.SPELLING,
+    "op13_fingerprints": oracles.fingerprints(fingerprints.K, fingerprints.WINDOW),
 }
