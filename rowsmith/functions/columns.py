@@ -113,6 +113,15 @@ def computed_once(df: DataFrame, keep: Sequence[str], **values: Column) -> DataF
     return df.select(*keep, F.inline(F.array(F.struct(*[v.alias(n) for n, v in values.items()]))))
 
 
+def outcome(value: Column) -> Column:
+    """What an expression gives on a row, as text that never raises: `=` and the value, `-` for null, and null where the
+    expression fails (division by zero, overflow, a cast of odd text).
+
+    It rests on try_to_binary, which turns whatever its argument raises into null."""
+    text = F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit("-"))
+    return F.try_to_binary(text, F.lit("utf-8")).cast("string")
+
+
 def quoted(text: str) -> str:
     """SQL string literal."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -202,7 +202,7 @@ def quality_scores(
             F.coalesce("duplicate_multiplier", F.lit(DUPLICATE_MULTIPLIER)),
         )
     )
-    blended = F.when(F.col("external_score").isNull(), base).otherwise(base * 0.6 + F.col("external_score") * 0.4)
+    blended = F.when(F.col("external_score").isNull() | F.isnan("external_score"), base).otherwise(base * 0.6 + F.col("external_score") * 0.4)
     return rows.select(
         "dataset_name",
         "total_records",

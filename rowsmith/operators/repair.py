@@ -3,11 +3,15 @@
 A fix is a dict with the fields of FIX_FIELDS. A plan is a short list of fixes: control data, held by the
 driver. Fixes on columns are expressions, so neighbouring ones melt into one projection over the scan; only
 the removal of duplicates shuffles.
+
+Steps are transactions: one with an expression that fails on any row (a zero divisor, an overflow, a cast of odd text) is
+an error and leaves the table as it was, and the steps after it see that table. Such steps are counted before they are
+taken, in an aggregate that can not fail; plans without formulas and predicates need none.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Container, Sequence
 from decimal import Decimal, InvalidOperation
 from functools import reduce
 
@@ -27,12 +31,14 @@ from rowsmith.functions.columns import (
     count_where,
     is_missing,
     known,
+    outcome,
     strip_space,
     title_case,
     type_class,
 )
 from rowsmith.operators.profile import modes
 from rowsmith.operators.quantiles import quantile_values
+from rowsmith.sources.shared import settled
 
 # The kinds of fix that an instruction may ask for.
 FIX_TYPES = [
@@ -50,6 +56,9 @@ FIX_SCHEMA = (
     " confidence:double, predicate:string, formula:string>"
 )
 PLAN_LIMIT = 10_000
+VIOLATION = (
+    "struct<rule_id:string, validation_type:string, columns_involved:string, severity:string, fix_suggestion:string, confidence:double>"
+)
 
 
 def with_column(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -112,9 +121,15 @@ def fill_missing(df: DataFrame, column: str, value) -> DataFrame:
 
 
 def replace_values(df: DataFrame, column: str, value, predicate: str | None = None) -> DataFrame:
-    """Fill missing values, or replace the values of the rows for which an SQL predicate holds."""
+    """Fill missing values, or replace the values of the rows for which an SQL predicate holds. A predicate that fails on
+    any row leaves the table as it is."""
     new = filled(df, column, value, F.expr(predicate) if predicate else None)
-    return df if new is None else with_column(df, column, new)
+    return df if new is None or (predicate and fails(df, new)) else with_column(df, column, new)
+
+
+def fails(df: DataFrame, value: Column) -> bool:
+    """Whether an expression fails on any row; one aggregate."""
+    return df.agg(count_where(outcome(value).isNull())).first()[0] > 0
 
 
 def remove_duplicates(df: DataFrame) -> DataFrame:
@@ -145,8 +160,10 @@ def absolute(df: DataFrame, column: str) -> Column:
 
 
 def recalculate(df: DataFrame, column: str, formula: str) -> DataFrame:
-    """Replace a column by an SQL expression over the row, in the type of the column."""
-    return with_column(df, column, F.expr(formula).cast(df.schema[column].dataType))
+    """Replace a column by an SQL expression over the row, in the type of the column. A formula that fails on any row leaves
+    the table as it is."""
+    new = F.expr(formula).cast(df.schema[column].dataType)
+    return df if fails(df, new) else with_column(df, column, new)
 
 
 def center(df: DataFrame, column: str, method: str) -> Column:
@@ -261,10 +278,18 @@ def step(df: DataFrame, fix: dict) -> tuple[DataFrame, str | None]:
     return (df, status) if new is None else (with_column(df, fix["target_column"], new), None)
 
 
+def can_fail(fix: dict) -> bool:
+    """Whether a fix evaluates an expression of its author on the rows."""
+    kind = fix.get("fix_type")
+    return bool(kind == "recalculate_values" and fix.get("formula") or kind == "replace_values" and (fix.get("predicate") or fix.get("conditions")))
+
+
 def apply_fix_plan(df: DataFrame, plan: Sequence[dict]) -> DataFrame:
-    """All fixes in order, each on the result of the one before."""
-    for fix in plan:
-        df, _ = step(df, fix)
+    """All fixes in order, each on the result of the one before, without the steps that fail."""
+    errors = outcomes(df, plan)[1] if any(map(can_fail, plan)) else {}
+    for i, fix in enumerate(plan):
+        if i not in errors:
+            df, _ = step(df, fix)
     return df
 
 
@@ -276,33 +301,34 @@ def plan_rows(plan: DataFrame) -> list[dict]:
     return [r.asDict(recursive=True) for r in rows]
 
 
-def resolution_log(df: DataFrame, name: str, plan: Sequence[dict]) -> DataFrame:
-    """One row per fix: status, cells changed, rows removed, explanation, confidence.
+def traced(df: DataFrame, plan: Sequence[dict], skipped: Container[int]) -> tuple[DataFrame, dict[int, str]]:
+    """(step, cells_changed, rows_removed, rows_failed) of the steps that data decides, and the status of the others.
 
     Every fix marks the cells it changes on the row itself, so all fixes between two removals of duplicates
-    are counted in one scan and nothing is joined.
-    """
+    are counted in one scan and nothing is joined. A row on which a step fails keeps its value."""
     data = list(df.columns)
     current, marks, parts, fixed_status = df, [], [], {}
     opened_by = None
 
     def close(frame, closed_by):
-        wide = frame.agg(
-            F.count(F.lit(1)).alias("rows"), *[count_where(F.col(f"_mark_{i}")).alias(f"n_{i}") for i in marks]
-        )
-        rows = [
-            F.struct(F.lit(i).alias("step"), F.col(f"n_{i}").alias("cells"), F.lit(0).cast("bigint").alias("removed"))
-            for i in marks
-        ]
-        zero = F.lit(0).cast("bigint").alias("cells")
+        counts = [count_where(F.col(f"_mark_{i}") == mark).alias(f"{field}_{i}") for i in marks for mark, field in ((1, "n"), (2, "bad"))]
+        wide = frame.agg(F.count(F.lit(1)).alias("rows"), *counts)
+        zero = F.lit(0).cast("bigint")
+
+        def entry(i, cells=zero, removed=zero, failed=zero):
+            return F.struct(F.lit(i).alias("step"), cells.alias("cells"), removed.alias("removed"), failed.alias("failed"))
+
+        rows = [entry(i, cells=F.col(f"n_{i}"), failed=F.col(f"bad_{i}")) for i in marks]
         if closed_by is not None:
-            rows.append(F.struct(F.lit(closed_by).alias("step"), zero, F.col("rows").alias("removed")))
+            rows.append(entry(closed_by, removed=F.col("rows")))
         if opened_by is not None:
-            rows.append(F.struct(F.lit(opened_by).alias("step"), zero, (-F.col("rows")).alias("removed")))
+            rows.append(entry(opened_by, removed=-F.col("rows")))
         if rows:
             parts.append(wide.select(F.inline(F.array(*rows))))
 
     for i, fix in enumerate(plan):
+        if i in skipped:
+            continue
         plain = current.select(*[col(c) for c in data])
         if fix.get("fix_type") == "remove_duplicates":
             close(current, i)
@@ -315,13 +341,47 @@ def resolution_log(df: DataFrame, name: str, plan: Sequence[dict]) -> DataFrame:
         target = fix["target_column"]
         before = f"_before_{i}"
         kept = [f"_mark_{m}" for m in marks]
+        good = F.lit(True)
+        if can_fail(fix):
+            new_type = plain.select(new.alias("new")).schema["new"].dataType
+            current = computed_once(current, [*map(col, data), *kept], _good=outcome(new).isNotNull())
+            good = F.col("_good")
+            new = F.when(good, new).otherwise(col(target).cast(new_type))
         # The old value rides along for one projection to be compared with the new one.
-        wide = current.select(*[(new if c == target else col(c)).alias(c) for c in data], col(target).alias(before), *kept)
+        wide = current.select(*[(new if c == target else col(c)).alias(c) for c in data], col(target).alias(before), good.alias("_good"), *kept)
         differs = ~col(target).eqNullSafe(F.col(before).cast(wide.schema[target].dataType))
-        current = wide.select(*[col(c) for c in data], *kept, differs.alias(f"_mark_{i}"))
+        mark = F.when(~F.col("_good"), 2).when(differs, 1).otherwise(0)
+        current = wide.select(*[col(c) for c in data], *kept, mark.alias(f"_mark_{i}"))
         marks = [*marks, i]
     close(current, None)
+    if parts:
+        done = reduce(DataFrame.unionByName, parts)
+    else:
+        done = df.sparkSession.createDataFrame([], "step int, cells bigint, removed bigint, failed bigint")
+    sums = [F.sum("cells").alias("cells_changed"), F.sum("removed").alias("rows_removed"), F.sum("failed").alias("rows_failed")]
+    return done.groupBy("step").agg(*sums), fixed_status
+
+
+def outcomes(df: DataFrame, plan: Sequence[dict]) -> tuple[DataFrame, dict[int, int], dict[int, str]]:
+    """(what each step did, rows that each failing step fails on, status of the steps that data does not decide).
 
+    The steps are counted together as if none failed. If one does, what later steps saw is not what they will see: the first
+    that failed is left out, and they are counted again, so there is one scan more for each step that fails."""
+    failed: dict[int, int] = {}
+    while True:
+        done, fixed_status = traced(df, plan, failed)
+        if not any(can_fail(fix) for i, fix in enumerate(plan) if i not in failed):
+            return done, failed, fixed_status
+        done = settled(done)
+        first = done.filter("rows_failed > 0").orderBy("step").select("step", "rows_failed").first()
+        if first is None:
+            return done, failed, fixed_status
+        failed[first["step"]] = first["rows_failed"]
+
+
+def resolution_log(df: DataFrame, name: str, plan: Sequence[dict]) -> DataFrame:
+    """One row per fix: status, cells changed, rows removed, rows it fails on, explanation, confidence."""
+    done, failed, fixed_status = outcomes(df, plan)
     steps = control_table(
         df.sparkSession,
         [
@@ -334,7 +394,8 @@ def resolution_log(df: DataFrame, name: str, plan: Sequence[dict]) -> DataFrame:
                 f.get("fix_logic") or "",
                 f.get("medical_reasoning") or "",
                 DEFAULT_CONFIDENCE if f.get("confidence") is None else float(f["confidence"]),
-                fixed_status.get(i),
+                "error" if i in failed else fixed_status.get(i),
+                failed.get(i, 0),
             )
             for i, f in enumerate(plan)
         ],
@@ -347,15 +408,11 @@ def resolution_log(df: DataFrame, name: str, plan: Sequence[dict]) -> DataFrame:
         reason=pa.string(),
         confidence=pa.float64(),
         fixed_status=pa.string(),
+        rows_failed=pa.int64(),
     )
-    if parts:
-        done = reduce(DataFrame.unionByName, parts)
-    else:
-        done = df.sparkSession.createDataFrame([], "step int, cells bigint, removed bigint")
-    sums = done.groupBy("step").agg(F.sum("cells").alias("cells_changed"), F.sum("removed").alias("rows_removed"))
     effect = F.col("cells_changed") + F.col("rows_removed")
     return (
-        steps.join(sums, "step", "left")
+        steps.join(done.drop("rows_failed"), "step", "left")
         .na.fill(0, ["cells_changed", "rows_removed"])
         .withColumn(
             "status", F.coalesce("fixed_status", F.when(effect > 0, "resolved").otherwise("no_change"))
@@ -433,15 +490,22 @@ def cell_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Da
     return wide.select("rows_compared", "rows_gone", "rows_unclear", F.inline(F.array(*rows)))
 
 
+def resolved(df: DataFrame, rule: dict) -> bool:
+    """Whether a rule's predicate reads as a condition over the table."""
+    try:
+        return condition_of(df, {"predicate": rule["predicate"]}) is not None
+    except AnalysisException:
+        return False
+
+
 def rule_violations(df: DataFrame, key: str, rules: Sequence[dict]) -> DataFrame:
     """One row per row and broken rule; nothing is repaired.
 
     A rule has rule_id, validation_type, columns, predicate (what valid rows satisfy), and optionally
-    severity, suggestion, confidence.
-    """
+    severity, suggestion, confidence. A row that a predicate fails on breaks no rule; see rule_errors."""
     checks = [
         F.when(
-            ~F.expr(r["predicate"]),
+            outcome(F.expr(r["predicate"])) == "=false",
             F.struct(
                 F.lit(r["rule_id"]).alias("rule_id"),
                 F.lit(r["validation_type"]).alias("validation_type"),
@@ -452,8 +516,23 @@ def rule_violations(df: DataFrame, key: str, rules: Sequence[dict]) -> DataFrame
             ),
         )
         for r in rules
+        if resolved(df, r)
     ]
-    return df.select(col(key), F.inline(F.array_compact(F.array(*checks))))
+    found = F.array_compact(F.array(*checks)) if checks else F.expr(f"CAST(array() AS ARRAY<{VIOLATION}>)")
+    return df.select(col(key), F.inline(found))
+
+
+def rule_errors(df: DataFrame, key: str, rules: Sequence[dict]) -> DataFrame:
+    """One row per rule that can not be checked: `unresolved` over the table, or `fails` on some of its rows, with their
+    number and the smallest and largest key among them. All rules are tried in one scan."""
+    good = [r for r in rules if resolved(df, r)]
+    marks = [F.when(outcome(F.expr(r["predicate"])).isNull(), F.lit(r["rule_id"])) for r in good]
+    tried = df.select(col(key).alias("_key"), F.explode(F.array_compact(F.array(*marks, F.lit(None).cast("string")))).alias("rule_id"))
+    counts = [F.count(F.lit(1)).alias("failed_rows"), F.min("_key").alias("first_key"), F.max("_key").alias("last_key")]
+    failing = tried.groupBy("rule_id").agg(*counts).withColumn("reason", F.lit("fails"))
+    bad = control_table(df.sparkSession, [(r["rule_id"], 0, "unresolved") for r in rules if r not in good], rule_id=pa.string(), failed_rows=pa.int64(), reason=pa.string())
+    about = control_table(df.sparkSession, [(r["rule_id"], r["validation_type"], r["predicate"]) for r in rules], rule_id=pa.string(), validation_type=pa.string(), predicate=pa.string())
+    return about.join(failing.unionByName(bad, allowMissingColumns=True), "rule_id")
 
 
 def rule_findings(df: DataFrame, key: str, rules: Sequence[dict]) -> DataFrame:

@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,20 +21,33 @@ def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def together(jobs: list[Callable[[], DataFrame]], at_once: int = 8) -> list[DataFrame | PySparkException]:
+#: What a job that reads a broken table raises: an error that PySpark knows, or one of the JVM, as for a damaged file.
+FAILURES = (PySparkException, Py4JJavaError)
+
+
+def together(jobs: list[Callable[[], DataFrame]], at_once: int = 8) -> list[DataFrame | Exception]:
     """Independent Spark jobs submitted side by side, so that one fills the gaps of another; what a job that failed in
     Spark has raised stands in its place."""
 
     def outcome(job):
         try:
             return job()
-        except PySparkException as error:
+        except FAILURES as error:
             return error
 
     with ThreadPoolExecutor(max(1, min(at_once, len(jobs)))) as pool:
         return [f.result() for f in [pool.submit(outcome, job) for job in jobs]]
 
 
+def reason_of(error: Exception) -> str:
+    """A failure in one line: the first of its message, or the condition or class of an error of the JVM."""
+    if isinstance(error, PySparkException):
+        return f"error: {str(error).splitlines()[0]}"
+    raised = error.java_exception
+    condition = raised.getCondition() if hasattr(raised, "getCondition") else None
+    return f"error: {condition or raised.getClass().getSimpleName()}"
+
+
 def detect(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
     """(issues, basic figures) of all tables; the first failure is raised."""
     found, figures, failed = detect_each(tables)
@@ -42,7 +56,7 @@ def detect(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
     return found, figures
 
 
-def detect_each(tables: dict[str, DataFrame]) -> tuple[DataFrame | None, DataFrame | None, dict[str, PySparkException]]:
+def detect_each(tables: dict[str, DataFrame]) -> tuple[DataFrame | None, DataFrame | None, dict[str, Exception]]:
     """(issues, basic figures, failures by table). A table that fails does not end the others; without any good table
     there are no issues and figures.
 
@@ -53,7 +67,7 @@ def detect_each(tables: dict[str, DataFrame]) -> tuple[DataFrame | None, DataFra
     flagged = [partial(lambda df, name: settled(flags.column_flags(df, name)), df, name) for name, df in tables.items()]
     done = together(flagged + stats)
     pairs = dict(zip(tables, zip(done[: len(tables)], done[len(tables) :])))
-    failed = {name: next(x for x in pair if isinstance(x, PySparkException)) for name, pair in pairs.items() if any(isinstance(x, PySparkException) for x in pair)}
+    failed = {name: next(x for x in pair if isinstance(x, FAILURES)) for name, pair in pairs.items() if any(isinstance(x, FAILURES) for x in pair)}
     good = [pair for name, pair in pairs.items() if name not in failed]
     if not good:
         return None, None, failed
@@ -68,7 +82,10 @@ def quality_report(tables: dict[str, DataFrame], external: DataFrame | None = No
     """
     found, stats, failed = detect_each(tables)
     if found is None:
-        raise next(iter(failed.values()))
+        # A table without columns and rows gives the report's columns.
+        spark = next(iter(tables.values())).sparkSession
+        found, stats = detect({"": spark.createDataFrame([], "none int")})
+        stats = stats.limit(0)
     scores = issues.fitness_labels(issues.quality_scores(found, stats, external=external))
     counts = issues.severity_counts(found)
     rows = scores.join(counts, "dataset_name", "left").na.fill(0, [c for c in counts.columns if c != "dataset_name"])
@@ -77,7 +94,7 @@ def quality_report(tables: dict[str, DataFrame], external: DataFrame | None = No
     rows = rows.withColumns({"risk_level": F.when(scored, risk), "score_reason": F.when(~scored, "no rows")})
     if not failed:
         return rows
-    errors = [(name, f"error: {str(error).splitlines()[0]}") for name, error in failed.items()]
+    errors = [(name, reason_of(error)) for name, error in failed.items()]
     table = control_table(rows.sparkSession, errors, dataset_name=pa.string(), score_reason=pa.string())
     return rows.unionByName(table, allowMissingColumns=True)
 

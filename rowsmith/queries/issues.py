@@ -16,6 +16,7 @@ from rowsmith.queries.profiles import (
     union_all,
 )
 from rowsmith.queries.views import issue_responses, orders_dirty, table, with_views
+from rowsmith.sources.shared import new_path
 
 
 def checked_tables(spark, sf_dir):
@@ -125,6 +126,34 @@ def quality_report(spark, sf_dir):
     return rounded(report, "missing_percentage", "duplicate_percentage", "quality_score")
 
 
+#: The condition in the message of an error, or another reason.
+REASON = "([A-Z][A-Z_]+[A-Z]|no rows)"
+
+
+def damaged(spark, sf_dir):
+    """Regions in a file that is no Parquet, read as if it were."""
+    path = new_path(spark, "damaged")
+    table(spark, sf_dir, "region").select(F.concat(F.lit("PAR1"), "r_name").alias("value")).write.text(path)
+    return spark.read.schema("r_regionkey int, r_name string").parquet(path)
+
+
+def quality_report_failing(spark, sf_dir):
+    """The report over tables of which one can not be read, one fails on its rows, and one has none."""
+    tables = checked_tables(spark, sf_dir) | {
+        "damaged": damaged(spark, sf_dir),
+        "odd_text": table(spark, sf_dir, "orders").select(F.col("o_orderpriority").cast("int").alias("number")),
+        "none": table(spark, sf_dir, "nation").limit(0),
+    }
+    report = rounded(quality.quality_report(tables), "missing_percentage", "duplicate_percentage", "quality_score")
+    return report.withColumn("score_reason", F.regexp_extract("score_reason", REASON, 1))
+
+
+def quality_report_all_failing(spark, sf_dir):
+    """The report where no table can be read: a row with the reason for each."""
+    report = quality.quality_report({name: damaged(spark, sf_dir) for name in ("first", "second")})
+    return report.withColumn("score_reason", F.regexp_extract("score_reason", REASON, 1))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -142,6 +171,8 @@ QUERIES = {
         first_critical,
         fitness_label,
         quality_report,
+        quality_report_failing,
+        quality_report_all_failing,
     )
 }
 
@@ -252,6 +283,17 @@ ISSUE_COLUMNS = f"""dataset_name, "column", severity, category, description,
 SCORE_COLUMNS = f"""dataset_name, total_records, {r4("missing_percentage")} AS missing_percentage,
   {r4("duplicate_percentage")} AS duplicate_percentage, {r4("quality_score")} AS quality_score"""
 
+REPORT_SQL = (
+    with_views(*BASE, SCORES_SQL, COUNTS_SQL)
+    + f"""SELECT {SCORE_COLUMNS},
+  CASE WHEN quality_score >= 75 THEN 'high' WHEN quality_score >= 50 THEN 'medium' ELSE 'low' END AS fitness,
+  coalesce(total_issues, 0) AS total_issues, coalesce(critical_issues, 0) AS critical_issues,
+  coalesce(high_issues, 0) AS high_issues, coalesce(medium_issues, 0) AS medium_issues,
+  coalesce(low_issues, 0) AS low_issues, coalesce(other_issues, 0) AS other_issues,
+  coalesce(columns_with_issues, 0) AS columns_with_issues, {RISK} AS risk_level, CAST(NULL AS VARCHAR) AS score_reason
+  FROM scores LEFT JOIN counts USING (dataset_name)"""
+)
+
 ORACLES = {
     "issues_detect": with_views(*BASE) + f"SELECT {ISSUE_COLUMNS} FROM issues",
     "issues_parse": with_views("orders_dirty", "issue_responses", "n AS (SELECT count(*) AS total FROM orders_dirty)")
@@ -308,12 +350,13 @@ ORACLES = {
     "fitness_label": with_views(*BASE, SCORES_SQL)
     + """SELECT dataset_name, CASE WHEN quality_score >= 75 THEN 'high' WHEN quality_score >= 50 THEN 'medium'
   ELSE 'low' END AS fitness FROM scores""",
-    "quality_report": with_views(*BASE, SCORES_SQL, COUNTS_SQL)
-    + f"""SELECT {SCORE_COLUMNS},
-  CASE WHEN quality_score >= 75 THEN 'high' WHEN quality_score >= 50 THEN 'medium' ELSE 'low' END AS fitness,
-  coalesce(total_issues, 0) AS total_issues, coalesce(critical_issues, 0) AS critical_issues,
-  coalesce(high_issues, 0) AS high_issues, coalesce(medium_issues, 0) AS medium_issues,
-  coalesce(low_issues, 0) AS low_issues, coalesce(other_issues, 0) AS other_issues,
-  coalesce(columns_with_issues, 0) AS columns_with_issues, {RISK} AS risk_level, CAST(NULL AS VARCHAR) AS score_reason
-  FROM scores LEFT JOIN counts USING (dataset_name)""",
+    "quality_report": REPORT_SQL,
+    "quality_report_failing": f"""SELECT * FROM ({REPORT_SQL})
+UNION ALL BY NAME SELECT dataset_name, CAST(total AS BIGINT) AS total_records, CAST(total AS BIGINT) AS total_issues,
+  CAST(total AS BIGINT) AS critical_issues, CAST(total AS BIGINT) AS high_issues, CAST(total AS BIGINT) AS medium_issues,
+  CAST(total AS BIGINT) AS low_issues, CAST(total AS BIGINT) AS other_issues, CAST(total AS BIGINT) AS columns_with_issues, score_reason
+  FROM (VALUES ('none', 0, 'no rows'), ('damaged', NULL, 'FAILED_READ_FILE'), ('odd_text', NULL, 'CAST_INVALID_INPUT'))
+    f(dataset_name, total, score_reason)""",
+    "quality_report_all_failing": f"""SELECT * FROM ({REPORT_SQL}) WHERE dataset_name IS NULL
+UNION ALL BY NAME SELECT unnest(['first', 'second']) AS dataset_name, 'FAILED_READ_FILE' AS score_reason""",
 }

@@ -67,6 +67,38 @@ RULES = [
 ]
 
 
+#: Steps that fail on some rows among steps that do not; the seventh fails on what the fifth puts in.
+ERROR_PLAN = [
+    {"fix_type": "recalculate_values", "target_column": "o_totalprice", "formula": "o_totalprice / (o_custkey % 5)"},
+    {"fix_type": "recalculate_values", "target_column": "o_custkey", "formula": "o_custkey * 1000000000000000000"},
+    {
+        "fix_type": "replace_values",
+        "target_column": "o_totalprice",
+        "new_values": ["0"],
+        "predicate": "CAST(o_orderpriority AS INT) > 2",
+    },
+    {"fix_type": "recalculate_values", "target_column": "o_totalprice", "formula": "o_totalprice * 2"},
+    {"fix_type": "replace_values", "target_column": "o_totalprice", "new_values": ["-1"], "predicate": "o_totalprice < 0"},
+    {"fix_type": "remove_duplicates"},
+    {"fix_type": "recalculate_values", "target_column": "o_totalprice", "formula": "1 / (o_totalprice + 1)"},
+    {"fix_type": "recalculate_values", "target_column": "o_totalprice", "formula": "absent / 2"},
+    {"fix_type": "fill_missing", "target_column": "o_orderpriority", "new_values": ["none"]},
+]
+
+ERROR_RULES = [
+    RULES[0],
+    {"rule_id": "urgent_number", "validation_type": "format", "columns": ["o_orderpriority"], "predicate": "CAST(o_orderpriority AS INT) > 0"},
+    {
+        "rule_id": "share_of_price",
+        "validation_type": "cross_column",
+        "columns": ["o_totalprice", "o_custkey"],
+        "predicate": "o_totalprice / (o_custkey % 5) > 0",
+    },
+    {"rule_id": "no_such_column", "validation_type": "format", "columns": ["absent"], "predicate": "absent > 0"},
+    {"rule_id": "no_condition", "validation_type": "format", "columns": ["o_custkey"], "predicate": "o_custkey + 1"},
+]
+
+
 def text_day(df):
     """The order date as text, so that both engines show it alike."""
     return df.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
@@ -122,6 +154,26 @@ def fix_log(spark, sf_dir):
     return log.withColumn("step", F.col("step").cast("bigint"))
 
 
+def fix_errors(spark, sf_dir):
+    """What becomes of each step of a plan of which some fail."""
+    log = repair.resolution_log(orders_dirty(spark, sf_dir), "orders_dirty", ERROR_PLAN)
+    return log.select(F.col("step").cast("bigint").alias("step"), "fix_type", "target_column", "status", "cells_changed", "rows_removed", "rows_failed")
+
+
+def fix_errors_table(spark, sf_dir):
+    """The table after the steps that do not fail."""
+    return text_day(repair.apply_fix_plan(orders_dirty(spark, sf_dir), ERROR_PLAN))
+
+
+def rule_errors(spark, sf_dir):
+    return repair.rule_errors(orders_dirty(spark, sf_dir), "o_orderkey", ERROR_RULES)
+
+
+def rule_errors_apart(spark, sf_dir):
+    """The broken rows of rules of which some fail."""
+    return repair.rule_violations(orders_dirty(spark, sf_dir), "o_orderkey", ERROR_RULES)
+
+
 def fix_report(spark, sf_dir):
     report = repair.enhancement_report(orders_dirty(spark, sf_dir), "orders_dirty", PLAN)
     return rounded(report, "average_confidence")
@@ -208,10 +260,14 @@ QUERIES = {
         fix_impute_grouped,
         fix_plan,
         fix_log,
+        fix_errors,
+        fix_errors_table,
         fix_report,
         fix_audit,
         rule_violations,
         rule_findings,
+        rule_errors,
+        rule_errors_apart,
         fix_plan_parse,
         repair_run,
         repair_run_report,
@@ -264,11 +320,44 @@ effects(step, cells, removed) AS (
 full_log AS (
   SELECT CAST(l.step AS BIGINT) AS step, 'orders_dirty' AS dataset_name, issue_type, fix_type, target_column,
     fix_applied, reason, CAST(confidence AS DOUBLE) AS confidence, CAST(cells AS BIGINT) AS cells_changed,
-    CAST(removed AS BIGINT) AS rows_removed,
+    CAST(removed AS BIGINT) AS rows_removed, CAST(0 AS BIGINT) AS rows_failed,
     CASE WHEN l.step = 4 THEN 'failed' WHEN cells + removed > 0 THEN 'resolved' ELSE 'no_change' END AS status
   FROM log l JOIN effects e ON l.step = e.step)""".replace("TITLE", title_sql("o_orderpriority"))
 
+ERROR_SQL = """e3 AS (SELECT * REPLACE (o_totalprice * 2 AS o_totalprice) FROM orders_dirty),
+e4 AS (SELECT * REPLACE (CASE WHEN o_totalprice < 0 THEN -1 ELSE o_totalprice END AS o_totalprice) FROM e3),
+e5 AS (SELECT DISTINCT * FROM e4)"""
+
 ORACLES = {
+    "fix_errors": with_views("orders_dirty", ERROR_SQL)
+    + """SELECT CAST(step AS BIGINT) AS step, fix_type, target_column, status, CAST(cells AS BIGINT) AS cells_changed,
+  CAST(removed AS BIGINT) AS rows_removed, CAST(bad AS BIGINT) AS rows_failed FROM (
+  SELECT 0 AS step, 'recalculate_values' AS fix_type, 'o_totalprice' AS target_column, 'error' AS status, 0 AS cells, 0 AS removed,
+    (SELECT count(*) FROM orders_dirty WHERE o_custkey % 5 = 0 AND o_totalprice IS NOT NULL) AS bad
+  UNION ALL SELECT 1, 'recalculate_values', 'o_custkey', 'error', 0, 0, (SELECT count(*) FROM orders_dirty WHERE o_custkey > 9)
+  UNION ALL SELECT 2, 'replace_values', 'o_totalprice', 'error', 0, 0, (SELECT count(*) FROM orders_dirty WHERE o_orderpriority IS NOT NULL)
+  UNION ALL SELECT 3, 'recalculate_values', 'o_totalprice', 'resolved', (SELECT count(*) FROM orders_dirty WHERE o_totalprice <> 0), 0, 0
+  UNION ALL SELECT 4, 'replace_values', 'o_totalprice', 'resolved', (SELECT count(*) FROM e3 WHERE o_totalprice < 0 AND o_totalprice <> -1), 0, 0
+  UNION ALL SELECT 5, 'remove_duplicates', NULL, 'resolved', 0, (SELECT count(*) FROM e4) - (SELECT count(*) FROM e5), 0
+  UNION ALL SELECT 6, 'recalculate_values', 'o_totalprice', 'error', 0, 0, (SELECT count(*) FROM e5 WHERE o_totalprice = -1)
+  UNION ALL SELECT 7, 'recalculate_values', 'o_totalprice', 'error', 0, 0, 0
+  UNION ALL SELECT 8, 'fill_missing', 'o_orderpriority', 'resolved', (SELECT count(*) FROM e5 WHERE o_orderpriority IS NULL), 0, 0)""",
+    "fix_errors_table": with_views("orders_dirty", ERROR_SQL)
+    + f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {DAY}, coalesce(o_orderpriority, 'none') AS o_orderpriority FROM e5""",
+    "rule_errors": with_views("orders_dirty")
+    + """SELECT 'urgent_number' AS rule_id, 'format' AS validation_type, 'CAST(o_orderpriority AS INT) > 0' AS predicate,
+  'fails' AS reason, count(*) AS failed_rows, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
+  FROM orders_dirty WHERE o_orderpriority IS NOT NULL
+UNION ALL SELECT 'share_of_price', 'cross_column', 'o_totalprice / (o_custkey % 5) > 0', 'fails', count(*), min(o_orderkey), max(o_orderkey)
+  FROM orders_dirty WHERE o_custkey % 5 = 0 AND o_totalprice IS NOT NULL
+UNION ALL SELECT 'no_such_column', 'format', 'absent > 0', 'unresolved', 0, NULL, NULL
+UNION ALL SELECT 'no_condition', 'format', 'o_custkey + 1', 'unresolved', 0, NULL, NULL""",
+    "rule_errors_apart": with_views("orders_dirty")
+    + """SELECT o_orderkey, 'price_positive' AS rule_id, 'value_range' AS validation_type,
+  'o_totalprice' AS columns_involved, 'critical' AS severity, 'take the absolute value' AS fix_suggestion,
+  CAST(0.95 AS DOUBLE) AS confidence FROM orders_dirty WHERE NOT (o_totalprice >= 0)
+UNION ALL SELECT o_orderkey, 'share_of_price', 'cross_column', 'o_totalprice,o_custkey', 'medium', '', 0.8
+  FROM orders_dirty WHERE o_custkey % 5 <> 0 AND NOT (o_totalprice > 0)""",
     "fix_fill": with_views("orders_dirty")
     + f"""SELECT o_orderkey, o_custkey, o_orderstatus, coalesce(o_totalprice, 0) AS o_totalprice, {DAY},
   coalesce(o_orderpriority, 'unknown') AS o_orderpriority FROM orders_dirty""",

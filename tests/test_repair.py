@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rowsmith.functions.columns import one_decimal, title_case
+from rowsmith.functions.columns import one_decimal, outcome, title_case
 from rowsmith.operators import repair
 
 
@@ -148,3 +148,60 @@ def test_audit_compares_null_keys(spark):
     df = spark.createDataFrame([(None, 1), (2, 2)], "k int, v int")
     row = repair.cell_changes(df, repair.with_column(df, "v", F.col("v") + 1), ["k"]).first()
     assert (row.rows_compared, row.rows_gone, row.changed) == (2, 0, 2)
+
+
+def odd(spark):
+    rows = [(1, 6, 3, "1"), (2, 5, 0, "2"), (3, None, 0, "x"), (4, 2**31 - 1, 1, None)]
+    return spark.createDataFrame(rows, "k int, v int, q int, t string")
+
+
+def test_an_expression_that_fails_is_null_for_outcome(spark):
+    """try_to_binary takes the errors of its argument; transactions rest on that."""
+    found = [r[0] for r in odd(spark).orderBy("k").select(outcome(F.expr("10 / q"))).collect()]
+    assert found == ["=3.3333333333333335", None, None, "=10.0"]
+    assert column(odd(spark).withColumn("o", outcome(F.expr("CAST(t AS INT)"))), "o") == ["=1", "=2", None, "-"]
+    assert column(odd(spark).withColumn("o", outcome(F.expr("v + 1"))), "o") == ["=7", "=6", "-", None]
+    assert column(odd(spark).withColumn("o", outcome(F.expr("raise_error(t)"))), "o") == [None] * 4
+
+
+def test_steps_that_fail_leave_the_table(spark):
+    plan = [
+        {"fix_type": "recalculate_values", "target_column": "v", "formula": "v / q"},
+        {"fix_type": "recalculate_values", "target_column": "v", "formula": "v + 1"},
+        {"fix_type": "replace_values", "target_column": "v", "new_values": ["7"], "predicate": "CAST(t AS INT) = 2"},
+        {"fix_type": "replace_values", "target_column": "t", "new_values": ["3"], "predicate": "t = 'x'"},
+        {"fix_type": "remove_duplicates"},
+        {"fix_type": "replace_values", "target_column": "v", "new_values": ["7"], "predicate": "CAST(t AS INT) = 2"},
+        {"fix_type": "recalculate_values", "target_column": "q", "formula": "IF(k = 1, raise_error('no'), 5)"},
+        {"fix_type": "recalculate_values", "target_column": "q", "formula": "q + v"},
+    ]
+    log = {r.step: (r.status, r.cells_changed, r.rows_failed) for r in repair.resolution_log(odd(spark), "t", plan).collect()}
+    assert [log[i] for i in range(8)] == [
+        ("error", 0, 1),
+        ("error", 0, 1),
+        ("error", 0, 1),
+        ("resolved", 1, 0),
+        ("no_change", 0, 0),
+        ("resolved", 1, 0),
+        ("error", 0, 1),
+        ("error", 0, 1),
+    ]
+    after = repair.apply_fix_plan(odd(spark), plan)
+    assert (column(after, "v"), column(after, "q"), column(after, "t")) == ([6, 7, None, 2**31 - 1], [3, 0, 0, 1], ["1", "2", "3", None])
+
+
+def test_single_fixes_are_transactions(spark):
+    assert column(repair.recalculate(odd(spark), "v", "v / q"), "v") == [6, 5, None, 2**31 - 1]
+    assert column(repair.replace_values(odd(spark), "v", 1, predicate="CAST(t AS INT) = 1"), "v") == [6, 5, None, 2**31 - 1]
+    assert column(repair.recalculate(odd(spark), "q", "q * 2"), "q") == [6, 0, 0, 2]
+    assert repair.recalculate(odd(spark).limit(0), "q", "1 / q").count() == 0
+
+
+def test_rules_that_fail_are_reported_apart(spark):
+    rule = lambda name, predicate: {"rule_id": name, "validation_type": "x", "columns": ["v"], "predicate": predicate}
+    rules = [rule("a", "v / q > 3"), rule("b", "CAST(t AS INT) > 1"), rule("c", "nothing"), rule("d", "k > 1")]
+    broken = sorted((r.k, r.rule_id) for r in repair.rule_violations(odd(spark), "k", rules).collect())
+    assert broken == [(1, "a"), (1, "b"), (1, "d")]
+    errors = {r.rule_id: (r.reason, r.failed_rows, r.first_key, r.last_key) for r in repair.rule_errors(odd(spark), "k", rules).collect()}
+    assert errors == {"a": ("fails", 1, 2, 2), "b": ("fails", 1, 3, 3), "c": ("unresolved", 0, None, None)}
+    assert repair.rule_violations(odd(spark), "k", rules[2:3]).count() == 0
