@@ -1,10 +1,13 @@
-"""Exact quantiles of many columns without gathering a column anywhere.
+"""Exact quantiles of many columns, and of the groups of a column, without gathering a column anywhere.
 
-``percentile`` keeps every distinct value of a column in one buffer. Here each wanted rank is narrowed down by
-rounds of small histograms: a round counts, per bin, the values between the known ends of a rank, with their
-smallest and largest, as a partial aggregate. The bin that holds the rank gives the next, closer ends, until
-its smallest and largest value are the same. Counts are exact, so the result is. A round brings at most BINS
-rows per open rank to the driver, and a trillion rows take about five rounds.
+``percentile`` keeps every distinct value of a column in one buffer. Here one pass makes a mergeable sketch of each
+column, which says between which two values a wanted rank must lie; a second pass counts what lies below, and counts the
+values between the two. Counts are exact, so the result is. The values in between are some 5 in 10,000 of the table's: up to
+AT_ONCE of them are looked through on the driver, more are written out and narrowed down by rounds of small histograms. A
+rank that a sketch has missed is found by such rounds over the table itself.
+
+Quantiles by group never reach the driver: a histogram of each group over BUCKETS common buckets says which bucket holds a
+rank, and only the values of that bucket are put in order.
 """
 
 from __future__ import annotations
@@ -14,17 +17,23 @@ import sys
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowsmith.functions.columns import column_figures, control_table, known
+from rowsmith.functions.columns import col, control_table, known
+from rowsmith.sources.shared import stored
 
 BINS = 512
 LARGEST = f"{sys.float_info.max!r}D"
 # No table needs this many rounds: each splits every open range by BINS.
 MOST_ROUNDS = 200
-# Columns handled in one pass over the table.
-PER_PASS = 8
+# A sketch's rank is off by one row in ACCURACY at most; ranks are looked for within SPREAD times that.
+ACCURACY, SPREAD = 10_000, 2.5
+# Values between the ends of ranks that the driver looks through.
+AT_ONCE = 200_000
+# Buckets of the histograms of groups: COARSE ranges of as many.
+COARSE = 64
+BUCKETS = COARSE * COARSE
 
 
 def number(x: float) -> str:
@@ -57,13 +66,19 @@ def next_ends(bins: list, rank: int, below: int) -> tuple[float, float, int]:
     raise ValueError("the table changed between two rounds")
 
 
-def rank_values(df: DataFrame, wanted: dict[str, tuple[float, float, set[int]]]) -> dict[tuple[str, int], float]:
-    """The values at zero-based ranks: wanted maps a column to its smallest and largest value and the ranks."""
+def cells_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(c, v, copies): the known values of columns as doubles, c the number of the column as text."""
+    values = df.select(*[known(df, c).cast("double").alias(str(i)) for i, c in enumerate(columns)])
+    cells = values.unpivot([], [F.col(str(i)) for i in range(len(columns))], "c", "v").filter("v IS NOT NULL")
+    return cells.withColumn("copies", F.lit(1).cast("bigint"))
+
+
+def rank_values(cells: DataFrame, wanted: dict[str, tuple[float, float, set[int]]]) -> dict[tuple[str, int], float]:
+    """The values at zero-based ranks of cells (c, v, copies): wanted maps c to its smallest and largest value and
+    the ranks."""
     columns = list(wanted)
     if not columns:
         return {}
-    values = df.select(*[known(df, c).cast("double").alias(str(i)) for i, c in enumerate(columns)])
-    cells = values.unpivot([], [F.col(str(i)) for i in range(len(columns))], "c", "v").filter("v IS NOT NULL")
     # (column, rank) to (low, high, values below low)
     open_ranks = {(i, r): (*wanted[c][:2], 0) for i, c in enumerate(columns) for r in wanted[c][2]}
     found = {}
@@ -78,8 +93,8 @@ def rank_values(df: DataFrame, wanted: dict[str, tuple[float, float, set[int]]])
             return found
         # A few rows per column: the join is a lookup of the ends that a value may lie between.
         ends = control_table(
-            df.sparkSession,
-            [(str(i), s, low, high, widening) for s, (i, low, high) in enumerate(spans)],
+            cells.sparkSession,
+            [(columns[i], s, low, high, widening) for s, (i, low, high) in enumerate(spans)],
             c=pa.string(),
             span=pa.int32(),
             low=pa.float64(),
@@ -89,9 +104,9 @@ def rank_values(df: DataFrame, wanted: dict[str, tuple[float, float, set[int]]])
         bins = (
             cells.join(F.broadcast(ends), "c")
             .filter("v BETWEEN low AND high")
-            .selectExpr("span", f"{bin_of()} AS bin", "v")
+            .selectExpr("span", f"{bin_of()} AS bin", "v", "copies")
             .groupBy("span", "bin")
-            .agg(F.expr("count(*) AS copies"), F.expr("min(v) AS low"), F.expr("max(v) AS high"))
+            .agg(F.expr("sum(copies) AS copies"), F.expr("min(v) AS low"), F.expr("max(v) AS high"))
             .collect()
         )
         by_span = {}
@@ -104,35 +119,147 @@ def rank_values(df: DataFrame, wanted: dict[str, tuple[float, float, set[int]]])
     raise ArithmeticError("quantiles did not settle")
 
 
+def sketched(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, dict]:
+    """Known values, smallest and largest, and for each probability the two values that its rank lies between; one
+    pass over all columns."""
+    around = [min(max(p + side * SPREAD / ACCURACY, 0.0), 1.0) for p in probs for side in (-1, 1)]
+    shares = f"array({', '.join(f'{p!r}D' for p in around)})"
+    figures = {"n": "count({v})", "low": "min({v})", "high": "max({v})", "ends": f"approx_percentile({{v}}, {shares}, {ACCURACY})"}
+    values = df.select(*[known(df, c).cast("double").alias(f"v_{i}") for i, c in enumerate(columns)])
+    row = values.agg(*[F.expr(f"{sql.format(v=f'v_{i}')} AS {name}_{i}") for i in range(len(columns)) for name, sql in figures.items()]).first()
+    return {c: {name: row[f"{name}_{i}"] for name in figures} for i, c in enumerate(columns)}
+
+
+def between(cells: DataFrame, spans: list[tuple[str, float, float]]) -> DataFrame:
+    """(span, side, v, copies, low, high): for each span (c, low, high) the values within it (side 0) with their copies, and
+    how many lie below (-1) and above (1), with the smallest and largest of them; one pass."""
+    ends = control_table(
+        cells.sparkSession, [(c, s, low, high) for s, (c, low, high) in enumerate(spans)], c=pa.string(), span=pa.int32(), from_v=pa.float64(), to_v=pa.float64()
+    )
+    # A few rows per column: the join is a lookup of the ends that a value may lie between.
+    sided = cells.join(F.broadcast(ends), "c").selectExpr("span", "CASE WHEN v < from_v THEN -1 WHEN v > to_v THEN 1 ELSE 0 END AS side", "v", "copies")
+    sides = sided.withColumn("value", F.when(F.col("side") == 0, F.col("v")))
+    return sides.groupBy("span", "side", "value").agg(F.sum("copies").alias("copies"), F.min("v").alias("low"), F.max("v").alias("high"))
+
+
+def settled_ranks(cells: DataFrame, spans: list[tuple[str, float, float]], ranks: list[set[int]]) -> dict[tuple[int, int], float]:
+    """The values at ranks that lie within a span or right beside it; others are not found."""
+    if not spans:
+        return {}
+    counted = between(cells, spans)
+    rows = counted.limit(AT_ONCE + 1).collect()
+    if len(rows) > AT_ONCE:
+        counted = stored(counted, "between")
+        rows = counted.filter("side <> 0").collect()
+        inner = counted.filter("side = 0").select(F.col("span").cast("string").alias("c"), F.col("value").alias("v"), "copies")
+        inside = {r["c"]: r for r in inner.groupBy("c").agg(F.sum("copies").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()}
+    else:
+        inside = None
+    sides: dict[tuple[int, int], list] = {}
+    for r in rows:
+        sides.setdefault((r["span"], r["side"]), []).append(r)
+    found, wanted, shift = {}, {}, {}
+    for s in range(len(spans)):
+        below, above = (sides.get((s, side), [None])[0] for side in (-1, 1))
+        first = below["copies"] if below else 0
+        own = sorted(sides.get((s, 0), []), key=lambda r: r["value"])
+        many = sum(r["copies"] for r in own) if inside is None else inside[str(s)]["n"] if str(s) in inside else 0
+        for rank in sorted(ranks[s]):
+            if below and rank == first - 1:
+                found[s, rank] = below["high"]
+            elif above and rank == first + many:
+                found[s, rank] = above["low"]
+            elif first <= rank < first + many and inside is None:
+                at = first
+                for r in own:
+                    at += r["copies"]
+                    if rank < at:
+                        found[s, rank] = r["value"]
+                        break
+            elif first <= rank < first + many:
+                r = inside[str(s)]
+                wanted.setdefault(str(s), (r["low"], r["high"], set()))[2].add(rank - first)
+                shift[s] = first
+    if wanted:
+        for (c, rank), v in rank_values(inner, wanted).items():
+            found[int(c), rank + shift[int(c)]] = v
+    return found
+
+
 def quantile_values(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, tuple[int, list]]:
     """Known values and quantiles per column, by linear interpolation; None for a column without values."""
-    figures = {
-        r["column"]: r
-        for r in column_figures(
-            df, columns, {"n": "count({v})", "low": "min({v})", "high": "max({v})"}, cast="double"
-        ).collect()
-    }
+    if not columns:
+        return {}
+    figures = sketched(df, columns, probs)
+    cells = cells_of(df, columns)
+    positions, spans, ranks, at = {}, [], [], {}
+    for i, c in enumerate(columns):
+        n = figures[c]["n"]
+        positions[c] = [(n - 1) * float(p) for p in probs] if n else []
+        for k, x in enumerate(positions[c]):
+            wanted = {math.floor(x), min(math.floor(x) + 1, n - 1)}
+            at |= {(c, r): figures[c][end] for r, end in ((0, "low"), (n - 1, "high")) if r in wanted}
+            spans.append((str(i), *figures[c]["ends"][2 * k : 2 * k + 2]))
+            ranks.append({r for r in wanted if (c, r) not in at})
+    asked = [s for s in range(len(spans)) if ranks[s]]
+    found = settled_ranks(cells, [spans[s] for s in asked], [ranks[s] for s in asked])
+    at |= {(columns[int(spans[asked[s]][0])], rank): v for (s, rank), v in found.items()}
+    missed: dict[str, tuple[float, float, set[int]]] = {}
+    for s in asked:
+        c = columns[int(spans[s][0])]
+        for rank in ranks[s]:
+            if (c, rank) not in at:
+                missed.setdefault(spans[s][0], (figures[c]["low"], figures[c]["high"], set()))[2].add(rank)
+    at |= {(columns[int(c)], rank): v for (c, rank), v in rank_values(cells, missed).items()}
     result = {}
-    for start in range(0, len(columns), PER_PASS):
-        group = [c for c in columns[start : start + PER_PASS] if figures[c]["n"]]
-        positions = {c: [(figures[c]["n"] - 1) * float(p) for p in probs] for c in group}
-        wanted = {
-            c: (
-                figures[c]["low"],
-                figures[c]["high"],
-                {r for x in positions[c] for r in (math.floor(x), min(math.floor(x) + 1, figures[c]["n"] - 1))},
-            )
-            for c in group
-        }
-        at = rank_values(df, wanted)
-        for c in group:
-            found = []
-            for x in positions[c]:
-                low = at[c, math.floor(x)]
-                high = at[c, min(math.floor(x) + 1, figures[c]["n"] - 1)]
-                found.append(low if low == high else low + (high - low) * (x - math.floor(x)))
-            result[c] = (figures[c]["n"], found)
-    return {c: result.get(c, (0, [None] * len(probs))) for c in columns}
+    for c in columns:
+        values = []
+        for x in positions[c]:
+            low, high = at[c, math.floor(x)], at[c, min(math.floor(x) + 1, figures[c]["n"] - 1)]
+            values.append(low if low == high or x == math.floor(x) else low + (high - low) * (x - math.floor(x)))
+        result[c] = (figures[c]["n"], values or [None] * len(probs))
+    return result
+
+
+def group_quantiles(df: DataFrame, column: str, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(by, non_null, quantiles): exact quantiles of a column in each group that has known values, as an array of doubles.
+
+    Equal values of a group are counted first. BUCKETS common buckets are cut at approximate quantiles of the whole
+    column, so a bucket has about one value in BUCKETS even of a group that holds most rows: no task orders more than a
+    bucket of a group. Null is a group like others."""
+    keys = [f"_g{i}" for i in range(len(by))]
+    values = df.select(*[col(b).alias(k) for b, k in zip(by, keys, strict=True)], known(df, column).cast("double").alias("v")).filter("v IS NOT NULL")
+    shares = ", ".join(repr(i / BUCKETS) + "D" for i in range(1, BUCKETS))
+    edges = values.agg(F.expr(f"approx_percentile(v, array({shares}), {10 * BUCKETS})").alias("e")).first()["e"] or []
+    edges = [*edges, *[math.inf] * (BUCKETS - 1 - len(edges))]
+    listed = lambda part: f"array({', '.join(map(number, part))})"
+    fine = [listed(edges[i * COARSE : (i + 1) * COARSE - 1]) for i in range(COARSE)]
+    cells = values.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("copies"))
+    cells = cells.withColumn("range", F.expr(f"size(filter({listed(edges[COARSE - 1 :: COARSE])}, e -> e <= v))"))
+    cells = cells.withColumn("bucket", F.expr(f"range * {COARSE} + size(filter(array({', '.join(fine)})[range], e -> e <= v))"))
+    cells = stored(cells.select(*keys, "v", "copies", "bucket"), "cells")
+    whole = Window.partitionBy(*keys)
+    running = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = cells.groupBy(*keys, "bucket").agg(F.sum("copies").alias("many"))
+    counts = counts.withColumns({"below": F.coalesce(F.sum("many").over(running), F.lit(0)), "non_null": F.sum("many").over(whole)})
+    spots = F.transform(F.array(*[F.lit(float(p)) for p in probs]), lambda p: (F.col("non_null") - 1) * p)
+    ranks = F.flatten(F.transform(spots, lambda x: F.array(F.floor(x), F.least(F.floor(x) + 1, F.col("non_null") - 1))))
+    inside = F.filter(F.array_distinct(ranks), lambda r: (r >= F.col("below")) & (r < F.col("below") + F.col("many")))
+    needed = counts.withColumn("ranks", inside).filter(F.size("ranks") > 0)
+    right = needed.select(*[F.col(k).alias(f"_r{k}") for k in keys], F.col("bucket").alias("_bucket"), "below", "non_null", "ranks")
+    same = F.col("bucket") == F.col("_bucket")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_r{k}"))
+    upto = F.sum("copies").over(Window.partitionBy(*keys, "bucket").orderBy("v")) + F.col("below")
+    held = cells.join(right, same).withColumn("upto", upto)
+    hits = held.withColumn("rank", F.explode("ranks")).filter("rank < upto AND rank >= upto - copies")
+    found = hits.groupBy(*keys).agg(F.first("non_null").alias("non_null"), F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at"))
+
+    def placed(x):
+        low, high = F.col("at")[F.floor(x)], F.col("at")[F.least(F.floor(x) + 1, F.col("non_null") - 1)]
+        return F.when((low == high) | (F.floor(x) == x), low).otherwise(low + (high - low) * (x - F.floor(x)))
+
+    return found.select(*[F.col(k).alias(b) for b, k in zip(by, keys, strict=True)], "non_null", F.transform(spots, placed).alias("quantiles"))
 
 
 def quantile_columns(df: DataFrame, columns: Sequence[str], probs: dict[str, float]) -> DataFrame:

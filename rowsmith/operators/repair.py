@@ -37,7 +37,7 @@ from rowsmith.functions.columns import (
     type_class,
 )
 from rowsmith.operators.profile import modes
-from rowsmith.operators.quantiles import quantile_values
+from rowsmith.operators.quantiles import group_quantiles, quantile_values
 from rowsmith.sources.shared import settled
 
 # The kinds of fix that an instruction may ask for.
@@ -180,8 +180,9 @@ def center(df: DataFrame, column: str, method: str) -> Column:
 def impute(df: DataFrame, column: str, method: str, by: Sequence[str] = ()) -> DataFrame:
     """Fill missing values with the mean, median or mode of the column.
 
-    With ``by`` (mean or mode) the figure is taken per group: computed by a partial aggregate and joined
-    back, so a large group is never gathered in one task. Groups without a known value use the whole column.
+    With ``by`` the figure is taken per group: computed by partial aggregates (the median by histograms, see
+    ``group_quantiles``) and joined back, so a large group is never gathered in one task. Groups without a known value use
+    the whole column.
     """
     whole = center(df, column, method)
     value = whole
@@ -198,7 +199,7 @@ def impute(df: DataFrame, column: str, method: str, by: Sequence[str] = ()) -> D
             best = F.min(F.struct((-F.col("_n")).alias("less"), col(column).alias("v")))["v"]
             groups = counts.groupBy(*[col(b) for b in by]).agg(best.alias("_center"))
         else:
-            raise ValueError("groups support mean and mode")
+            groups = group_quantiles(df, column, by, [0.5]).withColumn("_center", F.col("quantiles")[0])
         keyed = groups.select(*[col(b).alias(f"_key_{i}") for i, b in enumerate(by)], "_center")
         match = reduce(
             lambda a, b: a & b, [col(b).eqNullSafe(F.col(f"_key_{i}")) for i, b in enumerate(by)]

@@ -145,6 +145,27 @@ def fix_impute_grouped(spark, sf_dir):
     return text_day(modal).withColumn("o_totalprice", fixed(F.col("o_totalprice"), 2))
 
 
+def priced_groups(spark, sf_dir):
+    """Line items with a group for each order, but one for a third of all orders, and prices missing here and there, in a
+    few groups all of them."""
+    key, line = F.col("l_orderkey"), F.col("l_linenumber")
+    missing = (line % 3 == 0) | (key % 50 == 1)
+    return table(spark, sf_dir, "lineitem").select(
+        F.when(key % 3 != 0, key).alias("grp"),
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        F.when(~missing, F.col("l_extendedprice")).alias("price"),
+        F.when(~missing, F.col("l_quantity").cast("int")).alias("pieces"),
+    )
+
+
+def fix_impute_median_grouped(spark, sf_dir):
+    """Median price and number of pieces of the order; of all where an order has none."""
+    priced = repair.impute(priced_groups(spark, sf_dir), "price", "median", by=["grp"])
+    return rounded(repair.impute(priced, "pieces", "median", by=["grp"]), "price", "pieces")
+
+
 def fix_plan(spark, sf_dir):
     return text_day(repair.apply_fix_plan(orders_dirty(spark, sf_dir), PLAN))
 
@@ -258,6 +279,7 @@ QUERIES = {
         fix_formula,
         fix_impute,
         fix_impute_grouped,
+        fix_impute_median_grouped,
         fix_plan,
         fix_log,
         fix_errors,
@@ -386,6 +408,15 @@ UNION ALL SELECT o_orderkey, 'share_of_price', 'cross_column', 'o_totalprice,o_c
     AND i.o_orderstatus = d.o_orderstatus
     GROUP BY o_orderpriority ORDER BY count(*) DESC, o_orderpriority LIMIT 1)) AS o_orderpriority
   FROM orders_dirty d""",
+    "fix_impute_median_grouped": f"""WITH d AS (
+  SELECT CASE WHEN l_orderkey % 3 <> 0 THEN l_orderkey END AS grp, l_orderkey, l_linenumber, l_partkey,
+    CASE WHEN l_linenumber % 3 <> 0 AND l_orderkey % 50 <> 1 THEN l_extendedprice END AS price,
+    CASE WHEN l_linenumber % 3 <> 0 AND l_orderkey % 50 <> 1 THEN CAST(l_quantity AS INT) END AS pieces FROM lineitem),
+m AS (SELECT grp, quantile_cont(price, 0.5) AS price, quantile_cont(CAST(pieces AS DOUBLE), 0.5) AS pieces FROM d GROUP BY grp),
+w AS (SELECT quantile_cont(price, 0.5) AS price, quantile_cont(CAST(pieces AS DOUBLE), 0.5) AS pieces FROM d)
+SELECT d.grp, l_orderkey, l_linenumber, l_partkey, {r4("coalesce(d.price, m.price, w.price)")} AS price,
+  {r4("coalesce(d.pieces, m.pieces, w.pieces)")} AS pieces
+  FROM d JOIN m ON m.grp IS NOT DISTINCT FROM d.grp, w""",
     "fix_plan": with_views("orders_dirty", PLAN_SQL)
     + f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {DAY}, o_orderpriority FROM s6",
     "fix_log": with_views("orders_dirty", PLAN_SQL, LOG_SQL) + "SELECT * FROM full_log",

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowsmith.operators import flags, profile
+from rowsmith.operators import quantiles
 from rowsmith.operators.quantiles import BINS, quantile_values
 from rowsmith.plans import quality
 from rowsmith.queries.views import orders_dirty
@@ -135,6 +136,41 @@ def test_quantiles_equal_numpy(spark, values):
     assert found["v"][1] == pytest.approx(list(np.quantile(np.array(values, dtype=float), probs)), rel=1e-12)
 
 
+@pytest.mark.parametrize(("name", "value"), [("SPREAD", -200), ("AT_ONCE", 3), ("ACCURACY", 20)])
+def test_quantiles_where_sketches_miss_or_much_lies_between(spark, monkeypatch, name, value):
+    monkeypatch.setattr(quantiles, name, value)
+    rng = np.random.default_rng(4)
+    tables = {"v": rng.normal(0, 5, 3000), "w": rng.integers(0, 40, 3000).astype(float), "x": rng.pareto(0.4, 3000)}
+    probs = [0.0, 0.05, 0.25, 0.5, 0.75, 0.99, 1.0]
+    found = quantile_values(spark.createDataFrame(pd.DataFrame(tables)).repartition(5), list(tables), probs)
+    for c, values in tables.items():
+        assert found[c] == (3000, pytest.approx(list(np.quantile(values, probs)), rel=1e-12))
+
+
+@pytest.mark.parametrize("coarse", [64, 2])
+def test_quantiles_of_groups(spark, monkeypatch, coarse):
+    """A group with a third of all rows, many of few rows, a null group, groups without values, ties and infinities."""
+    monkeypatch.setattr(quantiles, "COARSE", coarse)
+    monkeypatch.setattr(quantiles, "BUCKETS", coarse * coarse)
+    rng = np.random.default_rng(6)
+    rows = [(0, "hot", float(v)) for v in rng.lognormal(0, 3, 3000)] + [(0, None, float(v)) for v in rng.integers(-3, 3, 500)]
+    rows += [(int(i), "few", float(v)) for i, v in zip(rng.integers(0, 900, 5500), rng.normal(0, 1, 5500), strict=True)]
+    rows += [(None, "hot", 1.0), (None, "hot", math.inf), (None, "hot", -math.inf), (5, "none", None), (6, "none", math.nan)]
+    groups = {}
+    for k, g, v in rows:
+        if v is not None and not math.isnan(v):
+            groups.setdefault((k, g), []).append(v)
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    df = spark.createDataFrame(rows, "k int, g string, v double").repartition(6)
+    found = {(r.k, r.g): (r.non_null, r.quantiles) for r in quantiles.group_quantiles(df, "v", ["k", "g"], probs).collect()}
+    assert set(found) == set(groups)
+    for key, values in groups.items():
+        if math.inf not in values:
+            assert found[key] == (len(values), pytest.approx(list(np.quantile(values, probs)), rel=1e-12)), key
+    assert found[None, "hot"][1][2] == 1.0
+    assert quantiles.group_quantiles(df.limit(0), "v", ["k"], probs).count() == 0
+
+
 def test_quantiles_beside_infinities(spark):
     values = [-math.inf, -1.0, 0.0, 1.0, 2.0, 3.0, math.inf]
     df = spark.createDataFrame([(v,) for v in values], "v double")

@@ -64,6 +64,7 @@ def test_impute_methods(spark):
     df = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "b", None), (4, "b", 10), (5, None, None)], "k int, g string, n int")
     assert column(repair.impute(df, "n", "median"), "n") == [1.0, 2.0, 2.0, 10.0, 2.0]
     assert column(repair.impute(df, "n", "mean", by=["g"]), "n") == pytest.approx([1, 2, 10, 10, 13 / 3])
+    assert column(repair.impute(df, "n", "median", by=["g"]), "n") == [1.0, 2.0, 10.0, 10.0, 2.0]
     assert column(repair.impute(df, "g", "mode"), "g") == ["a", "a", "b", "b", "a"]
 
 
