@@ -26,6 +26,8 @@ PASSAGE = 8
 #: Most labelled documents of each class that the model is fitted on.
 SAMPLE = 1200
 ROUNDS, STEPS, RATE, FLOOR = 6, 12, 1.5, 0.03
+#: n-grams of words of whole texts that are counted at a time; a text with more is counted alone.
+AT_ONCE = 1 << 21
 #: Fitted texts that must have a bucket for it to get a vector.
 FEWEST = 3
 
@@ -42,11 +44,10 @@ def subwords(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     before = table.before
     distinct, first, place = np.unique(table.hashes, return_index=True, return_inverse=True)
     start, size = table.starts[first], (table.stops - table.starts)[first]
-    codes = LETTERED.folded[data]
     marked = np.concatenate([[0], np.cumsum(size + 2)])
     letters = np.zeros(marked[-1], np.uint64)
     inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    letters[np.repeat(marked[:-1], size) + 1 + inner] = codes[np.repeat(start, size) + inner]
+    letters[np.repeat(marked[:-1], size) + 1 + inner] = LETTERED.folded[data[np.repeat(start, size) + inner]]
     letters[marked[:-1]], letters[marked[1:] - 1] = 300, 301
     owner = np.repeat(np.arange(len(distinct)), size + 2)
     found, owners = [distinct], [np.arange(len(distinct))]
@@ -162,15 +163,22 @@ def fit(texts: pa.Array, labels: np.ndarray, seed: int = 1) -> bytes:
 
 
 def shared_buckets(place, before, bucket, grams_before, labels, set_aside):
-    """Buckets that at least FEWEST of the fitted texts have, the place of each n-gram's bucket among them, from 1
+    """Counted in slices of whole texts: buckets that at least FEWEST of the fitted texts have, the place of each n-gram's bucket among them, from 1
     (0 stands for all others, whose vector stays zero), and how many fitted texts of each class have the bucket."""
-    text = np.repeat(np.arange(len(labels)), np.diff(before))
-    pairs = np.unique(text * (len(grams_before) - 1) + place)
-    word = pairs % (len(grams_before) - 1)
-    many = np.diff(grams_before)[word]
-    inner = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    grams = np.unique(np.repeat(pairs // (len(grams_before) - 1), many) * BUCKETS + bucket[np.repeat(grams_before[:-1][word], many) + inner])
-    kinds = [np.bincount(grams[((labels == k) & ~set_aside)[grams // BUCKETS]] % BUCKETS, minlength=BUCKETS) for k in (1, 0)]
+    words_, many = len(grams_before) - 1, np.diff(grams_before)
+    kinds = np.zeros((2, BUCKETS), np.int64)
+    grams_upto = np.concatenate([[0], np.cumsum(many[place])])[before]
+    edges = np.flatnonzero(np.diff(grams_upto[:-1] // AT_ONCE, prepend=-1))
+    for first, last in zip(edges, [*edges[1:], len(labels)], strict=True):
+        text = np.repeat(np.arange(last - first), np.diff(before[first : last + 1]))
+        pairs = np.unique(text * words_ + place[before[first] : before[last]])
+        word = pairs % words_
+        inner = np.arange(many[word].sum()) - np.repeat(np.cumsum(many[word]) - many[word], many[word])
+        grams = np.repeat(pairs // words_, many[word]) * BUCKETS + bucket[np.repeat(grams_before[:-1][word], many[word]) + inner]
+        grams = np.unique(grams)
+        for at, kind in enumerate((1, 0)):
+            mine = ((labels == kind) & ~set_aside)[first:last]
+            kinds[at] += np.bincount(grams[mine[grams // BUCKETS]] % BUCKETS, minlength=BUCKETS)
     used = np.flatnonzero(kinds[0] + kinds[1] >= FEWEST)
     at = np.zeros(BUCKETS, np.int64)
     at[used] = np.arange(1, len(used) + 1)
