@@ -6,15 +6,18 @@ on those reduced rows (a few per column), or on distinct values and keys.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.functions.columns import FRACTIONAL, WHOLE, col, columns_of, control_table, count_where, known
+from rowsmith.functions.columns import FRACTIONAL, TEMPORAL, WHOLE, col, columns_of, control_table, count_where, known
 from rowsmith.operators.profile import column_types, format_fit, missing_counts, modes, numeric_summary
+from rowsmith.sources.shared import stored
 
 
 def union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -140,6 +143,11 @@ def range_overlap(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+#: Distinct values of a column that are looked for in all others, and the chance that a pair above the limit is
+#: not compared in full.
+SAMPLE, MISSED = 1024, 1e-12
+
+
 def value_kind(df: DataFrame, name: str) -> str | None:
     """Columns are comparable when they have the same kind of value."""
     data_type = df.schema[name].dataType
@@ -147,68 +155,108 @@ def value_kind(df: DataFrame, name: str) -> str | None:
         return "whole"
     if isinstance(data_type, FRACTIONAL):
         return "fraction"
+    if isinstance(data_type, TEMPORAL):
+        return "time"
     return "text" if data_type.simpleString() == "string" else None
 
 
+KIND_TYPES = {"whole": "bigint", "fraction": "double", "time": "timestamp_ntz", "text": "string"}
+
+
+def digests(df: DataFrame, name: str, kind: str) -> tuple[Column, Column]:
+    """128 bits that stand for a value of its kind; null for a missing one."""
+    value = known(df, name).cast(KIND_TYPES[kind])
+    return tuple(F.when(value.isNotNull(), F.xxhash64(F.lit(f"{seed}{kind}"), value)) for seed in (1, 2))
+
+
+class Joinable(NamedTuple):
+    """A column that may be joined on."""
+
+    id: int
+    table: str
+    name: str
+    kind: str
+
+
+def value_cells(tables: dict[str, DataFrame], columns: Sequence[Joinable], below: dict[int, float] | None = None) -> DataFrame:
+    """(column_id, d1, d2): the values of columns as digests, each table in one scan; with `below`, only those whose first
+    digest lies in that share of its range."""
+    parts = []
+    for table, df in tables.items():
+        cells = []
+        for c in columns:
+            if c.table != table:
+                continue
+            d1, d2 = digests(df, c.name, c.kind)
+            if below is not None and below[c.id] < 1:
+                d1 = F.when(F.shiftrightunsigned(d1, 1) < int(below[c.id] * 2**63), d1)
+            cells.append(F.struct(F.lit(c.id).alias("column_id"), d1.alias("d1"), d2.alias("d2")))
+        if cells:
+            parts.append(df.select(F.inline(F.array(*cells))))
+    return union(parts).filter("d1 IS NOT NULL")
+
+
+def common_counts(places: DataFrame, sought: DataFrame) -> DataFrame:
+    """(id_a, id_b, common): for how many of the values of column a in `sought` there is a place in column b.
+
+    Values that occur in the same set of columns are counted before pairs are formed, so pairs grow with the schema."""
+    sets = places.groupBy("d1", "d2").agg(F.array_sort(F.collect_set("column_id")).alias("ids"))
+    counted = sought.withColumnRenamed("column_id", "id_a").join(sets, ["d1", "d2"]).groupBy("id_a", "ids").agg(F.count(F.lit(1)).alias("n"))
+    pairs = counted.select("id_a", "n", F.explode("ids").alias("id_b")).filter("id_a <> id_b")
+    return pairs.groupBy("id_a", "id_b").agg(F.sum("n").alias("common"))
+
+
 def join_candidates(
     tables: dict[str, DataFrame], columns: dict[str, list[str]] | None = None, at_least: float = 0.5
 ) -> DataFrame:
-    """Column pairs of different tables where one column's distinct values are largely found in the other.
+    """Column pairs of different tables where one column's distinct values are largely found in the other, with the
+    exact share.
 
-    Values are made distinct per column, then each value is reduced to the set of columns it occurs in.
-    Equal sets are counted before any pair is formed, so pairs grow with the schema and not with the data.
+    Some SAMPLE distinct values of each column, all if it has few, are looked for in all other columns: they are
+    broadcast, at most about SAMPLE digests for each column of the schema. So the share of a column with few values is known
+    exactly, and that of another to within a margin that holds but for a chance of MISSED. Only the columns of pairs that may
+    reach the limit are compared in full, by their distinct values.
     """
+    spark = next(iter(tables.values())).sparkSession
     named = []
     for table, df in tables.items():
         for c in columns.get(table, []) if columns else df.columns:
             kind = value_kind(df, c)
             if kind:
-                named.append((len(named), table, c, kind))
-    parts = []
+                named.append(Joinable(len(named), table, c, kind))
+    table_of = {c.id: c.table for c in named}
+    share = {}
     for table, df in tables.items():
-        for kind, cast in (("whole", "bigint"), ("fraction", "double"), ("text", "string")):
-            chosen = [(i, c) for i, t, c, k in named if t == table and k == kind]
-            if not chosen:
-                continue
-            cells = df.select(*[known(df, c).cast(cast).alias(f"c_{i}") for i, c in chosen])
-            pairs = cells.select(
-                F.inline(
-                    F.array(*[F.struct(F.lit(i).alias("column_id"), F.col(f"c_{i}").alias("v")) for i, _ in chosen])
-                )
-            )
-            parts.append(
-                pairs.filter(F.col("v").isNotNull())
-                .distinct()
-                .select("column_id", F.lit(kind).alias("kind"), F.col("v").cast("string").alias("v"))
-            )
-    places = union(parts).groupBy("kind", "v").agg(F.array_sort(F.collect_set("column_id")).alias("ids"))
-    sets = places.groupBy("ids").agg(F.count(F.lit(1)).alias("n"))
-    sizes = sets.select(F.explode("ids").alias("id"), "n").groupBy("id").agg(F.sum("n").alias("values"))
-    pair_rows = (
-        sets.filter(F.size("ids") > 1)
-        .select("n", "ids", F.explode("ids").alias("id_a"))
-        .select("n", "id_a", F.explode("ids").alias("id_b"))
-        .filter(F.col("id_a") != F.col("id_b"))
-        .groupBy("id_a", "id_b")
-        .agg(F.sum("n").alias("common_values"))
-    )
-    names = control_table(
-        next(iter(tables.values())).sparkSession,
-        [(i, t, c) for i, t, c, _ in named],
-        id=pa.int32(),
-        dataset=pa.string(),
-        column=pa.string(),
-    )
-    a = names.select(F.col("id").alias("id_a"), F.col("dataset").alias("dataset_a"), F.col("column").alias("column_a"))
-    b = names.select(F.col("id").alias("id_b"), F.col("dataset").alias("dataset_b"), F.col("column").alias("column_b"))
-    return (
-        pair_rows.join(a, "id_a")
-        .join(b, "id_b")
-        .filter(F.col("dataset_a") != F.col("dataset_b"))
-        .join(sizes.withColumnRenamed("id", "id_a"), "id_a")
-        .withColumn("found_share", F.col("common_values") / F.col("values"))
-        .filter(F.col("found_share") >= at_least)
-        .select("dataset_a", "column_a", "dataset_b", "column_b", "values", "common_values", "found_share")
+        mine = [c for c in named if c.table == table]
+        if mine:
+            row = df.agg(*[F.approx_count_distinct(digests(df, c.name, c.kind)[0]).alias(str(c.id)) for c in mine]).first()
+            share |= {c.id: min(1.0, SAMPLE / max(row[str(c.id)], 1)) for c in mine}
+    samples = stored(value_cells(tables, named, share).distinct(), "samples")
+    sought = F.broadcast(samples.select("d1", "d2").distinct())
+    hits = stored(value_cells(tables, named).join(sought, ["d1", "d2"]).distinct(), "hits")
+    sizes = {r["column_id"]: r["n"] for r in samples.groupBy("column_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    found, open_pairs = [], []
+    for r in common_counts(hits, samples).collect():
+        a, b = r["id_a"], r["id_b"]
+        if table_of[a] == table_of[b]:
+            continue
+        if share[a] == 1:
+            found.append((a, b, sizes[a], r["common"]))
+        elif r["common"] / sizes[a] >= at_least - math.sqrt(math.log(1 / MISSED) / 2 / sizes[a]):
+            open_pairs.append((a, b))
+    if open_pairs:
+        sources = {a for a, _ in open_pairs}
+        values = value_cells(tables, [c for c in named if c.id in {i for pair in open_pairs for i in pair}]).distinct()
+        values = stored(values, "values")
+        whole = values.filter(F.col("column_id").isin(sources))
+        sizes = {r["column_id"]: r["n"] for r in whole.groupBy("column_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+        common = {(r["id_a"], r["id_b"]): r["common"] for r in common_counts(values, whole).collect()}
+        found += [(a, b, sizes[a], common.get((a, b), 0)) for a, b in open_pairs]
+    names = {c.id: (c.table, c.name) for c in named}
+    rows = [(*names[a], *names[b], n, both, both / n) for a, b, n, both in found if both / n >= at_least]
+    text, number = pa.string(), pa.int64()
+    return control_table(
+        spark, rows, dataset_a=text, column_a=text, dataset_b=text, column_b=text, values=number, common_values=number, found_share=pa.float64()
     )
 
 

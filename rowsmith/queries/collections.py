@@ -11,14 +11,32 @@ from rowsmith.queries.profiles import DIRTY, DIRTY_CLASSES, DIRTY_TYPES, fit_sql
 from rowsmith.queries.views import orders_dirty, part_dirty, table, with_views
 
 ORDERS_TYPES = dict(zip(DIRTY, zip(DIRTY_TYPES, DIRTY_CLASSES)))
-KEYS = {
-    "region": ["r_regionkey"],
-    "nation": ["n_nationkey", "n_regionkey"],
-    "customer": ["c_custkey", "c_nationkey"],
-    "supplier": ["s_suppkey", "s_nationkey"],
-    "part": ["p_partkey"],
-    "orders": ["o_orderkey", "o_custkey"],
-    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey"],
+#: All given tables, and their columns by kind of value (lists are not compared).
+COLUMNS = {
+    "region": {"whole": ["r_regionkey"], "text": ["r_name"]},
+    "nation": {"whole": ["n_nationkey", "n_regionkey"], "text": ["n_name"]},
+    "customer": {"whole": ["c_custkey", "c_nationkey"], "fraction": ["c_acctbal"], "text": ["c_name", "c_mktsegment"]},
+    "supplier": {"whole": ["s_suppkey", "s_nationkey"], "fraction": ["s_acctbal"], "text": ["s_name"]},
+    "part": {"whole": ["p_partkey", "p_size"], "fraction": ["p_retailprice"], "text": ["p_name", "p_brand", "p_type"]},
+    "orders": {
+        "whole": ["o_orderkey", "o_custkey"],
+        "fraction": ["o_totalprice"],
+        "time": ["o_orderdate"],
+        "text": ["o_orderstatus", "o_orderpriority"],
+    },
+    "lineitem": {
+        "whole": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"],
+        "fraction": ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+        "time": ["l_shipdate"],
+        "text": ["l_returnflag", "l_linestatus"],
+    },
+    "events": {"whole": ["event_id", "user_id"], "fraction": ["value"], "time": ["ts"], "text": ["event_type", "props"]},
+    "documents": {"whole": ["doc_id", "n_chars"], "text": ["text", "lang", "source"]},
+    "embeddings": {"whole": ["vec_id", "label"]},
+    "pages": {"whole": ["page_id"], "text": ["url", "html"]},
+    "benchmark": {"whole": ["item_id"], "text": ["text"]},
+    "labels": {"whole": ["doc_id", "quality", "toxic"]},
+    "conversations": {"whole": ["conv_id", "turn"], "text": ["role", "text"]},
 }
 EXPECTED = ["o_orderkey", "o_custkey", "o_totalprice", "o_comment", "o_clerk"]
 
@@ -69,8 +87,8 @@ def range_overlap(spark, sf_dir):
 
 
 def join_candidates(spark, sf_dir):
-    tables = {t: table(spark, sf_dir, t) for t in KEYS}
-    return rounded(collection.join_candidates(tables, KEYS), "found_share")
+    """All columns of all tables."""
+    return rounded(collection.join_candidates({t: table(spark, sf_dir, t) for t in COLUMNS}), "found_share")
 
 
 def format_consistency(spark, sf_dir):
@@ -168,8 +186,12 @@ OVERLAP_SQL = """overlap AS (
     b.data_type AS type_b, a.filled AS filled_a, b.filled AS filled_b, a.type_class <> b.type_class AS type_conflict
   FROM catalog a JOIN catalog b ON a."column" = b."column" AND a.dataset_name < b.dataset_name)"""
 
+SQL_TYPES = {"whole": "BIGINT", "fraction": "DOUBLE", "time": "TIMESTAMP", "text": "VARCHAR"}
 VALUES_SQL = "vals AS (" + "\nUNION ".join(
-    f"SELECT '{t}' AS d, '{c}' AS c, CAST({c} AS BIGINT) AS v FROM {t}" for t, cols in KEYS.items() for c in cols
+    f"SELECT '{t}' AS d, '{c}' AS c, '{kind}' || CAST(CAST({c} AS {SQL_TYPES[kind]}) AS VARCHAR) AS v FROM {t} WHERE {c} IS NOT NULL"
+    for t, kinds in COLUMNS.items()
+    for kind, cols in kinds.items()
+    for c in cols
 ) + ")"
 
 

@@ -15,6 +15,7 @@ from rowsmith.sources import documents, tables
 from rowsmith.sources.shared import new_path
 
 GIVEN = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages"]
+GIVEN += ["embeddings", "benchmark", "labels", "conversations"]
 
 
 def io_csv(spark, sf_dir):
@@ -142,7 +143,7 @@ QUERIES = {
     for f in (io_csv, io_write, io_tables, io_reports, io_context, io_manifest, io_report, io_export, catalog, preview)
 }
 
-COLUMN_COUNTS = dict(zip(GIVEN, [2, 3, 5, 4, 6, 6, 11, 6, 5, 3]))
+COLUMN_COUNTS = dict(zip(GIVEN, [2, 3, 5, 4, 6, 6, 11, 6, 5, 3, 3, 2, 3, 4]))
 
 ORACLES = {
     "io_csv": with_views("orders_dirty")
