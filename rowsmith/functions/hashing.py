@@ -30,3 +30,8 @@ def pick(number: Column, choices: list[str]) -> Column:
     """One of the choices, selected by an integer."""
     options = F.array(*[F.lit(c) for c in choices])
     return F.element_at(options, (F.pmod(number, F.lit(len(choices))) + 1).cast("int"))
+
+
+def cell_digest(value: Column) -> Column:
+    """64 bits that stand for a cell, null included; -0.0 is 0.0. Different cells have the same with a chance of 1 in 2^64."""
+    return F.xxhash64(value, value.isNull())

@@ -14,8 +14,10 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rowsmith.functions.columns import FRACTIONAL, TEMPORAL, WHOLE, col, columns_of, control_table, count_where, known
+from rowsmith.functions.columns import FRACTIONAL, TEMPORAL, WHOLE, col, columns_of, control_table, count_where, known, type_class
+from rowsmith.functions.hashing import cell_digest
 from rowsmith.operators.profile import column_types, format_fit, missing_counts, modes, numeric_summary
 from rowsmith.sources.shared import stored
 
@@ -290,31 +292,36 @@ def format_consistency(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def comparable(left: DataFrame, right: DataFrame, name: str) -> T.DataType:
+    """A type that the values of both tables are compared in."""
+    a, b = left.schema[name].dataType, right.schema[name].dataType
+    if a == b:
+        return a
+    if isinstance(a, WHOLE) and isinstance(b, WHOLE):
+        return T.LongType()
+    return T.DoubleType() if type_class(a) == type_class(b) == "numeric" else T.StringType()
+
+
 def value_conflicts(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per common column: keys found in both tables whose values differ.
 
-    Each side is first reduced to one row per key holding the smallest and largest value of each column
-    (null counts as a value), so a repeated key never multiplies rows in the join.
+    Each side is first reduced to one row per key holding the smallest and largest digest of each column's
+    cells (null counts as a value), so a repeated key never multiplies rows in the join, and the aggregates are of fixed
+    width.
     """
     common = [c for c in left.columns if c in right.columns and c not in keys]
 
     def per_key(df, tag):
-        ends = [
-            f(F.struct(known(df, c).alias("v"))).alias(f"{tag}_{end}_{i}")
-            for i, c in enumerate(common)
-            for end, f in (("low", F.min), ("high", F.max))
-        ]
-        return df.groupBy(*[col(k) for k in keys]).agg(*ends)
+        cells = [cell_digest(known(df, c).cast(comparable(left, right, c))).alias(f"_{i}") for i, c in enumerate(common)]
+        ends = [f(f"_{i}").alias(f"{tag}_{end}_{i}") for i in range(len(common)) for end, f in (("low", F.min), ("high", F.max))]
+        return df.select(*[col(k) for k in keys], *cells).groupBy(*[col(k) for k in keys]).agg(*ends)
 
     both = per_key(left, "a").join(per_key(right, "b"), list(keys))
     wide = both.agg(
         F.count(F.lit(1)).alias("shared_keys"),
         *[
             count_where(
-                ~(
-                    F.col(f"a_low_{i}").eqNullSafe(F.col(f"b_low_{i}"))
-                    & F.col(f"a_high_{i}").eqNullSafe(F.col(f"b_high_{i}"))
-                )
+                (F.col(f"a_low_{i}") != F.col(f"b_low_{i}")) | (F.col(f"a_high_{i}") != F.col(f"b_high_{i}"))
             ).alias(f"n_{i}")
             for i in range(len(common))
         ],

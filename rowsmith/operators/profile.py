@@ -7,9 +7,10 @@ combine absorbs hot values.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
-from itertools import combinations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ from rowsmith.operators.quantiles import quantile_columns
 # Texts that count as a number or as an ISO date or timestamp.
 NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 NUMBER_FIGURES = {"min_value": "min({v})", "max_value": "max({v})", "mean_value": "avg({v})"}
-PAIRS_PER_SCAN = 4
+FINITE_MEAN = "avg(CASE WHEN abs({v}) < double('Infinity') THEN {v} END)"
 DATE_PATTERN = r"^\s*[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])([ T][0-9:.]+)?\s*$"
 
 
@@ -311,47 +312,98 @@ def describe(df: DataFrame, name: str) -> DataFrame:
     )
 
 
+#: Columns whose pairs with all later columns are summed in one scan, and cells laid out at a time.
+TILE, CELLS = 256, 1 << 20
+
+
+def product_sums(values: DataFrame, tile: range) -> DataFrame:
+    """(i, j, n, si, sj, sii, sjj, sij): for each column i of a tile and each later column j, the rows that have both, and
+    the sums of both values, their squares and their product over those rows; `odd` counts the rows with an infinite one.
+
+    A task adds up matrix products of its batches, so a scan gives all pairs of a tile whatever their number, and a
+    task passes on one row for each pair."""
+    first, last, width = tile.start, tile.stop, len(values.columns)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = [np.zeros((last - first, width)) for _ in range(7)]
+        step = max(1, CELLS // width)
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in part.columns]).astype(float)
+                has, odd = (~np.isnan(x)).astype(float), np.isinf(x).astype(float)
+                x = np.where((has > 0) & (odd == 0), x, 0.0)
+                mine, own = x[:, first:last], has[:, first:last]
+                parts = (own.T @ has, mine.T @ has, own.T @ x, (mine * mine).T @ has, own.T @ (x * x), mine.T @ x, odd[:, first:last].T @ has + own.T @ odd)
+                for total, product in zip(sums, parts, strict=True):
+                    total += product
+        i, j = np.nonzero(np.arange(width) > np.arange(first, last)[:, None])
+        yield pa.RecordBatch.from_arrays([pa.array((i + first).astype(np.int32)), pa.array(j.astype(np.int32)), *[pa.array(t[i, j]) for t in sums]], names)
+
+    names = ["i", "j", "n", "si", "sj", "sii", "sjj", "sij", "odd"]
+    found = values.mapInArrow(task, "i int, j int, " + ", ".join(f"{name} double" for name in names[2:]))
+    return found.groupBy("i", "j").agg(*[F.sum(name).alias(name) for name in names[2:]])
+
+
 def correlations(df: DataFrame, name: str) -> DataFrame:
-    """Pearson correlation of every pair of numeric columns over the rows that have both.
+    """Pearson correlation of every pair of numeric columns over the rows that have both; null where it has no meaning:
+    fewer than two such rows, a column constant on them, or an infinite value among them.
 
-    A few pairs share a scan: more would make generated code too long to be compiled to machine code.
-    """
+    Values are taken from the column's mean, so that sums of squares keep their digits. One scan gives all pairs of up to
+    TILE columns with the columns after them."""
     numeric = columns_of(df, "numeric")
-    pairs = list(combinations(numeric, 2))
-    if not pairs:
+    if len(numeric) < 2:
         return df.sparkSession.createDataFrame(
             [], "dataset_name string, column_a string, column_b string, correlation double"
         )
-    parts = []
-    for start in range(0, len(pairs), PAIRS_PER_SCAN):
-        chunk = pairs[start : start + PAIRS_PER_SCAN]
-        wide = df.agg(*[F.corr(known(df, a), known(df, b)).alias(f"r_{i}") for i, (a, b) in enumerate(chunk)])
-        rows = [
-            F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r_{i}").alias("correlation"))
-            for i, (a, b) in enumerate(chunk)
-        ]
-        parts.append(wide.select(F.lit(name).alias("dataset_name"), F.inline(F.array(*rows))))
-    return reduce(DataFrame.unionByName, parts)
+    means = {r["column"]: r["mean"] for r in column_figures(df, numeric, {"mean": FINITE_MEAN}, cast="double").collect()}
+    values = df.select(*[(known(df, c).cast("double") - F.lit(means[c] or 0.0)).alias(f"v_{i}") for i, c in enumerate(numeric)])
+    tiles = [range(at, min(at + TILE, len(numeric))) for at in range(0, len(numeric), TILE)]
+    sums = reduce(DataFrame.unionByName, [product_sums(values, tile) for tile in tiles])
+    rows = sums.withColumns({f"c{x}{y}": F.col(f"s{x}{y}") - F.col(f"s{x}") * F.col(f"s{y}") / F.nullif("n", F.lit(0.0)) for x, y in ("ii", "jj", "ij")})
+    # What is left of a constant column is rounding.
+    varied = [F.col(f"c{x}{x}") > F.col(f"s{x}{x}") * 1e-12 for x in "ij"]
+    r = F.col("cij") / F.sqrt(F.nullif("cii", F.lit(0.0))) / F.sqrt(F.nullif("cjj", F.lit(0.0)))
+    defined = (F.col("n") > 1) & (F.col("odd") == 0) & varied[0] & varied[1]
+    names = F.array(*[F.lit(c) for c in numeric])
+    return rows.select(
+        F.lit(name).alias("dataset_name"),
+        F.get(names, F.col("i")).alias("column_a"),
+        F.get(names, F.col("j")).alias("column_b"),
+        F.when(defined, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("correlation"),
+    )
+
+
+#: Seconds of a unit, at least, and buckets of a range.
+UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400, "week": 604_800, "month": 2_419_200, "quarter": 7_776_000, "year": 31_536_000}
+RANGE = 4096
 
 
 def temporal_profile(df: DataFrame, name: str, column: str, unit: str = "day") -> DataFrame:
     """Rows per time bucket and the distance to the previous filled bucket in days.
 
-    The window runs over the aggregated buckets only, whose number is bounded by the time span.
+    Buckets are put in order within ranges of RANGE of them; the first of a range looks up the end of the range before in
+    a list with one entry per range.
     """
     buckets = (
         df.filter(col(column).isNotNull())
         .groupBy(F.date_trunc(unit, col(column)).alias("bucket"))
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
-    day = F.to_date("bucket")
-    previous = F.lag(day).over(Window.orderBy("bucket"))
-    return buckets.select(
+    seconds = F.unix_seconds(F.col("bucket").cast("timestamp"))
+    buckets = buckets.withColumn("range", F.floor(seconds / (UNIT_SECONDS[unit.lower()] * RANGE)).cast("bigint"))
+    ends = buckets.groupBy("range").agg(F.max("bucket").alias("end"))
+    listed = ends.agg(F.collect_list(F.struct("range", "end")).alias("ends")).select("ends").scalar()
+    own = F.lag("bucket").over(Window.partitionBy("range").orderBy("bucket"))
+    before = F.array_max(F.transform(F.filter(F.col("ends"), lambda e: e["range"] < F.col("range")), lambda e: e["end"]))
+    rows = buckets.withColumn("own", own).withColumn("ends", F.when(F.col("own").isNull(), listed))
+    previous = F.coalesce("own", before)
+    return rows.select(
         F.lit(name).alias("dataset_name"),
         F.lit(column).alias("column"),
         F.date_format("bucket", "yyyy-MM-dd HH:mm:ss").alias("bucket"),
         "row_count",
-        F.datediff(day, previous).cast("bigint").alias("gap_days"),
+        F.datediff(F.to_date("bucket"), F.to_date(previous)).cast("bigint").alias("gap_days"),
     )
 
 

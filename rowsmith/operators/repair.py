@@ -36,6 +36,7 @@ from rowsmith.functions.columns import (
     title_case,
     type_class,
 )
+from rowsmith.functions.hashing import cell_digest
 from rowsmith.operators.profile import modes
 from rowsmith.operators.quantiles import group_quantiles, quantile_values
 from rowsmith.sources.shared import settled
@@ -454,22 +455,20 @@ def enhancement_report(df: DataFrame, name: str, plan: Sequence[dict]) -> DataFr
 def cell_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Cells per column that differ between two versions of a table, matched by key.
 
-    Equal rows of the old version are merged and the new version is reduced to one row per key, so repeated
+    Cells are compared by 64-bit digests, so both sides are hash aggregates of fixed width and no text is sorted or
+    shuffled. Equal rows of the old version are merged and the new version is reduced to one row per key, so repeated
     keys add nothing to the join. Rows whose key is gone, or stands for different rows in the new version,
     are counted apart. A null key is a key like others.
     """
     others = [c for c in before.columns if c in after.columns and c not in keys]
-    old = (
-        before.select(
-            *[col(k) for k in keys],
-            *[known(before, c).cast(after.schema[c].dataType).alias(f"c_{i}") for i, c in enumerate(others)],
-        )
-        .groupBy(*[col(k) for k in keys], *[f"c_{i}" for i in range(len(others))])
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    cells = F.struct(*[known(after, c).alias(f"n_{i}") for i, c in enumerate(others)])
-    new = after.groupBy(*[col(k) for k in keys]).agg(F.min(cells).alias("low"), F.max(cells).alias("high"))
-    renamed = new.select(*[col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], "low", "high")
+    cells = [f"c_{i}" for i in range(len(others))]
+    old_cells = [cell_digest(known(before, c).cast(after.schema[c].dataType)).alias(n) for c, n in zip(others, cells, strict=True)]
+    old = before.select(*[col(k) for k in keys], *old_cells).groupBy(*[col(k) for k in keys], *cells).agg(F.count(F.lit(1)).alias("copies"))
+    new_cells = after.select(*[col(k) for k in keys], *[cell_digest(known(after, c)).alias(n) for c, n in zip(others, cells, strict=True)])
+    row = F.xxhash64(*cells) if cells else F.lit(0)
+    ends = [F.min(row).alias("low"), F.max(row).alias("high"), *[F.min(n).alias(f"n_{i}") for i, n in enumerate(cells)]]
+    new = new_cells.groupBy(*[col(k) for k in keys]).agg(*ends)
+    renamed = new.select(*[col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], "low", "high", *[f"n_{i}" for i in range(len(others))])
     match = reduce(lambda a, b: a & b, [col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)])
     joined = old.join(renamed, match, "left")
     clear = F.col("low").isNotNull() & F.col("low").eqNullSafe(F.col("high"))
@@ -483,7 +482,7 @@ def cell_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Da
         total(F.col("low").isNull()).alias("rows_gone"),
         total(F.col("low").isNotNull() & ~clear).alias("rows_unclear"),
         *[
-            total(clear & ~F.col(f"c_{i}").eqNullSafe(F.col(f"low.n_{i}"))).alias(f"changed_{i}")
+            total(clear & (F.col(f"c_{i}") != F.col(f"n_{i}"))).alias(f"changed_{i}")
             for i in range(len(others))
         ],
     )

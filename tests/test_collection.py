@@ -6,7 +6,7 @@ import math
 import numpy as np
 import pytest
 
-from rowsmith.operators import collection
+from rowsmith.operators import collection, repair
 
 
 def plain(tables, at_least):
@@ -49,3 +49,23 @@ def test_no_candidates(spark):
     tables = {"a": spark.range(5).toDF("x"), "b": spark.range(5).selectExpr("id + 100 AS y"), "c": spark.range(0).toDF("z")}
     found = collection.join_candidates(tables)
     assert found.count() == 0 and found.columns[:4] == ["dataset_a", "column_a", "dataset_b", "column_b"]
+
+
+def test_conflicts_and_changes_without_sorting(spark):
+    """Types that differ, nulls, NaN and signed zeros, repeated keys, null keys."""
+    left = spark.createDataFrame(
+        [(1, 1, 0.0, "a"), (2, 2, 1.5, None), (2, 2, 1.5, None), (3, 3, float("nan"), "c"), (4, None, 2.0, "d"), (None, 9, 1.0, "n"), (7, 1, 1.0, "x")],
+        "k int, n int, d double, t string",
+    )
+    right = spark.createDataFrame(
+        [(1, 1, -0.0, "a"), (2, 2, 1.5, ""), (3, 4, None, "c"), (4, None, 2.0, "d"), (4, 5, 2.0, "d"), (None, 9, 1.0, "n"), (8, 1, 1.0, "x")],
+        "k int, n bigint, d double, t string",
+    )
+    found = collection.value_conflicts(left, right, ["k"])
+    assert {r.column: (r.shared_keys, r.conflicts) for r in found.collect()} == {"n": (4, 2), "d": (4, 0), "t": (4, 1)}
+    changes = repair.cell_changes(left, right, ["k"])
+    want = {"n": (7, 1, 1, 1), "d": (7, 1, 1, 0), "t": (7, 1, 1, 2)}
+    assert {r.column: (r.rows_compared, r.rows_gone, r.rows_unclear, r.changed) for r in changes.collect()} == want
+    for frame in (found, changes):
+        assert "SortAggregate" not in frame._jdf.queryExecution().executedPlan().toString()
+    assert collection.value_conflicts(left.limit(0), right, ["k"]).first().shared_keys == 0

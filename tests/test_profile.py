@@ -211,3 +211,48 @@ def test_a_failing_and_an_empty_table_do_not_end_the_report(spark):
 def test_digest_tells_null_from_value_and_place(spark):
     df = spark.createDataFrame([(None, "a"), ("a", None), (None, "a"), ("a", "a")], "x string, y string")
     assert profile.basic_stats(df, "t").first().duplicate_rows == 1
+
+
+def plain_correlation(x, y):
+    both = ~(np.isnan(x) | np.isnan(y))
+    x, y = x[both], y[both]
+    if len(x) < 2 or (x == x[0]).all() or (y == y[0]).all() or np.isinf([*x, *y]).any():
+        return None
+    return float(np.corrcoef(x, y)[0, 1])
+
+
+@pytest.mark.parametrize("tile", [256, 7])
+def test_correlations_of_a_hundred_columns(spark, monkeypatch, tile):
+    """Pairwise nulls, far-off means, constant and empty columns, infinities."""
+    monkeypatch.setattr(profile, "TILE", tile)
+    monkeypatch.setattr(profile, "CELLS", 4000)
+    rng = np.random.default_rng(12)
+    base = rng.normal(0, 1, (900, 5))
+    data = {}
+    for i in range(100):
+        values = base @ rng.normal(0, 1, 5) + rng.normal(0, 1, 900) * (i % 4) + (1e9 if i % 10 == 3 else 0)
+        data[f"c{i}"] = np.where(rng.random(900) < 0.3 * (i % 3), np.nan, values)
+    data |= {"constant": np.full(900, 0.1), "none": np.full(900, np.nan), "odd": np.where(np.arange(900) == 5, np.inf, base[:, 0])}
+    data["half"] = np.where(np.arange(900) < 450, np.nan, np.where(np.arange(900) < 900, 7.25, 0))
+    names = list(data)
+    found = profile.correlations(spark.createDataFrame(pd.DataFrame(data)).repartition(5), "wide").collect()
+    assert len(found) == len(names) * (len(names) - 1) // 2
+    for r in found:
+        want = plain_correlation(data[r.column_a], data[r.column_b])
+        assert r.correlation == (want if want is None else pytest.approx(want, abs=1e-6 if "3" in r.column_a + r.column_b else 1e-9)), r
+    plan = profile.correlations(spark.range(2).selectExpr(*[f"id + {i} AS c{i}" for i in range(20)]), "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == -(-20 // tile)
+
+
+def test_gaps_of_minutes_over_years(spark):
+    rng = np.random.default_rng(13)
+    minutes = sorted({*rng.integers(0, 60 * 24 * 365 * 4, 4000).tolist(), *range(100_000, 103_000), 60 * 24 * 365 * 9})
+    rows = spark.createDataFrame([(m,) for m in minutes], "m bigint").selectExpr("timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(0, 0, m, 0) AS at", "m")
+    found = profile.temporal_profile(rows.unionByName(rows.limit(3)), "t", "at", "minute").orderBy("bucket")
+    windows = [line for line in found._jdf.queryExecution().sparkPlan().toString().split("\n") if "Window [" in line]
+    assert len(windows) == 1 and "range" in windows[0].rsplit("], [", 2)[1]
+    days = [m // 1440 for m in minutes]
+    assert [r.gap_days for r in found.collect()] == [None, *[b - a for a, b in zip(days, days[1:], strict=False)]]
+    early = spark.sql("SELECT timestamp_ntz'1960-02-01 00:00:00' AS at UNION ALL SELECT timestamp_ntz'1969-12-31 00:00:00'")
+    assert [r.gap_days for r in profile.temporal_profile(early, "t", "at").orderBy("bucket").collect()] == [None, 3621]
+    assert profile.temporal_profile(rows.limit(0), "t", "at").count() == 0
