@@ -31,6 +31,7 @@ from rowsmith.functions.columns import (
     type_class,
 )
 from rowsmith.operators.quantiles import quantile_columns
+from rowsmith.sources.shared import settled
 
 # Texts that count as a number or as an ISO date or timestamp.
 NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
@@ -162,21 +163,35 @@ def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+#: First rows of a table that samples are looked for in.
+HEAD = 200
+
+
 def first_values(df: DataFrame, columns: list[str], order_by: str, n: int = 5) -> DataFrame:
-    """First n known values of each column in key order, as one text array per column.
+    """First n known values of each column in key order, ties by value, as one text array per column.
 
-    Each column is a bounded top-n over two columns of the scan: nothing is sorted as a whole.
+    One scan finds the first HEAD rows, which hold the samples of most columns. A second one looks for the values of
+    all columns that have too few there, or whose values there share the last key; a task passes on n of each.
     """
-    parts = [
-        df.filter(~is_missing(df, c))
-        .select(col(order_by).alias("k"), col(c).cast("string").alias("value"))
-        .orderBy("k", "value")
-        .limit(n)
-        .select(F.lit(c).alias("column"), "k", "value")
-        for c in columns
-    ]
-    rows = reduce(DataFrame.unionByName, parts)
-    ordered = F.array_sort(F.collect_list(F.struct("k", "value")))
+    texts = df.select(col(order_by).alias("k"), *[F.when(~is_missing(df, c), col(c).cast("string")).alias(f"c{i}") for i, c in enumerate(columns)])
+    names = F.array(*[F.lit(c) for c in columns])
+
+    def cells(rows: DataFrame, wanted: list[int]) -> DataFrame:
+        pairs = rows.unpivot(["k"], [F.col(f"c{i}") for i in wanted], "cell", "value").filter("value IS NOT NULL")
+        return pairs.select(F.get(names, F.substring("cell", 2, 9).cast("int")).alias("column"), "k", "value")
+
+    head = settled(texts.orderBy("k").limit(HEAD))
+    held, last = head.agg(F.count(F.lit(1)), F.max("k")).first()
+    # Rows of the last key may go on behind the head; null keys come first.
+    sure = F.lit(True) if held < HEAD else ~F.col("k").eqNullSafe(F.lit(last))
+    counts = head.agg(*[F.count_if(F.col(f"c{i}").isNotNull() & sure).alias(str(i)) for i in range(len(columns))]).first()
+    found = [i for i in range(len(columns)) if held < HEAD or counts[str(i)] >= n]
+    others = [i for i in range(len(columns)) if i not in found]
+    parts = [cells(rows, wanted) for rows, wanted in ((head, found), (texts, others)) if wanted]
+    place = F.row_number().over(Window.partitionBy("column").orderBy("k", "value"))
+    firsts = [part.withColumn("place", place).filter(F.col("place") <= n) for part in parts]
+    rows = reduce(DataFrame.unionByName, firsts)
+    ordered = F.array_sort(F.collect_list(F.struct("place", "value")))
     return rows.groupBy("column").agg(F.transform(ordered, lambda r: r["value"]).alias("sample_values"))
 
 

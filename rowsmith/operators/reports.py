@@ -271,7 +271,11 @@ def issue_evidence(df: DataFrame, name: str, column: str, order_by: str, values:
         F.lit(len(df.columns)).cast("bigint").alias("total_columns"),
         nulls.select("null_count").scalar().alias("null_count"),
         "mean_value",
+        "std_value",
         "min_value",
+        "q25",
+        "q50",
+        "q75",
         "max_value",
         first_values.alias("sample_values"),
         first_rows.alias("sample_rows"),

@@ -54,6 +54,17 @@ def evidence(spark, sf_dir):
     )
 
 
+FIGURES = {
+    "mean_value": "avg({})",
+    "std_value": "stddev_samp({})",
+    "min_value": "min({})",
+    "q25": "quantile_cont({}, 0.25)",
+    "q50": "quantile_cont({}, 0.5)",
+    "q75": "quantile_cont({}, 0.75)",
+    "max_value": "max({})",
+}
+
+
 def fix_evidence(spark, sf_dir):
     """What is shown about the priority and the price before they are repaired."""
     df = orders_dirty(spark, sf_dir).withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
@@ -70,7 +81,7 @@ def fix_evidence(spark, sf_dir):
             "sample_rows": F.array_join(F.transform(rows, lambda r: r["o_orderkey"].cast("string")), ","),
         }
     )
-    return rounded(shown, "mean_value", "min_value", "max_value")
+    return rounded(shown, *FIGURES)
 
 
 QUERIES = {f.__name__: f for f in (report_issues, response_parse, recommendations, evidence, fix_evidence)}
@@ -92,7 +103,7 @@ def fix_evidence_sql(c: str, data_type: str, figures: str, samples: str) -> str:
 
 LISTED = """listed AS (SELECT "column", string_agg(message, '; ' ORDER BY flag_order) AS issues
   FROM flags GROUP BY "column")"""
-NOTHING = ", ".join(f"CAST(NULL AS DOUBLE) AS {n}" for n in ("mean_value", "min_value", "max_value"))
+NOTHING = ", ".join(f"CAST(NULL AS DOUBLE) AS {n}" for n in FIGURES)
 PRICE = "o_totalprice"
 ORACLES = {
     "report_issues": with_views("issue_reports")
@@ -128,8 +139,7 @@ UNION ALL SELECT item_id, 0, 'bad_json', 'Error generating recommendations - man
             fix_evidence_sql(
                 PRICE,
                 "double",
-                f"{r4(f'avg({PRICE})')} AS mean_value, {r4(f'min({PRICE})')} AS min_value,"
-                f" {r4(f'max({PRICE})')} AS max_value",
+                ", ".join(f"{r4(sql.format(PRICE))} AS {n}" for n, sql in FIGURES.items()),
                 "'10'",
             ),
             fix_evidence_sql(

@@ -73,6 +73,23 @@ def test_first_values_follow_the_key(spark):
     assert by(profile.first_values(df, ["t"], "k", 3))["t"]["sample_values"] == ["v1", "v3", "v5"]
 
 
+def test_first_values_of_sparse_columns_and_shared_keys(spark, monkeypatch):
+    """Columns filled late, seldom or never; keys that many rows share, null keys, few rows."""
+    monkeypatch.setattr(profile, "HEAD", 20)
+    rng = np.random.default_rng(14)
+    rows = []
+    for i in range(400):
+        k = None if i % 100 == 7 else int(i // 30 if i < 90 else i)
+        rows.append((k, f"a{rng.integers(99)}", f"b{i}" if i > 300 else None, f"c{i}" if i in (3, 380, 390) else None, None, int(rng.integers(99))))
+    df = spark.createDataFrame(rows, "k int, a string, b string, c string, d string, e int").repartition(6)
+    for frame, some in ((df, rows), (df.filter("k > 385"), [r for r in rows if r[0] is not None and r[0] > 385])):
+        found = {r.column: r.sample_values for r in profile.first_values(frame, list("abcde"), "k", 5).collect()}
+        for at, c in enumerate("abcde", 1):
+            known = sorted((r[0] is not None, r[0] or 0, str(r[at])) for r in some if r[at] is not None)
+            assert found.get(c, []) == [v for _, _, v in known[:5]], c
+    assert profile.first_values(df.limit(0), ["a"], "k").count() == 0
+
+
 def test_skewness_of_constant_and_short_columns(spark):
     df = spark.createDataFrame([(5.0, 1.0), (5.0, 2.0), (5.0, None)], "c double, s double")
     rows = by(profile.numeric_summary(df, "x"))
