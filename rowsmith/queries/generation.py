@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rowsmith.operators import generate, pages, requests
+from rowsmith.plans import generation as plans
 from rowsmith.queries.views import orders_dirty, table, with_views
+from rowsmith.sources.shared import new_path
 
 SEED = 7
 ANCHOR = "2024-06-30"
@@ -66,6 +68,51 @@ def spec_answers(spark, sf_dir):
     )
 
 
+def run_answers(spark, sf_dir):
+    """An answer for each source of the documents, within text of one of them: as many patients as it has documents, as many
+    sites, no specification, or an empty one."""
+    docs = table(spark, sf_dir, "documents")
+    sources = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", F.substring("text", 1, 200).alias("text"))).alias("first"))
+    name, size = F.col("source"), F.col("n").cast("string")
+    patients = (
+        '", "description": "who", "columns": ["patient_id", "age", "gender", "risk_score", "age"], "column_details": {'
+        '"patient_id": {"type": "id"}, "age": {"type": "int", "value_range": "20 to 35 years"},'
+        ' "gender": {"type": "categorical"}, "risk_score": {"type": "float", "value_range": [2.5, -0.5]}}, "row_count": '
+    )
+    sites = (
+        '", "columns": ["id", "opened", "open", "kind", "note"], "column_details": {"id": {"type": "id"},'
+        ' "opened": {"type": "date"}, "open": {"type": "boolean"}, "kind": {"type": "categorical", "value_range": "clinic, ward, lab"}}, "row_count": '
+    )
+    turn = F.col("n") % 4
+    spec = (
+        F.when(turn == 0, F.concat(F.lit('{"dataset_name": "patients of '), name, F.lit(patients), size, F.lit("}")))
+        .when(turn == 1, F.concat(F.lit('{"dataset_name": "sites of '), name, F.lit(sites), size, F.lit("}")))
+        .when(turn == 2, F.lit("I can not say"))
+        .otherwise(F.concat(F.lit('{"dataset_name": "nothing of '), name, F.lit('", "columns": ["id"], "row_count": 0}')))
+    )
+    text = F.translate("first.text", "{}", "()")
+    return sources.select(
+        F.col("source").alias("answer_id"), F.concat(text, F.lit(" "), spec, F.lit(" "), text).alias("response"), F.array(F.lit("id"), F.lit("value")).alias("expected_columns")
+    )
+
+
+def run_of(spark, sf_dir):
+    return plans.generation_run(run_answers(spark, sf_dir), "answer_id", new_path(spark, "run"), SEED, ANCHOR)
+
+
+def gen_run(spark, sf_dir):
+    """All cells of a run's tables, read back from its files, in the order of the wanted columns: one that no table has among them."""
+    specs, rows, _ = run_of(spark, sf_dir)
+    wanted = specs.select("dataset", F.array_append(F.col("fields.column"), F.lit("reviewer")).alias("columns"))
+    return plans.aligned(rows, wanted).withColumn("position", F.col("position").cast("bigint"))
+
+
+def gen_run_manifest(spark, sf_dir):
+    """What a run has written, and whether ids repeat."""
+    found = run_of(spark, sf_dir)[2]
+    return found.withColumns({"columns": F.array_join("columns", ","), "file_path": F.element_at(F.split("file_path", "/"), -1)})
+
+
 def gen_table(spark, sf_dir):
     keys = table(spark, sf_dir, "orders").select("o_orderkey")
     return generate.generate_table(keys, "o_orderkey", SPEC, SEED, ANCHOR)
@@ -138,6 +185,8 @@ QUERIES = {
         gen_parse,
         gen_align,
         gen_unique_ids,
+        gen_run,
+        gen_run_manifest,
     )
 }
 
@@ -220,7 +269,34 @@ SAMPLES_SQL = f"""SELECT item_id, dataset_no, row_no, "column", CASE
   FROM (SELECT *, CAST(concat('0x', substr(h, 1, 8)) AS BIGINT) AS n0 FROM (
     SELECT *, {SAMPLE_DIGEST} AS h FROM d, (SELECT unnest([0, 1, 2])::BIGINT AS row_no)))"""
 
+RUN_DIGEST = f"md5(concat('{SEED}:', dataset, '/', \"column\", ':', CAST(row_no AS VARCHAR)))"
+RUN_SQL = f"""sources AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+named AS (
+  SELECT source, CAST(CASE n % 4 WHEN 2 THEN 50 WHEN 3 THEN 0 ELSE n END AS BIGINT) AS n, CASE n % 4
+    WHEN 0 THEN concat('patients of ', source) WHEN 1 THEN concat('sites of ', source) WHEN 2 THEN 'SyntheticDataset'
+    ELSE concat('nothing of ', source) END AS name, CASE n % 4 WHEN 0 THEN 'who' ELSE '' END AS description, CASE n % 4
+    WHEN 0 THEN ['patient_id', 'age', 'gender', 'risk_score'] WHEN 1 THEN ['id', 'opened', 'open', 'kind', 'note']
+    WHEN 2 THEN ['id', 'value'] ELSE ['id'] END AS columns FROM sources),
+tables AS (SELECT *, concat(source, '-', name) AS dataset FROM named),
+cells AS (
+  SELECT dataset, row_no, position, "column", CAST(concat('0x', substr(h, 1, 8)) AS BIGINT) AS h0, h FROM (
+    SELECT *, {RUN_DIGEST} AS h FROM (
+      SELECT dataset, row_no, i AS position, list_append(columns, 'reviewer')[i + 1] AS "column"
+      FROM tables, unnest(range(n)) AS r(row_no), unnest(range(len(columns) + 1)) AS c(i))))"""
+
 ORACLES = {
+    "gen_run": with_views(RUN_SQL)
+    + f"""SELECT dataset, row_no, position, "column", CASE "column"
+    WHEN 'patient_id' THEN {id_sql("PAT_", "row_no")} WHEN 'id' THEN {id_sql("ID_", "row_no")}
+    WHEN 'age' THEN CAST(20 + h0 % 16 AS VARCHAR) WHEN 'gender' THEN {pick_sql("h0", generate.SEX_VALUES)}
+    WHEN 'risk_score' THEN concat(CASE WHEN h0 % 301 < 50 THEN '-' ELSE '' END, CAST(abs(h0 % 301 - 50) // 100 AS VARCHAR), '.',
+      lpad(CAST(abs(h0 % 301 - 50) % 100 AS VARCHAR), 2, '0'))
+    WHEN 'opened' THEN {date_sql("h0")} WHEN 'open' THEN CAST(h0 % 2 = 0 AS VARCHAR)
+    WHEN 'kind' THEN {pick_sql("h0", ["clinic", "ward", "lab"])} WHEN 'reviewer' THEN 'Unknown'
+    ELSE substr({text_sql("h")}, 1, 50) END AS value FROM cells""",
+    "gen_run_manifest": with_views(RUN_SQL)
+    + """SELECT name, description, array_to_string(columns, ',') AS columns, concat('dataset=', dataset) AS file_path,
+  n AS row_count, n AS asked_rows, CAST(0 AS BIGINT) AS repeated_ids FROM tables""",
     "gen_table": f"""SELECT {id_sql("PAT_", K)} AS patient_id, {id_sql("ID_", K)} AS order_id,
   {int_sql("age", K, 18, 90)} AS age, {int_sql("birth_year", K, 1950, 2023)} AS birth_year,
   {int_sql("visits", K, 0, 100)} AS visits, {float_sql("risk_score", K)} AS risk_score,
