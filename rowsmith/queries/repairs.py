@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rowsmith.functions.columns import fixed
-from rowsmith.operators import repair
+from rowsmith.operators import dependencies, repair
 from rowsmith.plans import quality
 from rowsmith.plans import repair as plans
-from rowsmith.queries.profiles import r4, rounded, union_all
+from rowsmith.plans.quality import union
+from rowsmith.queries.profiles import DIRTY, r4, rounded, union_all
 from rowsmith.queries.views import issue_responses, orders_dirty, part_dirty, table, with_views
 
 PLAN = [
@@ -195,6 +196,37 @@ def rule_errors_apart(spark, sf_dir):
     return repair.rule_violations(orders_dirty(spark, sf_dir), "o_orderkey", ERROR_RULES)
 
 
+def orders_wide(spark, sf_dir):
+    """Orders with their customers, nations and regions, of which some have a wrong region, a null nation, or another customer's
+    segment."""
+    t = {name: table(spark, sf_dir, name) for name in ("orders", "customer", "nation", "region")}
+    wide = t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey")).join(t["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
+    wide = wide.join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+    key = F.col("o_orderkey")
+    return wide.select(
+        "o_orderkey",
+        (F.col("o_custkey") % 500).alias("branch"),
+        "o_orderstatus",
+        "o_orderpriority",
+        F.concat_ws("/", "o_orderstatus", F.col("o_orderkey") % 4).alias("desk"),
+        F.when(key % 89 != 0, F.col("n_name")).alias("n_name"),
+        F.when(key % 97 == 0, "NOWHERE").otherwise(F.col("r_name")).alias("r_name"),
+        (F.col("o_orderkey") % 4).alias("shift"),
+    )
+
+
+def rules_found(spark, sf_dir):
+    """Columns that all but determine others, in three tables."""
+    tables = {"orders_wide": orders_wide(spark, sf_dir), "orders_dirty": orders_dirty(spark, sf_dir), "lineitem": table(spark, sf_dir, "lineitem")}
+    return rounded(union([dependencies.rules_found(df, name) for name, df in tables.items()]), "error_share", "base_error")
+
+
+def rules_found_breaks(spark, sf_dir):
+    """Rows that break a rule found in their table."""
+    wide = orders_wide(spark, sf_dir)
+    return dependencies.rule_breaks(wide, "o_orderkey", sorted(dependencies.find_rules(wide)))
+
+
 def fix_report(spark, sf_dir):
     report = repair.enhancement_report(orders_dirty(spark, sf_dir), "orders_dirty", PLAN)
     return rounded(report, "average_confidence")
@@ -290,6 +322,8 @@ QUERIES = {
         rule_findings,
         rule_errors,
         rule_errors_apart,
+        rules_found,
+        rules_found_breaks,
         fix_plan_parse,
         repair_run,
         repair_run_report,
@@ -350,7 +384,60 @@ ERROR_SQL = """e3 AS (SELECT * REPLACE (o_totalprice * 2 AS o_totalprice) FROM o
 e4 AS (SELECT * REPLACE (CASE WHEN o_totalprice < 0 THEN -1 ELSE o_totalprice END AS o_totalprice) FROM e3),
 e5 AS (SELECT DISTINCT * FROM e4)"""
 
+WIDE_SQL = """orders_wide AS (
+  SELECT o_orderkey, o_custkey % 500 AS branch, o_orderstatus, o_orderpriority, concat(o_orderstatus, '/', CAST(o_orderkey % 4 AS VARCHAR)) AS desk,
+    CASE WHEN o_orderkey % 89 <> 0 THEN n_name END AS n_name, CASE WHEN o_orderkey % 97 = 0 THEN 'NOWHERE' ELSE r_name END AS r_name,
+    o_orderkey % 4 AS shift
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+WIDE = ["o_orderkey", "branch", "o_orderstatus", "o_orderpriority", "desk", "n_name", "r_name", "shift"]
+LINES = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+LINES += ["l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+def tried_sql(name: str, columns: list[str]) -> str:
+    """Figures of all rules of one and two columns of a table, whatever they are good for."""
+    sets = [(a,) for a in columns] + [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+    return "\nUNION ALL ".join(
+        f"""SELECT '{name}' AS dataset_name, '{", ".join(by)}' AS determinants, {len(by)} AS level, '{y}' AS target, count(*) AS groups, sum(kept) AS kept
+  FROM (SELECT max(c) AS kept FROM (SELECT {", ".join(by)}, count(*) AS c FROM {name} GROUP BY {", ".join(by)}, {y}) GROUP BY {", ".join(by)})"""
+        for by in sets
+        for y in columns
+        if y not in by
+    )
+
+
+def rules_sql(name: str, columns: list[str]) -> str:
+    """The rules among them."""
+    alone = "\nUNION ALL ".join(f"SELECT '{y}' AS target, max(c) AS kept FROM (SELECT count(*) AS c FROM {name} GROUP BY {y})" for y in columns)
+    return f"""(WITH tried AS ({tried_sql(name, columns)}), alone AS ({alone}), whole AS (SELECT count(*) AS n FROM {name}),
+good AS (
+  SELECT t.*, n, 1 - t.kept / n AS error_share, 1 - a.kept / n AS base_error FROM tried t JOIN alone a USING (target), whole
+  WHERE a.kept < n AND t.groups <= 0.5 * n AND (n - t.kept) / n <= least(0.05, 0.5 * ((n - a.kept) / n)))
+SELECT dataset_name, determinants, target, CAST(n AS BIGINT) AS total_records, groups, CAST(n - kept AS BIGINT) AS violations,
+  CAST(floor(error_share * 10000 + 0.5) / 10000 AS DOUBLE) AS error_share, CAST(floor(base_error * 10000 + 0.5) / 10000 AS DOUBLE) AS base_error
+  FROM good g WHERE level = 1 OR NOT EXISTS (SELECT 1 FROM good s WHERE s.level = 1 AND s.target = g.target
+    AND list_contains(string_split(g.determinants, ', '), s.determinants)))"""
+
+
+def breaks_sql(columns: list[str]) -> str:
+    sets = [(a,) for a in columns] + [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+    return "\nUNION ALL ".join(
+        f"""SELECT d.o_orderkey AS key, '{", ".join(by)} -> {y}' AS rule, CAST(d.{y} AS VARCHAR) AS value, expected, expected_rows, group_rows
+  FROM orders_wide d JOIN (
+    SELECT {", ".join(by)}, CAST(sum(c) AS BIGINT) AS group_rows, arg_min([v], (-c, coalesce('=' || v, '')))[1] AS expected, max(c) AS expected_rows
+    FROM (SELECT {", ".join(by)}, CAST({y} AS VARCHAR) AS v, count(*) AS c FROM orders_wide GROUP BY ALL)
+    GROUP BY {", ".join(by)}) g ON {" AND ".join(f"g.{x} IS NOT DISTINCT FROM d.{x}" for x in by)}
+  WHERE CAST(d.{y} AS VARCHAR) IS DISTINCT FROM expected AND '{", ".join(by)} -> {y}' IN (SELECT determinants || ' -> ' || target FROM rules)"""
+        for by in sets
+        for y in columns
+        if y not in by
+    )
+
+
 ORACLES = {
+    "rules_found": with_views("orders_dirty", WIDE_SQL)
+    + union_all(f"SELECT * FROM {rules_sql(name, columns)}" for name, columns in (("orders_wide", WIDE), ("orders_dirty", DIRTY), ("lineitem", LINES))),
+    "rules_found_breaks": with_views(WIDE_SQL, f"rules AS (SELECT * FROM {rules_sql('orders_wide', WIDE)})") + breaks_sql(WIDE),
     "fix_errors": with_views("orders_dirty", ERROR_SQL)
     + """SELECT CAST(step AS BIGINT) AS step, fix_type, target_column, status, CAST(cells AS BIGINT) AS cells_changed,
   CAST(removed AS BIGINT) AS rows_removed, CAST(bad AS BIGINT) AS rows_failed FROM (
