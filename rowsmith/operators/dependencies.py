@@ -7,6 +7,7 @@ counts as null. Rules are searched level by level: single columns first, then pa
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 from typing import NamedTuple
@@ -18,7 +19,10 @@ from pyspark.sql import types as T
 
 from rowsmith.functions.columns import col, control_table, known
 from rowsmith.functions.hashing import cell_digest
+from rowsmith.sources.shared import stored
 
+#: Rows that rules are tried on first, and the chance that a rule is left out for it.
+SAMPLE, MISSED = 20_000, 1e-12
 #: Rules counted in one scan of the table.
 RULES_PER_SCAN = 128
 
@@ -51,12 +55,15 @@ def group_digest(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.xxhash64(*[cell_digest(known(df, c)) for c in columns]) if columns else F.lit(0).cast("bigint")
 
 
-def rule_figures(df: DataFrame, rules: Sequence[Rule]) -> dict[Rule, Figures]:
-    """The figures of rules. Each row gives one pair of digests for each rule; equal pairs are added up before they are
-    shuffled, so a value that a third of the rows have is a row per task."""
-    columns = sorted({c for r in rules for c in (*r.by, r.target)})
+def cells_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(h): the digests of a row's cells."""
+    return df.select(F.array(*[cell_digest(known(df, c)) for c in columns]).alias("h"))
+
+
+def rule_figures(cells: DataFrame, columns: Sequence[str], rules: Sequence[Rule]) -> dict[Rule, Figures]:
+    """The figures of rules over the cells of columns. Each row gives one pair of digests for each rule; equal pairs are added
+    up before they are shuffled, so a value that a third of the rows have is a row per task."""
     place = {c: i for i, c in enumerate(columns)}
-    cells = df.select(F.array(*[cell_digest(known(df, c)) for c in columns]).alias("h"))
     found = {}
     for start in range(0, len(rules), RULES_PER_SCAN):
         part = rules[start : start + RULES_PER_SCAN]
@@ -80,13 +87,17 @@ def find_rules(df: DataFrame, most_error: float = 0.05, most_keys: float = 0.5,
 
     Determinants with more groups than `most_keys` times the rows are keys, not rules. A pair is tried only where neither of its
     columns gives a rule for the target, and only where counts leave it a chance: each value of the target beyond the groups costs
-    a row. One scan for each level and RULES_PER_SCAN rules, and one for the keys of a level."""
+    a row. Rules are tried on about SAMPLE rows first: the rows of a sample that break the rule are no more than those that
+    break it with the values of the whole table, so but for a chance of MISSED a rule whose error in the sample is beyond the limit by
+    a margin is beyond it in the table. One scan for each level and RULES_PER_SCAN rules, and one for the keys of a level."""
     columns = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
-    alone = {r.target: f for r, f in rule_figures(df, [Rule((), c) for c in columns]).items()}
+    cells = cells_of(df, columns)
+    alone = {r.target: f for r, f in rule_figures(cells, columns, [Rule((), c) for c in columns]).items()}
     if not alone:
         return {}
     rows = next(iter(alone.values())).rows
     groups = {(c,): f.combinations for c, f in alone.items()}
+    sample = stored(cells.sample(min(1.0, SAMPLE / rows), seed=1), "sample") if rows > SAMPLE else None
     determinants = [c for c in columns if groups[c,] <= most_keys * rows]
     targets = [c for c in columns if alone[c].error > 0]
     found: dict[Rule, tuple[Figures, float]] = {}
@@ -95,7 +106,7 @@ def find_rules(df: DataFrame, most_error: float = 0.05, most_keys: float = 0.5,
         sets = list(combinations(determinants, level))
         if level > 1:
             # Keys are told by their groups alone, before any target is counted.
-            keys = rule_figures(df, [Rule(by, by[0]) for by in sets])
+            keys = rule_figures(cells, columns, [Rule(by, by[0]) for by in sets])
             sets = [r.by for r, f in keys.items() if f.groups <= most_keys * rows]
         for by in sets:
             most = 1
@@ -105,7 +116,10 @@ def find_rules(df: DataFrame, most_error: float = 0.05, most_keys: float = 0.5,
                 implied = target in by or any(set(r.by) < set(by) and r.target == target for r in found)
                 if not implied and (groups[target,] - most) / rows <= most_error:
                     tried.append(Rule(by, target))
-        for rule, figures in rule_figures(df, tried).items():
+        if sample is not None:
+            seen = rule_figures(sample, columns, tried)
+            tried = [r for r, f in seen.items() if f.error <= most_error + math.sqrt(math.log(1 / MISSED) / 2 / f.rows)]
+        for rule, figures in rule_figures(cells, columns, tried).items():
             base = alone[rule.target].error
             if figures.error <= min(most_error, gain * base):
                 found[rule] = figures, base

@@ -42,9 +42,10 @@ def table(spark, n=900):
     return rows, ["k", "city", "country", "a", "b", "total", "same", "turn"], spark.createDataFrame(rows, "k int, city int, country string, a int, b smallint, total double, same string, turn bigint")
 
 
-@pytest.mark.parametrize("per_scan", [128, 3])
-def test_rules(spark, monkeypatch, per_scan):
+@pytest.mark.parametrize(("per_scan", "sample"), [(128, 20_000), (3, 20_000), (128, 400)])
+def test_rules(spark, monkeypatch, per_scan, sample):
     monkeypatch.setattr(dependencies, "RULES_PER_SCAN", per_scan)
+    monkeypatch.setattr(dependencies, "SAMPLE", sample)
     rows, columns, df = table(spark)
     dicts = [{c: (None if isinstance(v, float) and v != v else v) for c, v in zip(columns, r, strict=True)} for r in rows]
     want = plain(dicts, columns)
