@@ -4,11 +4,16 @@ Vectors are lengthened by one component so that the nearest by distance is the o
 rotated at random, and kept in blocks of columns. Within a probed list the scan adds up squared distances block by
 block; as components of rotated vectors are alike, the partial distance estimates the whole one, and a candidate is
 abandoned as soon as a test says that it is farther than the query's present k-th, at a set error.
+
+A query looks into its few nearest lists first. The k-th of what they give is the limit that it takes into its other lists,
+which return only what lies within it; so what a query brings back does not grow with the number of lists.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -19,13 +24,16 @@ from rowsmith.sources.shared import settled, stored
 
 #: Vectors that the list centres are fitted on.
 SAMPLE = 10_000
-#: Distinct vectors a list is meant to have, and the most of them, or of queries, that one task compares at a time.
-LIST = 256
+#: Vectors of the sample for each list at least, and the most of a list's vectors, or of its queries, that one task
+#: compares at a time. There are as many lists as the root of the number of distinct vectors, as far as the sample allows.
+PER_LIST = 10
 CHUNK = 2048
+#: Part of the probed lists, the nearest, that a query looks into without a limit.
+FIRST = 1 / 8
 #: Columns in the first block and each later one, and the width of the test in standard deviations.
 COLUMNS = 16
 #: Part of the neighbours that probing must reach on a sample, and the sampled queries it is measured with.
-SHARE, QUERIES = 0.97, 200
+SHARE, QUERIES = 0.95, 200
 EPSILON = 2.1
 ROUNDS = 8
 
@@ -100,18 +108,19 @@ def rotation(size: int, seed: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def scan(queries: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def scan(queries: np.ndarray, points: np.ndarray, k: int, limit: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(query, point) pairs that may be among the k nearest: for each query, the points whose distance was completed
-    and is no larger than the k-th such distance. Both sides are rotated.
+    and is no larger than the k-th such distance, or than the limit, if it is given. Both sides are rotated.
 
-    After each block the k points that are nearest so far are measured in full; their farthest is the limit of the
-    tests, as there are k points within it.
+    Without a limit, the k points that are nearest so far are measured in full after each block; their farthest is the limit
+    of the tests, as there are k points within it.
     """
     width, (many, size) = points.shape[1], (len(queries), len(points))
     k = min(k, size)
     partial = np.zeros((many, size))
     alive = np.ones((many, size), bool)
-    limit = np.full(many, np.inf)
+    given = limit is not None
+    limit = limit if given else np.full(many, np.inf)
     for at in range(0, width, COLUMNS):
         stop = min(at + COLUMNS, width)
         q, p = queries[:, at:stop], points[:, at:stop]
@@ -123,11 +132,12 @@ def scan(queries: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, n
             partial[i, j] += ((q[i] - p[j]) ** 2).sum(axis=1)
         here = np.where(alive, partial, np.inf)
         if stop < width:
-            first = np.argpartition(here, k - 1, axis=1)[:, :k]
-            limit = np.minimum(limit, ((queries[:, None] - points[first]) ** 2).sum(axis=2).max(axis=1))
+            if not given:
+                first = np.argpartition(here, k - 1, axis=1)[:, :k]
+                limit = np.minimum(limit, ((queries[:, None] - points[first]) ** 2).sum(axis=2).max(axis=1))
             bound = limit * stop / width * (1 + EPSILON / np.sqrt(stop)) ** 2
         else:
-            bound = np.partition(here, k - 1, axis=1)[:, k - 1]
+            bound = np.minimum(limit, np.partition(here, k - 1, axis=1)[:, k - 1])
         alive &= partial <= bound[:, None] * (1 + 1e-9) + 1e-9
     return np.nonzero(alive)
 
@@ -145,20 +155,18 @@ def search(
     queries are compared in parts of bounded size, so a large list is shared by several tasks.
 
     Rows with a null id, and vectors that are null, zero, or hold a null or non-finite component take no part. Vectors
-    of another length than the most frequent one take no part. Repeated ids are rows of their own. Other columns do
-    not matter. Without other candidates a query has no rows, and empty tables give none.
+    are compared with those of their own length. Repeated ids are rows of their own: a query's candidates are all rows but
+    itself. Other columns do not matter. Without other candidates a query has no rows, and empty tables give none.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_column).cast("bigint").alias("vec_id"), F.col(column).cast("array<double>").alias("v"))
     rows = rows.filter(F.col("vec_id").isNotNull() & usable(F.col("v")))
     rows = stored(rows.withColumn("h", F.hex(F.sha2(F.array_join(F.col("v"), ","), 256).cast("binary"))), "vectors")
-    sizes = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    schema = "query_id bigint, rank int, vec_id bigint, score double"
-    if sizes is None:
-        return spark.createDataFrame([], schema)
-    width = sizes["n"]
-    rows = rows.filter(F.size("v") == width)
-    return _search(rows, width, k, every, probes, seed)
+    widths = sorted(r["n"] for r in rows.groupBy(F.size("v").alias("n")).count().collect())
+    parts = [_search(rows.filter(F.size("v") == width), width, k, every, probes, seed) for width in widths]
+    if not parts:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _search(rows: DataFrame, width: int, k: int, every: int, probes: int, seed: int) -> DataFrame:
@@ -178,7 +186,7 @@ def _search(rows: DataFrame, width: int, k: int, every: int, probes: int, seed:
         scale = np.sqrt(longest) / np.sqrt((v**2).sum(axis=1))
         return np.concatenate([v * scale[:, None], np.zeros((len(v), 1))], axis=1) @ turn
 
-    middle = centres(lengthened(sample), max(1, round(many / LIST)), seed)
+    middle = centres(lengthened(sample), max(1, min(round(math.sqrt(many)), len(sample) // PER_LIST)), seed)
 
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -186,11 +194,17 @@ def _search(rows: DataFrame, width: int, k: int, every: int, probes: int, seed:
                 lists = nearest_lists(lengthened(np.stack(pdf["v"])), middle, 1)[:, 0]
                 yield pd.DataFrame({"list": lists, "h": pdf["h"], "v": pdf["v"]})
 
-    def routed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                lists = nearest_lists(asked(np.stack(pdf["v"])), middle, probes)
-                yield pd.DataFrame({"list": lists.reshape(-1), "h": np.repeat(pdf["h"].to_numpy(), lists.shape[1]), "v": np.repeat(pdf["v"].to_numpy(), lists.shape[1])})
+    def routed(first: int, last: int):
+        """The lists of a query from its first to its last nearest."""
+
+        def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                if len(pdf):
+                    lists = nearest_lists(asked(np.stack(pdf["v"])), middle, last)[:, first:]
+                    again = np.repeat(np.arange(len(pdf)), lists.shape[1])
+                    yield pdf.iloc[again].assign(list=lists.reshape(-1))[["list", "h", "v", "least"]]
+
+        return task
 
     fields = "list bigint, h string, v array<double>"
     listed = stored(point.select("h", "v").mapInPandas(placed, fields), "lists")
@@ -201,22 +215,19 @@ def _search(rows: DataFrame, width: int, k: int, every: int, probes: int, seed:
         probes = probes_for(asked(trial), near, middle)
 
     wanted = rows.filter(F.col("vec_id") % every == 0)
-    asking = wanted.select("h").distinct().join(point.select("h", "v"), "h").mapInPandas(routed, fields)
-    asking = stored(asking, "queries")
+    asking = stored(wanted.select("h").distinct().join(point.select("h", "v"), "h").withColumn("least", F.lit(float("-inf"))), "queries")
     parts = settled(listed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("parts")))
-    listed = listed.join(parts, "list").withColumn("part", F.pmod(F.xxhash64("h"), "parts").cast("int"))
-    asks = asking.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("asks"))
-    listed = listed.join(asks, "list").withColumn("ask", F.explode(F.sequence(F.lit(0), F.col("asks") - 1)))
-    asking = asking.join(parts, "list").join(asks, "list").withColumn("ask", F.pmod(F.xxhash64("h"), "asks").cast("int"))
-    asking = asking.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    listed = stored(listed.join(parts, "list").withColumn("part", F.pmod(F.xxhash64("h"), "parts").cast("int")), "parts")
 
     def compared(queries: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(points):
             return pd.DataFrame({"q": [], "p": [], "score": []})
-        q, p = np.stack(queries["v"]), np.stack(points["v"])
+        q, p, least = np.stack(queries["v"]), np.stack(points["v"]), queries["least"].to_numpy()
         near, space, out = asked(q), lengthened(p), []
+        # Queries and points have the same length, so a score says a distance.
+        limit = 2 * longest - 2 * least * np.sqrt(longest) / np.sqrt((q**2).sum(axis=1)) if np.isfinite(least).all() else None
         for at in range(0, len(q), 128):
-            i, j = scan(near[at : at + 128], space, k + 1)
+            i, j = scan(near[at : at + 128], space, k + 1, None if limit is None else limit[at : at + 128])
             i = i + at
             score = (q[i] * p[j]).sum(axis=1)
             keep = pd.DataFrame({"q": i, "p": j, "score": score}).sort_values(["q", "score"], ascending=[True, False], kind="stable")
@@ -225,18 +236,38 @@ def _search(rows: DataFrame, width: int, k: int, every: int, probes: int, seed:
         best = pd.concat(out)
         return pd.DataFrame({"q": queries["h"].to_numpy()[best["q"]], "p": points["h"].to_numpy()[best["p"]], "score": best["score"].to_numpy()})
 
-    keys = ["list", "part", "ask"]
-    listed = listed.select(*[F.col(c).alias(f"{c}_of_point") for c in keys], F.col("h").alias("h"), F.col("v").alias("v"))
-    asking = asking.select(*[F.col(c).alias(c) for c in [*keys, "h", "v"]])
-    found = asking.groupBy(*keys).cogroup(listed.groupBy(*[f"{c}_of_point" for c in keys])).applyInPandas(compared, "q string, p string, score double")
+    def looked(queries: DataFrame, first: int, last: int) -> DataFrame:
+        """(q, p, score): what the queries find in the lists from their first to their last nearest."""
+        sent = stored(queries.mapInPandas(routed(first, last), fields + ", least double"), "sent")
+        asks = sent.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("asks"))
+        held = listed.join(asks, "list").withColumn("ask", F.explode(F.sequence(F.lit(0), F.col("asks") - 1)))
+        sent = sent.join(parts, "list").join(asks, "list").withColumn("ask", F.pmod(F.xxhash64("h"), "asks").cast("int"))
+        sent = sent.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        keys = ["list", "part", "ask"]
+        held = held.select(*[F.col(c).alias(f"{c}_of_point") for c in keys], F.col("h").alias("h"), F.col("v").alias("v"))
+        sent = sent.select(*keys, "h", "v", "least")
+        return sent.groupBy(*keys).cogroup(held.groupBy(*[f"{c}_of_point" for c in keys])).applyInPandas(compared, "q string, p string, score double")
+
+    probes = min(probes, len(middle))
+    nearest_few = max(1, round(probes * FIRST))
+    found = stored(looked(asking, 0, nearest_few), "found")
+    if probes > nearest_few:
+        turn_of = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "p"))
+        least = found.withColumn("n", turn_of).filter(F.col("n") == k + 1).select(F.col("q").alias("h"), F.col("score").alias("limit"))
+        limited = asking.join(least, "h", "left").select("h", "v", F.coalesce("limit", "least").alias("least"))
+        # Queries that have found too few have no limit yet, and go apart, as a scan needs one for all its queries or none.
+        some, none = limited.filter(F.col("least") > float("-inf")), limited.filter(F.col("least") == float("-inf"))
+        found = found.unionByName(looked(some, nearest_few, probes)).unionByName(looked(none, nearest_few, probes))
     # Each point has an id, so only points that fewer than k + 1 points surpass can matter.
     surpassed = F.rank().over(Window.partitionBy("q").orderBy(F.desc("score")))
     found = found.withColumn("surpassed", surpassed).filter(F.col("surpassed") <= k + 1).drop("surpassed")
     best = found.join(point.select(F.col("h").alias("p"), F.explode("ids").alias("vec_id")), "p")
-    nearest = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+    nearest = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id", "p")
     best = best.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= k + 1)
-    lists = best.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score"))).alias("found"))
+    lists = best.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score", "p"))).alias("found"))
     mine = wanted.select(F.col("vec_id").alias("query_id"), "h").join(lists, F.col("h") == F.col("q"))
-    others = F.slice(F.filter("found", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
+    own = F.array_position(F.transform("found", lambda x: (x["vec_id"] == F.col("query_id")) & (x["p"] == F.col("h"))), True)
+    mine = mine.withColumn("own", own)
+    others = F.slice(F.filter("found", lambda x, i: i + 1 != F.col("own")), 1, k)
     mine = mine.select("query_id", F.posexplode(others).alias("at", "x"))
     return mine.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))

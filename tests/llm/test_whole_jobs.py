@@ -67,8 +67,8 @@ def test_equal_edited_copies_do_not_hide_each_other(spark):
 def test_neighbours_reach_the_recall_with_as_many_lists_as_sampled_points(spark, monkeypatch):
     from rowsmith.llm import neighbours
 
-    monkeypatch.setattr(neighbours, "SAMPLE", 200)
-    monkeypatch.setattr(neighbours, "LIST", 30)
+    monkeypatch.setattr(neighbours, "SAMPLE", 70)
+    monkeypatch.setattr(neighbours, "PER_LIST", 1)
     matrix = np.random.default_rng(3).normal(size=(6000, 24))
     table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(matrix)], "vec_id bigint, embedding array<double>")
     hits, asked = 0, range(0, 6000, 20)
@@ -95,3 +95,20 @@ def test_passages_of_short_lines_are_found_whole(spark):
     for r in found:
         kept = docs[r.doc_id][1].split("\n")
         assert r.text.split("\n") == (kept if r.doc_id < 2 else [kept[0], kept[-1]])
+
+
+def test_neighbours_of_repeated_ids_and_other_lengths(spark):
+    """A row is no candidate of itself, but rows with its id are; vectors meet those of their own length."""
+    from rowsmith.llm import neighbours
+
+    rng = np.random.default_rng(5)
+    rows = [(i % 45, rng.integers(-4, 5, 3 + (i % 9 == 0)).astype(float).tolist()) for i in range(180)]
+    rows += [(20, [1.0, 2.0, 3.0])] * 3 + [(40, [2.0, 0.0, 0.0])] * 30
+    rows = [(i, v) for i, v in rows if any(v)]
+    found = neighbours.search(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), k=6, probes=99).collect()
+    want = []
+    for at, (query, v) in enumerate(rows):
+        if query % 20 == 0:
+            others = sorted((-float(np.dot(v, w)), i) for n, (i, w) in enumerate(rows) if n != at and len(w) == len(v))[:6]
+            want += [(query, place + 1, i, -score) for place, (score, i) in enumerate(others)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == sorted(want)
