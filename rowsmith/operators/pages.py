@@ -322,6 +322,30 @@ def export_candidates(ranked: DataFrame) -> DataFrame:
     )
 
 
+def crawl_summary(candidates: DataFrame, texts: DataFrame) -> DataFrame:
+    """research_summary of a whole crawl filled up to one descriptor a page, without making or ranking any: counts, and the
+    best real name by merit, from partial aggregates."""
+    real = ~F.startswith("url", F.lit("synthetic"))
+    best = F.when(real, F.struct((-F.col("merit")).alias("less"), "crawl_pos"))
+    pages = texts.agg(F.count(F.lit(1))).scalar()
+    return (
+        candidates.withColumn("merit", merit())
+        .agg(
+            count_where(real).alias("real_datasets"),
+            count_where(~real).alias("others"),
+            F.count(F.lit(1)).alias("candidates"),
+            F.min_by("name", best).alias("top_real_dataset"),
+            F.max(F.when(real, F.col("relevance_score"))).alias("best_relevance"),
+        )
+        .select(
+            "real_datasets",
+            (F.col("others") + F.greatest(pages - F.col("candidates"), F.lit(0))).alias("synthetic_datasets"),
+            "top_real_dataset",
+            "best_relevance",
+        )
+    )
+
+
 def research_summary(ranked: DataFrame) -> DataFrame:
     """Real and synthetic candidates, best real name, highest relevance among the real ones."""
     real = ~F.startswith("url", F.lit("synthetic"))

@@ -97,9 +97,9 @@ def candidate_export(spark, sf_dir):
 
 
 def research_summary(spark, sf_dir):
-    texts = texts_of(spark, sf_dir)
-    found = pages.fill_shortfall(candidates_of(spark, sf_dir), texts, texts.count())
-    return pages.research_summary(found).withColumn("best_relevance", fixed(F.col("best_relevance")))
+    """Of the whole crawl: one descriptor a page."""
+    found = pages.crawl_summary(candidates_of(spark, sf_dir), table(spark, sf_dir, "pages"))
+    return found.withColumn("best_relevance", fixed(F.col("best_relevance")))
 
 
 def domain_class(spark, sf_dir):

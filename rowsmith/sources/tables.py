@@ -109,10 +109,16 @@ def load_tables(spark: SparkSession, folder: str, multi_line: bool = False) -> d
     return tables
 
 
-def write_table(df: DataFrame, path: str, file_format: str = "csv", mode: str = "errorifexists") -> None:
-    """CSV with a header that reads back unchanged, or parquet."""
+def write_table(df: DataFrame, path: str, file_format: str = "csv", mode: str = "errorifexists", multi_line: bool = False) -> None:
+    """CSV with a header, or parquet, that read_table reads back unchanged.
+
+    A text with a line break would become two rows of a CSV file that is read in parts: writing it fails, unless `multi_line`
+    says that the file will be read with that option."""
     if file_format == "csv":
-        df.write.mode(mode).csv(
+        broken = F.raise_error(F.lit("a text has a line break: write and read with multi_line, or write parquet"))
+        texts = [] if multi_line else columns_of(df, "text")
+        safe = [F.when(F.contains(col(c), F.lit("\n")) | F.contains(col(c), F.lit("\r")), broken).otherwise(col(c)).alias(c) if c in texts else col(c) for c in df.columns]
+        df.select(*safe).write.mode(mode).csv(
             path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
         )
     else:

@@ -119,3 +119,12 @@ def test_quoted_angle_brackets_and_references(spark):
     assert row.title == "Caf\u00e9 \u2019s 'x'"
     assert "one &lt; two \u2026 &unknown;" in row.raw_text and 'b"' not in row.raw_text and "y\"" not in row.raw_text
     assert [r.link for r in pages.extract_links(df).collect()] == ["http://a/b?c=1&d=2"]
+
+
+def test_crawl_summary_equals_the_filled_and_ranked_crawl(spark, small):
+    from rowsmith.queries.pages import candidates_of, texts_of
+
+    found, texts = candidates_of(spark, small), texts_of(spark, small)
+    for part in (found, found.limit(0), found.filter("crawl_pos % 3 = 0")):
+        want = pages.research_summary(pages.fill_shortfall(part, texts, texts.count())).first()
+        assert pages.crawl_summary(part, texts).first() == want

@@ -1,5 +1,8 @@
 """Files: typed CSV, folders, catalog, documents."""
 
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rowsmith.operators import issues
@@ -127,3 +130,18 @@ def test_score_stays_in_range(spark, small):
 
     for r in quality.quality_report(checked_tables(spark, small)).collect():
         assert 0 <= r.quality_score <= 100
+
+
+def test_line_breaks_in_csv(spark, tmp_path):
+    """Written in full with multi_line, refused without, and never turned into rows."""
+    rows = [(1, "x\ny"), (2, "z"), (3, "a\r\nb"), (4, None)]
+    df = spark.createDataFrame(rows, "k bigint, t string").coalesce(1)
+    tables.write_table(df, str(tmp_path / "whole"), multi_line=True)
+    back = tables.read_table(spark, str(tmp_path / "whole"), multi_line=True)
+    assert sorted((r.k, r.t) for r in back.collect()) == [(1, "x\ny"), (2, "z"), (3, "a\r\nb"), (4, None)]
+    with pytest.raises((Py4JJavaError, PySparkException), match="line break"):
+        tables.write_table(df, str(tmp_path / "refused"))
+    tables.write_table(df.filter("k IN (2, 4)"), str(tmp_path / "plain"))
+    assert tables.read_table(spark, str(tmp_path / "plain")).count() == 2
+    tables.write_table(df, str(tmp_path / "parquet"), "parquet")
+    assert spark.read.parquet(str(tmp_path / "parquet")).count() == 4
