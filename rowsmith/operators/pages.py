@@ -85,10 +85,13 @@ def character(reference: Column) -> Column:
 
 def decoded(text: Column) -> Column:
     """Character references turned into characters, each kind once; the ampersand comes last, so that no text is
-    decoded twice."""
-    found = F.filter(F.array_distinct(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))), lambda r: r != "&amp;")
-    plain = F.aggregate(found, text, lambda done, r: F.replace(done, r, character(r)))
-    return F.replace(F.coalesce(plain, text), F.lit("&amp;"), F.lit("&"))
+    decoded twice. The text is computed once, and only one with an ampersand is searched."""
+
+    def replaced(t: Column) -> Column:
+        found = F.filter(F.array_distinct(F.regexp_extract_all(t, F.lit(REFERENCE), F.lit(0))), lambda r: r != "&amp;")
+        return F.replace(F.aggregate(found, t, lambda done, r: F.replace(done, r, character(r))), F.lit("&amp;"), F.lit("&"))
+
+    return F.get(F.transform(F.array(text), lambda t: F.when(F.contains(t, F.lit("&")), replaced(t)).otherwise(t)), F.lit(0))
 
 
 def without_hidden(html: Column) -> Column:
