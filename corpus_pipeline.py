@@ -18,22 +18,35 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labelled ones among them, does not reject."""
+    """Documents that the classifier, fitted on the labelled ones among them, does not reject.
+
+    Null, empty and wordless texts score like the median clean text and stay. Whole texts are read, however long. Equal rows
+    score alike; rows without doc_id are scored like others. Other columns pass through. An empty table stays empty, and
+    without labels of both classes nothing is rejected."""
     return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest doc_id: 5 words, similarity 0.8."""
+    """One document of each group of near-duplicates, the one with the smallest doc_id: 5 words, similarity 0.8.
+
+    Null, empty and wordless texts are like no other and stay; a shorter text is one shingle of all its words. Rows
+    of one doc_id stay or go together; rows without doc_id stay. Other columns pass through."""
     return minhash.without_near_duplicates(docs, n=5, percent=80)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage that aligns with a test item."""
+    """Documents without a passage that aligns with a test item.
+
+    Null and empty texts hold no passage and stay; null and empty items match nothing, repeated items match once. Whole texts are
+    searched. Equal rows go or stay together. Other columns pass through; without items nothing goes."""
     return decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in training order, each as often as the mix takes it."""
+    """Documents in training order, each as often as the mix takes it.
+
+    Null and empty texts have size 0 and are taken as often as their place among the others says. A null source is a source like others, the last. Ties of position are settled by
+    the hash of the id, so that other partitionings give the same order. Other columns pass through."""
     return mixing.curriculum(docs)
 
 
@@ -50,7 +63,9 @@ def in_written_order(docs: DataFrame) -> tuple[DataFrame, list[Column]]:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32): the documents as read back from the written token files, which hold them
-    in the order of the rows of docs."""
+    in the order of the rows of docs.
+
+    A null or empty text is the end id alone. Repeated rows are written as often as they occur. Other columns do not matter. An empty table gives no rows."""
     path = new_path(spark, "tokens")
     rows, order = in_written_order(docs)
     tokens.write_tokens(rows, path, TOKENIZER, order=order)
