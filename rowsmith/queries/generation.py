@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rowsmith.operators import generate, pages, requests
 from rowsmith.plans import generation as plans
-from rowsmith.queries.views import orders_dirty, table, with_views
+from rowsmith.queries.views import orders_dirty, said, table, with_views
 from rowsmith.sources.shared import new_path
 
 SEED = 7
@@ -39,31 +39,30 @@ def descriptors_of(spark, sf_dir):
 
 
 def batch_answers(spark, sf_dir):
-    """Answers with rows of a batch: complete, with a field left out, without JSON, broken."""
-    item = F.col("item_id")
+    """Answers with rows of a batch within each document's text: complete, with a field left out, without JSON, broken."""
+    item = F.col("doc_id")
     number = item.cast("string")
     full = F.concat(F.lit('Rows: [{"id":"A'), number, F.lit('","age":'), number, F.lit('},{"id":"B","age":7}] end'))
-    return table(spark, sf_dir, "benchmark").select(
-        item.alias("batch"),
+    answer = (
         F.when(item % 4 == 0, full)
         .when(item % 4 == 1, F.concat(F.lit('[{"id":"C","rate":'), number, F.lit("}]")))
         .when(item % 4 == 2, "no rows")
         .otherwise('[{"id":"D",}]')
-        .alias("response"),
     )
+    return table(spark, sf_dir, "documents").select(item.alias("batch"), said(answer).alias("response"))
 
 
 def spec_answers(spark, sf_dir):
-    """Answers with a specification, and answers without one."""
-    item = F.col("item_id")
+    """Answers with a specification within each document's text, and answers without one."""
+    item = F.col("doc_id")
     full = F.concat(
         F.lit('Here: {"dataset_name":"Set '),
         item.cast("string"),
         F.lit('","columns":["id","age","city"],"column_details":{"age":{"type":"int"},"id":{"type":"id"}}} ok'),
     )
-    return table(spark, sf_dir, "benchmark").select(
+    return table(spark, sf_dir, "documents").select(
         item.alias("answer_id"),
-        F.when(item % 2 == 0, full).otherwise("sorry").alias("response"),
+        said(F.when(item % 2 == 0, full).otherwise("sorry")).alias("response"),
         F.array(F.lit("id"), F.lit("value")).alias("expected_columns"),
     )
 
@@ -319,22 +318,22 @@ ORACLES = {
     WHEN 'financial' THEN CASE "column" WHEN 'price' THEN '100.5' WHEN 'date' THEN '2024-01-01'
       WHEN 'symbol' THEN 'STOCK' ELSE 'Sample Value' END
     ELSE 'Sample Value' END AS value FROM d""",
-    "gen_spec": """SELECT item_id AS answer_id, concat('Set ', CAST(item_id AS VARCHAR)) AS dataset_name, ordinal, "column", type
-  FROM benchmark, (VALUES (0::BIGINT, 'id', 'id'), (1, 'age', 'int'), (2, 'city', 'string')) v(ordinal, "column", type)
-  WHERE item_id % 2 = 0
-UNION ALL SELECT item_id, 'SyntheticDataset', ordinal, "column", type
-  FROM benchmark, (VALUES (0::BIGINT, 'id', 'string'), (1, 'value', 'string')) v(ordinal, "column", type)
-  WHERE item_id % 2 = 1""",
-    "gen_parse": f"""SELECT item_id AS batch, p AS position, 'answer' AS source,
-    CASE p WHEN 0 THEN concat('A', CAST(item_id AS VARCHAR)) ELSE 'B' END AS id,
-    CASE p WHEN 0 THEN CAST(item_id AS VARCHAR) ELSE '7' END AS age, CAST(NULL AS VARCHAR) AS city,
+    "gen_spec": """SELECT doc_id AS answer_id, concat('Set ', CAST(doc_id AS VARCHAR)) AS dataset_name, ordinal, "column", type
+  FROM documents, (VALUES (0::BIGINT, 'id', 'id'), (1, 'age', 'int'), (2, 'city', 'string')) v(ordinal, "column", type)
+  WHERE doc_id % 2 = 0
+UNION ALL SELECT doc_id, 'SyntheticDataset', ordinal, "column", type
+  FROM documents, (VALUES (0::BIGINT, 'id', 'string'), (1, 'value', 'string')) v(ordinal, "column", type)
+  WHERE doc_id % 2 = 1""",
+    "gen_parse": f"""SELECT doc_id AS batch, p AS position, 'answer' AS source,
+    CASE p WHEN 0 THEN concat('A', CAST(doc_id AS VARCHAR)) ELSE 'B' END AS id,
+    CASE p WHEN 0 THEN CAST(doc_id AS VARCHAR) ELSE '7' END AS age, CAST(NULL AS VARCHAR) AS city,
     CAST(NULL AS VARCHAR) AS rate
-  FROM benchmark, (SELECT unnest([0, 1])::BIGINT AS p) WHERE item_id % 4 = 0
-UNION ALL SELECT item_id, 0, 'answer', 'C', NULL, NULL, CAST(item_id AS VARCHAR) FROM benchmark WHERE item_id % 4 = 1
+  FROM documents, (SELECT unnest([0, 1])::BIGINT AS p) WHERE doc_id % 4 = 0
+UNION ALL SELECT doc_id, 0, 'answer', 'C', NULL, NULL, CAST(doc_id AS VARCHAR) FROM documents WHERE doc_id % 4 = 1
 UNION ALL SELECT batch, p, 'rule', {id_sql("ID_", "k")}, CAST({int_sql("age", "k", 18, 90)} AS VARCHAR),
     {note_sql("city", "k")}, CAST({float_sql("rate", "k")} AS VARCHAR)
-  FROM (SELECT item_id AS batch, p, item_id * 10 + p AS k
-    FROM benchmark, (SELECT unnest(range(10)) AS p) WHERE item_id % 4 IN (2, 3))""",
+  FROM (SELECT doc_id AS batch, p, doc_id * 10 + p AS k
+    FROM documents, (SELECT unnest(range(10)) AS p) WHERE doc_id % 4 IN (2, 3))""",
     "gen_align": "SELECT p_name, 'Unknown' AS p_color, p_partkey, p_size FROM part",
     "gen_unique_ids": with_views("orders_dirty")
     + f"SELECT {id_sql('ID_', K)} AS id, count(*) AS copies FROM orders_dirty GROUP BY 1 HAVING count(*) > 1",

@@ -303,9 +303,9 @@ ORACLES = {
     SELECT response_id, 'high' AS severity, 'validity' AS category, 'Quality issue detected' AS description,
       'o_totalprice' AS "column", CAST(regexp_extract(response, 'percentage":([0-9.]+)', 1) AS DOUBLE) AS pct,
       'Manual review required' AS recommendation, CAST(2 AS BIGINT) AS fix_priority, '' AS example_values
-    FROM issue_responses WHERE response LIKE 'Result:%'
+    FROM issue_responses WHERE response_id % 4 = 0
     UNION ALL SELECT response_id, 'medium', 'general', 'Quality issue detected', NULL, 0,
-      'Manual review required', 3, '' FROM issue_responses WHERE response LIKE '%null%'), n""",
+      'Manual review required', 3, '' FROM issue_responses WHERE response_id % 4 = 1), n""",
     "quality_score": with_views(*BASE, SCORES_SQL) + f"SELECT {SCORE_COLUMNS} FROM scores",
     "quality_score_domain": with_views(
         *BASE,

@@ -10,7 +10,7 @@ from rowsmith.plans import quality
 from rowsmith.plans import repair as plans
 from rowsmith.plans.quality import union
 from rowsmith.queries.profiles import DIRTY, r4, rounded, union_all
-from rowsmith.queries.views import issue_responses, orders_dirty, part_dirty, table, with_views
+from rowsmith.queries.views import issue_answer, orders_dirty, part_dirty, said, table, with_views
 
 PLAN = [
     {
@@ -247,19 +247,19 @@ def rule_findings(spark, sf_dir):
 
 def fix_plan_parse(spark, sf_dir):
     """Instructions out of answers that name a fix, leave it out, or hold no JSON."""
-    item = F.col("response_id")
+    item = F.col("doc_id")
     named = F.concat(
         F.lit('I suggest {"fix_type": "fill_missing", "target_column": "c'),
         item.cast("string"),
         F.lit('", "new_values": ["1", "2"], "predicate": "c > 1", "confidence": 0.5} ok'),
     )
-    answers = issue_responses(spark, sf_dir).withColumn(
-        "response",
+    answer = (
         F.when(item % 4 == 0, named)
         .when(item % 4 == 1, '{"target_column": "a"}')
         .when(item % 4 == 2, '{"fix_type": "recalculate_values", "formula": "c + 1"}')
-        .otherwise(F.col("response")),
+        .otherwise(issue_answer(item))
     )
+    answers = table(spark, sf_dir, "documents").select(item.alias("response_id"), said(answer).alias("response"))
     return repair.parse_fix_plan(answers).withColumn("new_values", F.array_join("new_values", ","))
 
 
@@ -527,15 +527,15 @@ SELECT d.grp, l_orderkey, l_linenumber, l_partkey, {r4("coalesce(d.price, m.pric
     + """SELECT rule_id, validation_type, columns_involved, severity, fix_suggestion, confidence,
   count(*) AS affected_rows, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
   FROM v GROUP BY rule_id, validation_type, columns_involved, severity, fix_suggestion, confidence""",
-    "fix_plan_parse": """SELECT item_id AS response_id,
-  CASE item_id % 4 WHEN 0 THEN 'fill_missing' ELSE 'recalculate_values' END AS fix_type,
-  CASE item_id % 4 WHEN 0 THEN 'c > 1' END AS predicate, CASE item_id % 4 WHEN 2 THEN 'c + 1' END AS formula,
-  CASE item_id % 4 WHEN 0 THEN concat('c', CAST(item_id AS VARCHAR)) END AS target_column,
+    "fix_plan_parse": """SELECT doc_id AS response_id,
+  CASE doc_id % 4 WHEN 0 THEN 'fill_missing' ELSE 'recalculate_values' END AS fix_type,
+  CASE doc_id % 4 WHEN 0 THEN 'c > 1' END AS predicate, CASE doc_id % 4 WHEN 2 THEN 'c + 1' END AS formula,
+  CASE doc_id % 4 WHEN 0 THEN concat('c', CAST(doc_id AS VARCHAR)) END AS target_column,
   CAST(NULL AS VARCHAR) AS fix_logic, CAST(NULL AS VARCHAR) AS implementation_method,
-  CASE item_id % 4 WHEN 0 THEN '1,2' END AS new_values, CAST(NULL AS VARCHAR) AS conditions,
+  CASE doc_id % 4 WHEN 0 THEN '1,2' END AS new_values, CAST(NULL AS VARCHAR) AS conditions,
   CAST(NULL AS VARCHAR) AS expected_outcome, CAST(NULL AS VARCHAR) AS medical_reasoning,
-  CAST(CASE item_id % 4 WHEN 0 THEN 0.5 ELSE 0.8 END AS DOUBLE) AS confidence
-  FROM benchmark WHERE item_id % 4 IN (0, 2)""",
+  CAST(CASE doc_id % 4 WHEN 0 THEN 0.5 ELSE 0.8 END AS DOUBLE) AS confidence
+  FROM documents WHERE doc_id % 4 IN (0, 2)""",
     "repair_run": with_views("orders_dirty", "part_dirty", "d AS (SELECT DISTINCT * FROM orders_dirty)")
     + f"""SELECT 'orders_dirty' AS dataset_name, CAST(0 AS BIGINT) AS step, 'remove_duplicates' AS fix_type,
   CAST(NULL AS VARCHAR) AS target_column, 'resolved' AS status, CAST(0 AS BIGINT) AS cells_changed,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rowsmith.operators import reports
 from rowsmith.queries.profiles import DIRTY, FLAGS_SQL, r4, rounded, union_all
-from rowsmith.queries.views import issue_reports, issue_responses, orders_dirty, with_views
+from rowsmith.queries.views import issue_answer, issue_reports, issue_responses, orders_dirty, said, table, with_views
 
 
 def report_issues(spark, sf_dir):
@@ -27,11 +27,10 @@ def response_parse(spark, sf_dir):
 
 def recommendations(spark, sf_dir):
     """Recommendations out of answers with a list of texts, without a list, with a broken list."""
-    item = F.col("response_id")
+    item = F.col("doc_id")
     listed = F.concat(F.lit('Do this: ["check row '), item.cast("string"), F.lit('", "fill gaps"]'))
-    answers = issue_responses(spark, sf_dir).withColumn(
-        "response", F.when(item % 4 < 2, listed).otherwise(F.col("response"))
-    )
+    answer = F.when(item % 4 < 2, listed).otherwise(issue_answer(item))
+    answers = table(spark, sf_dir, "documents").select(item.alias("response_id"), said(answer).alias("response"))
     return reports.recommendations(answers).withColumn("position", F.col("position").cast("bigint"))
 
 
@@ -125,13 +124,13 @@ WHEN 4 THEN 'Apply general data quality improvements' ELSE 'Manual review of rep
   FROM (SELECT response_id, span, CASE WHEN span IS NULL THEN 'no_json'
       WHEN json_valid(span) AND NOT regexp_matches(span, ',\s*[}\]]') THEN 'ok' ELSE 'bad_json' END AS status
     FROM (SELECT response_id, nullif(regexp_extract(response, '(?s)\[.*\]'), '') AS span FROM issue_responses))""",
-    "recommendations": """SELECT item_id AS response_id, s.position, 'ok' AS status,
-  CASE s.position WHEN 0 THEN concat('check row ', CAST(item_id AS VARCHAR)) ELSE 'fill gaps' END AS recommendation
-  FROM benchmark, (SELECT unnest([0, 1])::BIGINT AS position) s WHERE item_id % 4 < 2
-UNION ALL SELECT item_id, 0, 'no_json', 'Manual review of data quality issues required' FROM benchmark
-  WHERE item_id % 4 = 2
-UNION ALL SELECT item_id, 0, 'bad_json', 'Error generating recommendations - manual review required' FROM benchmark
-  WHERE item_id % 4 = 3""",
+    "recommendations": """SELECT doc_id AS response_id, s.position, 'ok' AS status,
+  CASE s.position WHEN 0 THEN concat('check row ', CAST(doc_id AS VARCHAR)) ELSE 'fill gaps' END AS recommendation
+  FROM documents, (SELECT unnest([0, 1])::BIGINT AS position) s WHERE doc_id % 4 < 2
+UNION ALL SELECT doc_id, 0, 'no_json', 'Manual review of data quality issues required' FROM documents
+  WHERE doc_id % 4 = 2
+UNION ALL SELECT doc_id, 0, 'bad_json', 'Error generating recommendations - manual review required' FROM documents
+  WHERE doc_id % 4 = 3""",
     "evidence": with_views("orders_dirty", FLAGS_SQL, LISTED) + union_all(evidence_sql(c) for c in DIRTY),
     "fix_evidence": with_views("orders_dirty")
     + union_all(

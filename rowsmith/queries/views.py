@@ -6,7 +6,7 @@ for. Each view exists as a DataFrame and as a common table expression with the s
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -68,25 +68,34 @@ def pages_abs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def issue_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+def said(answer: Column, text: str = "text") -> Column:
+    """An answer in the middle of a document's whole text, without the brackets that mark where an answer begins and ends."""
+    plain = F.translate(text, "[]{}", "()()")
+    return F.concat(plain, F.lit(" "), answer, F.lit(" "), plain)
+
+
+def said_sql(answer: str, text: str = "text") -> str:
+    plain = f"translate({text}, '[]{{}}', '()()')"
+    return f"concat({plain}, ' ', {answer}, ' ', {plain})"
+
+
+def issue_answer(item: Column) -> Column:
     """Answers about issues: good inside free text, sparse, without JSON, with broken JSON."""
-    item = F.col("item_id")
     good = F.concat(
         F.lit(
             'Result: [{"severity":"high","category":"validity","column":"o_totalprice",'
             '"estimated_affected_percentage":'
         ),
-        item.cast("string"),
+        (item % 100).cast("string"),
         F.lit('.5,"priority":2}] end'),
     )
-    return table(spark, sf_dir, "benchmark").select(
-        item.alias("response_id"),
-        F.when(item % 4 == 0, good)
-        .when(item % 4 == 1, '[{"column":null}]')
-        .when(item % 4 == 2, "no json here")
-        .otherwise('[{"severity":"low",}]')
-        .alias("response"),
-    )
+    return F.when(item % 4 == 0, good).when(item % 4 == 1, '[{"column":null}]').when(item % 4 == 2, "no json here").otherwise('[{"severity":"low",}]')
+
+
+def issue_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An answer about issues within each document's text."""
+    item = F.col("doc_id")
+    return table(spark, sf_dir, "documents").select(item.alias("response_id"), said(issue_answer(item)).alias("response"))
 
 
 def issue_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,12 +160,14 @@ SQL = {
   SELECT page_id, url, CASE WHEN page_id % 2 = 0
     THEN replace(html, 'href="/', concat('href="', regexp_extract(url, '^(https?://[^/]+)', 1), '/'))
     ELSE html END AS html FROM pages)""",
-    "issue_responses": """issue_responses AS (
-  SELECT item_id AS response_id, CASE item_id % 4
+    "issue_responses": "issue_responses AS (\n  SELECT doc_id AS response_id, "
+    + said_sql(
+        """CASE doc_id % 4
     WHEN 0 THEN concat('Result: [{"severity":"high","category":"validity","column":"o_totalprice",',
-      '"estimated_affected_percentage":', CAST(item_id AS VARCHAR), '.5,"priority":2}] end')
-    WHEN 1 THEN '[{"column":null}]' WHEN 2 THEN 'no json here' ELSE '[{"severity":"low",}]' END AS response
-  FROM benchmark)""",
+      '"estimated_affected_percentage":', CAST(doc_id % 100 AS VARCHAR), '.5,"priority":2}] end')
+    WHEN 1 THEN '[{"column":null}]' WHEN 2 THEN 'no json here' ELSE '[{"severity":"low",}]' END"""
+    )
+    + " AS response FROM documents)",
     "issue_reports": """issue_reports AS (
   SELECT item_id AS report_id, CASE item_id % 7
     WHEN 0 THEN '{"quality_issues":[{"issue_type":"completeness","severity":"high","column":"o_orderpriority"}]}'
