@@ -117,6 +117,29 @@ def first_critical(spark, sf_dir):
     return shown(issues.first_critical(found_issues(spark, sf_dir)))
 
 
+def strict_issues(spark, sf_dir):
+    """The issues by a stricter scale: repeated or telling values, and issues of a fifth of the rows, are critical, others high."""
+    grave = (F.col("category") == "uniqueness") | (F.col("percentage_affected") >= 20)
+    return found_issues(spark, sf_dir).withColumn("severity", F.when(grave, "critical").otherwise("high"))
+
+
+def critical_issues_strict(spark, sf_dir):
+    return shown(issues.critical_issues(strict_issues(spark, sf_dir)))
+
+
+def top_issues_strict(spark, sf_dir):
+    best = issues.top_issues(strict_issues(spark, sf_dir))
+    return shown(best).withColumn("issue_rank", F.col("issue_rank").cast("bigint"))
+
+
+def first_critical_strict(spark, sf_dir):
+    return shown(issues.first_critical(strict_issues(spark, sf_dir)))
+
+
+def risk_level_strict(spark, sf_dir):
+    return issues.risk_levels(strict_issues(spark, sf_dir))
+
+
 def fitness_label(spark, sf_dir):
     return issues.fitness_labels(scores_of(spark, sf_dir)).select("dataset_name", "fitness")
 
@@ -169,6 +192,10 @@ QUERIES = {
         priority_tables,
         top_issues,
         first_critical,
+        critical_issues_strict,
+        top_issues_strict,
+        first_critical_strict,
+        risk_level_strict,
         fitness_label,
         quality_report,
         quality_report_failing,
@@ -294,7 +321,21 @@ REPORT_SQL = (
   FROM scores LEFT JOIN counts USING (dataset_name)"""
 )
 
+STRICT_SQL = """strict AS (
+  SELECT * REPLACE (CASE WHEN category = 'uniqueness' OR percentage_affected >= 20 THEN 'critical' ELSE 'high' END AS severity) FROM issues)"""
+
 ORACLES = {
+    "critical_issues_strict": with_views(*BASE, STRICT_SQL) + f"SELECT {ISSUE_COLUMNS} FROM strict WHERE severity = 'critical'",
+    "top_issues_strict": with_views(*BASE, STRICT_SQL)
+    + f"""SELECT {ISSUE_COLUMNS}, issue_rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY dataset_name ORDER BY fix_priority, percentage_affected DESC,
+    "column" NULLS LAST, category, description) AS issue_rank
+  FROM strict WHERE severity IN ('critical', 'high')) WHERE issue_rank <= 3""",
+    "first_critical_strict": with_views(*BASE, STRICT_SQL)
+    + f"""SELECT {ISSUE_COLUMNS} FROM (SELECT * FROM strict WHERE severity = 'critical'
+  ORDER BY dataset_name, fix_priority, "column" NULLS FIRST, description LIMIT 5)""",
+    "risk_level_strict": with_views(*BASE, STRICT_SQL, COUNTS_SQL.replace("FROM issues", "FROM strict"))
+    + f"SELECT dataset_name, total_issues, {RISK} AS risk_level FROM counts",
     "issues_detect": with_views(*BASE) + f"SELECT {ISSUE_COLUMNS} FROM issues",
     "issues_parse": with_views("orders_dirty", "issue_responses", "n AS (SELECT count(*) AS total FROM orders_dirty)")
     + f"""SELECT response_id, CAST(0 AS BIGINT) AS position, severity, category, description, "column",
