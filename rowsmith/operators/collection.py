@@ -227,12 +227,13 @@ def join_candidates(
             if kind:
                 named.append(Joinable(len(named), table, c, kind))
     table_of = {c.id: c.table for c in named}
-    share = {}
+    sizes = []
     for table, df in tables.items():
         mine = [c for c in named if c.table == table]
         if mine:
-            row = df.agg(*[F.approx_count_distinct(digests(df, c.name, c.kind)[0]).alias(str(c.id)) for c in mine]).first()
-            share |= {c.id: min(1.0, SAMPLE / max(row[str(c.id)], 1)) for c in mine}
+            counts = df.agg(*[F.approx_count_distinct(digests(df, c.name, c.kind)[0]).alias(str(c.id)) for c in mine])
+            sizes.append(counts.select(F.inline(F.array(*[F.struct(F.lit(c.id).alias("id"), F.col(str(c.id)).alias("n")) for c in mine]))))
+    share = {r["id"]: min(1.0, SAMPLE / max(r["n"], 1)) for r in union(sizes).collect()} if sizes else {}
     samples = stored(value_cells(tables, named, share).distinct(), "samples")
     sought = F.broadcast(samples.select("d1", "d2").distinct())
     hits = stored(value_cells(tables, named).join(sought, ["d1", "d2"]).distinct(), "hits")
