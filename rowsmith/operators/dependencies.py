@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 from typing import NamedTuple
 
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsmith.functions.columns import col, control_table, known
+from rowsmith.functions.columns import col, computed_once, control_table, known
 from rowsmith.functions.hashing import cell_digest
 from rowsmith.sources.shared import stored
 
@@ -25,6 +26,10 @@ from rowsmith.sources.shared import stored
 SAMPLE, MISSED = 20_000, 1e-12
 #: Rules counted in one scan of the table.
 RULES_PER_SCAN = 128
+#: Rows, at least, of the sampled groups of determinants that rules are tried on next, and sets of determinants sampled in one scan.
+GROUP_SAMPLE, SETS_PER_SCAN = 65_536, 48
+#: A sampled group counts with at most one of these numbers of rows; whichever tells most is taken.
+CAPS = [4**i for i in range(12)]
 
 
 class Rule(NamedTuple):
@@ -77,6 +82,45 @@ def rule_figures(cells: DataFrame, columns: Sequence[str], rules: Sequence[Rule]
     return found
 
 
+def beyond(limit: float, totals: dict[int, int], sampled: int) -> bool:
+    """Whether a sum over groups is beyond a limit, but for a chance of MISSED, when one group in `sampled` was taken and the taken
+    ones come to totals, by the most that a group was let count. It is the bound of Chernoff for a sum of independent terms."""
+    for cap, total in totals.items():
+        mean, seen = limit / sampled / cap, total / cap
+        if seen > mean and (mean == 0 or seen - mean - seen * math.log(seen / mean) <= math.log(MISSED / len(CAPS))):
+            return True
+    return False
+
+
+def tried_on_groups(cells: DataFrame, columns: Sequence[str], limits: dict[Rule, float], sampled: int, most_groups: float) -> list[Rule]:
+    """The rules that may have at most as many breaking rows as `limits` says, of determinants with at most `most_groups` groups.
+
+    One group of determinants in `sampled` (a power of two) is looked at, with all its rows: a sample of rows holds groups of a few
+    rows in single rows, which break no rule."""
+    place = {c: i for i, c in enumerate(columns)}
+    sets = sorted({r.by for r in limits})
+    kept = []
+    for start in range(0, len(sets), SETS_PER_SCAN):
+        part = sets[start : start + SETS_PER_SCAN]
+        rules = [r for r in limits if r.by in part]
+        wide = cells.select("h", *[F.col("h")[i].alias(f"h_{i}") for i in range(len(columns))])
+        taken = [F.when(F.xxhash64(*[F.col(f"h_{place[c]}") for c in by]).bitwiseAND(F.lit(sampled - 1)) == 0, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, by in enumerate(part)]
+        marked = computed_once(wide, ["h"], taken=reduce(lambda a, b: a.bitwiseOR(b), taken)).filter("taken <> 0")
+        own = [f"array({', '.join(f'struct({n} AS rule, {place[r.target]} AS y)' for n, r in enumerate(rules) if r.by == by)})" for by in part]
+        listed = ", ".join(f"struct(shiftleft(1L, {i}) AS bit, {literal([place[c] for c in by])} AS of, {own[i]} AS rules)" for i, by in enumerate(part))
+        groups_of = marked.selectExpr("h", f"inline(filter(array({listed}), s -> taken & s.bit <> 0))")
+        entries = groups_of.selectExpr("h", "aggregate(of, 0L, (d, i) -> xxhash64(d, h[i])) AS x", "rules").selectExpr("x", "inline(transform(rules, r -> struct(r.rule AS rule, h[r.y] AS y)))")
+        counts = entries.groupBy("rule", "x", "y").agg(F.count(F.lit(1)).alias("n"))
+        groups = counts.groupBy("rule", "x").agg((F.sum("n") - F.max("n")).alias("broken"))
+        sums = groups.groupBy("rule").agg(F.count(F.lit(1)).alias("groups"), *[F.sum(F.least("broken", F.lit(c))).alias(f"broken_{c}") for c in CAPS])
+        seen = {r["rule"]: r for r in sums.collect()}
+        for n, rule in enumerate(rules):
+            r = seen.get(n)
+            if r is None or not (beyond(most_groups, {1: r["groups"]}, sampled) or beyond(limits[rule], {c: r[f"broken_{c}"] for c in CAPS}, sampled)):
+                kept.append(rule)
+    return kept
+
+
 def literal(numbers: Sequence[int]) -> str:
     return f"CAST(array({', '.join(map(str, numbers))}) AS ARRAY<INT>)"
 
@@ -89,7 +133,9 @@ def find_rules(df: DataFrame, most_error: float = 0.05, most_keys: float = 0.5,
     columns gives a rule for the target, and only where counts leave it a chance: each value of the target beyond the groups costs
     a row. Rules are tried on about SAMPLE rows first: the rows of a sample that break the rule are no more than those that
     break it with the values of the whole table, so but for a chance of MISSED a rule whose error in the sample is beyond the limit by
-    a margin is beyond it in the table. One scan for each level and RULES_PER_SCAN rules, and one for the keys of a level."""
+    a margin is beyond it in the table. What is left is tried on whole groups, GROUP_SAMPLE rows of them or more: that rules
+    out keys, and determinants with few rows a group. Only then are rules counted in full: one scan for each level
+    and RULES_PER_SCAN rules, and one for the keys of a level."""
     columns = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
     cells = cells_of(df, columns)
     alone = {r.target: f for r, f in rule_figures(cells, columns, [Rule((), c) for c in columns]).items()}
@@ -98,17 +144,13 @@ def find_rules(df: DataFrame, most_error: float = 0.05, most_keys: float = 0.5,
     rows = next(iter(alone.values())).rows
     groups = {(c,): f.combinations for c, f in alone.items()}
     sample = stored(cells.sample(min(1.0, SAMPLE / rows), seed=1), "sample") if rows > SAMPLE else None
+    sampled = 2 ** max(0, int(math.log2(rows / GROUP_SAMPLE))) if rows > GROUP_SAMPLE else 1
     determinants = [c for c in columns if groups[c,] <= most_keys * rows]
     targets = [c for c in columns if alone[c].error > 0]
     found: dict[Rule, tuple[Figures, float]] = {}
     for level in range(1, levels + 1):
         tried = []
-        sets = list(combinations(determinants, level))
-        if level > 1:
-            # Keys are told by their groups alone, before any target is counted.
-            keys = rule_figures(cells, columns, [Rule(by, by[0]) for by in sets])
-            sets = [r.by for r, f in keys.items() if f.groups <= most_keys * rows]
-        for by in sets:
+        for by in combinations(determinants, level):
             most = 1
             for c in by:
                 most *= groups[c,]
@@ -119,6 +161,13 @@ def find_rules(df: DataFrame, most_error: float = 0.05, most_keys: float = 0.5,
         if sample is not None:
             seen = rule_figures(sample, columns, tried)
             tried = [r for r, f in seen.items() if f.error <= most_error + math.sqrt(math.log(1 / MISSED) / 2 / f.rows)]
+        if sampled > 1 and tried:
+            limits = {r: rows * min(most_error, gain * alone[r.target].error) for r in tried}
+            tried = tried_on_groups(cells, columns, limits, sampled, most_keys * rows)
+        if level > 1:
+            # Keys are told by their groups alone, before any target is counted.
+            keys = rule_figures(cells, columns, [Rule(by, by[0]) for by in sorted({r.by for r in tried})])
+            tried = [r for r in tried if keys[Rule(r.by, r.by[0])].groups <= most_keys * rows]
         for rule, figures in rule_figures(cells, columns, tried).items():
             base = alone[rule.target].error
             if figures.error <= min(most_error, gain * base):

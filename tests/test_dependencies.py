@@ -76,3 +76,32 @@ def test_tables_without_rules(spark):
     nested = spark.range(9).selectExpr("array(id) AS list", "id % 2 AS a", "id % 2 = 1 AS b")
     assert {(r.determinants, r.target) for r in dependencies.rules_found(nested, "t").collect()} == {("a", "b"), ("b", "a")}
     assert dependencies.rule_breaks(nested, "a", []).count() == 0
+
+
+def test_rules_of_small_groups_are_not_counted_in_full(spark, monkeypatch):
+    """Determinants with a few rows a group break no rule in a sample of rows; whole groups tell."""
+    monkeypatch.setattr(dependencies, "SAMPLE", 300)
+    monkeypatch.setattr(dependencies, "GROUP_SAMPLE", 1_000, raising=False)
+    rng = np.random.default_rng(3)
+    rows = [(i // 4, i % 1_000, int(rng.integers(50)), int(rng.integers(9)), f"g{i // 4 % 7}" if i % 50 else None) for i in range(8_000)]
+    columns = ["order", "part", "quantity", "tax", "group"]
+    df = spark.createDataFrame(rows, "order int, part int, quantity int, tax int, group string").repartition(3)
+    counted, figures = [], dependencies.rule_figures
+
+    def recorded(cells, names, rules):
+        counted.append((cells, len(rules)))
+        return figures(cells, names, rules)
+
+    monkeypatch.setattr(dependencies, "rule_figures", recorded)
+    found = {(r.by, r.target): (f.groups, f.rows - f.kept) for r, (f, _) in dependencies.find_rules(df).items()}
+    assert found == plain([dict(zip(columns, r, strict=True)) for r in rows], columns) and (("order",), "group") in found
+    whole = counted[0][0]
+    assert sum(n for cells, n in counted if cells is whole) - len(columns) <= 12
+
+
+def test_bound_on_sampled_groups():
+    """A sum over groups is told to be beyond a limit only where that is all but sure."""
+    assert dependencies.beyond(1_000, {1: 500, 4: 500}, 8)
+    assert not dependencies.beyond(1_000, {1: 130, 4: 130}, 8)
+    assert not dependencies.beyond(1_000, {1: 4, 4_096: 2_000}, 8)
+    assert dependencies.beyond(0, {1: 1}, 8) and not dependencies.beyond(0, {1: 0}, 8)
