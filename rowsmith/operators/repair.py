@@ -5,8 +5,8 @@ driver. Fixes on columns are expressions, so neighbouring ones melt into one pro
 the removal of duplicates shuffles.
 
 Steps are transactions: one with an expression that fails on any row (a zero divisor, an overflow, a cast of odd text) is
-an error and leaves the table as it was, and the steps after it see that table. Such steps are counted before they are
-taken, in an aggregate that can not fail; plans without formulas and predicates need none.
+an error and leaves the table as it was, and the steps after it see that table. Such steps are tried before they are
+taken, in a scan that can not fail and ends at a row that shows it; plans without formulas and predicates need none.
 """
 
 from __future__ import annotations
@@ -288,13 +288,64 @@ def can_fail(fix: dict) -> bool:
 
 def apply_fix_plan(df: DataFrame, plan: Sequence[dict]) -> DataFrame:
     """All fixes in order, each on the result of the one before, without the steps that fail."""
-    errors = outcomes(df, plan)[1] if any(map(can_fail, plan)) else {}
+    return carried_out(df, plan)[0]
+
+
+def carried_out(df: DataFrame, plan: Sequence[dict]) -> tuple[DataFrame, set[int]]:
+    """The table after the steps that do not fail, and the steps that do.
+
+    Steps between two removals of duplicates are tried together. A task stops at its first row that any of them fails on, as
+    a failing row costs far more than a good one. The first step that failed on the row found is left out once no step before it
+    fails on any row, and the steps after it are tried on what they will see."""
+    failed: set[int] = set()
+    part: list[int] = []
     for i, fix in enumerate(plan):
-        if i not in errors:
-            df, _ = step(df, fix)
+        if fix.get("fix_type") == "remove_duplicates":
+            df = remove_duplicates(without_failing(df, plan, part, failed))
+            part = []
+        else:
+            part.append(i)
+    return without_failing(df, plan, part, failed), failed
+
+
+def without_failing(df: DataFrame, plan: Sequence[dict], steps: list[int], failed: set[int]) -> DataFrame:
+    """The table after those of the steps that do not fail; adds the others to `failed`."""
+    while steps:
+        first, before = None, steps
+        while any(can_fail(plan[i]) for i in before):
+            found = failing_step(df, plan, before)
+            if found is None:
+                break
+            first, before = found, [i for i in steps if i < found]
+        if first is not None:
+            failed.add(first)
+        for i in before:
+            df, _ = step(df, plan[i])
+        steps = [] if first is None else [i for i in steps if i > first]
     return df
 
 
+def failing_step(df: DataFrame, plan: Sequence[dict], steps: Sequence[int]) -> int | None:
+    """The first step that fails on a row, whichever row is found first; None if none fails on any. A row on which a step fails
+    keeps its value."""
+    data, current = list(df.columns), df.select("*", F.lit(None).cast("int").alias("_failed"))
+    for i in steps:
+        plain = current.select(*[col(c) for c in data])
+        new, _ = new_value(plain, plan[i])
+        if new is None:
+            continue
+        target = plan[i]["target_column"]
+        if can_fail(plan[i]):
+            new_type = plain.select(new.alias("new")).schema["new"].dataType
+            current = computed_once(current, [*map(col, data), "_failed"], _good=outcome(new).isNotNull())
+            new = F.when(F.col("_good"), new).otherwise(col(target).cast(new_type))
+            mark = F.coalesce("_failed", F.when(~F.col("_good"), F.lit(i)))
+        else:
+            mark = F.col("_failed")
+        current = current.select(*[(new if c == target else col(c)).alias(c) for c in data], mark.alias("_failed"))
+    return current.filter("_failed IS NOT NULL").select("_failed").limit(1).agg(F.min("_failed")).first()[0]
+
+
 def plan_rows(plan: DataFrame) -> list[dict]:
     """A plan held in a table, brought to the driver; refuses anything that is not a short control table."""
     rows = plan.limit(PLAN_LIMIT + 1).collect()
@@ -303,24 +354,24 @@ def plan_rows(plan: DataFrame) -> list[dict]:
     return [r.asDict(recursive=True) for r in rows]
 
 
-def traced(df: DataFrame, plan: Sequence[dict], skipped: Container[int]) -> tuple[DataFrame, dict[int, str]]:
+def traced(df: DataFrame, plan: Sequence[dict], failed: Container[int]) -> tuple[DataFrame, dict[int, str]]:
     """(step, cells_changed, rows_removed, rows_failed) of the steps that data decides, and the status of the others.
 
     Every fix marks the cells it changes on the row itself, so all fixes between two removals of duplicates
-    are counted in one scan and nothing is joined. A row on which a step fails keeps its value."""
+    are counted in one scan and nothing is joined. A step that fails changes nothing; the rows it fails on are counted."""
     data = list(df.columns)
     current, marks, parts, fixed_status = df, [], [], {}
     opened_by = None
 
     def close(frame, closed_by):
-        counts = [count_where(F.col(f"_mark_{i}") == mark).alias(f"{field}_{i}") for i in marks for mark, field in ((1, "n"), (2, "bad"))]
+        counts = [count_where(F.col(f"_mark_{i}")).alias(f"n_{i}") for i in marks]
         wide = frame.agg(F.count(F.lit(1)).alias("rows"), *counts)
         zero = F.lit(0).cast("bigint")
 
         def entry(i, cells=zero, removed=zero, failed=zero):
             return F.struct(F.lit(i).alias("step"), cells.alias("cells"), removed.alias("removed"), failed.alias("failed"))
 
-        rows = [entry(i, cells=F.col(f"n_{i}"), failed=F.col(f"bad_{i}")) for i in marks]
+        rows = [entry(i, failed=F.col(f"n_{i}")) if i in failed else entry(i, cells=F.col(f"n_{i}")) for i in marks]
         if closed_by is not None:
             rows.append(entry(closed_by, removed=F.col("rows")))
         if opened_by is not None:
@@ -329,8 +380,6 @@ def traced(df: DataFrame, plan: Sequence[dict], skipped: Container[int]) -> tupl
             parts.append(wide.select(F.inline(F.array(*rows))))
 
     for i, fix in enumerate(plan):
-        if i in skipped:
-            continue
         plain = current.select(*[col(c) for c in data])
         if fix.get("fix_type") == "remove_duplicates":
             close(current, i)
@@ -343,17 +392,14 @@ def traced(df: DataFrame, plan: Sequence[dict], skipped: Container[int]) -> tupl
         target = fix["target_column"]
         before = f"_before_{i}"
         kept = [f"_mark_{m}" for m in marks]
-        good = F.lit(True)
-        if can_fail(fix):
-            new_type = plain.select(new.alias("new")).schema["new"].dataType
-            current = computed_once(current, [*map(col, data), *kept], _good=outcome(new).isNotNull())
-            good = F.col("_good")
-            new = F.when(good, new).otherwise(col(target).cast(new_type))
-        # The old value rides along for one projection to be compared with the new one.
-        wide = current.select(*[(new if c == target else col(c)).alias(c) for c in data], col(target).alias(before), good.alias("_good"), *kept)
-        differs = ~col(target).eqNullSafe(F.col(before).cast(wide.schema[target].dataType))
-        mark = F.when(~F.col("_good"), 2).when(differs, 1).otherwise(0)
-        current = wide.select(*[col(c) for c in data], *kept, mark.alias(f"_mark_{i}"))
+        if i in failed:
+            # The mark is used once, so that a row is tried once.
+            current = current.select(*[col(c) for c in data], *kept, outcome(new).isNull().alias(f"_mark_{i}"))
+        else:
+            # The old value rides along for one projection to be compared with the new one.
+            wide = current.select(*[(new if c == target else col(c)).alias(c) for c in data], col(target).alias(before), *kept)
+            differs = ~col(target).eqNullSafe(F.col(before).cast(wide.schema[target].dataType))
+            current = wide.select(*[col(c) for c in data], *kept, differs.alias(f"_mark_{i}"))
         marks = [*marks, i]
     close(current, None)
     if parts:
@@ -367,18 +413,14 @@ def traced(df: DataFrame, plan: Sequence[dict], skipped: Container[int]) -> tupl
 def outcomes(df: DataFrame, plan: Sequence[dict]) -> tuple[DataFrame, dict[int, int], dict[int, str]]:
     """(what each step did, rows that each failing step fails on, status of the steps that data does not decide).
 
-    The steps are counted together as if none failed. If one does, what later steps saw is not what they will see: the first
-    that failed is left out, and they are counted again, so there is one scan more for each step that fails."""
-    failed: dict[int, int] = {}
-    while True:
-        done, fixed_status = traced(df, plan, failed)
-        if not any(can_fail(fix) for i, fix in enumerate(plan) if i not in failed):
-            return done, failed, fixed_status
-        done = settled(done)
-        first = done.filter("rows_failed > 0").orderBy("step").select("step", "rows_failed").first()
-        if first is None:
-            return done, failed, fixed_status
-        failed[first["step"]] = first["rows_failed"]
+    Steps that fail are found first, so all counts are of what each step sees, and a row is tried once."""
+    errors = carried_out(df, plan)[1] if any(map(can_fail, plan)) else set()
+    done, fixed_status = traced(df, plan, errors)
+    if not errors:
+        return done, {}, fixed_status
+    done = settled(done)
+    counted = {r["step"]: r["rows_failed"] for r in done.filter("rows_failed > 0").select("step", "rows_failed").collect()}
+    return done, {i: counted.get(i, 0) for i in errors}, fixed_status
 
 
 def resolution_log(df: DataFrame, name: str, plan: Sequence[dict]) -> DataFrame:

@@ -206,3 +206,35 @@ def test_rules_that_fail_are_reported_apart(spark):
     errors = {r.rule_id: (r.reason, r.failed_rows, r.first_key, r.last_key) for r in repair.rule_errors(odd(spark), "k", rules).collect()}
     assert errors == {"a": ("fails", 1, 2, 2), "b": ("fails", 1, 3, 3), "c": ("unresolved", 0, None, None)}
     assert repair.rule_violations(odd(spark), "k", rules[2:3]).count() == 0
+
+
+def test_failing_steps_are_counted_in_one_pass(spark, monkeypatch):
+    """However many steps fail, rows are counted once for the log and not at all for the table."""
+    passes, traced = [], repair.traced
+
+    def recorded(*args):
+        passes.append(args)
+        return traced(*args)
+
+    monkeypatch.setattr(repair, "traced", recorded)
+    df = spark.createDataFrame([(i, float(i % 3), str(i) if i % 2 else "x") for i in range(12)] * 2, "k bigint, v double, t string").repartition(3)
+    plan = [
+        {"fix_type": "recalculate_values", "target_column": "v", "formula": "v + 1"},
+        {"fix_type": "recalculate_values", "target_column": "v", "formula": "k / (v - 1)"},
+        {"fix_type": "replace_values", "target_column": "v", "new_values": ["9"], "predicate": "CAST(t AS INT) = 1"},
+        {"fix_type": "remove_duplicates"},
+        {"fix_type": "recalculate_values", "target_column": "k", "formula": "k / (v - 3)"},
+        {"fix_type": "recalculate_values", "target_column": "v", "formula": "10 / v"},
+    ]
+    log = {r.step: (r.status, r.cells_changed, r.rows_removed, r.rows_failed) for r in repair.resolution_log(df, "t", plan).collect()}
+    assert log == {
+        0: ("resolved", 24, 0, 0),
+        1: ("error", 0, 0, 8),
+        2: ("error", 0, 0, 12),
+        3: ("resolved", 0, 12, 0),
+        4: ("error", 0, 0, 4),
+        5: ("resolved", 12, 0, 0),
+    }
+    assert len(passes) == 1
+    table = {(r.k, r.v, r.t) for r in repair.apply_fix_plan(df, plan).collect()}
+    assert table == {(i, 10.0 / (i % 3 + 1), str(i) if i % 2 else "x") for i in range(12)} and len(passes) == 1
