@@ -201,11 +201,10 @@ def impute(df: DataFrame, column: str, method: str, by: Sequence[str] = ()) -> D
             groups = counts.groupBy(*[col(b) for b in by]).agg(best.alias("_center"))
         else:
             groups = group_quantiles(df, column, by, [0.5]).withColumn("_center", F.col("quantiles")[0])
-        keyed = groups.select(*[col(b).alias(f"_key_{i}") for i, b in enumerate(by)], "_center")
-        match = reduce(
-            lambda a, b: a & b, [col(b).eqNullSafe(F.col(f"_key_{i}")) for i, b in enumerate(by)]
-        )
-        rows = df.join(keyed, match, "left")
+        # Grouped by the join's key, a struct (its nulls are equal): known to be unique, so that figures of other columns of the
+        # result are taken without this join.
+        keyed = groups.groupBy(F.struct(*[col(b) for b in by]).alias("_key")).agg(F.first("_center").alias("_center"))
+        rows = df.join(keyed, F.struct(*[col(b) for b in by]) == F.col("_key"), "left")
         value = F.coalesce(F.col("_center"), whole)
     new = put_in(df, column, method, value)
     return rows.select(*[new.alias(c) if c == column else col(c) for c in df.columns])

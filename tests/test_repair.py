@@ -238,3 +238,15 @@ def test_failing_steps_are_counted_in_one_pass(spark, monkeypatch):
     assert len(passes) == 1
     table = {(r.k, r.v, r.t) for r in repair.apply_fix_plan(df, plan).collect()}
     assert table == {(i, 10.0 / (i % 3 + 1), str(i) if i % 2 else "x") for i in range(12)} and len(passes) == 1
+
+
+@pytest.mark.parametrize("method", ["mean", "mode", "median"])
+def test_grouped_imputation_is_not_repeated_for_other_columns(spark, capsys, method):
+    """What reads only other columns of the result does without the groups' figures; null groups are groups."""
+    rows = [(1, None, 4.0), (2, None, 4.0), (3, None, None), (4, "a", 7.0), (5, "a", None), (6, "b", None), (7, "a", 7.0)]
+    df = spark.createDataFrame(rows, "k int, g string, v double")
+    filled = repair.impute(df, "v", method, by=["g"])
+    whole = {"mean": 5.5, "mode": 4.0, "median": 5.5}[method]
+    assert {r.k: r.v for r in filled.collect()} == {1: 4.0, 2: 4.0, 3: 4.0, 4: 7.0, 5: 7.0, 6: whole, 7: 7.0}
+    filled.select("k", "g").explain()
+    assert "Join" not in capsys.readouterr().out
