@@ -16,19 +16,25 @@ from rowsmith.sources.shared import stored
 SHINGLE = 12
 PERCENT = 80
 BANDS, ROWS = 8, 2
-#: Coordinates that a pair must have in common to be compared in full: at the limit of similarity fewer have a chance of
-#: 2 in 100,000.
-AGREEING = 6
+#: 64-bit words, a power of two, of a line's bitmap of shingles, which says how much two lines differ at least.
+WORDS = 16
+#: Members up to which a bucket's pairs are all compared by their bitmaps.
+FEW = 32
 #: Lines compared with one copy of a hub; a hub with more of them gets more copies.
 GROUP = 1024
-BREAK = "\r?\n"
+
+
+def parted(text: Column | str) -> Column:
+    """The lines of a text. A carriage return before a line break belongs to the break; no regular expression is
+    needed, which would take twice the time."""
+    return F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), "\n")
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, line, d1, d2): the lines of each text that are not empty, numbered from 0, and a 128-bit
-    digest of each. A carriage return before a line break belongs to the break."""
+    digest of each."""
     rows = docs.filter(F.col("doc_id").isNotNull())
-    rows = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.posexplode(F.split("text", BREAK)).alias("line_no", "line"))
+    rows = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.posexplode(parted("text")).alias("line_no", "line"))
     return rows.filter("line != ''").withColumns({"d1": F.xxhash64("line"), "d2": F.xxhash64(F.lit(1), "line")})
 
 
@@ -37,14 +43,18 @@ def starts(line: Column, size: int) -> Column:
     return F.sequence(F.lit(1), F.greatest(F.octet_length(line) - (size - 1), F.lit(1)))
 
 
+def shingles(line: Column, size: int) -> Column:
+    """The shingles of a line as 64-bit hashes, in order."""
+    return F.transform(starts(line, size), lambda at: F.xxhash64(line.substr(at, F.lit(size))))
+
+
 def shingle_set(line: Column, size: int) -> Column:
     """The different shingles of a line as 64-bit hashes."""
-    return F.array_distinct(F.transform(starts(line, size), lambda at: F.xxhash64(line.substr(at, F.lit(size)))))
+    return F.array_distinct(shingles(line, size))
 
 
 def line_keys(docs: DataFrame, size: int, bands: int, rows: int, seed: int) -> DataFrame:
-    """(id, d1, d2, times, keys, low): one row for each different line, with a key for each band and the lowest
-    byte of each coordinate.
+    """(id, d1, d2, times, keys): one row for each different line, with a key for each band.
 
     A coordinate is the least value over the line's shingles of their hash under one bijection of the 64-bit
     integers. The minima of equal lines are equal, so lines are grouped by digest in the same step, and a line that a
@@ -55,82 +65,88 @@ def line_keys(docs: DataFrame, size: int, bands: int, rows: int, seed: int) -> D
     least = [F.min(F.col("h").bitwiseXOR(F.xxhash64(F.lit(seed + i)))).alias(f"m{i}") for i in range(bands * rows)]
     signed = hashed.groupBy("d1", "d2").agg(F.sum("head").alias("times"), *least)
     keys = [F.xxhash64(F.lit(b), *[f"m{b * rows + r}" for r in range(rows)]) for b in range(bands)]
-    low = [packed([f"m{i}" for i in range(part, min(part + 8, bands * rows))]).alias(f"low{part}") for part in range(0, bands * rows, 8)]
-    return stored(signed.select(F.monotonically_increasing_id().alias("id"), "d1", "d2", "times", F.array(*keys).alias("keys"), F.array(*low).alias("low")), "line-keys")
+    return stored(signed.select(F.monotonically_increasing_id().alias("id"), "d1", "d2", "times", F.array(*keys).alias("keys")), "line-keys")
+
 
+def bitmaps(texts: DataFrame, size: int) -> DataFrame:
+    """(id, many, w0, w1, ...): how many shingles each line has, and a bitmap in which each of them turns one bit over."""
+    each = texts.select("id", shingle_set(F.col("line"), size).alias("set")).select("id", F.explode("set").alias("h"))
+    bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(h, 32) & 63 as int))")
+    each = each.select("id", F.expr(f"cast(h & {WORDS - 1} as int)").alias("word"), bit.alias("bit"))
+    words = [F.bit_xor(F.expr(f"if(word = {i}, bit, 0L)")).alias(f"w{i}") for i in range(WORDS)]
+    return stored(each.groupBy("id").agg(F.count(F.lit(1)).alias("many"), *words), "line-bits")
 
-def packed(columns: list[str]) -> Column:
-    """The lowest bytes of up to eight numbers in one."""
-    out = F.lit(0).cast("bigint")
-    for i, c in enumerate(columns):
-        out = out.bitwiseOR(F.shiftleft(F.col(c).bitwiseAND(F.lit(255)), 8 * i))
-    return out
 
+def likely(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """(a, b, together): the pairs that may be linked by their bitmaps, and the sum of their numbers of shingles.
 
-def agreeing(x: Column, y: Column, many: int) -> Column:
-    """How many of the packed bytes are equal."""
-    total = F.lit(0)
-    for i in range(many):
-        differ = F.shiftrightunsigned(x[i // 8].bitwiseXOR(y[i // 8]), 8 * (i % 8)).bitwiseAND(F.lit(255))
-        total = total + (differ == 0).cast("int")
-    return total
+    A bit that differs stands for a shingle, at least, that only one of the two lines has. A link leaves (100 -
+    percent) / (100 + percent) of the sum for these, and so for the difference of the numbers: no link is left out."""
+    sides = [bits.select(F.col("id").alias(c), *[F.col(n).alias(f"{c}_{n}") for n in bits.columns if n != "id"]) for c in ("a", "b")]
+    both = pairs.join(sides[0], "a").join(sides[1], "b").withColumn("together", F.col("a_many") + F.col("b_many"))
+    differ = F.lit(0)
+    for i in range(WORDS):
+        differ = differ + F.bit_count(F.col(f"a_w{i}").bitwiseXOR(F.col(f"b_w{i}")))
+    least = F.greatest(differ, F.abs(F.col("a_many") - F.col("b_many")))
+    return both.filter((100 + percent) * least <= (100 - percent) * F.col("together")).select("a", "b", "together")
 
 
 def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of lines whose shingle sets have 100 * intersection >= percent * union."""
+    """The pairs (a, b) of lines whose shingle sets have 100 * intersection >= percent * union; together is the sum of
+    the sizes of both sets."""
     copies = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("copies"))
     dealt = pairs.join(copies, "a").withColumn("copy", F.pmod(F.xxhash64("b"), "copies").cast("int"))
     right = texts.select(F.col("id").alias("b"), F.col("line").alias("right"))
     left = texts.join(copies, texts["id"] == copies["a"]).select(
         "a", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.col("line").alias("left")
     )
-    both = dealt.select("a", "b", "copy").join(right, "b").join(left, ["a", "copy"])
-    sets = F.array(F.struct(shingle_set(F.col("left"), size).alias("x"), shingle_set(F.col("right"), size).alias("y")))
+    both = dealt.select("a", "b", "together", "copy").join(right, "b").join(left, ["a", "copy"])
+    common = F.size(F.array_intersect(shingles(F.col("left"), size), shingles(F.col("right"), size)))
+    return stored(both.filter((100 + percent) * common >= percent * F.col("together")).select("a", "b"), "line-links")
 
-    def alike(s: Column) -> Column:
-        common = F.size(F.array_intersect(s["x"], s["y"]))
-        return (100 + percent) * common >= percent * (F.size(s["x"]) + F.size(s["y"]))
 
-    return stored(both.filter(F.exists(sets, alike)).select("a", "b"), "line-links")
-
-
-def alike_lines(docs: DataFrame, size: int, percent: int, bands: int, rows: int, seed: int) -> DataFrame:
-    """(d1, d2, component) of the different lines that are linked with another one.
+def alike_lines(keyed: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(id, component) of the different lines that are linked with another one.
 
     Each member of a bucket is compared with the line of the bucket that occurs most often; that is all there is to a
-    bucket of two. Where a larger bucket is not one component then, lines outside its largest component are compared with those of other components with which
-    they share a shingle early enough in the order from rare to frequent, as any link needs."""
-    keyed = line_keys(docs, size, bands, rows, seed)
+    bucket of two. Where a larger bucket is not one component then, lines of different components are compared: all of
+    them, where the bucket has few members; else those outside the largest component with those of other components
+    with which they share a shingle early enough in the order from rare to frequent, as any link needs. Before lines
+    are compared in full, their bitmaps rule out what can not be linked."""
     members = keyed.select("id", "times", F.explode("keys").alias("bucket")).repartition("bucket")
     often = F.max(F.struct("times", (-F.col("id")).alias("id")))["id"]
     hubs = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("many"), (-often).alias("hub")).filter("many > 1")
-    members = stored(members.join(hubs, "bucket").select("bucket", "id", "hub", "many"), "line-members")
+    members = stored(members.drop("times").join(hubs.hint("shuffle_hash"), "bucket").select("bucket", "id", "hub", "many"), "line-members")
     needed = keyed.join(members.select("id").distinct(), "id", "left_semi").select("id", "d1", "d2")
     texts = lines_of(docs).select("d1", "d2", F.col("line").cast("binary").alias("line")).join(needed, ["d1", "d2"])
     texts = stored(texts.select("id", "line").dropDuplicates(["id"]), "line-texts")
+    bits = bitmaps(texts, size)
 
     pairs = members.filter("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    low = keyed.select(F.col("id").alias("_id"), "low")
-    pairs = pairs.join(low.select(F.col("_id").alias("a"), F.col("low").alias("x")), "a")
-    pairs = pairs.join(low.select(F.col("_id").alias("b"), F.col("low").alias("y")), "b")
-    near = agreeing(F.col("x"), F.col("y"), bands * rows) >= AGREEING * bands * rows // 16
-    pairs = stored(pairs.filter(near).select("a", "b"), "line-pairs")
-    links = linked(pairs, texts, size, percent)
+    links = linked(stored(likely(pairs, bits, percent), "line-pairs"), texts, size, percent)
     groups = components(links, "a", "b")
 
-    opened = stored(open_members(members.filter("many > 2").select("bucket", F.col("id").alias("rep")), groups), "line-open")
-    wanted = opened.select(F.col("rep").alias("id")).distinct()
-    shingles = texts.join(wanted, "id", "left_semi").select(F.col("id").alias("rep"), F.explode(shingle_set(F.col("line"), size)).alias("shingle"))
-    shingles = stored(shingles, "line-shingles")
-    sized = shingles.groupBy("rep").agg(F.count(F.lit(1)).alias("size"))
-    partner = F.ceil(F.col("size") * percent / 100).alias("partner")
-    placed = stored(opened.join(sized, "rep").select("*", partner), "line-open")
-    rest = stored(prefix_pairs(placed, shingles, percent), "line-pairs")
+    opened = stored(open_members(members.filter("many > 2").select("bucket", F.col("id").alias("rep"), "many"), groups), "line-open")
+    few = opened.filter(F.col("many") <= FEW).select("bucket", "rep", "component")
+    rest = few.alias("x").join(few.alias("y"), "bucket").filter("x.rep < y.rep and x.component != y.component")
+    rest = rest.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    rest = likely(rest, bits, percent)
+    many = opened.filter(F.col("many") > FEW).drop("many")
+    if not many.isEmpty():
+        wanted = many.select(F.col("rep").alias("id")).distinct()
+        sets = texts.join(wanted, "id", "left_semi").select(F.col("id").alias("rep"), shingle_set(F.col("line"), size).alias("set"))
+        sets = sets.select("rep", F.explode("set").alias("shingle"))
+        partner = F.ceil(F.col("size") * percent / 100).alias("partner")
+        placed = many.join(bits.select(F.col("id").alias("rep"), F.col("many").alias("size")), "rep").select("*", partner)
+        pairs = prefix_pairs(stored(placed, "line-open"), stored(sets, "line-shingles"), percent)
+        rest = rest.unionByName(likely(pairs, bits, percent)).distinct()
+    rest = stored(rest, "line-pairs")
     if not rest.isEmpty():
         more = linked(rest, texts, size, percent)
         if not more.isEmpty():
-            groups = components(links.unionByName(more), "a", "b")
-    return keyed.join(groups.withColumnRenamed("node", "id"), "id").select("d1", "d2", "component")
+            stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            groups = components(stars.unionByName(more), "a", "b")
+    return groups.withColumnRenamed("node", "id")
 
 
 def repeated_lines(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, seed: int = 1) -> DataFrame:
@@ -147,19 +163,16 @@ def repeated_lines(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
     where the line is the first, and all removed where it is not. Other columns do not matter. Empty tables give no
     rows.
     """
-    known = alike_lines(docs, size, percent, bands, rows, seed)
-    known = known.select(F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), "component")
-    places = lines_of(docs).select("doc_id", "line_no", "d1", "d2")
-    places = places.join(known, (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2")), "left")
-    group = [F.coalesce("component", "d1").alias("g1"), F.coalesce(F.col("component") * 0, "d2").alias("g2")]
-    places = stored(places.select("doc_id", "line_no", *group, F.col("component").isNotNull().alias("linked")), "line-places")
-    key = ["g1", "g2", "linked"]
-    several = places.groupBy(key).agg(F.count(F.lit(1)).alias("many"), F.min("doc_id").alias("first_doc")).filter("many > 1")
-    shared = stored(places.join(several.select(*key, "first_doc"), key), "line-shared")
-    firsts = shared.filter("doc_id = first_doc").groupBy(key).agg(F.min("line_no").alias("first_line"))
-    gone = shared.join(firsts, key).filter("doc_id != first_doc or line_no != first_line")
+    keyed = line_keys(docs, size, bands, rows, seed)
+    groups = alike_lines(keyed, docs, size, percent)
+    known = keyed.select("id", "d1", "d2", "times").join(groups, "id", "left").filter("times > 1 or component is not null")
+    known = known.select("d1", "d2", F.coalesce("component", "id").alias("line_group"))
+    places = lines_of(docs).select("doc_id", "line_no", "d1", "d2").join(known, ["d1", "d2"])
+    places = stored(places.select("doc_id", "line_no", "line_group"), "line-places")
+    firsts = places.groupBy("line_group").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
+    gone = places.join(firsts, "line_group").filter("doc_id != first.doc_id or line_no != first.line_no")
     gone = gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("removed"))
-    some = F.filter(F.split("text", BREAK), lambda line: line != "")
+    some = F.filter(parted("text"), lambda line: line != "")
     rows_in = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.size(some), F.lit(0)).cast("bigint").alias("n_lines"))
     rows_in = rows_in.withColumn("n_lines", F.greatest("n_lines", F.lit(0)))
     out = rows_in.join(gone, "doc_id", "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
@@ -171,6 +184,6 @@ def without_repeated_lines(docs: DataFrame, **settings) -> DataFrame:
     gone = repeated_lines(docs, **settings).filter("size(removed) > 0").select(F.col("doc_id").alias("_id"), F.col("removed").alias("_removed")).distinct()
     row = F.struct(*[docs[c] for c in docs.columns]).alias("_row")
     rows = docs.select(row, F.col("doc_id").cast("bigint").alias("_doc")).join(gone, F.col("_doc") == F.col("_id"), "left")
-    kept = F.filter(F.split("_row.text", BREAK), lambda line, i: ~F.array_contains("_removed", i))
+    kept = F.filter(parted("_row.text"), lambda line, i: ~F.array_contains("_removed", i))
     text = F.when(F.col("_removed").isNull(), F.col("_row.text")).otherwise(F.array_join(kept, "\n"))
     return rows.select(*[(text if c == "text" else F.col("_row")[c]).alias(c) for c in docs.columns])

@@ -63,6 +63,53 @@ def test_lines(spark, small, texts):
         assert r.removed == ",".join(map(str, removed[r.doc_id]))
 
 
+@pytest.mark.parametrize("few", [2, 32])
+def test_lines_of_open_buckets(spark, monkeypatch, few):
+    """Chains of lines of which only neighbours are linked: their buckets are not one component at first."""
+    from rowsmith.llm import lines
+
+    rng = np.random.default_rng(3)
+    texts = []
+    for _ in range(12):
+        line = "".join(rng.choice(list("abcdefgh \u00e9"), 400))
+        for step in range(9):
+            line = line[: 40 * step] + "".join(rng.choice(list("klmno"), 25)) + line[40 * step + 25 :]
+            texts += [line, line + line[-30:] + line[-30:]][: 1 + step % 2]
+    sets = {at: {b[i : i + 12] for i in range(max(1, len(b) - 11))} for at, line in enumerate(texts) for b in [line.encode()]}
+    component = groups(sets, 80)
+
+    def unwanted(*_):
+        raise AssertionError("shingles of all open lines are put in one order")
+
+    monkeypatch.setattr(lines, "FEW", few, raising=False)
+    if few > 2:
+        monkeypatch.setattr(lines, "prefix_pairs", unwanted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r.n_kept for r in lines.repeated_lines(docs).collect()}
+    assert found == {at: int(component[at] == at) for at in sets}
+    assert 12 <= sum(found.values()) < len(texts)
+
+
+def test_bitmaps_leave_no_link_out(spark):
+    from rowsmith.llm import lines
+
+    rng = np.random.default_rng(4)
+    texts = []
+    for n in (5, 12, 13, 30, 100, 700, 3000):
+        line = "".join(rng.choice(list("abc"), n))
+        texts += [line, line[: n - n // 10], line * 2, line[: n // 2] + "x" + line[n // 2 :]]
+    sets = [{b[i : i + 12] for i in range(max(1, len(b) - 11))} for b in map(str.encode, texts)]
+    pairs = [(a, b) for a in range(len(texts)) for b in range(a)]
+    wanted = {(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    table = spark.createDataFrame(list(enumerate(texts)), "id bigint, line string").selectExpr("id", "cast(line as binary) AS line")
+    bits = lines.bitmaps(table, 12)
+    left = lines.likely(spark.createDataFrame(pairs, "a bigint, b bigint"), bits, 80)
+    rows = left.collect()
+    assert wanted <= {(r.a, r.b) for r in rows} and len(rows) < len(pairs) / 2
+    assert all(r.together == len(sets[r.a]) + len(sets[r.b]) for r in rows)
+    assert {(r.a, r.b) for r in lines.linked(left, table, 12, 80).collect()} == wanted
+
+
 def test_sentence_runs(spark, small, texts):
     parts = {}
     for i, text in texts.items():
