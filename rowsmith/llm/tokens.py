@@ -31,7 +31,7 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer, normalizers, pre_tokenizers
+from tokenizers import Regex, Tokenizer, normalizers, pre_tokenizers
 
 from rowsmith.llm.words import slices
 from rowsmith.sources.shared import settled
@@ -42,6 +42,10 @@ PERCENTILE = 90
 HEADER = 6
 #: Words a task remembers the ids of before it starts anew.
 REMEMBERED = 700_000
+#: A normalizer's step that leaves words without white space as they are.
+SPACES = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+#: An expression by which letters are one piece, and any other sign after them is another one.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Python's str.split() parts at these, the tokenizer does not.
 _SEPARATORS = regex.compile("[\x1c-\x1f]")
 
@@ -60,6 +64,10 @@ class WordEncoder:
         suffix = spec["model"].get("end_of_word_suffix")
         self.pieces = regex.compile(steps[0]["pattern"]["Regex"]) if drops and suffix else None
         if self.pieces is not None:
+            self.split = pre_tokenizers.Split(Regex(self.pieces.pattern), "removed", invert=True)
+            named = [step["type"] for step in (spec["normalizer"] or {}).get("normalizers", [])]
+            self.lowers = named == ["NFC", "Replace", "Lowercase"] and spec["normalizer"]["normalizers"][1] == SPACES
+            self.plain = self.pieces.pattern == PIECES
             self.bare = Tokenizer.from_file(path)
             self.bare.normalizer = normalizers.Sequence([])
             rest = [_step(step) for step in steps[1:]]
@@ -76,20 +84,42 @@ class WordEncoder:
         if max(len(self.words), len(self.parts)) > REMEMBERED:
             self.words, self.parts = {}, {}
         apart = [None if _SEPARATORS.search(text) or any(token in text for token in self.added) else text.split() for text in texts]
-        self._learn(list(set().union(*filter(None, apart)).difference(self.words)))
-        get = self.words.__getitem__
-        return [self._whole(text) if words is None else b"".join(map(get, words)) for text, words in zip(texts, apart, strict=True)]
+        get, missing = self.words.get, set()
+        codes = [None if words is None else list(map(get, words)) for words in apart]
+        gaps = [[at for at, code in enumerate(known or ()) if code is None] for known in codes]
+        for words, at in zip(apart, gaps, strict=True):
+            missing.update([words[i] for i in at])
+        self._learn(list(missing))
+        for words, known, at in zip(apart, codes, gaps, strict=True):
+            for i in at:
+                known[i] = self.words[words[i]]
+        return [self._whole(text) if known is None else b"".join(known) for text, known in zip(texts, codes, strict=True)]
 
     def _whole(self, text: str) -> bytes:
         return _packed(self.whole.encode(text, add_special_tokens=False).ids)
 
+    def _parted(self, word: str) -> list[str]:
+        """The pieces of a normalized word. Letters, and letters before one other sign, need no expression. Beyond
+        the Latin letters the tokenizer's own expression is asked, as it may know another version of Unicode."""
+        if self.plain and word.isascii():
+            if word.isalpha():
+                return [word]
+            if word[:-1].isalpha() and not word[-1].isalnum():
+                return [word[:-1], word[-1]]
+        if max(word, default="") < "\u0250":
+            return self.pieces.findall(word)
+        return [part for part, _ in self.split.pre_tokenize_str(word)]
+
     def _learn(self, words: list[str]) -> None:
-        plain = self.whole.normalizer.normalize_str(" ".join(words)).split(" ") if self.whole.normalizer and words else words
-        found = [self.pieces.findall(word) for word in plain]
+        normal = {}
+        if self.whole.normalizer:
+            other = [word for word in words if not word.isascii()] if self.lowers else words
+            normal = dict(zip(other, self.whole.normalizer.normalize_str(" ".join(other)).split(" "), strict=True)) if other else {}
+        found = [self._parted(normal[word] if word in normal else word.lower() if self.lowers else word) for word in words]
         new = list(set().union(*found).difference(self.parts))
         for at in range(0, len(new), 2000):
             some = new[at : at + 2000]
-            ids = np.array(self.bare.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.bare.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             stops = 4 * (np.flatnonzero(self.ends[ids]) + 1)
             if len(stops) == len(some) and " " not in "".join(some):
                 stream, begin = ids.tobytes(), 0

@@ -201,6 +201,19 @@ def test_word_encoder_equals_the_tokenizer():
     assert own.ids(odd) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in odd]
 
 
+def test_word_encoder_on_random_unicode():
+    """Also on characters that later versions of Unicode call letters, and the tokenizer does not."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain, own = Tokenizer.from_file(path), tokens.WordEncoder(path)
+    rng = np.random.default_rng(5)
+    common = [*map(chr, range(1, 0x250)), *"\u0301\u0308\u4e2d\ufb01\u0663\u200b\u3000\ufeff", "'ll", "'S", *" .," * 40]
+    texts = ["".join(rng.choice(common, 30)) for _ in range(1000)]
+    far = np.setdiff1d(np.arange(0x250, 0x20000), np.arange(0xD800, 0xE000))
+    texts += ["".join(map(chr, rng.choice(far, 20))) for _ in range(1000)] + ["xy\U00018dce", "\U0001c63d ab,"]
+    for part in (texts[:700], texts[700:], texts):
+        assert own.ids(part) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in part]
+
+
 @pytest.mark.parametrize("n", [0, 1, 127, 128, 129, 5000])
 @pytest.mark.parametrize("top", [2, 300, 49408, 2**32 - 1])
 def test_blocks_round_trip(n, top):
