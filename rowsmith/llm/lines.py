@@ -5,7 +5,7 @@ Lines that are alike form a component, of which the first line in the table is k
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowsmith.llm.components import components
@@ -38,14 +38,20 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return rows.filter("line != ''").withColumns({"d1": F.xxhash64("line"), "d2": F.xxhash64(F.lit(1), "line")})
 
 
+def last_start(line: Column, size: int) -> Column:
+    """Where the last shingle of a line begins, from 1. A line shorter than a shingle is one shingle."""
+    return F.greatest(F.octet_length(line) - (size - 1), F.lit(1))
+
+
 def starts(line: Column, size: int) -> Column:
-    """Where the shingles of a line begin, from 1. A line shorter than a shingle is one shingle."""
-    return F.sequence(F.lit(1), F.greatest(F.octet_length(line) - (size - 1), F.lit(1)))
+    """Where the shingles of a line begin."""
+    return F.sequence(F.lit(1), last_start(line, size))
 
 
 def shingles(line: Column, size: int) -> Column:
-    """The shingles of a line as 64-bit hashes, in order."""
-    return F.transform(starts(line, size), lambda at: F.xxhash64(line.substr(at, F.lit(size))))
+    """The shingles of a line as 64-bit hashes, in order. The line is bound once: read from the row, its bytes are
+    copied for each shingle."""
+    return F.transform(F.array(line), lambda one: F.transform(starts(one, size), lambda at: F.xxhash64(one.substr(at, F.lit(size)))))[0]
 
 
 def shingle_set(line: Column, size: int) -> Column:
@@ -53,16 +59,28 @@ def shingle_set(line: Column, size: int) -> Column:
     return F.array_distinct(shingles(line, size))
 
 
+def exploded(sets: DataFrame, name: str) -> DataFrame:
+    """(id, name): a row for each shingle of the sets (id, set). No set is empty, and the outer form of explode gets no
+    filter on its argument, for which sets would be computed once more, also those that a join below leaves out."""
+    return sets.select("id", F.explode_outer("set").alias(name))
+
+
 def line_keys(docs: DataFrame, size: int, bands: int, rows: int, seed: int) -> DataFrame:
     """(id, d1, d2, times, keys): one row for each different line, with a key for each band.
 
     A coordinate is the least value over the line's shingles of their hash under one bijection of the 64-bit
     integers. The minima of equal lines are equal, so lines are grouped by digest in the same step, and a line that a
-    third of all texts have is one row per task in the shuffle."""
+    third of all texts have is one row per task in the shuffle. A row holds two shingles, which halves the updates of
+    minima; the last of an odd number stands twice."""
     each = lines_of(docs).select("d1", "d2", F.col("line").cast("binary").alias("line"))
-    each = each.select("d1", "d2", "line", F.explode(starts(F.col("line"), size)).alias("at"))
-    hashed = each.select("d1", "d2", (F.col("at") == 1).cast("int").alias("head"), F.xxhash64(F.expr(f"substring(line, at, {size})")).alias("h"))
-    least = [F.min(F.col("h").bitwiseXOR(F.xxhash64(F.lit(seed + i)))).alias(f"m{i}") for i in range(bands * rows)]
+    each = each.select("d1", "d2", "line", last_start(F.col("line"), size).alias("last"))
+    each = each.select("d1", "d2", "line", "last", F.explode(F.sequence(F.lit(1), "last", F.lit(2))).alias("at"))
+    pair = [F.xxhash64(F.expr(f"substring(line, {at}, {size})")) for at in ("at", "least(at + 1, last)")]
+    hashed = each.select("d1", "d2", (F.col("at") == 1).cast("int").alias("head"), pair[0].alias("h"), pair[1].alias("next"))
+    least = []
+    for i in range(bands * rows):
+        x, y = (F.col(c).bitwiseXOR(F.xxhash64(F.lit(seed + i))) for c in ("h", "next"))
+        least.append(F.min(F.when(x < y, x).otherwise(y)).alias(f"m{i}"))
     signed = hashed.groupBy("d1", "d2").agg(F.sum("head").alias("times"), *least)
     keys = [F.xxhash64(F.lit(b), *[f"m{b * rows + r}" for r in range(rows)]) for b in range(bands)]
     return stored(signed.select(F.monotonically_increasing_id().alias("id"), "d1", "d2", "times", F.array(*keys).alias("keys")), "line-keys")
@@ -70,11 +88,14 @@ def line_keys(docs: DataFrame, size: int, bands: int, rows: int, seed: int) -> D
 
 def bitmaps(texts: DataFrame, size: int) -> DataFrame:
     """(id, many, w0, w1, ...): how many shingles each line has, and a bitmap in which each of them turns one bit over."""
-    each = texts.select("id", shingle_set(F.col("line"), size).alias("set")).select("id", F.explode("set").alias("h"))
-    bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(h, 32) & 63 as int))")
-    each = each.select("id", F.expr(f"cast(h & {WORDS - 1} as int)").alias("word"), bit.alias("bit"))
-    words = [F.bit_xor(F.expr(f"if(word = {i}, bit, 0L)")).alias(f"w{i}") for i in range(WORDS)]
-    return stored(each.groupBy("id").agg(F.count(F.lit(1)).alias("many"), *words), "line-bits")
+    sets = texts.select("id", shingle_set(F.col("line"), size).alias("set")).withColumn("many", F.size("set"))
+    each = sets.select("id", "many", "set", F.explode(F.sequence(F.lit(1), "many", F.lit(2))).alias("at"))
+    each = each.select("id", "many", F.expr("element_at(set, at)").alias("h"), F.expr("if(at < many, element_at(set, at + 1), null)").alias("next"))
+    for h in ("h", "next"):
+        bit = F.expr(f"coalesce(shiftleft(1L, cast(shiftrightunsigned({h}, 32) & 63 as int)), 0L)")
+        each = each.withColumns({f"{h}_word": F.expr(f"coalesce(cast({h} & {WORDS - 1} as int), 0)"), f"{h}_bit": bit})
+    words = [F.bit_xor(F.expr(f"if(h_word = {i}, h_bit, 0L) ^ if(next_word = {i}, next_bit, 0L)")).alias(f"w{i}") for i in range(WORDS)]
+    return stored(each.groupBy("id").agg(F.max("many").cast("bigint").alias("many"), *words), "line-bits")
 
 
 def likely(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
@@ -83,7 +104,7 @@ def likely(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     A bit that differs stands for a shingle, at least, that only one of the two lines has. A link leaves (100 -
     percent) / (100 + percent) of the sum for these, and so for the difference of the numbers: no link is left out."""
     sides = [bits.select(F.col("id").alias(c), *[F.col(n).alias(f"{c}_{n}") for n in bits.columns if n != "id"]) for c in ("a", "b")]
-    both = pairs.join(sides[0], "a").join(sides[1], "b").withColumn("together", F.col("a_many") + F.col("b_many"))
+    both = pairs.join(sides[0].hint("shuffle_hash"), "a").join(sides[1].hint("shuffle_hash"), "b").withColumn("together", F.col("a_many") + F.col("b_many"))
     differ = F.lit(0)
     for i in range(WORDS):
         differ = differ + F.bit_count(F.col(f"a_w{i}").bitwiseXOR(F.col(f"b_w{i}")))
@@ -105,7 +126,25 @@ def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
     return stored(both.filter((100 + percent) * common >= percent * F.col("together")).select("a", "b"), "line-links")
 
 
-def alike_lines(keyed: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def bucket_members(keyed: DataFrame) -> DataFrame:
+    """(bucket, id, hub, many): the lines of each bucket that has several, and the one of them that occurs most often."""
+    members = keyed.select("id", "times", F.explode("keys").alias("bucket")).repartition("bucket")
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("many"), F.max("times").alias("most"), F.min("id").alias("first"))
+    members = members.join(shared.filter("many > 1").hint("shuffle_hash"), "bucket")
+    often = F.min(F.when((F.col("times") > 1) & (F.col("times") == F.col("most")), F.col("id"))).over(Window.partitionBy("bucket"))
+    return stored(members.select("bucket", "id", F.coalesce(often, "first").alias("hub"), "many"), "line-members")
+
+
+def line_copies(docs: DataFrame, keyed: DataFrame, members: DataFrame) -> DataFrame:
+    """(doc_id, line_no, id, times, line): the places of the lines that occur several times or share a bucket, and
+    their texts if they share one."""
+    inside = members.select("id").distinct().withColumn("inside", F.lit(True))
+    wanted = keyed.select("id", "d1", "d2", "times").join(inside, "id", "left").filter("times > 1 or inside")
+    copies = lines_of(docs).join(wanted, ["d1", "d2"])
+    return stored(copies.select("doc_id", "line_no", "id", "times", F.when(F.col("inside"), F.col("line").cast("binary")).alias("line")), "line-copies")
+
+
+def alike_lines(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """(id, component) of the different lines that are linked with another one.
 
     Each member of a bucket is compared with the line of the bucket that occurs most often; that is all there is to a
@@ -113,13 +152,6 @@ def alike_lines(keyed: DataFrame, docs: DataFrame, size: int, percent: int) -> D
     them, where the bucket has few members; else those outside the largest component with those of other components
     with which they share a shingle early enough in the order from rare to frequent, as any link needs. Before lines
     are compared in full, their bitmaps rule out what can not be linked."""
-    members = keyed.select("id", "times", F.explode("keys").alias("bucket")).repartition("bucket")
-    often = F.max(F.struct("times", (-F.col("id")).alias("id")))["id"]
-    hubs = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("many"), (-often).alias("hub")).filter("many > 1")
-    members = stored(members.drop("times").join(hubs.hint("shuffle_hash"), "bucket").select("bucket", "id", "hub", "many"), "line-members")
-    needed = keyed.join(members.select("id").distinct(), "id", "left_semi").select("id", "d1", "d2")
-    texts = lines_of(docs).select("d1", "d2", F.col("line").cast("binary").alias("line")).join(needed, ["d1", "d2"])
-    texts = stored(texts.select("id", "line").dropDuplicates(["id"]), "line-texts")
     bits = bitmaps(texts, size)
 
     pairs = members.filter("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
@@ -134,8 +166,8 @@ def alike_lines(keyed: DataFrame, docs: DataFrame, size: int, percent: int) -> D
     many = opened.filter(F.col("many") > FEW).drop("many")
     if not many.isEmpty():
         wanted = many.select(F.col("rep").alias("id")).distinct()
-        sets = texts.join(wanted, "id", "left_semi").select(F.col("id").alias("rep"), shingle_set(F.col("line"), size).alias("set"))
-        sets = sets.select("rep", F.explode("set").alias("shingle"))
+        sets = texts.join(wanted, "id", "left_semi").select("id", shingle_set(F.col("line"), size).alias("set"))
+        sets = exploded(sets, "shingle").withColumnRenamed("id", "rep")
         partner = F.ceil(F.col("size") * percent / 100).alias("partner")
         placed = many.join(bits.select(F.col("id").alias("rep"), F.col("many").alias("size")), "rep").select("*", partner)
         pairs = prefix_pairs(stored(placed, "line-open"), stored(sets, "line-shingles"), percent)
@@ -164,15 +196,16 @@ def repeated_lines(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
     rows.
     """
     keyed = line_keys(docs, size, bands, rows, seed)
-    groups = alike_lines(keyed, docs, size, percent)
-    known = keyed.select("id", "d1", "d2", "times").join(groups, "id", "left").filter("times > 1 or component is not null")
-    known = known.select("d1", "d2", F.coalesce("component", "id").alias("line_group"))
-    places = lines_of(docs).select("doc_id", "line_no", "d1", "d2").join(known, ["d1", "d2"])
-    places = stored(places.select("doc_id", "line_no", "line_group"), "line-places")
+    members = bucket_members(keyed)
+    copies = line_copies(docs, keyed, members)
+    texts = stored(copies.filter("line is not null").select("id", "line").dropDuplicates(["id"]), "line-texts")
+    groups = alike_lines(members, texts, size, percent)
+    places = copies.join(groups, "id", "left").filter("times > 1 or component is not null")
+    places = stored(places.select("doc_id", "line_no", F.coalesce("component", "id").alias("line_group")), "line-places")
     firsts = places.groupBy("line_group").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
     gone = places.join(firsts, "line_group").filter("doc_id != first.doc_id or line_no != first.line_no")
     gone = gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("removed"))
-    some = F.filter(parted("text"), lambda line: line != "")
+    some = F.array_remove(parted("text"), "")
     rows_in = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.size(some), F.lit(0)).cast("bigint").alias("n_lines"))
     rows_in = rows_in.withColumn("n_lines", F.greatest("n_lines", F.lit(0)))
     out = rows_in.join(gone, "doc_id", "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))

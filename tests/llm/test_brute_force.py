@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from compare import connect, differences
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rowsmith.llm import registry, tokens, words
@@ -110,6 +111,62 @@ def test_bitmaps_leave_no_link_out(spark):
     assert {(r.a, r.b) for r in lines.linked(left, table, 12, 80).collect()} == wanted
 
 
+def test_sets_of_lines_are_made_once(spark, monkeypatch):
+    """No filter makes sets of shingles once more, no line is copied for each of its shingles, and texts are parted
+    only for keys, for copies and for counts."""
+    from rowsmith.llm import lines
+
+    plans, calls, stored, lines_of = [], [], lines.stored, lines.lines_of
+
+    def kept(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(lines, "stored", kept)
+    monkeypatch.setattr(lines, "lines_of", lambda docs: calls.append(1) or lines_of(docs))
+    monkeypatch.setattr(lines, "FEW", 2)
+    rng = np.random.default_rng(5)
+    line = "".join(rng.choice(list("abcdefgh"), 600))
+    texts = [line[:i] + "x" * 25 + line[i + 25 :] for i in range(0, 550, 10)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    lines.repeated_lines(docs).collect()
+    made = [step for plan in plans for step in plan.splitlines() if "xxhash64(substr" in step]
+    assert any("array_distinct" in step for step in made)
+    assert not [step for step in made if "Filter" in step and "array_distinct" in step]
+    assert all("transform(array(" in step for step in made if "transform(" in step)
+    assert len(calls) == 2
+
+
+def test_hubs_of_buckets(spark):
+    from rowsmith.llm import lines
+
+    rng = np.random.default_rng(6)
+    rows = [(i, int(rng.choice([1, 1, 1, 2, 5])), [int(k) for k in rng.integers(0, 60, 3)]) for i in range(90)]
+    rows = [(i, times, sorted(set(keys))) for i, times, keys in rows]
+    buckets = {}
+    for i, times, keys in rows:
+        for k in keys:
+            buckets.setdefault(k, []).append((-times, i))
+    wanted = {(k, i, min(at)[1], len(at)) for k, at in buckets.items() if len(at) > 1 for _, i in at}
+    keyed = spark.createDataFrame(rows, "id bigint, times bigint, keys array<bigint>")
+    assert {tuple(r) for r in lines.bucket_members(keyed).select("bucket", "id", "hub", "many").collect()} == wanted
+
+
+@pytest.mark.parametrize("n", [1, 11, 12, 13, 14, 40, 41])
+def test_keys_of_lines_are_of_all_shingles(spark, n):
+    """Lines of odd and even numbers of shingles: where a shingle is left out, keys differ from those of its set."""
+    from rowsmith.llm import lines
+
+    line = "".join(np.random.default_rng(n).choice(list("abcd"), n))
+    docs = spark.createDataFrame([(1, f"{line}\n{line}"), (2, line)], "doc_id bigint, text string")
+    row = lines.line_keys(docs, 12, 8, 2, 1).first()
+    sets = spark.createDataFrame([(line,)], "line string").selectExpr("cast(line as binary) AS line")
+    shingles = sets.select(F.explode(lines.shingle_set(F.col("line"), 12)).alias("h"))
+    least = shingles.agg(*[F.min(F.col("h").bitwiseXOR(F.xxhash64(F.lit(1 + i)))).alias(f"m{i}") for i in range(16)])
+    keys = least.select(F.array(*[F.xxhash64(F.lit(b), f"m{2 * b}", f"m{2 * b + 1}") for b in range(8)])).first()[0]
+    assert row.times == 3 and row["keys"] == keys
+
+
 def test_sentence_runs(spark, small, texts):
     parts = {}
     for i, text in texts.items():
