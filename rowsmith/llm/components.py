@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.sources.shared import stored
+from rowsmith.sources.shared import removed, stored
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -22,7 +22,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     edges = stored(edges, "links")
     known = _figure(edges)
     while known[0]:
-        edges = stored(_smaller(_larger(edges)), "links")
+        before, edges = edges, stored(_smaller(_larger(edges)), "links")
+        removed(before)
         now = _figure(edges)
         if now == known:
             break

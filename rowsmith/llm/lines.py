@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rowsmith.llm.components import components
 from rowsmith.llm.minhash import open_members, prefix_pairs
-from rowsmith.sources.shared import stored
+from rowsmith.sources.shared import removed, stored
 
 #: Bytes of a shingle; least similarity in percent; bands, and signature coordinates in each.
 SHINGLE = 12
@@ -20,6 +20,8 @@ BANDS, ROWS = 8, 2
 WORDS = 16
 #: Members up to which a bucket's pairs are all compared by their bitmaps.
 FEW = 32
+#: The bitmap that says which texts are needed has 2 to this power rows of 1,024 bits (16 MB) at most.
+CELLS = 17
 #: Lines compared with one copy of a hub; a hub with more of them gets more copies.
 GROUP = 1024
 
@@ -135,13 +137,38 @@ def bucket_members(keyed: DataFrame) -> DataFrame:
     return stored(members.select("bucket", "id", F.coalesce(often, "first").alias("hub"), "many"), "line-members")
 
 
-def line_copies(docs: DataFrame, keyed: DataFrame, members: DataFrame) -> DataFrame:
-    """(doc_id, line_no, id, times, line): the places of the lines that occur several times or share a bucket, and
-    their texts if they share one."""
+def wanted_lines(keyed: DataFrame, members: DataFrame) -> DataFrame:
+    """(id, d1, d2, times, inside): the lines that occur several times or share a bucket; inside is null if they share none."""
     inside = members.select("id").distinct().withColumn("inside", F.lit(True))
     wanted = keyed.select("id", "d1", "d2", "times").join(inside, "id", "left").filter("times > 1 or inside")
-    copies = lines_of(docs).join(wanted, ["d1", "d2"])
-    return stored(copies.select("doc_id", "line_no", "id", "times", F.when(F.col("inside"), F.col("line").cast("binary")).alias("line")), "line-copies")
+    return stored(wanted, "line-wanted")
+
+
+def digest_cells(digests: DataFrame, depth: int) -> DataFrame:
+    """(cell, words): a bitmap of the digests d1 in rows of 1,024 bits, of which 2^depth are enough for all."""
+    bit = F.expr("shiftleft(1L, cast(shiftright(d1, 4) & 63 as int))")
+    words = [F.bit_or(F.when(F.col("d1").bitwiseAND(F.lit(15)) == i, bit).otherwise(F.lit(0).cast("bigint"))) for i in range(16)]
+    return digests.groupBy(cell_of(depth).alias("cell")).agg(F.array(*words).alias("words"))
+
+
+def cell_of(depth: int) -> Column:
+    return F.shiftrightunsigned("d1", 64 - depth)
+
+
+def line_copies(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, line_no, id, times, line): the places of the wanted lines, and their texts if they share a bucket.
+
+    Most text is in lines that share none. A bitmap of the digests of those that do, sent to all tasks, keeps nearly all
+    other texts out of the shuffle. It has 16 bits or more for a digest, but 2^CELLS rows at most: beyond that it only lets
+    more texts through."""
+    inside = wanted.filter("inside").select("d1")
+    depth = min(max(1, (inside.count() // 64).bit_length()), CELLS)
+    cells = F.broadcast(digest_cells(inside, depth))
+    places = lines_of(docs).withColumn("cell", cell_of(depth)).join(cells, "cell", "left")
+    may = F.expr("coalesce(shiftright(element_at(words, cast(d1 & 15 as int) + 1), cast(shiftright(d1, 4) & 63 as int)) & 1 = 1, false)")
+    places = places.select("doc_id", "line_no", "d1", "d2", F.when(may, F.col("line").cast("binary")).alias("line"))
+    copies = places.join(wanted, ["d1", "d2"])
+    return stored(copies.select("doc_id", "line_no", "id", "times", F.when(F.col("inside"), F.col("line")).alias("line")), "line-copies")
 
 
 def alike_lines(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -157,8 +184,10 @@ def alike_lines(members: DataFrame, texts: DataFrame, size: int, percent: int) -
     pairs = members.filter("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     links = linked(stored(likely(pairs, bits, percent), "line-pairs"), texts, size, percent)
     groups = components(links, "a", "b")
+    removed(links)
 
     opened = stored(open_members(members.filter("many > 2").select("bucket", F.col("id").alias("rep"), "many"), groups), "line-open")
+    used = [bits, opened]
     few = opened.filter(F.col("many") <= FEW).select("bucket", "rep", "component")
     rest = few.alias("x").join(few.alias("y"), "bucket").filter("x.rep < y.rep and x.component != y.component")
     rest = rest.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
@@ -170,7 +199,8 @@ def alike_lines(members: DataFrame, texts: DataFrame, size: int, percent: int) -
         sets = exploded(sets, "shingle").withColumnRenamed("id", "rep")
         partner = F.ceil(F.col("size") * percent / 100).alias("partner")
         placed = many.join(bits.select(F.col("id").alias("rep"), F.col("many").alias("size")), "rep").select("*", partner)
-        pairs = prefix_pairs(stored(placed, "line-open"), stored(sets, "line-shingles"), percent)
+        used += [stored(placed, "line-open"), stored(sets, "line-shingles")]
+        pairs = prefix_pairs(*used[-2:], percent)
         rest = rest.unionByName(likely(pairs, bits, percent)).distinct()
     rest = stored(rest, "line-pairs")
     if not rest.isEmpty():
@@ -178,6 +208,7 @@ def alike_lines(members: DataFrame, texts: DataFrame, size: int, percent: int) -
         if not more.isEmpty():
             stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
             groups = components(stars.unionByName(more), "a", "b")
+    removed(*used, rest)
     return groups.withColumnRenamed("node", "id")
 
 
@@ -197,11 +228,16 @@ def repeated_lines(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
     """
     keyed = line_keys(docs, size, bands, rows, seed)
     members = bucket_members(keyed)
-    copies = line_copies(docs, keyed, members)
+    wanted = wanted_lines(keyed, members)
+    removed(keyed)
+    copies = line_copies(docs, wanted)
+    removed(wanted)
     texts = stored(copies.filter("line is not null").select("id", "line").dropDuplicates(["id"]), "line-texts")
     groups = alike_lines(members, texts, size, percent)
+    removed(members, texts)
     places = copies.join(groups, "id", "left").filter("times > 1 or component is not null")
     places = stored(places.select("doc_id", "line_no", F.coalesce("component", "id").alias("line_group")), "line-places")
+    removed(copies)
     firsts = places.groupBy("line_group").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
     gone = places.join(firsts, "line_group").filter("doc_id != first.doc_id or line_no != first.line_no")
     gone = gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("removed"))

@@ -148,17 +148,16 @@ def shared_sizes(sets: DataFrame) -> DataFrame:
 
 
 def prefix_pairs(placed: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """From members (rep, shingle) of at least the placed sets: pairs (a, b) of different components that may be linked, one of them outside its bucket's largest component.
+    """From members (rep, shingle) of the placed sets: pairs (a, b) of different components that may be linked, one of them outside its bucket's largest component.
 
     Shingles are ordered from rare to frequent among these sets. Two sets with the overlap that a link needs have a
     shingle in common that is so early in both that enough others follow; only such pairs are given. Shingles that
     one set alone has count in the order but are not looked up.
     """
     docs = placed.groupBy("rep", "size", "component").agg(F.min("partner").alias("partner"), F.max(F.col("component") != F.col("main")).alias("other"))
-    rows = members.join(docs.select("rep"), "rep", "left_semi")
-    common = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1")
+    common = members.groupBy("shingle").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1")
     own = Window.partitionBy("rep")
-    rows = rows.join(common, "shingle").join(docs, "rep")
+    rows = members.join(common, "shingle").join(docs, "rep")
     rank = F.row_number().over(own.orderBy("docs", "shingle")) - 1 + F.col("size") - F.count(F.lit(1)).over(own)
     needed = F.ceil(percent * (F.col("size") + F.col("partner")) / (100 + percent))
     rows = rows.withColumn("place", rank).filter(F.col("place") <= F.col("size") - needed)

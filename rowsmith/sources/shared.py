@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+#: Has Spark remove the shuffle files of a query when it ends, rather than when the driver happens to collect its garbage.
+CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,15 +34,40 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def _cleaned(spark: SparkSession) -> Iterator[None]:
+    """Queries that are run inside leave no shuffle files behind."""
+    before = spark.conf.get(CLEANED, None)
+    spark.conf.set(CLEANED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANED)
+        else:
+            spark.conf.set(CLEANED, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Rows of any number, written once as Parquet in the shared folder and read back from there.
 
     This cuts the lineage: what is built on the result is not computed again from the start, and a lost
-    executor costs nothing, as every executor can read the files.
+    executor costs nothing, as every executor can read the files. The shuffle files of the writing query go when it ends.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with _cleaned(df.sparkSession):
+        df.write.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def removed(*tables: DataFrame) -> None:
+    """Removes the files of tables that stored() gave, once nothing reads them any more."""
+    for table in tables:
+        spark = table.sparkSession
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def settled(df: DataFrame) -> DataFrame:
